@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reelhouse.functions.columns import load_stamp
 from reelhouse.operators.joins import distinct_keys, join_unique
 
-COPIES_PER_TASK_ROW = 10_000
+COPIES_PER_PIECE = 10_000
 
 
 class AmbiguousUpsert(ValueError):
@@ -34,55 +34,53 @@ def incremental_gate(
     return source.filter(later if strict else F.coalesce(later, F.lit(True)))
 
 
-def reject_ambiguous(target: DataFrame, source: DataFrame, key: str) -> None:
-    """Raise when a key occurs several times in the source and also in the target."""
-    repeated = (
+def _matches(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Keys found on both sides, with the number of source and of target rows."""
+    in_source = (
         source.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter("copies > 1")
-        .select(key)
+        .agg(F.count(F.lit(1)).alias("__source_rows"))
+    )
+    return (
+        join_unique(target.select(key), in_source, key)
+        .groupBy(key)
+        .agg(
+            F.max("__source_rows").alias("__source_rows"),
+            F.count(F.lit(1)).alias("__target_rows"),
+        )
     )
-    if repeated.isEmpty():
-        return
-    clash = join_unique(distinct_keys(target, key), repeated, key, "left_semi")
-    example = clash.first()
-    if example is not None:
-        raise AmbiguousUpsert(f"several source rows for {key} = {example[0]!r}")
 
 
-def upsert(
-    target: DataFrame, source: DataFrame, key: str, unique_target: bool = False
-) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """The target after merging `source` into it on `key`.
 
     Matched target rows take every column from the source, other source rows are added,
-    other target rows stay. NULL keys never match. A target that holds a key n times
-    gets n copies of the source row; `unique_target` skips the search for such keys.
+    other target rows stay. NULL keys never match. Several source rows for one target row
+    raise `AmbiguousUpsert`. A target that holds a key n times gets n copies of its source
+    row. The two checks are one job over the key columns, run when this is called.
     """
-    reject_ambiguous(target, source, key)
     source = source.select(target.columns)
-    source_keys = distinct_keys(source, key)
-    merged = join_unique(target, source_keys, key, "left_anti").unionByName(source)
-    if unique_target:
-        return merged
-    repeated = (
-        join_unique(target.select(key), source_keys, key, "left_semi")
-        .groupBy(key)
-        .agg((F.count(F.lit(1)) - 1).alias("__extra"))
-        .filter("__extra > 0")
-    )
-    if repeated.isEmpty():
-        return merged
-    return merged.unionByName(_copies(join_unique(source, repeated, key), key, "__extra"))
+    matches = _matches(target, source, key)
+    most = matches.agg(F.max("__source_rows"), F.max("__target_rows")).first()
+    if (most[0] or 0) > 1:
+        example = matches.filter("__source_rows > 1").first()
+        raise AmbiguousUpsert(f"{example['__source_rows']} source rows for {key} = {example[key]!r}")
+    kept = join_unique(target, distinct_keys(source, key), key, "left_anti")
+    merged = kept.unionByName(source)
+    if (most[1] or 0) > 1:
+        repeated = matches.filter("__target_rows > 1").select(
+            key, (F.col("__target_rows") - 1).alias("__extra")
+        )
+        merged = merged.unionByName(_copies(join_unique(source, repeated, key), key, "__extra"))
+    return merged
 
 
 def _copies(df: DataFrame, key: str, times: str) -> DataFrame:
-    """Each row `times` times; a large number is spread over several tasks."""
-    last = F.expr(f"({times} - 1) div {COPIES_PER_TASK_ROW}")
+    """Each row `times` times. A large number is cut into pieces for several tasks."""
+    last = F.expr(f"({times} - 1) div {COPIES_PER_PIECE}")
     pieces = df.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     size = F.least(
-        F.lit(COPIES_PER_TASK_ROW), F.col(times) - F.col("__piece") * COPIES_PER_TASK_ROW
+        F.lit(COPIES_PER_PIECE), F.col(times) - F.col("__piece") * COPIES_PER_PIECE
     )
     return (
         pieces.withColumn("__size", size.cast("int"))

@@ -117,6 +117,8 @@ def load_stage(
     if not full_refresh and table.version() is not None:
         target = table.read()
         passed = incremental_gate(staged, target, run_ts, strict=strict)
+        if passed.isEmpty():
+            return table.version()
         staged = upsert(target, passed, model.key)
     return table.write(staged, model.sort_by, stream, batch)
 

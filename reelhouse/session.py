@@ -11,10 +11,12 @@ from pyspark.sql import SparkSession
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
 
 
-def local_session(cores: int | str = "*", app: str = "reelhouse") -> SparkSession:
+def local_session(
+    cores: int | str = "*", app: str = "reelhouse", options: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     parallelism = os.cpu_count() if cores == "*" else int(cores)
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -22,8 +24,10 @@ def local_session(cores: int | str = "*", app: str = "reelhouse") -> SparkSessio
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(parallelism))
-        .getOrCreate()
     )
+    for name, value in (options or {}).items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -1,0 +1,236 @@
+"""Files, landing zone, catalog and snapshots."""
+
+import json
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+from reelhouse import schemas
+from reelhouse.schemas import ENTITIES, entities_in
+from reelhouse.sources import catalog
+from reelhouse.sources.files import conform, read_csv, read_json_records, write_records
+from reelhouse.sources.landing import (
+    ingest,
+    land,
+    landing_path,
+    register_sources,
+    scan,
+)
+from reelhouse.sources.snapshots import SnapshotTable
+from reelhouse.workload import views
+
+FAILED = (PySparkException, Py4JJavaError)
+
+MOVIES_CSV = (
+    "title,duration_mins,original_language,size_mb\n"
+    "Léon,110,French,900\n"
+    '"Good, Bad ""and"" Ugly",161,NA,\n'
+    "  padded ,1,null,2\n"
+)
+
+
+def write(path, text):
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_csv(spark, tmp_path):
+    df = read_csv(spark, write(tmp_path / "m.csv", MOVIES_CSV), schemas.MOVIES)
+    assert df.schema == schemas.MOVIES
+    assert rows(df) == rows(
+        spark.createDataFrame(
+            [
+                ("Léon", 110, "French", 900),
+                ('Good, Bad "and" Ugly', 161, None, None),
+                ("  padded ", 1, None, 2),
+            ],
+            schemas.MOVIES,
+        )
+    )
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "title,duration_mins,language,size_mb\na,1,b,2\n",
+        "title,duration_mins,original_language,size_mb\na,1,b\n",
+        "title,duration_mins,original_language,size_mb\na,long,b,2\n",
+    ],
+    ids=["header", "fields", "type"],
+)
+def test_csv_that_does_not_fit_fails(spark, tmp_path, text):
+    with pytest.raises(FAILED):
+        read_csv(spark, write(tmp_path / "m.csv", text), schemas.MOVIES).collect()
+
+
+def test_csv_with_line_breaks_in_quotes(spark, tmp_path):
+    path = write(tmp_path / "u.csv", 'first_name,last_name,email\n"a\nb",c,d\n')
+    assert rows(read_csv(spark, path, schemas.USERS, multiline=True)) == [("a\nb", "c", "d")]
+    with pytest.raises(FAILED):
+        read_csv(spark, path, schemas.USERS).collect()
+
+
+BOOKS = [
+    {"name": "Dune", "pages": 412, "author": "Frank", "publisher": "é"},
+    {"name": "Emma", "pages": None, "author": "Jane", "publisher": None},
+]
+BOOK_ROWS = [("Dune", 412, "Frank", "é"), ("Emma", None, "Jane", None)]
+
+
+def test_json_lines_and_one_line_arrays(spark, tmp_path):
+    lines = write(tmp_path / "a.json", "\n".join(json.dumps(b) for b in BOOKS))
+    array = write(tmp_path / "b.json", json.dumps(BOOKS))
+    for path in (lines, array):
+        assert rows(read_json_records(spark, path, schemas.BOOKS)) == BOOK_ROWS
+
+
+def test_json_array_over_many_lines(spark, tmp_path):
+    path = write(tmp_path / "c.json", json.dumps(BOOKS, indent=2))
+    assert rows(read_json_records(spark, path, schemas.BOOKS, multiline=True)) == BOOK_ROWS
+    with pytest.raises(FAILED):
+        read_json_records(spark, path, schemas.BOOKS).collect()
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+@pytest.mark.parametrize("name", ENTITIES)
+def test_write_and_scan_round_trip(spark, tmp_path, name, fmt):
+    landing = views.landing_view(name, views.tables(spark, "/root/testdata/sf0.001"))
+    land(landing, str(tmp_path), name, fmt)
+    back = scan(spark, str(tmp_path), name, fmt)
+    assert back.schema == ENTITIES[name].schema
+    assert rows(back) == rows(landing)
+
+
+def test_unknown_format(spark, tmp_path):
+    with pytest.raises(ValueError):
+        write_records(spark.range(1), str(tmp_path / "x"), "csv")
+
+
+def test_conform_makes_files_readable_as_declared(spark, tmp_path):
+    wide = spark.sql("select 'e' publisher, 'n' name, 5L pages, 'a' author, 1 extra")
+    land(wide, str(tmp_path), "books")
+    assert rows(scan(spark, str(tmp_path), "books")) == [("n", 5, "a", "e")]
+    assert conform(wide, schemas.BOOKS).columns == schemas.BOOKS.names
+
+
+def test_landing_appends(spark, tmp_path):
+    df = spark.createDataFrame([("a", "b", "c")], schemas.USERS)
+    path = land(df, str(tmp_path), "users")
+    assert path == f"{tmp_path}/internal/users/parquet"
+    land(df, str(tmp_path), "users")
+    assert rows(scan(spark, str(tmp_path), "users")) == [("a", "b", "c")] * 2
+
+
+@pytest.fixture
+def source_files(spark, tmp_path):
+    folder = tmp_path / "sources"
+    folder.mkdir()
+    author = {
+        "metadata": {"name": "Ann", "birth_date": "1900", "died_at": None},
+        "nationalities": [{"id": 1, "label": "L", "slug": None}],
+    }
+    review = {
+        "content": {"text": "t"},
+        "rating": {"rate": 5, "label": "top"},
+        "books": [{"id": 1, "metadata": {"title": "Dune", "pages": "412"}}],
+        "movies": [],
+        "updated": "u",
+        "created": "c",
+    }
+    streams = "movie_title,user_email,size_mb,start_at,end_at\nHeat,a@b,1.5,2021-12-25T07:00:00Z,x\n"
+    return {
+        "movies": write(folder / "movies.csv", MOVIES_CSV),
+        "streams": write(folder / "streams.csv", streams),
+        "users": write(folder / "users.csv", "first_name,last_name,email\nA,B,a@b\n"),
+        "authors": write(folder / "authors.json", json.dumps([author])),
+        "books": write(folder / "books.json", json.dumps(BOOKS)),
+        "reviews": write(folder / "reviews.json", json.dumps([review])),
+    }
+
+
+def test_ingest_by_group(spark, tmp_path, source_files):
+    root = str(tmp_path / "landing")
+    assert set(ingest(spark, source_files, root, "internal")) == {"movies", "streams", "users"}
+    assert set(ingest(spark, source_files, root, "vendor")) == {"authors", "books", "reviews"}
+    assert len(ingest(spark, source_files, root)) == 6
+    tables = register_sources(spark, root)
+    counts = {name: df.count() for name, df in tables.items()}
+    assert counts == {
+        "movies": 6, "streams": 2, "users": 2, "authors": 2, "books": 4, "reviews": 2,
+    }
+    assert spark.table("vendor_reviews").selectExpr("books[0].metadata.title").first()[0] == "Dune"
+    with pytest.raises(ValueError):
+        ingest(spark, source_files, root, "other")
+    with pytest.raises(ValueError):
+        entities_in("")
+
+
+def test_ingest_as_json(spark, tmp_path, source_files):
+    paths = ingest(spark, source_files, str(tmp_path / "landing"), "vendor", "json")
+    assert paths["books"].endswith("/vendor/books/json")
+    assert rows(read_json_records(spark, paths["books"], schemas.BOOKS)) == BOOK_ROWS
+
+
+def test_scan_with_file_times(spark, tmp_path):
+    land(spark.createDataFrame([("a", "b", "c")], schemas.USERS), str(tmp_path), "users")
+    row = scan(spark, str(tmp_path), "users", file_times=True).first()
+    assert row.landed_in.endswith(".parquet") and row.landed_at is not None
+
+
+def test_catalog(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    land(spark.createDataFrame([("a", "b", "c")], schemas.USERS), root, "users")
+    catalog.create_namespace(spark, "landing_test", str(tmp_path / "space"))
+    catalog.create_namespace(spark, "landing_test", str(tmp_path / "space"))
+    try:
+        for _ in range(2):
+            catalog.create_landing_tables(spark, "landing_test", root)
+        assert catalog.list_tables(spark, "landing_test") == [
+            "internal_movies_parquet",
+            "internal_streams_parquet",
+            "internal_users_parquet",
+            "vendor_authors_parquet",
+            "vendor_books_parquet",
+            "vendor_reviews_parquet",
+        ]
+        assert "landing_test" in catalog.list_namespaces(spark)
+        assert "spark_catalog" in catalog.list_catalogs(spark)
+        users = spark.table("landing_test.internal_users_parquet")
+        assert rows(users) == [("a", "b", "c")]
+        reviews = spark.table("landing_test.vendor_reviews_parquet")
+        assert reviews.count() == 0 and reviews.schema == schemas.REVIEWS
+    finally:
+        spark.sql("DROP DATABASE landing_test CASCADE")
+    assert scan(spark, root, "users").count() == 1
+
+
+def test_snapshots(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    assert table.version() is None and table.commits() is None
+    with pytest.raises(ValueError):
+        table.read()
+    assert table.write(spark.range(3)) == 1
+    grown = table.read().union(table.read())
+    assert table.write(grown, sort_by=("id",)) == 2
+    assert table.read().count() == 6 and table.read(1).count() == 3
+    assert table.last_batch("s") is None
+    table.write(spark.range(1), stream="s", batch=4)
+    assert (table.version(), table.last_batch("s"), table.last_batch("other")) == (3, 4, None)
+
+
+def test_a_failed_write_changes_nothing(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(3))
+    with pytest.raises(FAILED):
+        table.write(spark.range(3).selectExpr("if(id = 2, raise_error('lost'), id) as id"))
+    assert table.version() == 1 and table.read().count() == 3
+    assert table.write(spark.range(5)) == 2 and table.read().count() == 5
+
+
+def test_landing_paths():
+    assert landing_path("root/", ENTITIES["books"], "json") == "root/vendor/books/json"
