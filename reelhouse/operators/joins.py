@@ -1,15 +1,18 @@
-"""Joins against a side that holds each key once."""
+"""Joins against a side that holds each key once, safe for hot keys on the other side."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 64
 _HASH = "__key_hash"
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join rows to a grouped or distinct side on `key`, safe for hot keys on the left.
+    """Join rows to a large grouped or distinct side on `key`.
 
     Spark broadcasts the right side when its size is below the session's threshold, at
     planning or at run time. Otherwise both sides are shuffled and adaptive execution
@@ -24,6 +27,29 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return joined.drop(_HASH)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the rows of `df`, measured by running it, are few enough to broadcast."""
+    sizes = [
+        F.coalesce(F.octet_length(f.name), F.lit(0))
+        if isinstance(f.dataType, StringType)
+        else F.lit(8)
+        for f in df.schema
+    ]
+    row = sum(sizes, F.lit(ROW_OVERHEAD_BYTES))
+    return (df.agg(F.sum(row.cast("bigint"))).first()[0] or 0) <= MAX_BROADCAST_BYTES
+
+
+def join_dimension(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows to a grouped side that is usually small.
+
+    The right side is measured first. Up to the bound it is broadcast, so that the left
+    side is not shuffled at all; beyond it the join is that of `join_unique`.
+    """
+    if fits_broadcast(right):
+        return left.join(F.broadcast(right), key, how)
+    return join_unique(left, right, key, how)
+
+
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     """The keys of `df` that can match anything, each once."""
     return df.filter(F.col(key).isNotNull()).select(key).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.columns import load_stamp
-from reelhouse.operators.joins import distinct_keys, join_unique
+from reelhouse.operators.joins import fits_broadcast, join_unique
 
 COPIES_PER_PIECE = 10_000
 
@@ -34,38 +34,54 @@ def incremental_gate(
     return source.filter(later if strict else F.coalesce(later, F.lit(True)))
 
 
-def _matches(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def _matches(target: DataFrame, source: DataFrame, key: str, small: bool) -> DataFrame:
     """Keys found on both sides, with the number of source and of target rows."""
-    in_source = (
-        source.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("__source_rows"))
-    )
+    rows = F.count(F.lit(1))
+    if small:
+        in_source = _with_key(source, key).groupBy(key).agg(rows.alias("__source_rows"))
+        return (
+            target.select(key)
+            .join(F.broadcast(in_source), key)
+            .groupBy(key)
+            .agg(F.max("__source_rows").alias("__source_rows"), rows.alias("__target_rows"))
+        )
+    # One shuffle of both key columns, counted before it; no join.
+    in_source = _with_key(source, key).select(key, F.lit(1).alias("s"), F.lit(0).alias("t"))
+    in_target = _with_key(target, key).select(key, F.lit(0).alias("s"), F.lit(1).alias("t"))
     return (
-        join_unique(target.select(key), in_source, key)
+        in_source.unionAll(in_target)
         .groupBy(key)
-        .agg(
-            F.max("__source_rows").alias("__source_rows"),
-            F.count(F.lit(1)).alias("__target_rows"),
-        )
+        .agg(F.sum("s").alias("__source_rows"), F.sum("t").alias("__target_rows"))
+        .filter("__source_rows > 0 AND __target_rows > 0")
     )
 
 
+def _with_key(df: DataFrame, key: str) -> DataFrame:
+    return df.filter(F.col(key).isNotNull())
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """The target after merging `source` into it on `key`.
 
     Matched target rows take every column from the source, other source rows are added,
     other target rows stay. NULL keys never match. Several source rows for one target row
     raise `AmbiguousUpsert`. A target that holds a key n times gets n copies of its source
-    row. The two checks are one job over the key columns, run when this is called.
+    row. The checks read the key columns only; they run when this is called. The keys of a
+    small source are broadcast, and the target is then not shuffled.
     """
     source = source.select(target.columns)
-    matches = _matches(target, source, key)
+    source_keys = _with_key(source, key).select(key)
+    small = fits_broadcast(source_keys)
+    source_keys = source_keys.distinct()
+    matches = _matches(target, source, key, small)
     most = matches.agg(F.max("__source_rows"), F.max("__target_rows")).first()
     if (most[0] or 0) > 1:
         example = matches.filter("__source_rows > 1").first()
         raise AmbiguousUpsert(f"{example['__source_rows']} source rows for {key} = {example[key]!r}")
-    kept = join_unique(target, distinct_keys(source, key), key, "left_anti")
+    if small:
+        kept = target.join(F.broadcast(source_keys), key, "left_anti")
+    else:
+        kept = join_unique(target, source_keys, key, "left_anti")
     merged = kept.unionByName(source)
     if (most[1] or 0) > 1:
         repeated = matches.filter("__target_rows > 1").select(

@@ -15,7 +15,7 @@ from reelhouse.functions.times import (
     whole_hours,
     whole_minutes,
 )
-from reelhouse.operators.joins import distinct_keys, join_unique
+from reelhouse.operators.joins import distinct_keys, join_dimension, join_unique
 
 MEDIAN_ACCURACY = 10_000
 MEDIAN_DIGESTS = 4_096
@@ -31,17 +31,31 @@ def adaptation_share(streams: DataFrame, reviews: DataFrame) -> DataFrame:
     Titles are compared without case. A NULL title counts as one streamed title and never
     matches. The share is a fraction from 0 to 1, NULL when nothing was streamed.
     """
-    streamed = _lower(streams, title="movie_title").distinct()
-    reviewed = distinct_keys(_lower(reviews, title="movie_title"), "title")
-    matched = streamed.join(reviewed.withColumn("reviewed", F.lit(1)), "title", "left")
-    total, adapted = F.count(F.lit(1)), F.count("reviewed")
-    return matched.agg(
+    # One aggregate over both sides: a single shuffle of titles that are already distinct
+    # within each task, and no join.
+    titles = _titles(streams, streamed=1, reviewed=0).unionAll(
+        _titles(reviews, streamed=0, reviewed=1)
+    )
+    flags = titles.groupBy("title").agg(
+        F.max("streamed").alias("streamed"), F.max("reviewed").alias("reviewed")
+    )
+    total = F.count(F.lit(1))
+    adapted = F.count_if((F.col("reviewed") == 1) & F.col("title").isNotNull())
+    return flags.filter("streamed = 1").agg(
         total.alias("total_titles"),
         adapted.alias("adapted_titles"),
         F.try_divide(adapted.cast("double"), total).alias("adapted_share"),
     )
 
 
+def _titles(df: DataFrame, streamed: int, reviewed: int) -> DataFrame:
+    return df.select(
+        F.lower("movie_title").alias("title"),
+        F.lit(streamed).alias("streamed"),
+        F.lit(reviewed).alias("reviewed"),
+    )
+
+
 def users_in_window(
     streams: DataFrame,
     title: str | None,
@@ -102,7 +116,7 @@ def adaptations_by_author_origin(
         .agg(F.count(F.lit(1)).alias("book_rows"))
     )
     by_book = (
-        join_unique(book_rows, author_rows, "author")
+        join_dimension(book_rows, author_rows, "author")
         .groupBy("book")
         .agg(F.sum(F.col("book_rows") * F.col("author_rows")).alias("written"))
     )
@@ -166,7 +180,7 @@ def sessions_past_half(
     )
     # Coalesced, so that no separate null test parses the times a second time.
     long_enough = F.coalesce(F.col("minutes") >= F.col("half_minutes"), F.lit(False))
-    return join_unique(recent, halves, "movie_title").filter(long_enough)
+    return join_dimension(recent, halves, "movie_title").filter(long_enough)
 
 
 def users_past_half(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from reelhouse.operators.load import latest_per_key, upsert
-from reelhouse.plans.pipeline import FILE_COLUMNS
+from reelhouse.operators.load import latest_per_key, merge_into_table
+from reelhouse.plans.pipeline import FILE_COLUMNS, merge_rows
 from reelhouse.plans.stage import STAGE_MODELS, RunTime
 from reelhouse.schemas import ENTITIES
 from reelhouse.sources.landing import landing_path
@@ -19,7 +19,7 @@ def stream_stage(
     spark: SparkSession,
     root: str,
     name: str,
-    table: SnapshotTable,
+    table: SnapshotTable | str,
     checkpoint: str,
     every: str | None = None,
     run_ts: RunTime = None,
@@ -30,6 +30,8 @@ def stream_stage(
     By default the query takes what has arrived and stops; `every="30 minutes"` keeps it
     running on that period. The checkpoint remembers the files taken, and the table
     remembers the last micro-batch, so a batch repeated after a failure changes nothing.
+    A table given by name must exist in a catalog whose format supports MERGE; it is then
+    changed in place, at a cost that follows the new rows and not the table.
     With `dedupe="latest"` the last landed row of a key wins within a micro-batch;
     otherwise a key that comes twice and is already in the table is an error.
     """
@@ -44,17 +46,19 @@ def stream_stage(
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        stream = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
-        last = table.last_batch(stream)
-        if last is not None and last >= batch_id:
-            return
+        if isinstance(table, SnapshotTable):
+            stream = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+            last = table.last_batch(stream)
+            if last is not None and last >= batch_id:
+                return
         staged = model.build(batch, run_ts, carry=FILE_COLUMNS)
         if dedupe == "latest":
             staged = latest_per_key(staged, model.key, FILE_COLUMNS)
         staged = staged.drop(*FILE_COLUMNS)
-        if table.version() is not None:
-            staged = upsert(table.read(), staged, model.key)
-        table.write(staged, model.sort_by, stream, batch_id)
+        if isinstance(table, SnapshotTable):
+            merge_rows(table, model, staged, dedupe is not None, stream, batch_id)
+        else:
+            merge_into_table(staged, table, model.key)
 
     writer = arrivals.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}

@@ -42,7 +42,8 @@ def _stage(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stages(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [_stage(name, spark, sf_dir) for name in names]
+    t = views.tables(spark, sf_dir)
+    return [_staged(name, views.landing_view(name, t)) for name in names]
 
 
 def flat(name: str, landing: DataFrame) -> DataFrame:
@@ -191,16 +192,17 @@ _HALVES = {
 }
 
 
+def _limited(t: views.Tables, base: str, condition: str) -> views.Tables:
+    """The tables, with one of them limited by a condition."""
+    return lambda table: t(table).filter(condition) if table == base else t(table)
+
+
 def halves(name: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     base, earlier, later, (column, change) = _HALVES[name]
     t = views.tables(spark, sf_dir)
 
     def part(condition: str) -> DataFrame:
-        def limited(table: str) -> DataFrame:
-            # Only the split table is limited; titles always come from all parts.
-            return t(table).filter(condition) if table == base else t(table)
-
-        return _staged(name, views.landing_view(name, limited))
+        return _staged(name, views.landing_view(name, _limited(t, base, condition)))
 
     return part(earlier), part(later).withColumn(column, F.expr(change))
 
@@ -295,11 +297,7 @@ def _stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = SnapshotTable(spark, f"{root}/warehouse/books")
     base, earlier, later, _ = _HALVES["books"]
     for condition in (earlier, later):
-
-        def limited(name: str, condition: str = condition) -> DataFrame:
-            return t(name).filter(condition) if name == base else t(name)
-
-        land(views.landing_view("books", limited), root, "books")
+        land(views.landing_view("books", _limited(t, base, condition)), root, "books")
         stream_stage(spark, root, "books", table, f"{root}/checkpoint").awaitTermination()
     return table.read().drop("reference_date")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ Tables = Callable[[str], DataFrame]
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Reader of the driver's tables that opens each one once."""
+    return lru_cache(None)(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _title() -> Column:
@@ -49,8 +51,7 @@ def streams(t: Tables) -> DataFrame:
     def unless_multiple_of(n: int, value: Column) -> Column:
         return F.when(F.col("event_id") % n != 0, value)
 
-    seconds = F.floor(F.col("value") * 60)
-    end = F.col("ts") + F.make_dt_interval(secs=seconds)
+    end = F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts"))
     events = t("events").withColumn("p_partkey", F.col("event_id") % STREAMED_TITLES)
     return events.join(_titled(t("part"), STREAMED_TITLES), "p_partkey").select(
         unless_multiple_of(101, _title()).alias("movie_title"),

@@ -1,6 +1,8 @@
 """The pipeline end to end, in batches and as a stream."""
 
+import time
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -22,20 +24,23 @@ from reelhouse.sources.landing import land, scan
 from reelhouse.sources.snapshots import SnapshotTable
 from reelhouse.streaming.incremental import stream_stage
 
+ASKED = Questions(
+    "Heat", "2021-12-25 07:00:00", "2021-12-25 12:00:00", "sg", "2021-12-24 23:59:59"
+)
 FIRST, SECOND = "2024-02-23 00:00:00", "2024-02-23 00:30:00"
 
 
 def landing(spark, **rows):
     """Small landing tables; a keyword replaces the rows of one entity."""
     tables = {
-        "movies": [("Unforgiven", 60, "English", 900), ("Dune", 100, "English", 1500)],
+        "movies": [("Heat", 60, "English", 900), ("Dune", 100, "English", 1500)],
         "streams": [
-            ("Unforgiven", "a", 100.0, "2021-12-25T08:00:00Z", "2021-12-25T09:00:00Z"),
+            ("Heat", "a", 100.0, "2021-12-25T08:00:00Z", "2021-12-25T09:00:00Z"),
             ("Dune", "b", 200.0, "2021-12-25T08:00:00Z", "2021-12-25T08:10:00Z"),
             ("Dune", "c", 300.0, "2021-12-26T08:00:00Z", "2021-12-26T10:00:00Z"),
         ],
         "users": [("A", "B", "ann@x.org")],
-        "authors": [(("Frank", "1920", None), [(1, "S", None), (2, "S", "singaporeans")])],
+        "authors": [(("Frank", "1920", None), [(1, "S", None), (2, "S", "sg")])],
         "books": [("dune", 412, "FRANK", "p")],
         "reviews": [
             (("t",), (5, "top"), [(1, ("Dune", "412"))], [(0, "end"), (1, "DUNE")], None, None)
@@ -60,7 +65,7 @@ EXPECTED = {
 
 
 def test_full_run(spark, tmp_path):
-    written = run_pipeline(landing(spark), str(tmp_path), run_ts=FIRST)
+    written = run_pipeline(landing(spark), str(tmp_path), questions=ASKED, run_ts=FIRST)
     assert set(written) == {f"stage.{n}" for n in STAGE_MODELS} | {
         f"trusted.{n}" for n in TRUSTED_MODELS
     }
@@ -83,12 +88,12 @@ def test_incremental_run_merges(spark, tmp_path):
     run_pipeline(landing(spark), str(tmp_path), select="stage", run_ts=FIRST)
     changed = [("Dune", 100, "French", 7), ("Solo", 1, "x", 2)]
     written = run_pipeline(
-        landing(spark, movies=changed), str(tmp_path), full_refresh=False, run_ts=SECOND
+        landing(spark, movies=changed), str(tmp_path), False, questions=ASKED, run_ts=SECOND
     )
     movies = {r.title: r for r in written["stage.movies"].collect()}
-    assert set(movies) == {"Unforgiven", "Dune", "Solo"}
+    assert set(movies) == {"Heat", "Dune", "Solo"}
     assert movies["Dune"].size_mb == 7 and str(movies["Dune"].reference_date) == SECOND
-    assert str(movies["Unforgiven"].reference_date) == FIRST
+    assert str(movies["Heat"].reference_date) == FIRST
     key = STAGE_MODELS["movies"].build(landing(spark, movies=changed)["movies"])
     assert movies["Dune"].movie_id == key.filter("title = 'Dune'").first().movie_id
     assert answers(written) == EXPECTED
@@ -115,13 +120,18 @@ def test_selections(spark, tmp_path):
     assert set(internal) == {"stage.movies", "stage.streams", "stage.users"}
     vendor = run_pipeline(tables, str(tmp_path), select="vendor")
     assert set(vendor) == {"stage.authors", "stage.books", "stage.reviews"}
-    assert answers(run_pipeline({}, str(tmp_path), select="trusted")) == EXPECTED
-    other = Questions("Dune", "2021-12-26 00:00:00", "2021-12-27 00:00:00")
+    assert answers(run_pipeline({}, str(tmp_path), select="trusted", questions=ASKED)) == EXPECTED
+    other = replace(
+        ASKED, outage_title="Dune", outage_start="2021-12-26 00:00:00",
+        outage_end="2021-12-27 00:00:00",
+    )
     again = run_pipeline({}, str(tmp_path), select="trusted", questions=other)
     assert answers(again)["users_in_window"] == 1.0
     assert trusted_table(spark, str(tmp_path), "users_in_window").version() == 2
     with pytest.raises(ValueError):
         run_pipeline(tables, str(tmp_path), select="other")
+    with pytest.raises(ValueError):
+        run_pipeline(tables, str(tmp_path))
 
 
 def test_landing_twice_duplicates_unless_the_latest_row_is_asked_for(spark, tmp_path):
@@ -130,17 +140,19 @@ def test_landing_twice_duplicates_unless_the_latest_row_is_asked_for(spark, tmp_
         for name, df in landing(spark).items():
             land(df, root, name)
     twice = {name: scan(spark, root, name, file_times=True) for name in ENTITIES}
-    raw = run_pipeline(twice, warehouse, run_ts=FIRST)
+    raw = run_pipeline(twice, warehouse, questions=ASKED, run_ts=FIRST)
     assert raw["stage.books"].count() == 2 and raw["stage.books"].columns[-1] == "reference_date"
     assert answers(raw)["adaptations_by_author_origin"] == 4.0
     with pytest.raises(AmbiguousUpsert):
-        run_pipeline(twice, warehouse, full_refresh=False, run_ts=SECOND)
-    once = run_pipeline(twice, warehouse, run_ts=FIRST, dedupe="latest")
+        run_pipeline(twice, warehouse, False, questions=ASKED, run_ts=SECOND)
+    once = run_pipeline(twice, warehouse, questions=ASKED, run_ts=FIRST, dedupe="latest")
     assert once["stage.books"].count() == 1 and answers(once) == EXPECTED
-    merged = run_pipeline(twice, warehouse, False, run_ts=SECOND, dedupe="latest")
+    merged = run_pipeline(
+        twice, warehouse, False, questions=ASKED, run_ts=SECOND, dedupe="latest"
+    )
     assert merged["stage.streams"].count() == 3 and answers(merged) == EXPECTED
     with pytest.raises(ValueError):
-        run_pipeline(twice, warehouse, dedupe="first")
+        run_pipeline(twice, warehouse, questions=ASKED, dedupe="first")
 
 
 def users(spark, *rows):
@@ -160,7 +172,7 @@ def stream(spark, tmp_path):
         ).awaitTermination()
         return Counter((r.full_name, r.email) for r in table.read().collect())
 
-    run.table = table
+    run.table, run.root = table, root
     return run
 
 
@@ -199,9 +211,24 @@ def test_stream_rejects_a_key_that_comes_twice(spark, stream):
     assert stream.table.version() == 1
 
 
+def test_stream_into_a_table_by_name_needs_merge_support(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    land(users(spark, ("A", "B", "ann@x.org")), root, "users")
+    STAGE_MODELS["users"].build(users(spark)).write.saveAsTable("named_users")
+    try:
+        query = stream_stage(spark, root, "users", "named_users", str(tmp_path / "checkpoint"))
+        with pytest.raises(StreamingQueryException, match="MERGE INTO"):
+            query.awaitTermination()
+    finally:
+        spark.sql("DROP TABLE named_users")
+
+
 def test_stream_can_take_the_latest_row(spark, stream):
     stream(("A", "B", "ann@x.org"))
-    state = stream(("A", "B", "bob@x.org"), ("A", "B", "cyd@x.org"), dedupe="latest")
+    for email in ("bob@x.org", "cyd@x.org"):
+        land(users(spark, ("A", "B", email)), stream.root, "users")
+        time.sleep(0.05)
+    state = stream(dedupe="latest")
     assert state == Counter([("A B", "c*****@x.org")])
     with pytest.raises(ValueError):
         stream(dedupe="first")

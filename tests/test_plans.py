@@ -5,8 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from reelhouse.operators import joins
 from reelhouse.operators.joins import distinct_keys, join_unique
-from reelhouse.operators.load import upsert
+from reelhouse.operators.load import AmbiguousUpsert, upsert
 from reelhouse.plans import trusted as T
 from reelhouse.plans.stage import STAGE_MODELS
 from reelhouse.session import scratch_dir, size_shuffles
@@ -83,6 +84,7 @@ def test_nested_columns_are_pruned(spark, tmp_path):
 
 
 def test_no_python_in_any_plan(stage):
+    assert "Broadcast" not in plan(T.adaptation_share(stage["streams"], stage["reviews"]))
     plans = [
         plan(T.users_past_half(stage["streams"], stage["movies"], WINDOW[0])),
         plan(T.adaptation_share(stage["streams"], stage["reviews"])),
@@ -129,15 +131,54 @@ def test_a_hot_key_is_split_against_a_unique_side(spark, hot, shuffled, how):
     assert joined.count() == (nulls if how == "left_anti" else hot.count() - nulls)
 
 
-def test_upsert_splits_a_hot_target_key(spark, hot, shuffled):
-    source = spark.range(20_000).select(
+def arrivals(spark):
+    return spark.range(20_000).select(
         F.concat(F.lit("n"), F.col("id")).alias("k"), F.col("id").alias("v")
     )
-    merged = upsert(hot, source, "k")
-    assert "SortMergeJoin(skew=true)" in final_plan(merged)
+
+
+def test_a_large_upsert_splits_a_hot_target_key(spark, hot, shuffled, monkeypatch):
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 0)
+    merged = upsert(hot, arrivals(spark), "k")
+    text = final_plan(merged)
+    assert "SortMergeJoin(skew=true)" in text and "Broadcast" not in text
+    assert merged.count() == 220_000
+
+
+def test_a_small_upsert_does_not_shuffle_the_target(spark, hot, shuffled):
+    merged = upsert(hot, arrivals(spark), "k")
+    assert "SortMergeJoin" not in final_plan(merged)
     assert merged.count() == 220_000
 
 
+@pytest.mark.parametrize("bound", [0, 2**40])
+def test_both_ways_of_an_upsert_agree(spark, monkeypatch, bound):
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", bound)
+    target = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("a", 2), ("b", 3), (None, 4), ("c", 5)], "k string, v int"
+    )
+    source = spark.createDataFrame([("a", 9), ("c", 8), (None, 7), ("n", 6), ("n", 6)], "k string, v int")
+    rows = sorted((tuple(r) for r in upsert(target, source, "k").collect()), key=repr)
+    expected = [("a", 9)] * 3 + [("b", 3), ("c", 8), ("n", 6), ("n", 6), (None, 4), (None, 7)]
+    assert rows == sorted(expected, key=repr)
+    with pytest.raises(AmbiguousUpsert):
+        upsert(target, source.unionAll(source.filter("k = 'c'")), "k")
+
+
+@pytest.mark.parametrize("bound", [0, 2**40])
+def test_both_ways_of_a_dimension_join_agree(stage, monkeypatch, bound):
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", bound)
+    answer = T.users_past_half(stage["streams"], stage["movies"], "2024-01-23 23:59:59", True)
+    assert tuple(answer.first()) == (150, 1161)
+
+
+def test_measured_size(spark, monkeypatch):
+    df = spark.createDataFrame([("ab", 1), (None, 2)], "k string, v int")
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 2 + 2 * (8 + joins.ROW_OVERHEAD_BYTES))
+    assert joins.fits_broadcast(df) and joins.fits_broadcast(df.limit(0))
+    assert not joins.fits_broadcast(df.unionAll(df))
+
+
 def test_size_shuffles(spark, conf):
     conf(
         adaptive__coalescePartitions__initialPartitionNum="8",

@@ -54,23 +54,23 @@ WINDOW = ("2021-12-25 07:00:00", "2021-12-25 12:00:00")
     ],
 )
 def test_window_bounds(spark, start, end, endpoint, overlap):
-    streams = frame(spark, STREAM, [session("Unforgiven", "u", start, end)])
-    assert T.users_in_window(streams, "Unforgiven", *WINDOW).first()[0] == endpoint
-    assert T.users_in_window(streams, "Unforgiven", *WINDOW, mode="overlap").first()[0] == overlap
+    streams = frame(spark, STREAM, [session("Heat", "u", start, end)])
+    assert T.users_in_window(streams, "Heat", *WINDOW).first()[0] == endpoint
+    assert T.users_in_window(streams, "Heat", *WINDOW, mode="overlap").first()[0] == overlap
 
 
 def test_window_counts_distinct_users_of_the_exact_title(spark):
     inside = ("08:00:00", "09:00:00")
     rows = [
-        session("Unforgiven", "a", *inside),
-        session("Unforgiven", "a", *inside),
-        session("Unforgiven", None, *inside),
-        session("unforgiven", "b", *inside),
+        session("Heat", "a", *inside),
+        session("Heat", "a", *inside),
+        session("Heat", None, *inside),
+        session("heat", "b", *inside),
         session(None, "c", *inside),
-        session("Unforgiven", "d", *inside, day="2021-12-24"),
+        session("Heat", "d", *inside, day="2021-12-24"),
     ]
     streams = frame(spark, STREAM, rows)
-    assert T.users_in_window(streams, "Unforgiven", *WINDOW).first()[0] == 1
+    assert T.users_in_window(streams, "Heat", *WINDOW).first()[0] == 1
     assert T.users_in_window(streams, None, *WINDOW).first()[0] == 3
     with pytest.raises(ValueError):
         T.users_in_window(streams, None, *WINDOW, mode="other")
