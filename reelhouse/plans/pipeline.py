@@ -114,8 +114,8 @@ def load_stage(
     duplicates included. Otherwise, if the incremental gate is open, they are merged by
     key; `settle` is for rows that are costly to compute, see `merge_rows`.
     """
-    version = table.version()
-    if full_refresh or version is None:
+    version = None if full_refresh else table.version()
+    if version is None:
         return table.write(staged, model.sort_by)
     # The gate compares no source row, so one row stands for all of them.
     one_row = table.spark.range(1)

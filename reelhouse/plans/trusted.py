@@ -82,10 +82,8 @@ def users_in_window(
         inside = (begun <= last) & (ended >= first)
     else:
         raise ValueError(f"mode must be 'endpoint' or 'overlap', not {mode!r}")
-    sessions = streams.filter(days).filter(inside)
-    if title is not None:
-        sessions = sessions.filter(F.col("movie_title") == title)
-    return sessions.agg(F.count_distinct("user_email").alias("users_affected"))
+    sessions = streams if title is None else streams.filter(F.col("movie_title") == title)
+    return sessions.filter(days).filter(inside).agg(F.count_distinct("user_email").alias("users_affected"))
 
 
 def adaptations_by_author_origin(

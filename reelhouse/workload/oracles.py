@@ -122,8 +122,37 @@ FROM (SELECT content.text AS text, rating.rate AS rate, rating.label AS label,
     }[name]
 
 
-def _with(*names: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({stage(name)})" for name in names) + "\n"
+COLUMNS = {
+    "movies": "movie_id title duration_mins original_language size_mb",
+    "streams": "stream_id movie_title user_email size_mb start_at end_at",
+    "users": "user_id first_name last_name full_name email",
+    "authors": "author_id name birth_date died_at nationality_id nationality_label "
+    "nationality_slug",
+    "books": "book_id name pages author publisher",
+    "reviews": "review_id text rate label book_id book_title book_pages movie_id movie_title",
+}
+KEYS = {
+    "movies": "title",
+    "streams": "stream_id",
+    "users": "user_id",
+    "authors": "author_id",
+    "books": "book_id",
+    "reviews": "review_id",
+}
+
+
+def last(name: str, source: str) -> str:
+    """Of the stage rows with one key, the greatest by its columns in order."""
+    order = ", ".join(f"{column} DESC NULLS LAST" for column in COLUMNS[name].split())
+    return (
+        f"SELECT * FROM ({source}) "
+        f"QUALIFY row_number() OVER (PARTITION BY {KEYS[name]} ORDER BY {order}) = 1"
+    )
+
+
+def _with(*names: str, unique: bool = False) -> str:
+    rows = {name: last(name, stage(name)) if unique else stage(name) for name in names}
+    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in rows.items()) + "\n"
 
 
 FLAT = {
@@ -149,32 +178,34 @@ def _scan(name: str) -> str:
 
 
 def _upsert(name: str) -> str:
-    earlier, later, key, column, change = {
-        "movies": ("p_size < 35", "p_size >= 25", "title", "size_mb", "size_mb + 1"),
+    earlier, later, column, change = {
+        "movies": ("p_size < 35", "p_size >= 25", "size_mb", "size_mb + 1"),
         "streams": (
             "ts < TIMESTAMP '2024-01-20 00:00:00'",
             "ts >= TIMESTAMP '2024-01-10 00:00:00'",
-            "stream_id",
             "size_mb",
             "size_mb + 1",
         ),
-        "users": ("c_acctbal < 6000", "c_acctbal >= 1000", "user_id", "email", "upper(email)"),
+        "users": ("c_acctbal < 6000", "c_acctbal >= 1000", "email", "upper(email)"),
         "authors": (
             "s_acctbal < 6000",
             "s_acctbal >= 1000",
-            "author_id",
             "nationality_label",
             "lower(nationality_label)",
         ),
-        "books": ("p_size < 35", "p_size >= 25", "book_id", "pages", "pages + 1"),
-        "reviews": ("n_chars < 4000", "n_chars >= 1000", "review_id", "rate", "rate + 1"),
+        "books": ("p_size < 35", "p_size >= 25", "pages", "pages + 1"),
+        "reviews": ("n_chars < 4000", "n_chars >= 1000", "rate", "rate + 1"),
     }[name]
+    key = KEYS[name]
+    changed = f"SELECT * REPLACE ({change} AS {column}) FROM ({stage(name, later)})"
     return f"""
 WITH target AS ({stage(name, earlier)}),
-source AS (SELECT * REPLACE ({change} AS {column}) FROM ({stage(name, later)}))
+source AS ({last(name, changed)})
 SELECT * FROM target
 WHERE NOT EXISTS (SELECT 1 FROM source WHERE source.{key} = target.{key})
-UNION ALL SELECT * FROM source"""
+UNION ALL SELECT source.* FROM target JOIN source ON source.{key} = target.{key}
+UNION ALL SELECT * FROM source
+WHERE NOT EXISTS (SELECT 1 FROM target WHERE source.{key} = target.{key})"""
 
 
 def _whole(unit: str) -> str:
@@ -227,7 +258,7 @@ def _answer(metric: str, column: str, sql: str) -> str:
     return f"SELECT '{metric}' AS metric, CAST({column} AS DOUBLE) AS answer FROM ({sql})"
 
 
-SUMMARY = _with("streams", "movies", "reviews", "books", "authors") + "\nUNION ALL ".join(
+ANSWERS = "\nUNION ALL ".join(
     (
         _answer("adaptation_share", "adapted_share", ADAPTATION_SHARE),
         _answer("users_in_window", "users_affected", _in_window("endpoint")),
@@ -238,6 +269,8 @@ SUMMARY = _with("streams", "movies", "reviews", "books", "authors") + "\nUNION A
     )
 )
 
+SUMMARIZED = ("streams", "movies", "reviews", "books", "authors")
+
 GATE = f"""
 WITH movies AS ({stage("movies")}),
 last AS (SELECT max(ts) AS stamp FROM events),
@@ -307,7 +340,7 @@ ORACLES: dict[str, str] = {
     "land_json_records": _scan("reviews"),
     "table_refresh": f"SELECT * REPLACE (pages + 1 AS pages) FROM ({stage('books', 'p_size >= 25')})",
     "incremental_gate": GATE,
-    "pipeline_summary": SUMMARY,
-    "pipeline_reload": SUMMARY,
-    "stream_upserts": stage("books"),
+    "pipeline_summary": _with(*SUMMARIZED) + ANSWERS,
+    "pipeline_reload": _with(*SUMMARIZED, unique=True) + ANSWERS,
+    "stream_upserts": last("books", stage("books")),
 }

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions import columns as C
 from reelhouse.functions.times import ntz, wall_clock, whole_hours, whole_minutes
-from reelhouse.operators.load import incremental_gate, upsert
+from reelhouse.operators.load import incremental_gate, latest_per_key, upsert
 from reelhouse.plans import trusted as T
-from reelhouse.plans.pipeline import Questions, run_pipeline, summary
+from reelhouse.plans.pipeline import FILE_COLUMNS, Questions, run_pipeline, summary
 from reelhouse.plans.stage import STAGE_MODELS
 from reelhouse.schemas import ENTITIES
 from reelhouse.session import scratch_dir
@@ -208,9 +208,15 @@ def halves(name: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 
 def _upsert(name: str) -> Query:
+    """Merge into a stored table; of several arrivals with one key, the greatest row wins."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        target, source = halves(name, spark, sf_dir)
-        return upsert(target, source, STAGE_MODELS[name].key).drop("reference_date")
+        key, root = STAGE_MODELS[name].key, scratch_dir(spark)
+        earlier, later = halves(name, spark, sf_dir)
+        table, arrived = SnapshotTable(spark, f"{root}/table"), SnapshotTable(spark, f"{root}/new")
+        table.write(earlier)
+        arrived.write(latest_per_key(later, key, []))
+        return upsert(table.read(), arrived.read(), key).drop("reference_date")
 
     return query
 
@@ -282,10 +288,20 @@ def _pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pipeline_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second, incremental run over the same landing rows changes no answer."""
     questions = Questions(None, *OUTAGE, SLUG, HALF_SINCE)
-    landing, warehouse = views.landing_views(spark, sf_dir), scratch_dir(spark)
-    run_pipeline(landing, warehouse, select="stage", run_ts=RUN_TS)
+    warehouse = scratch_dir(spark)
+    # All rows count as landed together, so that their own values decide which is last.
+    landing = {
+        name: view.withColumns({column: F.lit("together") for column in FILE_COLUMNS})
+        for name, view in views.landing_views(spark, sf_dir).items()
+    }
+    run_pipeline(landing, warehouse, select="stage", run_ts=RUN_TS, dedupe="latest")
     written = run_pipeline(
-        landing, warehouse, full_refresh=False, questions=questions, run_ts="2024-02-23 00:30:00"
+        landing,
+        warehouse,
+        full_refresh=False,
+        questions=questions,
+        run_ts="2024-02-23 00:30:00",
+        dedupe="latest",
     )
     return summary(written)
 
@@ -298,7 +314,9 @@ def _stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, earlier, later, _ = _HALVES["books"]
     for condition in (earlier, later):
         land(views.landing_view("books", _limited(t, base, condition)), root, "books")
-        stream_stage(spark, root, "books", table, f"{root}/checkpoint").awaitTermination()
+        stream_stage(
+            spark, root, "books", table, f"{root}/checkpoint", dedupe="latest"
+        ).awaitTermination()
     return table.read().drop("reference_date")
 
 

@@ -8,6 +8,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse.operators.joins import join_dimension
 from reelhouse.schemas import ENTITIES
 from reelhouse.sources.files import conform
 
@@ -27,10 +28,17 @@ def _title() -> Column:
     return F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string"))
 
 
-def _titled(parts: DataFrame, count: int) -> DataFrame:
-    """The parts that a key taken modulo `count` can meet: at most `count` rows."""
+def _with_part(df: DataFrame, key: str, parts: DataFrame, count: int) -> DataFrame:
+    """Join rows to the part that their key, taken modulo `count`, refers to.
+
+    Only the parts below `count` can be met, and naming them lets the scan skip the rest.
+    """
     met = parts.filter(F.col("p_partkey").between(0, count - 1))
-    return F.broadcast(met.select("p_partkey", "p_name", "p_size"))
+    return join_dimension(
+        df.withColumn("p_partkey", F.col(key) % count),
+        met.select("p_partkey", "p_name", "p_size"),
+        "p_partkey",
+    )
 
 
 def _iso(ts: Column) -> Column:
@@ -52,8 +60,8 @@ def streams(t: Tables) -> DataFrame:
         return F.when(F.col("event_id") % n != 0, value)
 
     end = F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts"))
-    events = t("events").withColumn("p_partkey", F.col("event_id") % STREAMED_TITLES)
-    return events.join(_titled(t("part"), STREAMED_TITLES), "p_partkey").select(
+    events = _with_part(t("events"), "event_id", t("part"), STREAMED_TITLES)
+    return events.select(
         unless_multiple_of(101, _title()).alias("movie_title"),
         unless_multiple_of(
             97, F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com"))
@@ -126,8 +134,8 @@ def reviews(t: Tables) -> DataFrame:
             F.col("p_size").cast("string").alias("pages"),
         ).alias("metadata"),
     )
-    documents = t("documents").withColumn("p_partkey", key % REVIEWED_TITLES)
-    return documents.join(_titled(t("part"), REVIEWED_TITLES), "p_partkey").select(
+    documents = _with_part(t("documents"), "doc_id", t("part"), REVIEWED_TITLES)
+    return documents.select(
         F.struct(
             F.concat(F.col("source"), F.lit("-"), key.cast("string")).alias("text")
         ).alias("content"),
