@@ -177,7 +177,9 @@ def run_pipeline(
             written[f"stage.{model.name}"] = table.read(version)
     if select in (None, "trusted"):
         needed = {name for model in TRUSTED_MODELS.values() for name in model.reads}
-        stage = {name: stage_table(spark, warehouse, name).read() for name in needed}
+        stage = {name: written.get(f"stage.{name}") for name in needed}
+        for name in (name for name, df in stage.items() if df is None):
+            stage[name] = stage_table(spark, warehouse, name).read()
         for model in TRUSTED_MODELS.values():
             table = trusted_table(spark, warehouse, model.name)
             version = table.write(model.run(stage, questions))
