@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelhouse.llm import quality
+from reelhouse.llm import counts, prefix_bpe, quality
 from reelhouse.llm.rows import table
 
 
@@ -15,8 +16,24 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
+    return prefix_bpe.encode_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
+def op10_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return counts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_quality": op3_line_quality,
+    "op9_prefix_bpe": op9_prefix_bpe,
+    "op10_resync_counts": op10_resync_counts,
 }
 
 ORACLES: dict[str, str] = {
