@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelhouse.llm import counts, prefix_bpe, quality
+from reelhouse.llm import counts, prefix_bpe, quality, substrings
 from reelhouse.llm.rows import table
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 100 bytes."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False, carry=False)
+
+
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the line-first verdict of every document."""
     return quality.digest(table(spark, sf_dir, "documents"))
@@ -31,6 +36,7 @@ def op10_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_line_quality": op3_line_quality,
     "op9_prefix_bpe": op9_prefix_bpe,
     "op10_resync_counts": op10_resync_counts,
