@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelhouse.llm import counts, prefix_bpe, quality, substrings
+from reelhouse.llm import counts, packing, prefix_bpe, quality, repair, substrings
 from reelhouse.llm.rows import table
+from reelhouse.session import scratch_dir
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,19 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every document's ids to compressed files, and digest what the files hold."""
+    folder = f"{scratch_dir(spark)}/tokens"
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    repair.write_token_files(table(spark, sf_dir, "documents"), path, folder, end_id=2)
+    return repair.read_digests(spark, folder)
+
+
+def op8_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 8192 bytes from all documents; no two of a source or copies in one."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of what they decode to."""
     return prefix_bpe.encode_digests(
@@ -38,6 +52,8 @@ def op10_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_line_quality": op3_line_quality,
+    "op5_repair_tokens": op5_repair_tokens,
+    "op8_conflict_packing": op8_conflict_packing,
     "op9_prefix_bpe": op9_prefix_bpe,
     "op10_resync_counts": op10_resync_counts,
 }
