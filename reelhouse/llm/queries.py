@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelhouse.llm import counts, packing, prefix_bpe, quality, repair, substrings
+from reelhouse.llm import counts, nearest, packing, prefix_bpe, quality, repair, substrings
 from reelhouse.llm.rows import table
 from reelhouse.session import scratch_dir
 
@@ -22,6 +23,11 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_rabitq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids to compressed files, and digest what the files hold."""
     folder = f"{scratch_dir(spark)}/tokens"
@@ -52,6 +58,7 @@ def op10_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_line_quality": op3_line_quality,
+    "op4_rabitq_search": op4_rabitq_search,
     "op5_repair_tokens": op5_repair_tokens,
     "op8_conflict_packing": op8_conflict_packing,
     "op9_prefix_bpe": op9_prefix_bpe,
@@ -60,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_line_quality": quality.SQL,
+    "op4_rabitq_search": nearest.SQL,
 }
