@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import counts, nearest, packing, prefix_bpe, quality, repair, substrings
+from reelhouse.llm import counts, near_duplicates, nearest, packing, prefix_bpe, quality, repair, substrings
 from reelhouse.llm.rows import table
 from reelhouse.session import scratch_dir
 
 
+def op1_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near duplicates of every document."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without repeated strings of 100 bytes."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False, carry=False)
@@ -56,6 +61,7 @@ def op10_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hyperminhash_dedup": op1_hyperminhash_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_line_quality": op3_line_quality,
     "op4_rabitq_search": op4_rabitq_search,
