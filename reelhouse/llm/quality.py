@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from reelhouse.llm.rows import WORD, chosen, over_batches
@@ -136,6 +137,32 @@ def quality_verdicts(
     return over_batches(chosen(docs, doc_id=id_col, text=text_col), make, RESULT)
 
 
+def cleaned_documents(
+    docs: DataFrame,
+    rules: QualityRules | None = None,
+    text_col: str = "text",
+    length_col: str | None = "n_chars",
+) -> DataFrame:
+    """The rows that pass, with all their columns, the cleaned text, and its length in
+    `length_col` if the rows have that column."""
+    rules = rules or QualityRules()
+    struct = docs.schema
+
+    def run(batches):
+        for batch in batches:
+            judged = [judge(t, rules) for t in batch.column(text_col).to_pylist()]
+            keep = pa.array([j[6] for j in judged], pa.bool_())
+            texts = [j[8] for j in judged if j[6]]
+            batch = batch.filter(keep)
+            made = {text_col: texts, length_col: list(map(len, texts))}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(made[f.name], f.type) if f.name in made else batch.column(f.name) for f in batch.schema],
+                schema=batch.schema,
+            )
+
+    return docs.mapInArrow(run, struct)
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """The columns of the registered query."""
     return quality_verdicts(docs).drop("cleaned")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import counts, extract, near_duplicates, nearest, packing, prefix_bpe, quality, repair, substrings
+from reelhouse.llm import class_lm, counts, extract, near_duplicates, nearest, packing, prefix_bpe, quality, repair, substrings
 from reelhouse.llm.rows import table
 from reelhouse.session import scratch_dir
 
@@ -41,6 +41,11 @@ def op5_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_digests(spark, folder)
 
 
+def op6_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-model and base scores of every document, learned from nine in ten of them."""
+    return class_lm.text_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_crf_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extract.extract_text(table(spark, sf_dir, "pages"))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_quality": op3_line_quality,
     "op4_rabitq_search": op4_rabitq_search,
     "op5_repair_tokens": op5_repair_tokens,
+    "op6_brown_scores": op6_brown_scores,
     "op7_crf_extract": op7_crf_extract,
     "op8_conflict_packing": op8_conflict_packing,
     "op9_prefix_bpe": op9_prefix_bpe,
