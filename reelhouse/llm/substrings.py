@@ -49,8 +49,8 @@ GRAM = 32
 MOST_CONTEXTS = 2048
 #: Bytes that are hashed at a time, and windows of a long text that are taken at a time.
 GROUP = SEGMENT = 1 << 17
-#: Buckets of hash values for each shuffle partition, so that groups stay small and even.
-BUCKETS_PER_PARTITION = 4
+#: Parts of a shard by anchor, so that each suffix array is short enough for the processor's cache.
+PARTS = 16
 
 PLACES = Layout(
     key_hi="u2", key_lo="u4", same="u8", doc="i8", text="u2", start="u4", more="u1", left="u1"
@@ -59,7 +59,7 @@ SPANS = Layout(doc="i8", text="u2", start="u4", size="u4")
 WANTED = Layout(
     key_hi="u2", key_lo="u4", doc="i8", text="u2", start="u4", more="u1", left="u1", hot="u1"
 )
-CONTEXTS = Layout(doc="i8", text="u2", start="u4", more="u1")
+CONTEXTS = Layout(doc="i8", text="u2", start="u4", more="u1", part="u1")
 WINDOWS = Layout(key="u8", same="u8", doc="i8", text="u2", start="u4")
 
 _ODD = [
@@ -277,6 +277,7 @@ def _fetch(length: int, buckets: int):
         hot = w["hot"].astype(bool)
         ids, kinds, blobs = [], [], []
         shard = (_key(w) % np.uint64(buckets)).astype(np.int64)
+        w["part"] = _key(w) // np.uint64(buckets) % np.uint64(PARTS)
         order = np.argsort(np.where(hot, buckets, shard), kind="stable")
         order = order[~hot[order]]
         for part in np.split(order, np.flatnonzero(changes(shard[order]))[1:]) if len(order) else ():
@@ -361,8 +362,11 @@ def _settle_shard(length: int, buckets: int):
             columns.append(blob[8:end])
             data.append(blob[end:])
         if columns:
-            data = np.frombuffer(b"".join(data), np.uint8)
-            spans.append(repeated_windows(CONTEXTS.unpack(columns), data, length))
+            c, data = CONTEXTS.unpack(columns), np.frombuffer(b"".join(data), np.uint8)
+            owner = np.repeat(np.arange(len(c["more"])), c["more"].astype(np.int64) + length)
+            for part in np.unique(c["part"]):
+                inside = c["part"] == part
+                spans.append(repeated_windows(take(c, inside), data[inside[owner]], length))
         spans.append(_first_windows(WINDOWS.unpack(_of_kind(table, 4)), length)[1])
         s = joined(*spans)
         groups, blobs = SPANS.by_group(s, home(s["doc"], s["text"], buckets))
@@ -485,7 +489,7 @@ def remove_repeats(
     left. With `carry`, all other columns are kept; measures that clash with one replace it.
     """
     spark = docs.sparkSession
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     others = [c for c in docs.columns if carry and c not in (id_col, text_col)]
     source = chosen(docs, _id=id_col, _text=text_col, **{f"_c{i}": c for i, c in enumerate(others)})
     source = source.withColumn("_id", F.col("_id").cast("long")).withColumn(
