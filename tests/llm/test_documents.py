@@ -1,0 +1,349 @@
+"""Near duplicates, repeated strings, quality rules, packing and the pipeline against plain versions."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from brute import (
+    DOCUMENT_DDL,
+    LONG,
+    ODD_DOCUMENTS,
+    PROSE,
+    SMALL,
+    best_fit,
+    groups,
+    odd,
+    ordered,
+    removed_spans,
+    repeats_digest,
+)
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+import oracle
+from reelhouse.llm import near_duplicates, packing, quality, substrings, suffixes
+from reelhouse.llm.components import components
+from reelhouse.llm.queries import QUERIES
+
+
+def texts_of(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def as_bytes(rows):
+    return [(d, None if t is None else t.encode()) for d, t in rows]
+
+
+def family(seed: int, n: int, edits: int) -> list[tuple[int, str]]:
+    """Copies of one text with some words changed, whose links form chains."""
+    rnd = random.Random(seed)
+    base = [f"t{rnd.randrange(500)}" for _ in range(120)]
+    out = []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(rnd.randint(0, edits)):
+            copy[rnd.randrange(len(copy))] = f"e{rnd.randrange(50)}"
+        out.append((seed * 1000 + i, " ".join(copy)))
+    return out
+
+
+# near duplicates
+
+
+def found_groups(df):
+    rows = near_duplicates.near_duplicates(df).collect()
+    return ordered((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in rows)
+
+
+def test_groups_of_odd_documents(spark):
+    rows = [(d, t) for d, t, *_ in ODD_DOCUMENTS]
+    assert found_groups(odd(spark)) == ordered(groups(rows))
+
+
+def test_groups_of_the_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = QUERIES["op1_hyperminhash_dedup"](spark, SMALL)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert ordered(map(tuple, got.collect())) == ordered(groups(texts_of(docs)))
+
+
+@pytest.mark.parametrize("members", [4, 256])
+def test_links_between_copies_of_copies_are_not_lost(spark, monkeypatch, members):
+    """Families around the threshold, so that stars alone leave their groups in parts."""
+    monkeypatch.setattr(near_duplicates, "MEMBERS", members)
+    rows = [row for seed in range(1, 4) for row in family(seed, 60, 4)]
+    want = groups(rows)
+    assert 3 < len({c for _, _, c, _ in want}) < len(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found_groups(df) == ordered(want)
+
+
+def test_groups_of_nothing(spark):
+    assert found_groups(odd(spark, [])) == []
+
+
+def test_estimates_are_near_the_similarity():
+    rnd = np.random.default_rng(1)
+    pool = rnd.permutation(np.unique(rnd.integers(0, 2**63, 30_000).astype(np.uint64) * np.uint64(3)))
+    for share in (0.2, 0.5, 0.85):
+        both = int(10_000 * share)
+        a, b = np.sort(pool[:10_000]), np.sort(pool[10_000 - both : 20_000 - both])
+        sketch = near_duplicates.sketches([a, b])
+        estimate, used = near_duplicates.estimates(sketch[0], sketch[1])
+        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        assert used == near_duplicates.REGISTERS
+        assert abs(estimate - true) < 4 * (true * (1 - true) / used) ** 0.5
+
+
+def test_registers_keep_zeros_and_mantissa():
+    value = (5 << 57) | (1 << 40) | (0b1100000000 << 30)
+    sketch = near_duplicates.sketches([np.array([value], np.uint64)])
+    assert sketch[0, 2] == near_duplicates.EMPTY or (value >> 57) != 2
+    assert sketch[0, value >> 57] == ((57 - 41) << near_duplicates.MANTISSA | 0b1100000000)
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    links = [(f"{i:04}", f"{i + 1:04}") for i in range(40)] + [("s00", f"s{i:02}") for i in range(1, 30)]
+    df = spark.createDataFrame(links, "a string, b string")
+    found = {r.node: r.component for r in components(df).collect()}
+    assert len(found) == 41 + 30
+    assert set(found.values()) == {"0000", "s00"}
+
+
+# repeated strings
+
+
+def found_digests(df, **options):
+    rows = substrings.remove_repeats(df, with_text=False, carry=False, **options).collect()
+    return ordered((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)
+
+
+@pytest.mark.parametrize("most_contexts", [1, 2048])
+def test_repeats_in_odd_documents(spark, most_contexts):
+    rows = as_bytes((d, t) for d, t, *_ in ODD_DOCUMENTS)
+    assert found_digests(odd(spark), most_contexts=most_contexts) == ordered(repeats_digest(rows))
+
+
+@pytest.mark.parametrize("most_contexts", [1, 2048])
+def test_repeats_in_the_table(spark, most_contexts):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = repeats_digest(as_bytes(texts_of(docs)))
+    assert sum(r[2] for r in want) > 0
+    assert found_digests(docs, most_contexts=most_contexts) == ordered(want)
+
+
+def test_shared_passages_behind_different_openings(spark):
+    rnd = random.Random(5)
+    passage = " ".join(f"p{rnd.randrange(900)}" for _ in range(60))
+    rows = [(i, f"{rnd.random()} {passage[rnd.randrange(20):]} {rnd.random()}") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (3, 2048):
+        assert found_digests(df, most_contexts=most) == ordered(repeats_digest(as_bytes(rows)))
+
+
+def test_rows_with_one_id_and_different_texts(spark):
+    rows = [(1, LONG[:400]), (1, LONG[:400]), (2, LONG[100:500])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found_digests(df) == ordered(repeats_digest(as_bytes(rows)))
+
+
+def test_segments_of_a_long_text_do_not_matter(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "SEGMENT", 300)
+    monkeypatch.setattr(substrings, "GROUP", 700)
+    texts = [LONG[:2500].encode(), b"..." + LONG[:2500].encode()]
+    sums = substrings.Sums(4000, 0x9E3779B97F4A7C15)
+    c = substrings.contexts(texts, 100, sums)
+    covered = sorted((r, s + k) for r, s, m in zip(c["row"], c["start"], c["more"], strict=True) for k in range(m + 1))
+    assert covered == [(r, s) for r, t in enumerate(texts) for s in range(len(t) - 99)]
+
+
+def test_the_text_keeps_whole_characters(spark):
+    rows = [(1, "é" * 80), (2, "aé" + "é" * 80 + "z"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r for r in substrings.remove_repeats(df).collect()}
+    spans = dict(zip([1, 2, 3], removed_spans(as_bytes(rows)), strict=True))
+    assert left[3].text is None and left[3].n_bytes == 0
+    for d, t in rows[:2]:
+        want, at = "", 0
+        for ch in t:
+            n = len(ch.encode())
+            want += "" if all(spans[d][at : at + n]) else ch
+            at += n
+        assert left[d].text == want
+
+
+def test_other_columns_are_carried(spark):
+    got = substrings.remove_repeats(odd(spark))
+    assert {"lang", "source", "key", "kind", "_doc", "shard", "text"} <= set(got.columns)
+    assert got.schema["n_bytes"].dataType.simpleString() == "bigint"
+    assert got.count() == len(ODD_DOCUMENTS)
+    assert substrings.remove_repeats(odd(spark, [])).collect() == []
+
+
+def test_suffix_arrays_and_common_prefixes():
+    rnd = random.Random(2)
+    for _ in range(150):
+        letters = rnd.choice([1, 2, 3, 200])
+        s = [rnd.randint(1, letters) for _ in range(rnd.randint(0, 50))] * rnd.randint(1, 3) + [0]
+        want = sorted(range(len(s)), key=lambda i: s[i:])
+        assert suffixes.suffix_array(np.array(s)).tolist() == want
+        common = suffixes.permuted_common_prefixes(np.array(s), np.array(want), 16)
+        for x, y in zip(want, want[1:], strict=False):
+            n = 0
+            while n < 16 and max(x, y) + n < len(s) and s[x + n] == s[y + n]:
+                n += 1
+            assert common[y] == n
+
+
+def test_suffix_arrays_by_entry(monkeypatch):
+    monkeypatch.setattr(suffixes, "SMALL", 0)
+    s = np.array([2, 1, 3, 1, 3, 1, 2, 2, 1, 3, 1, 0])
+    assert suffixes.suffix_array(s).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+
+
+# quality rules
+
+
+def test_quality_agrees_with_its_sql(spark):
+    con = oracle.connect(SMALL)
+    assert oracle.difference(QUERIES["op3_line_quality"](spark, SMALL), con, quality.SQL) is None
+
+
+def test_quality_of_odd_documents_agrees_with_its_sql(spark, tmp_path):
+    rows = [r for r in dict.fromkeys(ODD_DOCUMENTS) if r[0] is not None]
+    df = spark.createDataFrame(rows, DOCUMENT_DDL).dropDuplicates(["doc_id"])
+    df.coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = oracle.duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    assert oracle.difference(quality.digest(df), con, quality.SQL) is None
+
+
+def test_quality_keeps_all_rows_and_ignores_other_columns(spark):
+    got = quality.quality_verdicts(odd(spark)).collect()
+    assert len(got) == len(ODD_DOCUMENTS)
+    assert quality.quality_verdicts(odd(spark, [])).collect() == []
+    by_id = {r.doc_id: r for r in got}
+    assert (by_id[1].n_words, by_id[1].base_failed, by_id[1].kept, by_id[1].cleaned) == (0, True, False, "")
+    assert by_id[13].n_lost_words == 4 + 5 + 3
+    assert by_id[13].cleaned == PROSE
+
+
+def test_junk_goes_and_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = quality.digest(docs).join(labels, "doc_id")
+    assert judged.filter("quality = 0 AND kept").count() == 0
+    assert judged.filter("quality = 1 AND NOT base_failed AND NOT kept").count() == 0
+
+
+def test_one_line_rules():
+    rules = quality.QualityRules()
+
+    def fails(line):
+        return quality.line_fails(line, line.split(), rules)
+
+    assert fails("a### b%%% c") and fails("Home | About | Contact") and fails("BUY!! NOW!!")
+    assert fails("Released under the MIT License.")
+    assert not fails("It was 5 > 3, and that is all there is to say about it.")
+    assert quality.repeated_window_words("a b c a b c d".split()) == 6
+    assert quality.repeated_window_words("a a a a".split()) == 4
+
+
+# packing
+
+
+def test_best_fit_takes_the_tightest_compatible_bin():
+    rnd = random.Random(4)
+    pieces = [(rnd.randint(0, 60), rnd.randrange(4), rnd.randrange(12)) for _ in range(400)]
+    pieces.sort(key=lambda p: -p[0])
+    chosen = packing.best_fit(pieces, 100)
+    plain = best_fit(pieces, 100)
+    rooms = [sorted(sum(p[0] for p, b in zip(pieces, c, strict=True) if b == i) for i in set(c)) for c in (chosen, plain)]
+    assert rooms[0] == rooms[1]
+
+
+def check_packing(spark, df, capacity):
+    rows = packing.pack(df, capacity=capacity, shard_pieces=16).collect()
+    docs = df.select("doc_id", F.md5(F.lower("text")).alias("c"), "source", F.octet_length("text").alias("n")).collect()
+    assert sum(r.length for r in rows) == sum(d.n or 0 for d in docs)
+    assert len(rows) == sum(max(1, -(-(d.n or 0) // capacity)) for d in docs)
+    by_bin = {}
+    for r in rows:
+        by_bin.setdefault(r.bin_id, []).append(r)
+    source = {(d.doc_id): d.source for d in docs if d.doc_id not in (None, 6)}
+    for members in by_bin.values():
+        assert sum(m.length for m in members) + members[0].room_left == capacity
+        assert sorted(m.place for m in members) == list(range(len(members)))
+        known = [source[m.doc_id] for m in members if m.doc_id in source]
+        assert len(set(known)) == len(known)
+
+
+def test_packing_of_odd_documents(spark):
+    check_packing(spark, odd(spark), 1000)
+    assert packing.pack(odd(spark, [])).collect() == []
+
+
+def test_packing_of_the_table(spark):
+    check_packing(spark, spark.read.parquet(f"{SMALL}/documents.parquet"), 8192)
+
+
+def test_shards_are_packed_as_the_plain_version_does(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = packing.pack(docs, shard_pieces=64).collect()
+    info = {r.doc_id: (r.source, r.c) for r in docs.select("doc_id", "source", F.md5(F.lower("text")).alias("c")).collect()}
+    shards = {}
+    for r in rows:
+        shards.setdefault(r.bin_id >> 20, []).append(r)
+    for members in shards.values():
+        members.sort(key=lambda r: (-r.length, r.doc_id, r.piece))
+        plain = best_fit([(r.length, *info[r.doc_id]) for r in members], 8192)
+        assert [r.bin_id & 0xFFFFF for r in members] == plain
+
+
+# pipeline
+
+
+def run_stages(spark, rows):
+    """The documents after each stage but the last, by plain versions."""
+    rules = quality.QualityRules()
+    judged = [(d, *quality.judge(t, rules)[6:9:2]) for d, t in rows]
+    clean = [(d, t) for d, kept, t in judged if kept]
+    kept = [(d, t) for (d, t), (_, _, _, k) in zip(clean, groups(clean), strict=True) if k]
+    kept = list(dict.fromkeys(kept))
+    left = []
+    for (d, t), marks in zip(kept, removed_spans(as_bytes(kept)), strict=True):
+        out, at = "", 0
+        for ch in t or "":
+            n = len(ch.encode())
+            out += "" if all(marks[at : at + n]) else ch
+            at += n
+        left.append((d, None if t is None else out))
+    return clean, kept, left
+
+
+@pytest.mark.parametrize("source", ["odd", "table"])
+def test_stages_against_plain_versions(spark, source):
+    docs = odd(spark) if source == "odd" else spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = run_stages(spark, texts_of(docs))
+    for (_, stage), expected in zip(corpus_pipeline.STAGES[:3], want, strict=True):
+        docs = stage(spark, docs, SMALL)
+        assert docs.columns == list(corpus_pipeline.COLUMNS)
+        docs = spark.createDataFrame(docs.collect(), DOCUMENT_DDL)
+        assert ordered(texts_of(docs)) == ordered(expected)
+        assert docs.filter("n_chars <> char_length(text)").count() == 0 or source == "odd"
+    packed = corpus_pipeline.STAGES[3][1](spark, docs, SMALL)
+    assert packed.agg(F.sum("length")).first()[0] == sum(len(t.encode()) for _, t in want[2])
+
+
+def test_pipeline_of_nothing(spark):
+    docs = odd(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SMALL)
+        assert docs.collect() == []
+
+
+def test_run_gives_the_last_stage(spark):
+    got = corpus_pipeline.run(spark, SMALL)
+    assert got.count() > 0 and "bin_id" in got.columns
