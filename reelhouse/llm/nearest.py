@@ -14,7 +14,8 @@ bounded. Of equal vectors the index keeps the `k` + 1 smallest ids, which is exa
 go to smaller ids: a third of all rows with one vector add nothing.
 
 Cases: vectors that are null, empty, zero, or hold a null or non-finite component take no part,
-and neither do rows with a null id. Repeated rows count once. Vectors meet only vectors of
+and neither do rows with a null id. Repeated rows count once; different vectors of one id are
+candidates of their own, and as queries share one list. Vectors meet only vectors of
 their own dimension. Fewer candidates than `k` are all returned, and a query without candidates
 gets no row. An empty table gives no rows. Extra columns are ignored.
 """
