@@ -14,8 +14,11 @@ import re
 from array import array
 from itertools import chain
 
+import numpy as np
+
 #: What the tokenizer's pattern counts as white space.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c))
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 
 
@@ -38,12 +41,13 @@ def special_ids(tokenizer) -> dict[str, int]:
 class Chunks:
     """What `make` gives for each chunk, kept for chunks that come again.
 
-    `make` takes a list of distinct chunks and returns a list of values. At most `limit` values
-    are kept between batches, so the memory does not grow with the corpus.
+    `make` takes a list of distinct chunks and returns the value of each. Values that were not
+    asked for while `limit` others came are forgotten, so the memory does not grow with the corpus.
     """
 
-    def __init__(self, specials: dict[str, int], make, limit: int = 400_000):
+    def __init__(self, specials: dict[str, int], make, limit: int = 350_000):
         self.made: dict[str, object] = {}
+        self.old: dict[str, object] = {}
         self.make, self.limit = make, limit
         escaped = "|".join(map(re.escape, specials))
         self.special = re.compile(f"({escaped})") if specials else None
@@ -56,9 +60,11 @@ class Chunks:
     def learn(self, chunks) -> None:
         """Make the values that are missing for an iterable of chunks."""
         if len(self.made) > self.limit:
-            self.made.clear()
-        missing = list(set(chunks).difference(self.made))
-        self.made.update(zip(missing, self.make(missing), strict=True))
+            self.made, self.old = {}, self.made
+        missing = set(chunks).difference(self.made)
+        known = missing.intersection(self.old)
+        self.made.update({c: self.old[c] for c in known})
+        self.made.update(self.make(list(missing - known)))
 
     def cut(self, text: str) -> list[str]:
         """The chunks of a text; special strings are chunks of their own."""
@@ -87,17 +93,39 @@ def little(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+def encoded(tokenizer, chunks: list[str], at_once: int = 500):
+    """Groups of chunks, all ids of a group in one array, and where each chunk's ids lie.
+
+    Chunks that hold a word are encoded together with line feeds between them: a line feed
+    between words is always cut off, and its one id occurs in no chunk without one.
+    """
+    separator = tokenizer.encode("\n", add_special_tokens=False).ids
+    apart = [c for c in chunks if "\n" in c or not c.strip(WHITE)] if len(separator) == 1 else chunks
+    alone = set(apart)
+    together = [c for c in chunks if c not in alone] if len(apart) < len(chunks) else []
+    for i in range(0, len(together), at_once):
+        group = together[i : i + at_once]
+        ids = tokenizer.encode("\n".join(group), add_special_tokens=False).ids
+        ids = np.fromiter(ids, "<u4", len(ids))
+        ends = np.append(np.flatnonzero(ids == separator[0]), len(ids))
+        yield group, ids, np.append(0, ends[:-1] + 1), ends
+    for chunk in apart:
+        ids = tokenizer.encode(chunk, add_special_tokens=False).ids
+        yield [chunk], np.array(ids, "<u4"), np.array([0]), np.array([len(ids)])
+
+
 @functools.lru_cache(maxsize=2)
 def library_ids(path: str) -> Chunks:
     """Chunk to id bytes, as the library encodes it."""
     tokenizer = library(path)
 
-    def make(chunks: list[str]) -> list[bytes]:
-        encode = tokenizer.encode_batch_fast
-        found = []
-        for i in range(0, len(chunks), 20_000):
-            found += [little(e.ids) for e in encode(chunks[i : i + 20_000], add_special_tokens=False)]
-        return found
+    def make(chunks: list[str]) -> dict[str, bytes]:
+        made = {}
+        for group, ids, starts, ends in encoded(tokenizer, chunks):
+            packed = ids.tobytes()
+            places = zip(group, (4 * starts).tolist(), (4 * ends).tolist(), strict=True)
+            made.update({c: packed[a:b] for c, a, b in places})
+        return made
 
     return Chunks(special_ids(tokenizer), make)
 
@@ -107,11 +135,10 @@ def library_counts(path: str) -> Chunks:
     """Chunk to number of ids, as the library encodes it."""
     tokenizer = library(path)
 
-    def make(chunks: list[str]) -> list[int]:
-        encode = tokenizer.encode_batch_fast
-        found = []
-        for i in range(0, len(chunks), 20_000):
-            found += map(len, encode(chunks[i : i + 20_000], add_special_tokens=False))
-        return found
+    def make(chunks: list[str]) -> dict[str, int]:
+        made = {}
+        for group, _, starts, ends in encoded(tokenizer, chunks):
+            made.update(zip(group, (ends - starts).tolist(), strict=True))
+        return made
 
     return Chunks(special_ids(tokenizer), make)
