@@ -42,7 +42,8 @@ WORDS = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+|"
     rf" ?(?:[^\w{SPACE}]|_)+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
-_UNUSUAL = re.compile("[^\x00-\x7f]")
+#: Characters whose class is asked from the library: all but ASCII and Latin-1 letters.
+_UNUSUAL = re.compile("[^\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]")
 
 
 def byte_letters() -> dict[int, str]:
@@ -62,14 +63,18 @@ class PrefixEncoder:
         stands = {letter: byte for byte, letter in byte_letters().items()}
         self.ids = {bytes(stands[c] for c in t): i for t, i in model["vocab"].items()}
         self.bytes = {i: t for t, i in self.ids.items()}
-        self.merges: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int, int]] = {}  # id: left, right, when it was formed
         vocab = model["vocab"]
+        size = max(vocab.values()) + 1
+        self.merges: dict[int, int] = {}  # left << 32 | right: when the pair is merged
+        self.formed = [-1] * size  # when a token is formed; single bytes never are
+        self.left_part, self.right_part = [0] * size, [0] * size
         for when, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            pair = vocab[left], vocab[right]
-            self.merges[pair] = when
-            self.parts.setdefault(vocab[left + right], (*pair, when))
+            made = vocab[left + right]
+            self.merges[vocab[left] << 32 | vocab[right]] = when
+            if self.formed[made] < 0:
+                self.formed[made] = when
+                self.left_part[made], self.right_part[made] = vocab[left], vocab[right]
         self.automaton = ahocorasick.Automaton()
         for token, i in self.ids.items():
             self.automaton.add_word(token.decode("latin-1"), (len(token), i))
@@ -77,44 +82,46 @@ class PrefixEncoder:
         self.tokenizer = library(path)
         self.special = special_ids(self.tokenizer)
         self.bytes |= {i: name.encode() for name, i in self.special.items()}
-        self.compatible = functools.lru_cache(maxsize=1_000_000)(self._compatible)
+        self.compatible = functools.lru_cache(maxsize=500_000)(self._compatible)
+        self.known: dict[str, bytes] = {}
+        self.limit = 300_000
         self.plain = functools.lru_cache(maxsize=100_000)(self._plain)
 
     def _compatible(self, left: int, right: int) -> bool:
-        merges, parts = self.merges, self.parts
+        across, formed = self.merges.get, self.formed
         left_used = right_used = math.inf
         while True:
-            across = merges.get((left, right))
-            if across is not None and across < left_used and across <= right_used:
+            merged = across(left << 32 | right)
+            if merged is not None and merged < left_used and merged <= right_used:
                 return False
-            a, b = parts.get(left), parts.get(right)
-            if a is None and b is None:
-                return True
-            if b is None or (a is not None and a[2] > b[2]):
-                _, left, left_used = a
+            a, b = formed[left], formed[right]
+            if a > b:
+                left, left_used = self.right_part[left], a
+            elif b >= 0:
+                right, right_used = self.left_part[right], b
             else:
-                right, _, right_used = b
+                return True
 
     def encode_word(self, word: bytes) -> list[int]:
         """The ids of one word of the pattern."""
         whole = self.ids.get(word)
         if whole is not None:
             return [whole]
-        last, length = [-1] * (len(word) + 1), [0] * (len(word) + 1)
+        last, length = [0] * len(word), [0] * len(word)
         compatible = self.compatible
-        done = 0
+        done = -1
         for end, (size, token) in self.automaton.iter(word.decode("latin-1")):
-            if done > end:
+            if done == end:
                 continue  # the prefix that ends here has its token
-            before = end + 1 - size
-            if before == 0 or compatible(last[before], token):
-                last[end + 1], length[end + 1] = token, size
-                done = end + 1
-        out, at = [], len(word)
-        while at:
+            if end < size or compatible(last[end - size], token):
+                last[end], length[end] = token, size
+                done = end
+        out, at = [], len(word) - 1
+        while at >= 0:
             out.append(last[at])
             at -= length[at]
-        return out[::-1]
+        out.reverse()
+        return out
 
     def _plain(self, char: str) -> str:
         """An ASCII character of the class the library gives to a character."""
@@ -125,46 +132,64 @@ class PrefixEncoder:
         return " "
 
     def words(self, chunk: str) -> list[str]:
-        if chunk.isascii():
+        if not _UNUSUAL.search(chunk):
             return WORDS.findall(chunk)
         masked = _UNUSUAL.sub(lambda m: self.plain(m[0]), chunk)
         if chunk.isspace():
             masked = chunk
         return [chunk[m.start() : m.end()] for m in WORDS.finditer(masked)]
 
-    def encode_chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        """The id bytes of chunks, with what the ids decode to."""
-        out, known, decode = [], {}, self.bytes.__getitem__
+    def known_word(self, word: str) -> bytes:
+        """The id bytes of a word of the pattern."""
+        self.known[word] = made = little(self.encode_word(word.encode()))
+        return made
+
+    def encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """The id bytes of chunks."""
+        if len(self.known) > self.limit:
+            self.known.clear()
+        out, get, make, special = {}, self.known.get, self.known_word, self.special
         for chunk in chunks:
-            if chunk in self.special:
-                ids = [self.special[chunk]]
+            if chunk in special:
+                out[chunk] = little([special[chunk]])
+                continue
+            words = self.words(chunk)
+            if len(words) == 1:
+                out[chunk] = get(chunk) or make(chunk)
             else:
-                ids = []
-                for word in self.words(chunk):
-                    found = known.get(word)
-                    if found is None:
-                        found = known[word] = self.encode_word(word.encode())
-                    ids += found
-            out.append((little(ids), b"".join(map(decode, ids))))
+                out[chunk] = b"".join([get(word) or make(word) for word in words])
         return out
 
 
+class Decoded(dict):
+    """Id bytes to the bytes they stand for."""
+
+    def __init__(self, table: dict[int, bytes]):
+        super().__init__()
+        self.table = table
+
+    def __missing__(self, ids: bytes) -> bytes:
+        self[ids] = made = b"".join(map(self.table.__getitem__, memoryview(ids).cast("I")))
+        return made
+
+
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Chunks:
+def encoder(path: str) -> tuple[Chunks, Decoded]:
     made = PrefixEncoder(path)
-    return Chunks(made.special, made.encode_chunks, limit=300_000)
+    return Chunks(made.special, made.encode_chunks, limit=250_000), Decoded(made.bytes)
 
 
 def encode(texts: list[str], path: str):
     """Id bytes of each text and the text they decode to."""
-    known = encoder(path)
+    known, decoded = encoder(path)
+    if len(decoded) > 2 * known.limit:
+        decoded.clear()
     cut = [known.cut(t) for t in texts]
     known.learn(chain.from_iterable(cut))
-    get = known.made.__getitem__
+    get, back = known.made.__getitem__, decoded.__getitem__
     for chunks in cut:
-        pairs = list(map(get, chunks))
-        decoded = b"".join([p[1] for p in pairs]).decode("utf-8", "replace")
-        yield b"".join([p[0] for p in pairs]), decoded
+        parts = list(map(get, chunks))
+        yield b"".join(parts), b"".join(map(back, parts)).decode("utf-8", "replace")
 
 
 def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, schema: str, finish):
