@@ -42,7 +42,7 @@ from reelhouse.llm.blobs import changes
 from reelhouse.llm.chunks import library, library_ids
 from reelhouse.llm.rows import chosen, over_batches
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 MIN_GAIN = 0.02
 #: A pair must occur so often in a block to be worth a rule.
 MIN_PAIRS = 8
