@@ -1,13 +1,17 @@
-"""Session times: zone-less parsing, whole-unit differences, prunable bounds."""
+"""Session times: zone-less parsing, whole-unit differences, moments that files can be skipped by."""
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+import math
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_BEGIN = "1970-01-01"
+
+
 def wall_clock(text: Column | str, on_error: str = "fail") -> Column:
     """Date and time of an ISO string as TIMESTAMP_NTZ; fraction and offset are ignored.
 
@@ -36,18 +40,25 @@ def ntz(moment: str | datetime) -> Column:
     return F.lit(str(moment)).cast("timestamp_ntz")
 
 
-def _day(moment: str | datetime) -> date:
-    return (datetime.fromisoformat(moment) if isinstance(moment, str) else moment).date()
+def stored_moment(text: Column | str) -> Column:
+    """The wall clock of an ISO string in seconds since 1970 began; NULL if malformed.
 
+    A BIGINT, because Parquet files and row groups are skipped by its statistics. They are not
+    by TIMESTAMP_NTZ columns, nor by TIMESTAMP ones as Spark writes them by default.
+    """
+    begin = F.lit(_BEGIN).cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", begin, wall_clock(text, on_error="null"))
 
-def from_day_of(text: str, moment: str | datetime) -> Column:
-    """Implied by `wall_clock(text) >= moment`, and plain enough for file statistics.
 
-    ISO strings sort like their dates, so row groups of earlier days are skipped.
-    """
-    return F.col(text) >= F.lit(_day(moment).isoformat())
+def stored_literal(moment: str | datetime, up: bool = False) -> Column:
+    """A moment as `stored_moment` stores it, rounded down, or `up`, to a whole second."""
+    when = datetime.fromisoformat(moment) if isinstance(moment, str) else moment
+    seconds = (when - datetime.fromisoformat(_BEGIN)).total_seconds()
+    return F.lit(math.ceil(seconds) if up else math.floor(seconds)).cast("bigint")
 
 
-def until_day_of(text: str, moment: str | datetime) -> Column:
-    """Implied by `wall_clock(text) <= moment`; see `from_day_of`."""
-    return F.col(text) < F.lit((_day(moment) + timedelta(days=1)).isoformat())
+def moment_of(stored: str, text: str) -> Column:
+    """A stored moment as wall clock. Where it is NULL the text is parsed, so that a malformed
+    string fails the query."""
+    wall = F.timestamp_add("SECOND", F.col(stored), F.lit(_BEGIN).cast("timestamp_ntz"))
+    return F.coalesce(wall, wall_clock(text))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+from reelhouse.session import scratch_dir
+
 ROW_OVERHEAD_BYTES = 64
 _HASH = "__key_hash"
 
@@ -27,29 +28,38 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return joined.drop(_HASH)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the rows of `df`, measured by running it, are few enough to broadcast."""
-    sizes = [
-        F.coalesce(F.octet_length(f.name), F.lit(0))
-        if isinstance(f.dataType, StringType)
-        else F.lit(8)
-        for f in df.schema
-    ]
-    row = sum(sizes, F.lit(ROW_OVERHEAD_BYTES))
-    return (df.agg(F.sum(row.cast("bigint"))).first()[0] or 0) <= MAX_BROADCAST_BYTES
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder once, so that they are not computed again."""
+    folder = scratch_dir(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def join_dimension(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows to a grouped side that is usually small.
 
-    The right side is measured first. Up to the bound it is broadcast, so that the left
-    side is not shuffled at all; beyond it the join is that of `join_unique`.
+    The right side is settled, so it is computed once and Spark knows its size when it plans:
+    below the session's threshold for broadcasts the left side is not shuffled at all, and
+    beyond it both are, with hot partitions of the left side split.
     """
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), key, how)
-    return join_unique(left, right, key, how)
+    return left.join(settled(right), key, how)
+
 
+def broadcast_bound(df: DataFrame) -> int:
+    """The session's threshold for broadcasts, in bytes; -1 if there are to be none."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    for unit, factor in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
+        if text.endswith(unit):
+            return int(text.removesuffix(unit)) * factor
+    return int(text)
 
-def distinct_keys(df: DataFrame, key: str) -> DataFrame:
-    """The keys of `df` that can match anything, each once."""
-    return df.filter(F.col(key).isNotNull()).select(key).distinct()
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory."""
+    sizes = [
+        F.coalesce(F.octet_length(f.name), F.lit(0))
+        if isinstance(f.dataType, StringType)
+        else F.lit(8)
+        for f in df.schema
+    ]
+    return sum(sizes, F.lit(ROW_OVERHEAD_BYTES)).cast("bigint")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.columns import load_stamp
-from reelhouse.operators.joins import fits_broadcast, join_unique
+from reelhouse.operators.joins import broadcast_bound, join_unique, row_bytes, settled
 
 COPIES_PER_PIECE = 10_000
 
@@ -34,18 +34,20 @@ def incremental_gate(
     return source.filter(later if strict else F.coalesce(later, F.lit(True)))
 
 
-def _matches(target: DataFrame, source: DataFrame, key: str, small: bool) -> DataFrame:
-    """Keys found on both sides, with the number of source and of target rows."""
-    rows = F.count(F.lit(1))
-    if small:
-        in_source = _with_key(source, key).groupBy(key).agg(rows.alias("__source_rows"))
-        return (
-            target.select(key)
-            .join(F.broadcast(in_source), key)
-            .groupBy(key)
-            .agg(F.max("__source_rows").alias("__source_rows"), rows.alias("__target_rows"))
-        )
-    # One shuffle of both key columns, counted before it; no join.
+def _with_key(df: DataFrame, key: str) -> DataFrame:
+    return df.filter(F.col(key).isNotNull())
+
+
+def _source_keys(source: DataFrame, key: str) -> DataFrame:
+    """The source's keys, each once, with its number of source rows."""
+    return _with_key(source, key).groupBy(key).agg(F.count(F.lit(1)).alias("__source_rows"))
+
+
+def matched_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Keys found on both sides, with the number of source rows and of target rows.
+
+    One shuffle of both key columns, counted before it; no join.
+    """
     in_source = _with_key(source, key).select(key, F.lit(1).alias("s"), F.lit(0).alias("t"))
     in_target = _with_key(target, key).select(key, F.lit(0).alias("s"), F.lit(1).alias("t"))
     return (
@@ -56,33 +58,60 @@ def _matches(target: DataFrame, source: DataFrame, key: str, small: bool) -> Dat
     )
 
 
-def _with_key(df: DataFrame, key: str) -> DataFrame:
-    return df.filter(F.col(key).isNotNull())
+def ambiguous_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The keys of target rows that several source rows match, and how many of either."""
+    return (
+        matched_keys(target, source, key)
+        .filter("__source_rows > 1")
+        .withColumnsRenamed({"__source_rows": "source_rows", "__target_rows": "target_rows"})
+    )
+
 
+def _matched_small(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """As `matched_keys`, without a shuffle of the target."""
+    return (
+        target.select(key)
+        .join(F.broadcast(keys), key)
+        .groupBy(key)
+        .agg(F.max("__source_rows").alias("__source_rows"), F.count(F.lit(1)).alias("__target_rows"))
+    )
 
-def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+
+def upsert(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    stored: bool = False,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
     """The target after merging `source` into it on `key`.
 
     Matched target rows take every column from the source, other source rows are added,
     other target rows stay. NULL keys never match. Several source rows for one target row
     raise `AmbiguousUpsert`. A target that holds a key n times gets n copies of its source
-    row. The checks read the key columns only; they run when this is called. The keys of a
-    small source are broadcast, and the target is then not shuffled.
+    row. The checks read the key columns only; they run when this is called.
+
+    The source is written to the shared folder first, unless it is `stored` already, so that it
+    is computed once. If its distinct keys take at most `broadcast_bytes` (by default the
+    session's threshold for broadcasts) they are broadcast, and the target is not shuffled.
     """
     source = source.select(target.columns)
-    source_keys = _with_key(source, key).select(key)
-    small = fits_broadcast(source_keys)
-    source_keys = source_keys.distinct()
-    matches = _matches(target, source, key, small)
+    source = source if stored else settled(source)
+    keys = _source_keys(source, key)
+    size = keys.agg(F.sum(row_bytes(keys))).first()[0] or 0
+    bound = broadcast_bound(target) if broadcast_bytes is None else broadcast_bytes
+    small = size <= bound
+    matches = _matched_small(target, keys, key) if small else matched_keys(target, source, key)
     most = matches.agg(F.max("__source_rows"), F.max("__target_rows")).first()
     if (most[0] or 0) > 1:
         example = matches.filter("__source_rows > 1").first()
         raise AmbiguousUpsert(f"{example['__source_rows']} source rows for {key} = {example[key]!r}")
+    keyed, keyless = _with_key(target, key), target.filter(F.col(key).isNull())
     if small:
-        kept = target.join(F.broadcast(source_keys), key, "left_anti")
+        kept = keyed.join(F.broadcast(keys.select(key)), key, "left_anti")
     else:
-        kept = join_unique(target, source_keys, key, "left_anti")
-    merged = kept.unionByName(source)
+        kept = join_unique(keyed, keys.select(key), key, "left_anti")
+    merged = kept.unionByName(keyless).unionByName(source)
     if (most[1] or 0) > 1:
         repeated = matches.filter("__target_rows > 1").select(
             key, (F.col("__target_rows") - 1).alias("__extra")
@@ -109,16 +138,17 @@ def _copies(df: DataFrame, key: str, times: str) -> DataFrame:
 def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """Keep, per key, the row that sorts last by `order_by`; rows without a key all stay.
 
-    An aggregate instead of a window: copies of a hot key collapse before the shuffle.
-    Remaining ties are broken by the row's own values, so the result is deterministic.
+    An aggregate instead of a window: copies of a hot key collapse before the shuffle. Rows are
+    sorted by key before and after it, since whole rows cannot be kept in a hash aggregate; where
+    keys are unique the sort before the shuffle collapses nothing. Remaining ties are broken by
+    the row's own values, so the result is deterministic.
     """
-    row = F.struct(*df.columns)
     rank = F.struct(*order_by, *[c for c in df.columns if c not in order_by])
     latest = (
         df.filter(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("__key"))
-        .agg(F.max_by(row, rank).alias("__row"))
-        .select("__row.*")
+        .agg(F.max(rank).alias("__row"))
+        .select(*[F.col("__row")[c].alias(c) for c in df.columns])
     )
     return latest.unionByName(df.filter(F.col(key).isNull()))
 

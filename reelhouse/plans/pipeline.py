@@ -9,10 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse.operators.joins import settled
 from reelhouse.operators.load import incremental_gate, latest_per_key, upsert
 from reelhouse.plans import trusted
 from reelhouse.plans.stage import STAGE_MODELS, RunTime, StageModel
-from reelhouse.sources.snapshots import SnapshotTable
+from reelhouse.session import estimated_bytes, size_shuffles
+from reelhouse.sources.snapshots import SnapshotTable, State
 
 FILE_COLUMNS = ("landed_at", "landed_in")
 SELECTIONS = ("internal", "vendor", "stage", "trusted")
@@ -76,8 +78,14 @@ TRUSTED_MODELS = {
 }
 
 
+def snapshot_of(spark: SparkSession, path: str, name: str) -> SnapshotTable:
+    """The stored table of a stage model, in parts if the model has them."""
+    part = STAGE_MODELS[name].part
+    return SnapshotTable(spark, path, part and part())
+
+
 def stage_table(spark: SparkSession, warehouse: str, name: str) -> SnapshotTable:
-    return SnapshotTable(spark, f"{warehouse.rstrip('/')}/stage/{name}")
+    return snapshot_of(spark, f"{warehouse.rstrip('/')}/stage/{name}", name)
 
 
 def trusted_table(spark: SparkSession, warehouse: str, name: str) -> SnapshotTable:
@@ -106,43 +114,41 @@ def load_stage(
     full_refresh: bool = False,
     run_ts: RunTime = None,
     strict: bool = False,
-    settle: bool = False,
 ) -> int:
     """Bring a stage table up to date and return its version.
 
     Without a table, or on a full refresh, the staged rows become the table as they are,
-    duplicates included. Otherwise, if the incremental gate is open, they are merged by
-    key; `settle` is for rows that are costly to compute, see `merge_rows`.
+    duplicates included. Otherwise, if the incremental gate is open, they are merged by key.
     """
-    version = None if full_refresh else table.version()
-    if version is None:
-        return table.write(staged, model.sort_by)
+    state = table.state()
+    if state is None or full_refresh:
+        return table.write(staged, model.sort_by, state=state)
     # The gate compares no source row, so one row stands for all of them.
     one_row = table.spark.range(1)
-    if incremental_gate(one_row, table.read(version), run_ts, strict=strict).isEmpty():
-        return version
-    return merge_rows(table, model, staged, settle)
+    if incremental_gate(one_row, table.read(state), run_ts, strict=strict).isEmpty():
+        return state.version
+    return merge_rows(table, model, staged, state=state)
 
 
 def merge_rows(
     table: SnapshotTable,
     model: StageModel,
     staged: DataFrame,
-    settle: bool = False,
     stream: str | None = None,
     batch: int | None = None,
+    state: State | None = None,
 ) -> int:
     """Merge staged rows into the table, or start it with them; returns the new version.
 
-    An upsert reads its source several times. With `settle` the rows are first written to
-    a table of their own, so that they are computed only once.
+    Of a table in parts, only the parts that the staged rows belong to are read and written.
     """
-    if table.version() is not None:
-        if settle:
-            incoming = SnapshotTable(table.spark, f"{table.path}/incoming")
-            staged = incoming.read(incoming.write(staged))
-        staged = upsert(table.read(), staged, model.key)
-    return table.write(staged, model.sort_by, stream, batch)
+    state = state or table.state()
+    if state is None:
+        return table.write(staged, model.sort_by, stream, batch)
+    staged = settled(staged)
+    parts = None if table.part is None else table.parts_in(staged)
+    merged = upsert(table.read(state, parts), staged, model.key, stored=True)
+    return table.write(merged, model.sort_by, stream, batch, state, parts)
 
 
 def run_pipeline(
@@ -154,9 +160,12 @@ def run_pipeline(
     run_ts: RunTime = None,
     dedupe: str | None = None,
     strict: bool = False,
+    input_bytes: int | None = None,
 ) -> dict[str, DataFrame]:
     """Run stage models, then trusted models, and return the tables written.
 
+    Shuffles are sized for `input_bytes`, by default the size of the landing files.
+
     `select` limits the run: an origin tag ("internal", "vendor") or a layer ("stage",
     "trusted"). Trusted models read the stage tables as stored, never the landing rows,
     and answer `questions`.
@@ -166,14 +175,15 @@ def run_pipeline(
     if select in (None, "trusted") and questions is None:
         raise ValueError("trusted models need their questions")
     spark = SparkSession.active()
+    if input_bytes is None:
+        input_bytes = sum(estimated_bytes(df) for df in landing.values())
+    size_shuffles(spark, input_bytes)
     written: dict[str, DataFrame] = {}
     for model in STAGE_MODELS.values():
         if select in (None, "stage", model.tag):
             table = stage_table(spark, warehouse, model.name)
             staged = staged_rows(model, landing[model.name], run_ts, dedupe)
-            version = load_stage(
-                table, model, staged, full_refresh, run_ts, strict, settle=dedupe is not None
-            )
+            version = load_stage(table, model, staged, full_refresh, run_ts, strict)
             written[f"stage.{model.name}"] = table.read(version)
     if select in (None, "trusted"):
         needed = {name for model in TRUSTED_MODELS.values() for name in model.reads}

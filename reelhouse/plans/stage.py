@@ -19,6 +19,7 @@ from reelhouse.functions.columns import (
     mask_email,
     surrogate_key,
 )
+from reelhouse.functions.times import stored_moment, wall_clock
 
 RunTime = str | Column | None
 
@@ -43,6 +44,7 @@ def stage_movies(
 def stage_streams(
     landing: DataFrame, run_ts: RunTime = None, carry: tuple[str, ...] = ()
 ) -> DataFrame:
+    """Sessions with their raw times and, where those can be read, the moments they stand for."""
     return landing.select(
         surrogate_key("movie_title", "user_email", "start_at", "end_at").alias("stream_id"),
         "movie_title",
@@ -50,6 +52,8 @@ def stage_streams(
         "size_mb",
         "start_at",
         "end_at",
+        stored_moment("start_at").alias("start_ts"),
+        stored_moment("end_at").alias("end_ts"),
         load_stamp(run_ts).alias("reference_date"),
         *carry,
     )
@@ -135,22 +139,30 @@ def stage_reviews(
     )
 
 
+def start_day() -> Column:
+    """The day a session starts on, as text. The key of a session contains its start."""
+    day = wall_clock("start_at", on_error="null").cast("date").cast("string")
+    return F.coalesce(day, F.lit("unknown"))
+
+
 @dataclass(frozen=True)
 class StageModel:
-    """How an entity is staged: projection, merge key, origin tag, file order."""
+    """How an entity is staged: projection, merge key, origin tag, file order, and the part of
+    the stored table that a row belongs to. Rows with one key must belong to one part."""
 
     name: str
     build: Callable[..., DataFrame]
     key: str
     tag: str
     sort_by: tuple[str, ...] = ()
+    part: Callable[[], Column] | None = None
 
 
 STAGE_MODELS = {
     model.name: model
     for model in (
         StageModel("movies", stage_movies, "title", "internal"),
-        StageModel("streams", stage_streams, "stream_id", "internal", ("start_at",)),
+        StageModel("streams", stage_streams, "stream_id", "internal", ("start_ts",), start_day),
         StageModel("users", stage_users, "user_id", "internal"),
         StageModel("authors", stage_authors, "author_id", "vendor"),
         StageModel("books", stage_books, "book_id", "vendor"),

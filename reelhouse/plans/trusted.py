@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelhouse.functions.times import (
-    from_day_of,
+    moment_of,
     ntz,
-    until_day_of,
-    wall_clock,
+    stored_literal,
+    stored_moment,
     whole_hours,
     whole_minutes,
 )
-from reelhouse.operators.joins import distinct_keys, join_dimension, join_unique
+from reelhouse.operators.joins import join_dimension
 
-MEDIAN_ACCURACY = 10_000
-MEDIAN_DIGESTS = 4_096
+#: Slices of the bucket that holds the median.
+FINE = 4_096
 
 
 def _lower(df: DataFrame, **columns: str) -> DataFrame:
@@ -48,6 +48,36 @@ def adaptation_share(streams: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
+def _begun() -> Column:
+    return moment_of("start_ts", "start_at")
+
+
+def _ended() -> Column:
+    return moment_of("end_ts", "end_at")
+
+
+def _with_moments(streams: DataFrame) -> DataFrame:
+    """Sessions with stored moments, also where they come from rows without them."""
+    missing = {
+        stored: stored_moment(text)
+        for stored, text in (("start_ts", "start_at"), ("end_ts", "end_at"))
+        if stored not in streams.columns
+    }
+    return streams.withColumns(missing)
+
+
+def _readable(sessions: DataFrame, near: Column) -> DataFrame:
+    """Sessions near a window. One whose time cannot be read is always near, and fails the query.
+
+    The first condition uses stored moments only, so files and row groups are skipped by it. The
+    second parses the text where no moment is stored; it holds for all moments.
+    """
+    unread = F.col("start_ts").isNull() | F.col("end_ts").isNull()
+    earliest = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    parsed = F.coalesce(F.greatest(_begun(), _ended()) >= earliest, F.lit(True))
+    return sessions.filter(near | unread).filter(parsed)
+
+
 def _titles(df: DataFrame, streamed: int, reviewed: int) -> DataFrame:
     return df.select(
         F.lower("movie_title").alias("title"),
@@ -69,21 +99,22 @@ def users_in_window(
     included; one that spans the whole window is not counted. `mode="overlap"` counts
     every session that was in progress at some point of the window.
     """
-    first, last = ntz(start), ntz(end)
-    begun, ended = wall_clock("start_at"), wall_clock("end_at")
+    begin, close = stored_literal(start), stored_literal(end, up=True)
+    first, last, begun, ended = ntz(start), ntz(end), _begun(), _ended()
     if mode == "endpoint":
-        # The day bounds repeat what follows in a form that file statistics can use.
-        days = (from_day_of("start_at", start) & until_day_of("start_at", end)) | (
-            from_day_of("end_at", start) & until_day_of("end_at", end)
-        )
+        near = F.col("start_ts").between(begin, close) | F.col("end_ts").between(begin, close)
         inside = begun.between(first, last) | ended.between(first, last)
     elif mode == "overlap":
-        days = until_day_of("start_at", end) & from_day_of("end_at", start)
+        near = (F.col("start_ts") <= close) & (F.col("end_ts") >= begin)
         inside = (begun <= last) & (ended >= first)
     else:
         raise ValueError(f"mode must be 'endpoint' or 'overlap', not {mode!r}")
     sessions = streams if title is None else streams.filter(F.col("movie_title") == title)
-    return sessions.filter(days).filter(inside).agg(F.count_distinct("user_email").alias("users_affected"))
+    return (
+        _readable(_with_moments(sessions), near)
+        .filter(inside)
+        .agg(F.count_distinct("user_email").alias("users_affected"))
+    )
 
 
 def adaptations_by_author_origin(
@@ -118,42 +149,74 @@ def adaptations_by_author_origin(
         .groupBy("book")
         .agg(F.sum(F.col("book_rows") * F.col("author_rows")).alias("written"))
     )
-    pairs = (
-        _lower(reviews, movie="movie_title", book="book_title")
-        .filter(F.col("movie").isNotNull() & F.col("book").isNotNull())
+    # Only pairs whose book counts, and of the streamed titles only those in such pairs, go on.
+    pairs = _lower(reviews, movie="movie_title", book="book_title").filter(
+        F.col("movie").isNotNull() & F.col("book").isNotNull()
+    )
+    per_movie = (
+        join_dimension(pairs, by_book, "book")
         .distinct()
+        .groupBy("movie")
+        .agg(F.sum("written").alias("written"))
     )
-    streamed = distinct_keys(_lower(streams, movie="movie_title"), "movie")
-    movies_of_book = (
-        join_unique(pairs, streamed, "movie", "left_semi")
-        .groupBy("book")
-        .agg(F.count(F.lit(1)).alias("movies"))
+    titles = _lower(streams, movie="movie_title").filter(F.col("movie").isNotNull())
+    streamed = (
+        join_dimension(titles, per_movie, "movie")
+        .groupBy("movie")
+        .agg(F.max("written").alias("written"))
     )
-    return movies_of_book.join(by_book, "book").agg(
-        F.coalesce(F.sum(F.col("movies") * F.col("written")), F.lit(0))
-        .cast("bigint")
-        .alias("adaptations")
+    return streamed.agg(
+        F.coalesce(F.sum("written"), F.lit(0)).cast("bigint").alias("adaptations")
     )
 
 
 def mean_session_hours(streams: DataFrame) -> DataFrame:
     """Mean of the sessions' complete hours; each session is truncated before averaging."""
-    hours = whole_hours(wall_clock("start_at"), wall_clock("end_at"))
-    return streams.agg(F.avg(hours.cast("double")).alias("mean_hours"))
+    hours = whole_hours(_begun(), _ended())
+    return _with_moments(streams).agg(F.avg(hours.cast("double")).alias("mean_hours"))
+
+
+def _bucket(size: Column) -> Column:
+    """A bucket that rises with the size: about one in a hundred wide, on either side of zero."""
+    step = F.floor(F.log2(F.abs(size)) * 64) + 1_000_000
+    return F.when(size > 0, step).when(size < 0, -step).otherwise(F.lit(0)).cast("bigint")
+
+
+def _holding(counts: DataFrame, by: str, rank: Column) -> DataFrame:
+    """Of counted values in order, the one that holds a rank (from 1), and the rank inside it."""
+    upto = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = counts.withColumn("__upto", F.sum("n").over(upto)).withColumn(
+        "__total", F.sum("n").over(everything)
+    )
+    return counted.withColumn("rank", rank - F.col("__upto") + F.col("n")).filter(
+        (F.col("rank") >= 1) & (F.col("rank") <= F.col("n"))
+    )
 
 
 def median_size_gb(streams: DataFrame) -> DataFrame:
-    """Approximate median stream size in decimal gigabytes, rounded to two places.
+    """Median stream size in decimal gigabytes, rounded to two places; the lower of two middles.
 
-    Every task sends a digest to the one that merges them. Fewer, larger tasks over this
-    single column keep that final merge small however many files there are.
+    Exact, and counted instead of sorted: rows per bucket of sizes, then per `FINE` slices of the
+    bucket that holds the middle, then per value in that slice. Every count is combined in the
+    tasks, so one value on most rows is no burden. What is put in order is the table of buckets
+    (a few hundred thousand at most for all sizes there are), the slices, and one slice's values.
     """
-    median = F.percentile_approx("size_mb", 0.5, MEDIAN_ACCURACY)
-    return (
-        streams.select("size_mb")
-        .coalesce(MEDIAN_DIGESTS)
-        .agg(F.round(median / 1000, 2).alias("median_size_gb"))
+    sizes = streams.select(F.col("size_mb").cast("double").alias("size")).filter("size IS NOT NULL")
+    rows = F.count(F.lit(1)).alias("n")
+    buckets = sizes.groupBy(_bucket(F.col("size")).alias("bucket")).agg(
+        rows, F.min("size").alias("low"), F.max("size").alias("high")
     )
+    middle = F.floor((F.col("__total") + 1) / 2)
+    bucket = _holding(buckets, "bucket", middle).select(F.struct("bucket", "low", "high", "rank")).scalar()
+    share = F.try_divide(F.col("size") - bucket["low"], bucket["high"] - bucket["low"])
+    slice_ = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * FINE), F.lit(FINE - 1))
+    inside = sizes.filter(_bucket(F.col("size")) == bucket["bucket"]).withColumn("slice", slice_)
+    slices = inside.groupBy("slice").agg(rows)
+    chosen = _holding(slices, "slice", bucket["rank"]).select(F.struct("slice", "rank")).scalar()
+    values = inside.filter(F.col("slice") == chosen["slice"]).groupBy("size").agg(rows)
+    median = _holding(values, "size", chosen["rank"])
+    return median.agg(F.round(F.max("size") / 1000, 2).alias("median_size_gb"))
 
 
 def sessions_past_half(
@@ -169,10 +232,10 @@ def sessions_past_half(
         .groupBy(F.col("title").alias("movie_title"))
         .agg(F.min(F.expr("duration_mins div 2")).alias("half_minutes"))
     )
-    begun, ended = wall_clock("start_at"), wall_clock("end_at")
+    begun, ended = _begun(), _ended()
+    named = _with_moments(streams).filter(F.col("movie_title").isNotNull())
     recent = (
-        streams.filter(F.col("movie_title").isNotNull())
-        .filter(from_day_of("start_at", since))
+        _readable(named, F.col("start_ts") >= stored_literal(since))
         .filter(begun >= ntz(since))
         .select("movie_title", "user_email", whole_minutes(begun, ended).alias("minutes"))
     )

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
+#: What the planner gives for inputs whose size it does not know.
+UNKNOWN_SIZE = 2**63 - 1
+#: Beyond this, the bookkeeping of a shuffle costs more than larger partitions do.
+MAX_PARTITIONS = 1_000_000
 
 
 def local_session(
@@ -33,13 +39,25 @@ def local_session(
     return spark
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The size of what a DataFrame reads, as Spark's planner knows it: of files, their length.
+
+    Inputs of unknown size count as nothing.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_SIZE)
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Start shuffles with enough partitions for `input_bytes`.
 
     Adaptive execution merges partitions that turn out small, but it never adds any:
-    with the default of 200, a 100 TB shuffle would make 500 GB partitions.
+    with the default of 200, a 100 TB shuffle would make 500 GB partitions. The session's own
+    number of partitions is the least.
     """
-    partitions = max(200, -(-input_bytes // TARGET_SHUFFLE_BYTES))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(MAX_PARTITIONS, max(least, -(-input_bytes // TARGET_SHUFFLE_BYTES)))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", TARGET_SHUFFLE_BYTES)
     return partitions
@@ -48,11 +66,14 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the shared `spark.checkpoint.dir`.
 
-    Only a local master may fall back to the machine's temporary folder.
+    Only a local master may fall back to the machine's temporary folder; such a folder is removed
+    when the program ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/reelhouse-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="reelhouse-")
+    folder = tempfile.mkdtemp(prefix="reelhouse-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"{folder}/run"

@@ -1,28 +1,55 @@
-"""Tables kept as full Parquet versions with a commit list."""
+"""Tables kept as Parquet loads with a list of commits, whole or in parts."""
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_ROWS = "part string, load string, whole boolean, stream string, batch long, columns string"
+_COMMITS = f"{_ROWS}, committed_at timestamp, version int"
+_PART, _LOAD = "__part", "__load"
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed a version in between."""
+
+
+@dataclass(frozen=True)
+class State:
+    """What one version consists of: its columns, and the load that holds each part (one without a
+    name, if the table is not kept in parts)."""
 
-_COMMITS = "version int, stream string, batch long, committed_at timestamp"
+    version: int
+    loads: dict[str | None, str]
+    schema: T.StructType
 
 
 class SnapshotTable:
-    """A table whose every write makes a new version directory.
+    """A table whose every write makes a new version.
 
-    A version counts once its commit row is written, so readers never see a failed or
-    running write, and a job may read the version it replaces. One writer at a time.
-    Old versions stay readable until the storage's own lifecycle rules remove them.
+    Data goes into a folder of its own for each load, and a version counts once its commit is
+    written, so readers never see a failed or running write, and a job may read the version it
+    replaces. A version that is already committed cannot be committed again: the second of two
+    writers fails.
+
+    With `part`, an expression over the rows that gives a plain name (a date, say), the table is
+    kept in parts. A write can then replace some parts and leave the others, which are neither
+    read nor written. Old loads stay until `expire` is called.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, part: Column | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.part = part
 
     def commits(self) -> DataFrame | None:
-        """One row per committed version; None before the first."""
+        """One row per committed version and part; None before the first."""
         try:
             return self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
         except AnalysisException as error:
@@ -30,10 +57,34 @@ class SnapshotTable:
                 return None
             raise
 
+    def state(self, version: int | None = None) -> State | None:
+        """The current state, or that of an older version; None before the first commit."""
+        commits = self.commits()
+        if commits is None:
+            return None
+        if version is not None:
+            commits = commits.filter(F.col("version") <= version)
+        rows = (
+            commits.groupBy("part")
+            .agg(
+                F.max_by("load", "version").alias("load"),
+                F.max_by("columns", "version").alias("columns"),
+                F.max("version").alias("version"),
+                F.max(F.when(F.col("whole"), F.col("version"))).alias("whole"),
+            )
+            .collect()
+        )
+        if not rows:
+            return None
+        since = max((r["whole"] or 0) for r in rows)
+        loads = {r["part"]: r["load"] for r in rows if r["version"] >= since and r["load"]}
+        latest = max(rows, key=lambda r: r["version"])
+        return State(latest["version"], loads, T.StructType.fromJson(json.loads(latest["columns"])))
+
     def version(self) -> int | None:
         """The current version, or None before the first commit."""
-        commits = self.commits()
-        return None if commits is None else commits.agg(F.max("version")).first()[0]
+        state = self.state()
+        return None if state is None else state.version
 
     def last_batch(self, stream: str) -> int | None:
         """The last micro-batch of a stream that reached the table."""
@@ -42,11 +93,29 @@ class SnapshotTable:
             return None
         return commits.filter(F.col("stream") == stream).agg(F.max("batch")).first()[0]
 
-    def read(self, version: int | None = None) -> DataFrame:
-        version = self.version() if version is None else version
-        if version is None:
+    def read(
+        self, version: int | State | None = None, parts: list[str] | None = None
+    ) -> DataFrame:
+        """A version's rows; with `parts`, only those parts are opened."""
+        state = version if isinstance(version, State) else self.state(version)
+        if state is None:
             raise ValueError(f"no committed version in {self.path}")
-        return self.spark.read.parquet(self._version_path(version))
+        reader = self.spark.read.schema(state.schema)
+        if self.part is None:
+            return reader.parquet(self._folder(state.loads[None]))
+        folders = [
+            f"{self._folder(load)}/{_PART}={part}"
+            for part, load in state.loads.items()
+            if part is not None and (parts is None or part in parts)
+        ]
+        if not folders:
+            return self.spark.createDataFrame([], state.schema)
+        reader = reader.option("basePath", f"{self.path}/data")
+        return reader.parquet(*folders).select(*state.schema.names)
+
+    def parts_in(self, df: DataFrame) -> list[str]:
+        """The names of the parts that rows belong to."""
+        return sorted(r[0] for r in df.select(self.part.alias(_PART)).distinct().collect())
 
     def write(
         self,
@@ -54,25 +123,63 @@ class SnapshotTable:
         sort_by: tuple[str, ...] = (),
         stream: str | None = None,
         batch: int | None = None,
+        state: State | None = None,
+        parts: list[str] | None = None,
     ) -> int:
         """Write `df` as the next version and commit it.
 
-        `sort_by` orders rows inside each task's files, without a shuffle, so that
-        row-group statistics on those columns become selective. A streaming writer also
-        records its stream and micro-batch.
+        `sort_by` orders rows inside each task's files, without a shuffle, so that row-group
+        statistics on those columns become selective. A streaming writer also records its stream
+        and micro-batch. `state` is the state that the rows were made from, if it is known;
+        with `parts`, only these parts are replaced, by rows of no other.
         """
-        version = (self.version() or 0) + 1
-        if sort_by:
-            df = df.sortWithinPartitions(*sort_by)
-        df.write.mode("overwrite").parquet(self._version_path(version))
-        commit = self.spark.range(1, numPartitions=1).select(
-            F.lit(version).cast("int").alias("version"),
-            F.lit(stream).cast("string").alias("stream"),
-            F.lit(batch).cast("long").alias("batch"),
-            F.current_timestamp().alias("committed_at"),
-        )
-        commit.write.mode("append").parquet(f"{self.path}/commits")
+        state = state or self.state()
+        version = 1 if state is None else state.version + 1
+        load = f"{version:06d}-{uuid.uuid4().hex[:8]}"
+        if self.part is None:
+            rows = df.sortWithinPartitions(*sort_by) if sort_by else df
+            rows.write.parquet(self._folder(load))
+            committed = [(None, load)]
+        else:
+            # adaptive execution cuts large parts into several tasks and joins small ones
+            rows = df.withColumn(_PART, self.part).hint("rebalance", _PART)
+            rows.sortWithinPartitions(_PART, *sort_by).write.partitionBy(_PART).parquet(self._folder(load))
+            written = self.spark.read.schema(f"{_PART} string").parquet(self._folder(load))
+            names = written.select(F.col(_PART).cast("string")).distinct().collect()
+            committed = [(None, load), *((r[0], load) for r in names)]
+        whole, columns = parts is None, df.schema.json()
+        self._commit(version, [(p, at, whole, stream, batch, columns) for p, at in committed])
         return version
 
-    def _version_path(self, version: int) -> str:
-        return f"{self.path}/versions/{version:06d}"
+    def _commit(self, version: int, rows: list[tuple]) -> None:
+        commit = self.spark.createDataFrame(rows, _ROWS).withColumn(
+            "committed_at", F.current_timestamp()
+        )
+        try:
+            commit.coalesce(1).write.parquet(f"{self.path}/commits/version={version}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_ALREADY_EXISTS":
+                raise ConcurrentWrite(f"version {version} of {self.path} is already committed") from error
+            raise
+
+    def expire(self, keep: int) -> int:
+        """Delete the loads that none of the last `keep` versions uses; returns how many."""
+        state = self.state()
+        if state is None:
+            return 0
+        versions = range(max(1, state.version - keep + 1), state.version + 1)
+        used = {load for v in versions for load in self.state(v).loads.values()}
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        data = hadoop.Path(f"{self.path}/data")
+        files = data.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        gone = [
+            s.getPath()
+            for s in files.listStatus(data)
+            if s.getPath().getName().removeprefix(f"{_LOAD}=") not in used
+        ]
+        for folder in gone:
+            files.delete(folder, True)
+        return len(gone)
+
+    def _folder(self, load: str) -> str:
+        return f"{self.path}/data/{_LOAD}={load}"

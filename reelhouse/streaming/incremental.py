@@ -9,7 +9,8 @@ from reelhouse.operators.load import latest_per_key, merge_into_table
 from reelhouse.plans.pipeline import FILE_COLUMNS, merge_rows
 from reelhouse.plans.stage import STAGE_MODELS, RunTime
 from reelhouse.schemas import ENTITIES
-from reelhouse.sources.landing import landing_path
+from reelhouse.session import estimated_bytes, size_shuffles
+from reelhouse.sources.landing import landing_path, scan
 from reelhouse.sources.snapshots import SnapshotTable
 
 _QUERY_ID = "sql.streaming.queryId"
@@ -24,6 +25,7 @@ def stream_stage(
     every: str | None = None,
     run_ts: RunTime = None,
     dedupe: str | None = None,
+    input_bytes: int | None = None,
 ) -> StreamingQuery:
     """Start merging an entity's new landing files into its stage table.
 
@@ -38,6 +40,7 @@ def stream_stage(
     if dedupe not in (None, "latest"):
         raise ValueError(f"dedupe must be None or 'latest', not {dedupe!r}")
     entity, model = ENTITIES[name], STAGE_MODELS[name]
+    size_shuffles(spark, estimated_bytes(scan(spark, root, name)) if input_bytes is None else input_bytes)
     arrivals = (
         spark.readStream.schema(entity.schema)
         .parquet(landing_path(root, entity))
@@ -56,7 +59,7 @@ def stream_stage(
             staged = latest_per_key(staged, model.key, FILE_COLUMNS)
         staged = staged.drop(*FILE_COLUMNS)
         if isinstance(table, SnapshotTable):
-            merge_rows(table, model, staged, dedupe is not None, stream, batch_id)
+            merge_rows(table, model, staged, stream, batch_id)
         else:
             merge_into_table(staged, table, model.key)
 

@@ -23,6 +23,11 @@ def _wall_clock(column: str) -> str:
     )
 
 
+def _seconds(column: str) -> str:
+    text = f"substring({column}, 1, 10) || ' ' || substring({column}, 12, 8)"
+    return f"CAST(floor(epoch(TRY_CAST({text} AS TIMESTAMP))) AS BIGINT)"
+
+
 def _mask(email: str) -> str:
     return (
         f"CASE WHEN {email} IS NULL THEN NULL ELSE substring({email}, 1, 1) || '*****' || "
@@ -36,6 +41,14 @@ TITLE_OF = "p_name || ' #' || p_partkey"
 
 def landing(name: str, where: str = "TRUE") -> str:
     """The landing view; `where` limits the table that it takes its rows from."""
+    book, second = (
+        f"{{'id': CAST({number} AS INTEGER), "
+        f"'metadata': {{'title': {title}, 'pages': CAST(p_size AS VARCHAR)}}}}"
+        for number, title in (
+            ("p_partkey", f"'BOOK OF ' || {TITLE_OF}"),
+            ("p_partkey + 1", "'a second book'"),
+        )
+    )
     return {
         "movies": f"""
 SELECT {TITLE_OF} AS title, CAST(p_size + 45 AS INTEGER) AS duration_mins,
@@ -46,7 +59,9 @@ SELECT CASE WHEN event_id % 101 <> 0 THEN {TITLE_OF} END AS movie_title,
        CASE WHEN event_id % 97 <> 0 THEN 'user' || user_id || '@example.com' END AS user_email,
        value * 10 AS size_mb, {_iso("ts")} AS start_at,
        {_iso("ts + to_seconds(CAST(floor(value * 60) AS BIGINT))")} AS end_at
-FROM (SELECT * FROM events WHERE {where}) JOIN part ON p_partkey = event_id % 150""",
+FROM (SELECT *, CASE WHEN event_id % 4 = 0 THEN 7
+                     ELSE event_id % (SELECT max(p_partkey) + 1 FROM part) END AS part_no
+      FROM events WHERE {where}) JOIN part ON p_partkey = part_no""",
         "users": f"""
 SELECT split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
        CASE WHEN c_custkey % 50 = 0 THEN 'nomail' || c_custkey
@@ -65,15 +80,15 @@ SELECT {{'name': s_name, 'birth_date': CAST(NULL AS VARCHAR),
 FROM (SELECT * FROM supplier WHERE {where}) JOIN nation ON s_nationkey = n_nationkey""",
         "books": f"""
 SELECT 'Book of ' || {TITLE_OF} AS name, p_size AS pages,
-       'SUPPLIER#' || lpad(CAST(p_partkey % 10 AS VARCHAR), 9, '0') AS author,
+       'SUPPLIER#' || lpad(CAST(p_partkey % (SELECT max(s_suppkey) + 1 FROM supplier) AS VARCHAR),
+                           9, '0') AS author,
        p_brand AS publisher
 FROM part WHERE {where}""",
         "reviews": f"""
-SELECT {{'text': source || '-' || doc_id}} AS content,
+SELECT {{'text': text}} AS content,
        {{'rate': CAST(doc_id % 5 AS INTEGER), 'label': lang}} AS rating,
-       [{{'id': CAST(p_partkey AS INTEGER),
-          'metadata': {{'title': 'BOOK OF ' || {TITLE_OF},
-                        'pages': CAST(p_size AS VARCHAR)}}}}] AS books,
+       CASE WHEN doc_id % 5 = 0 THEN []
+            WHEN doc_id % 4 = 0 THEN [{book}, {second}] ELSE [{book}] END AS books,
        CASE WHEN doc_id % 7 = 0 THEN []
             WHEN doc_id % 3 = 0 THEN
                  [{{'id': 0, 'title': 'end'}},
@@ -83,7 +98,8 @@ SELECT {{'text': source || '-' || doc_id}} AS content,
                     'title': upper(p_name) || ' #' || p_partkey}}]
        END AS movies,
        CAST(NULL AS VARCHAR) AS updated, CAST(NULL AS VARCHAR) AS created
-FROM (SELECT * FROM documents WHERE {where}) JOIN part ON p_partkey = doc_id % 120""",
+FROM (SELECT *, doc_id % (SELECT max(p_partkey) + 1 FROM part) AS part_no
+      FROM documents WHERE {where}) JOIN part ON p_partkey = part_no""",
     }[name]
 
 
@@ -96,7 +112,8 @@ SELECT {_key("title", "original_language")} AS movie_id, title, duration_mins,
        original_language, size_mb FROM {source}""",
         "streams": f"""
 SELECT {_key("movie_title", "user_email", "start_at", "end_at")} AS stream_id, movie_title,
-       user_email, size_mb, start_at, end_at FROM {source}""",
+       user_email, size_mb, start_at, end_at, {_seconds("start_at")} AS start_ts,
+       {_seconds("end_at")} AS end_ts FROM {source}""",
         "users": f"""
 SELECT {_key("first_name", "last_name")} AS user_id, first_name, last_name,
        first_name || ' ' || last_name AS full_name, {_mask("email")} AS email FROM {source}""",
@@ -124,7 +141,7 @@ FROM (SELECT content.text AS text, rating.rate AS rate, rating.label AS label,
 
 COLUMNS = {
     "movies": "movie_id title duration_mins original_language size_mb",
-    "streams": "stream_id movie_title user_email size_mb start_at end_at",
+    "streams": "stream_id movie_title user_email size_mb start_at end_at start_ts end_ts",
     "users": "user_id first_name last_name full_name email",
     "authors": "author_id name birth_date died_at nationality_id nationality_label "
     "nationality_slug",
@@ -150,8 +167,8 @@ def last(name: str, source: str) -> str:
     )
 
 
-def _with(*names: str, unique: bool = False) -> str:
-    rows = {name: last(name, stage(name)) if unique else stage(name) for name in names}
+def _with(*names: str, reloaded: bool = False) -> str:
+    rows = {name: _upsert(name, unique=True) if reloaded else stage(name) for name in names}
     return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in rows.items()) + "\n"
 
 
@@ -177,29 +194,34 @@ def _scan(name: str) -> str:
     return FLAT.get(name, "SELECT * FROM ({source})").format(source=landing(name))
 
 
-def _upsert(name: str) -> str:
-    earlier, later, column, change = {
-        "movies": ("p_size < 35", "p_size >= 25", "size_mb", "size_mb + 1"),
-        "streams": (
-            "ts < TIMESTAMP '2024-01-20 00:00:00'",
-            "ts >= TIMESTAMP '2024-01-10 00:00:00'",
-            "size_mb",
-            "size_mb + 1",
-        ),
-        "users": ("c_acctbal < 6000", "c_acctbal >= 1000", "email", "upper(email)"),
-        "authors": (
-            "s_acctbal < 6000",
-            "s_acctbal >= 1000",
-            "nationality_label",
-            "lower(nationality_label)",
-        ),
-        "books": ("p_size < 35", "p_size >= 25", "pages", "pages + 1"),
-        "reviews": ("n_chars < 4000", "n_chars >= 1000", "rate", "rate + 1"),
-    }[name]
+HALVES = {
+    "movies": ("p_size < 35", "p_size >= 25", "size_mb", "size_mb + 1"),
+    "streams": (
+        "ts < TIMESTAMP '2024-01-20 00:00:00'",
+        "ts >= TIMESTAMP '2024-01-10 00:00:00'",
+        "size_mb",
+        "size_mb + 1",
+    ),
+    "users": ("c_acctbal < 6000", "c_acctbal >= 1000", "email", "upper(email)"),
+    "authors": (
+        "s_acctbal < 6000",
+        "s_acctbal >= 1000",
+        "nationality_label",
+        "lower(nationality_label)",
+    ),
+    "books": ("p_size < 35", "p_size >= 25", "pages", "pages + 1"),
+    "reviews": ("n_chars < 4000", "n_chars >= 1000", "rate", "rate + 1"),
+}
+
+
+def _upsert(name: str, unique: bool = False) -> str:
+    """Both halves merged; with `unique`, the first one is reduced to one row per key as well."""
+    earlier, later, column, change = HALVES[name]
     key = KEYS[name]
     changed = f"SELECT * REPLACE ({change} AS {column}) FROM ({stage(name, later)})"
+    before = stage(name, earlier)
     return f"""
-WITH target AS ({stage(name, earlier)}),
+WITH target AS ({last(name, before) if unique else before}),
 source AS ({last(name, changed)})
 SELECT * FROM target
 WHERE NOT EXISTS (SELECT 1 FROM source WHERE source.{key} = target.{key})
@@ -341,6 +363,27 @@ ORACLES: dict[str, str] = {
     "table_refresh": f"SELECT * REPLACE (pages + 1 AS pages) FROM ({stage('books', 'p_size >= 25')})",
     "incremental_gate": GATE,
     "pipeline_summary": _with(*SUMMARIZED) + ANSWERS,
-    "pipeline_reload": _with(*SUMMARIZED, unique=True) + ANSWERS,
-    "stream_upserts": last("books", stage("books")),
+    "pipeline_reload": _with(*SUMMARIZED, reloaded=True) + ANSWERS,
+    "stream_upserts": _upsert("books", unique=True),
+    **{f"csv_{name}": _scan(name) for name in ("movies", "streams", "users")},
+    **{f"json_{name}": _scan(name) for name in ("authors", "books", "reviews")},
+    "ingest_internal": f"""
+SELECT 'movies' AS entity, title AS value FROM ({landing("movies")})
+UNION ALL SELECT 'streams', start_at FROM ({landing("streams")})
+UNION ALL SELECT 'users', last_name FROM ({landing("users")})""",
+    "external_table": landing("users"),
+    "stage_refresh": f"SELECT * REPLACE (pages + 1 AS pages) FROM ({stage('books', 'p_size >= 25')})",
+    "load_stamp": (
+        "SELECT title, TIMESTAMP '2024-02-23 00:00:00' AS loaded_at "
+        f"FROM ({landing('movies')})"
+    ),
+    "ambiguous_keys": f"""
+WITH target AS ({stage("books", "p_size < 35")}),
+source AS (SELECT book_id FROM ({stage("books", "p_size >= 25")})
+           UNION ALL SELECT book_id FROM ({stage("books", "p_size >= 30")}))
+SELECT book_id, CAST(s.n AS BIGINT) AS source_rows, CAST(t.n AS BIGINT) AS target_rows
+FROM (SELECT book_id, count(*) AS n FROM source GROUP BY book_id) s
+JOIN (SELECT book_id, count(*) AS n FROM target GROUP BY book_id) t USING (book_id)
+WHERE s.n > 1""",
+    "gen_id": "SELECT c_custkey, TRUE AS in_range FROM customer",
 }

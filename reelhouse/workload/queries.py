@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.functions import columns as C
 from reelhouse.functions.times import ntz, wall_clock, whole_hours, whole_minutes
-from reelhouse.operators.load import incremental_gate, latest_per_key, upsert
+from reelhouse.operators.load import ambiguous_keys, incremental_gate, latest_per_key, upsert
 from reelhouse.plans import trusted as T
-from reelhouse.plans.pipeline import FILE_COLUMNS, Questions, run_pipeline, summary
+from reelhouse.plans.pipeline import (
+    FILE_COLUMNS,
+    Questions,
+    load_stage,
+    run_pipeline,
+    snapshot_of,
+    summary,
+)
 from reelhouse.plans.stage import STAGE_MODELS
 from reelhouse.schemas import ENTITIES
 from reelhouse.session import scratch_dir
-from reelhouse.sources.landing import land, scan
+from reelhouse.sources.catalog import create_landing_table, create_namespace
+from reelhouse.sources.files import conform
+from reelhouse.sources.landing import ingest, land, read_source, register_sources, scan
 from reelhouse.sources.snapshots import SnapshotTable
 from reelhouse.streaming.incremental import stream_stage
 from reelhouse.workload import views
@@ -120,8 +131,10 @@ def _mask_ssn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gen_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That the random id of every customer is in its range."""
     customers = views.tables(spark, sf_dir)("customer")
-    return customers.select("c_custkey", C.gen_id(seed=7).alias("random_id"))
+    drawn = customers.select("c_custkey", C.gen_id().alias("random_id"))
+    return drawn.select("c_custkey", F.col("random_id").between(1, 10_000).alias("in_range"))
 
 
 def _full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +229,7 @@ def _upsert(name: str) -> Query:
         table, arrived = SnapshotTable(spark, f"{root}/table"), SnapshotTable(spark, f"{root}/new")
         table.write(earlier)
         arrived.write(latest_per_key(later, key, []))
-        return upsert(table.read(), arrived.read(), key).drop("reference_date")
+        return upsert(table.read(), arrived.read(), key, stored=True).drop("reference_date")
 
     return query
 
@@ -285,18 +298,33 @@ def _pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(written)
 
 
+def _arrivals(name: str, t: views.Tables) -> tuple[DataFrame, DataFrame]:
+    """Landing rows of the two halves; the second has the changed value of `_HALVES`."""
+    base, earlier, later, (column, change) = _HALVES[name]
+    first, second = (views.landing_view(name, _limited(t, base, c)) for c in (earlier, later))
+    if name == "reviews":
+        second = second.withColumn("rating", F.col("rating").withField("rate", F.expr("rating.rate + 1")))
+    elif name == "authors":
+        lowered = F.transform("nationalities", lambda n: n.withField("label", F.lower(n["label"])))
+        second = second.withColumn("nationalities", lowered)
+    else:
+        second = second.withColumn(column, F.expr(change))
+    return first, conform(second, ENTITIES[name].schema)
+
+
 def _pipeline_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second, incremental run over the same landing rows changes no answer."""
+    """A second, incremental run replaces changed rows and adds new ones before it answers."""
     questions = Questions(None, *OUTAGE, SLUG, HALF_SINCE)
-    warehouse = scratch_dir(spark)
-    # All rows count as landed together, so that their own values decide which is last.
-    landing = {
-        name: view.withColumns({column: F.lit("together") for column in FILE_COLUMNS})
-        for name, view in views.landing_views(spark, sf_dir).items()
-    }
-    run_pipeline(landing, warehouse, select="stage", run_ts=RUN_TS, dedupe="latest")
+    warehouse, t = scratch_dir(spark), views.tables(spark, sf_dir)
+    # All rows of a run count as landed together, so that their own values decide which is last.
+    together = {column: F.lit("together") for column in FILE_COLUMNS}
+    runs = zip(*(_arrivals(name, t) for name in ENTITIES), strict=True)
+    first, second = (
+        {name: df.withColumns(together) for name, df in zip(ENTITIES, run, strict=True)} for run in runs
+    )
+    run_pipeline(first, warehouse, select="stage", run_ts=RUN_TS, dedupe="latest")
     written = run_pipeline(
-        landing,
+        second,
         warehouse,
         full_refresh=False,
         questions=questions,
@@ -307,19 +335,85 @@ def _pipeline_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two arrivals of book files, each merged by a streaming run that then stops."""
+    """Two arrivals of book files, each merged by a streaming run that then stops. The second one
+    replaces rows of the first and brings new ones."""
     root = scratch_dir(spark)
-    t = views.tables(spark, sf_dir)
-    table = SnapshotTable(spark, f"{root}/warehouse/books")
-    base, earlier, later, _ = _HALVES["books"]
-    for condition in (earlier, later):
-        land(views.landing_view("books", _limited(t, base, condition)), root, "books")
+    table = snapshot_of(spark, f"{root}/warehouse/books", "books")
+    for arrival in _arrivals("books", views.tables(spark, sf_dir)):
+        land(arrival, root, "books")
         stream_stage(
             spark, root, "books", table, f"{root}/checkpoint", dedupe="latest"
         ).awaitTermination()
     return table.read().drop("reference_date")
 
 
+def _source_files(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> dict[str, str]:
+    """Landing views written as files of the kind that their entity arrives in."""
+    root, files = scratch_dir(spark), {}
+    for name in names:
+        files[name] = f"{root}/{name}"
+        writer = _view(name, spark, sf_dir).write
+        if ENTITIES[name].source_format == "csv":
+            writer.option("header", True).option("escape", '"').csv(files[name])
+        else:
+            writer.option("ignoreNullFields", False).json(files[name])
+    return files
+
+
+def _read_source(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        files = _source_files(spark, sf_dir, (name,))
+        return flat(name, read_source(spark, files[name], name))
+
+    return query
+
+
+def _ingest_internal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column of each entity of a group that was ingested from its source files."""
+    shown = {"movies": "title", "streams": "start_at", "users": "last_name"}
+    root = scratch_dir(spark)
+    ingest(spark, _source_files(spark, sf_dir, tuple(shown)), root, "internal")
+    tables = register_sources(spark, root, "internal")
+    return reduce(
+        DataFrame.unionByName,
+        (
+            tables[name].select(F.lit(name).alias("entity"), F.col(column).alias("value"))
+            for name, column in shown.items()
+        ),
+    )
+
+
+def _external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed users, read through the catalog by name."""
+    root = scratch_dir(spark)
+    land(_view("users", spark, sf_dir), root, "users")
+    namespace = f"landing_{uuid.uuid4().hex}"
+    create_namespace(spark, namespace, f"{root}/namespace")
+    return spark.table(create_landing_table(spark, namespace, root, "users"))
+
+
+def _stage_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh over a table that holds other rows."""
+    table, model = snapshot_of(spark, f"{scratch_dir(spark)}/books", "books"), STAGE_MODELS["books"]
+    earlier, later = halves("books", spark, sf_dir)
+    load_stage(table, model, earlier, run_ts=RUN_TS)
+    load_stage(table, model, later, full_refresh=True, run_ts=RUN_TS)
+    return table.read().drop("reference_date")
+
+
+def _load_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stamp = F.col("reference_date").cast("timestamp_ntz").alias("loaded_at")
+    return _stage("movies", spark, sf_dir).select("title", stamp)
+
+
+def _ambiguous_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books that arrive twice and are in the table already."""
+    earlier, later = halves("books", spark, sf_dir)
+    t = _limited(views.tables(spark, sf_dir), "part", "p_size >= 30")
+    again = _staged("books", views.landing_view("books", t))
+    return ambiguous_keys(earlier, later.unionByName(again), "book_id")
+
+
 QUERIES: dict[str, Query] = {
     "users_past_half": users_past_half,
     "adaptation_share": _adaptation_share,
@@ -349,4 +443,11 @@ QUERIES: dict[str, Query] = {
     "pipeline_summary": _pipeline_summary,
     "pipeline_reload": _pipeline_reload,
     "stream_upserts": _stream_upserts,
+    **{f"csv_{name}": _read_source(name) for name in ("movies", "streams", "users")},
+    **{f"json_{name}": _read_source(name) for name in ("authors", "books", "reviews")},
+    "ingest_internal": _ingest_internal,
+    "external_table": _external_table,
+    "stage_refresh": _stage_refresh,
+    "load_stamp": _load_stamp,
+    "ambiguous_keys": _ambiguous_keys,
 }

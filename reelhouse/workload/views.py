@@ -8,13 +8,11 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.operators.joins import join_dimension
 from reelhouse.schemas import ENTITIES
 from reelhouse.sources.files import conform
 
-STREAMED_TITLES = 150
-REVIEWED_TITLES = 120
-BOOK_AUTHORS = 10
+#: One session in `HOT_SHARE` is of this title, the others are spread over all.
+HOT_PART, HOT_SHARE = 7, 4
 
 Tables = Callable[[str], DataFrame]
 
@@ -28,17 +26,15 @@ def _title() -> Column:
     return F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string"))
 
 
-def _with_part(df: DataFrame, key: str, parts: DataFrame, count: int) -> DataFrame:
-    """Join rows to the part that their key, taken modulo `count`, refers to.
+def _count_of(t: Tables, table: str, key: str) -> Column:
+    """How many numbers a table's keys take up, from 0 on."""
+    return t(table).agg(F.max(key) + 1).scalar()
 
-    Only the parts below `count` can be met, and naming them lets the scan skip the rest.
-    """
-    met = parts.filter(F.col("p_partkey").between(0, count - 1))
-    return join_dimension(
-        df.withColumn("p_partkey", F.col(key) % count),
-        met.select("p_partkey", "p_name", "p_size"),
-        "p_partkey",
-    )
+
+def _with_part(df: DataFrame, number: Column, t: Tables) -> DataFrame:
+    """Join rows to the part that a number refers to."""
+    parts = t("part").select("p_partkey", "p_name", "p_size")
+    return df.withColumn("p_partkey", number).join(parts, "p_partkey")
 
 
 def _iso(ts: Column) -> Column:
@@ -60,7 +56,9 @@ def streams(t: Tables) -> DataFrame:
         return F.when(F.col("event_id") % n != 0, value)
 
     end = F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts"))
-    events = _with_part(t("events"), "event_id", t("part"), STREAMED_TITLES)
+    spread = F.col("event_id") % _count_of(t, "part", "p_partkey")
+    number = F.when(F.col("event_id") % HOT_SHARE == 0, F.lit(HOT_PART)).otherwise(spread)
+    events = _with_part(t("events"), number, t)
     return events.select(
         unless_multiple_of(101, _title()).alias("movie_title"),
         unless_multiple_of(
@@ -108,7 +106,8 @@ def authors(t: Tables) -> DataFrame:
 
 
 def books(t: Tables) -> DataFrame:
-    number = F.lpad((F.col("p_partkey") % BOOK_AUTHORS).cast("string"), 9, "0")
+    author = F.col("p_partkey") % _count_of(t, "supplier", "s_suppkey")
+    number = F.lpad(author.cast("string"), 9, "0")
     return t("part").select(
         F.concat(F.lit("Book of "), _title()).alias("name"),
         F.col("p_size").alias("pages"),
@@ -127,20 +126,21 @@ def reviews(t: Tables) -> DataFrame:
         F.col("p_partkey"),
         F.concat(F.upper("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")),
     )
-    book = F.struct(
-        F.col("p_partkey").alias("id"),
-        F.struct(
-            F.concat(F.lit("BOOK OF "), _title()).alias("title"),
-            F.col("p_size").cast("string").alias("pages"),
-        ).alias("metadata"),
-    )
-    documents = _with_part(t("documents"), "doc_id", t("part"), REVIEWED_TITLES)
+    def book(number: Column, title: Column) -> Column:
+        pages = F.col("p_size").cast("string")
+        metadata = F.struct(title.alias("title"), pages.alias("pages"))
+        return F.struct(number.alias("id"), metadata.alias("metadata"))
+
+    named = book(F.col("p_partkey"), F.concat(F.lit("BOOK OF "), _title()))
+    second = book(F.col("p_partkey") + 1, F.lit("a second book"))
+    documents = _with_part(t("documents"), key % _count_of(t, "part", "p_partkey"), t)
     return documents.select(
-        F.struct(
-            F.concat(F.col("source"), F.lit("-"), key.cast("string")).alias("text")
-        ).alias("content"),
+        F.struct("text").alias("content"),
         F.struct((key % 5).alias("rate"), F.col("lang").alias("label")).alias("rating"),
-        F.array(book).alias("books"),
+        F.when(key % 5 == 0, F.filter(F.array(named), lambda _: F.lit(False)))
+        .when(key % 4 == 0, F.array(named, second))
+        .otherwise(F.array(named))
+        .alias("books"),
         F.when(key % 7 == 0, F.filter(F.array(real), lambda _: F.lit(False)))
         .when(key % 3 == 0, F.array(movie(F.lit(0), F.lit("end")), real))
         .otherwise(F.array(real))

@@ -14,6 +14,7 @@ from reelhouse.plans.pipeline import (
     STAGE_MODELS,
     TRUSTED_MODELS,
     Questions,
+    merge_rows,
     run_pipeline,
     stage_table,
     summary,
@@ -155,6 +156,64 @@ def test_landing_twice_duplicates_unless_the_latest_row_is_asked_for(spark, tmp_
         run_pipeline(twice, warehouse, questions=ASKED, dedupe="first")
 
 
+def test_shuffles_are_sized_for_the_input(spark, tmp_path, conf):
+    conf(
+        shuffle__partitions="8",
+        adaptive__coalescePartitions__initialPartitionNum="8",
+        adaptive__advisoryPartitionSizeInBytes="64MB",
+    )
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    run_pipeline(landing(spark), str(tmp_path), select="vendor")
+    assert spark.conf.get(initial) == "8"
+    run_pipeline(landing(spark), str(tmp_path), select="vendor", input_bytes=2**31)
+    assert spark.conf.get(initial) == "16"
+
+
+def streams(spark, *rows):
+    sessions = [(t, "u", 1.0, f"{start}T10:00:00Z", f"{start}T11:00:00Z") for t, start in rows]
+    return STAGE_MODELS["streams"].build(spark.createDataFrame(sessions, schemas.STREAMS))
+
+
+def test_a_merge_touches_only_its_days(spark, tmp_path):
+    table, model = stage_table(spark, str(tmp_path), "streams"), STAGE_MODELS["streams"]
+    first = streams(spark, ("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-03"), ("d", "bad"))
+    merge_rows(table, model, first)
+    before = table.state().loads
+    days = {"2024-01-01", "2024-01-02", "2024-01-03", "unknown"}
+    assert set(before) - {None} == days
+    changed = streams(spark, ("b", "2024-01-02"), ("e", "2024-01-02")).withColumn("size_mb", F.lit(9.0))
+    assert table.parts_in(changed) == ["2024-01-02"]
+    merge_rows(table, model, changed)
+    after = table.state().loads
+    for day in days:
+        assert (after[day] == before[day]) == (day != "2024-01-02")
+    assert table.read(parts=["2024-01-02"]).inputFiles() != []
+    assert all("2024-01-02" in f for f in table.read(parts=["2024-01-02"]).inputFiles())
+    rows = {r.movie_title: r.size_mb for r in table.read().collect()}
+    assert rows == {"a": 1.0, "b": 9.0, "c": 1.0, "d": 1.0, "e": 9.0}
+    assert {r.movie_title for r in table.read(1).collect()} == {"a", "b", "c", "d"}
+    assert table.read().columns == first.columns
+
+
+def test_a_merge_of_an_untouched_day_that_cannot_be_read(spark, tmp_path):
+    """The files of other days are gone, and the merge does not notice."""
+    table, model = stage_table(spark, str(tmp_path), "streams"), STAGE_MODELS["streams"]
+    merge_rows(table, model, streams(spark, ("a", "2024-01-01"), ("b", "2024-01-02")))
+    folder = next((tmp_path / "stage/streams/data").glob("*/__part=2024-01-01"))
+    folder.rename(tmp_path / "elsewhere")
+    merge_rows(table, model, streams(spark, ("b", "2024-01-02"), ("c", "2024-01-02")))
+    assert sorted(r.movie_title for r in table.read(parts=["2024-01-02"]).collect()) == ["b", "c"]
+
+
+def test_a_full_refresh_forgets_old_days(spark, tmp_path):
+    table, model = stage_table(spark, str(tmp_path), "streams"), STAGE_MODELS["streams"]
+    table.write(streams(spark, ("a", "2024-01-01"), ("b", "2024-01-02")), model.sort_by)
+    table.write(streams(spark, ("c", "2024-01-02")), model.sort_by)
+    assert [r.movie_title for r in table.read().collect()] == ["c"]
+    table.write(streams(spark), model.sort_by)
+    assert table.read().count() == 0 and table.read(1).count() == 2
+
+
 def users(spark, *rows):
     return spark.createDataFrame(rows, schemas.USERS)
 

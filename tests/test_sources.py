@@ -17,7 +17,7 @@ from reelhouse.sources.landing import (
     register_sources,
     scan,
 )
-from reelhouse.sources.snapshots import SnapshotTable
+from reelhouse.sources.snapshots import ConcurrentWrite, SnapshotTable
 from reelhouse.workload import views
 
 FAILED = (PySparkException, Py4JJavaError)
@@ -232,5 +232,25 @@ def test_a_failed_write_changes_nothing(spark, tmp_path):
     assert table.write(spark.range(5)) == 2 and table.read().count() == 5
 
 
+def test_a_second_writer_of_a_version_fails(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(3))
+    state = table.state()
+    table.write(spark.range(4), state=state)
+    with pytest.raises(ConcurrentWrite, match="version 2"):
+        table.write(spark.range(5), state=state)
+    assert table.version() == 2 and table.read().count() == 4
+
+
+def test_expire_deletes_only_what_no_kept_version_uses(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    assert table.expire(1) == 0
+    for n in (3, 4, 5):
+        table.write(spark.range(n))
+    assert table.expire(2) == 1
+    assert table.read().count() == 5 and table.read(2).count() == 4
+    assert table.expire(2) == 0
+
+
 def test_landing_paths():
     assert landing_path("root/", ENTITIES["books"], "json") == "root/vendor/books/json"
