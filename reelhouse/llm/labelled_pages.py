@@ -113,6 +113,21 @@ def _sidebar(w: _Writer) -> None:
     w.raw(f"</{tag}>")
 
 
+def _related(w: _Writer) -> None:
+    tag = w.rnd.choice(("section", "div", "aside"))
+    w.raw(f'<{tag} class="{w.rnd.choice(("related", "more-stories", "recommended", "popular"))}">')
+    if w.rnd.random() < 0.8:
+        w.block(w.rnd.choice(("h2", "h3")), w.words(1, 4), OTHER)
+    _links(w, 1, 5)
+    w.raw(f"</{tag}>")
+
+
+def _share(w: _Writer) -> None:
+    w.raw(f'<div class="{w.rnd.choice(("share", "social", "share-buttons"))}">')
+    _links(w, 1, 4)
+    w.raw("</div>")
+
+
 def _form(w: _Writer) -> None:
     w.raw(f'<form action="/{w.word()}">')
     for _ in range(w.rnd.randint(1, 3)):
@@ -164,7 +179,7 @@ def _article(w: _Writer) -> None:
         w.block(w.rnd.choice(("h1", "h1", "h2")), head, MAIN)
     for _ in range(w.rnd.randint(1, 9)):
         kind = w.rnd.random()
-        if kind < 0.68:
+        if kind < 0.62:
             text = w.prose(7)
             if w.rnd.random() < 0.25:
                 text = text.replace(" ", f' <a href="/{w.word()}">{w.word()}</a> ', 1)
@@ -173,22 +188,22 @@ def _article(w: _Writer) -> None:
             if w.rnd.random() < 0.15:
                 text = text.replace(" ", "<br>", 1)
             w.block("p", text, MAIN)
-        elif kind < 0.76:
+        elif kind < 0.70:
             w.block("p", w.sentence(1, 5), MAIN)
-        elif kind < 0.83:
+        elif kind < 0.77:
             w.block(w.rnd.choice(("h2", "h3")), w.words(1, 8), MAIN)
-        elif kind < 0.89:
+        elif kind < 0.83:
             listed = w.rnd.choice(("ul", "ol"))
             w.raw(f"<{listed}>")
             for _ in range(w.rnd.randint(1, 4)):
                 w.block("li", w.rnd.choice((w.sentence(), w.words(1, 6))), MAIN)
             w.raw(f"</{listed}>")
-        elif kind < 0.92:
+        elif kind < 0.86:
             w.block("blockquote", w.prose(2), MAIN)
-        elif kind < 0.94:
+        elif kind < 0.88:
             w.block("pre", w.words(3, 12), MAIN)
         elif kind < 0.97:
-            w.rnd.choice((_advert, _sidebar, _notice))(w)
+            w.rnd.choice((_advert, _sidebar, _notice, _related, _share))(w)
         else:
             w.raw("<table><tr>")
             for _ in range(w.rnd.randint(2, 4)):
@@ -205,7 +220,7 @@ def page(rnd: random.Random) -> tuple[str, list[int]]:
     title = w.words(1, 8)
     w.raw(f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{margin:0}}</style></head><body>")
     before = [_header, _menu, _advert, _notice, _sidebar, _form]
-    after = [_comments, _sidebar, _advert, _form, _notice, _menu]
+    after = [_comments, _sidebar, _advert, _form, _notice, _menu, _related, _share]
     wrap = rnd.random() < 0.3
     for part in before:
         if rnd.random() < (0.6 if part is _menu else 0.3):
