@@ -8,12 +8,19 @@ registers that agree by chance; pairs that stay below the threshold by more than
 standard deviations are dropped, and all others are confirmed on their full sets.
 
 Equal sets are one node from the start. In each band bucket every node is compared with the
-bucket's least node, which is linear in the bucket. What is confirmed joins components. Then, in
-buckets that still hold several components, every node outside the component of the least node
-is compared with the nodes of all other components: in blocks of at most `MEMBERS` by `MEMBERS`
-nodes, on sketches, which come out as candidates only where the estimate passes. So no link
-between different sets is lost to the star, no group is collected, and pairs inside a component
-are not formed.
+bucket's least node, which is linear in the bucket. What is confirmed joins components. Two more
+steps find the links between components that no least node stands on:
+
+1. In buckets that still hold several components, sketches are compared across components, in
+   blocks of at most `SKETCHES` by `SKETCHES` nodes. A block gives only as many pairs of
+   components as connect those whose estimates pass; the components connected so are a family.
+2. In each family every node outside its largest component is compared with the nodes of other
+   components, first on sketches and then on full sets, in blocks of about `MEMBERS` by `MEMBERS`
+   nodes. Once a block has found two components linked it compares them no further, and it
+   returns only the links that joined some.
+
+So no link that would join groups is lost to the stars, nothing is collected, no task holds more
+than two blocks of a group, and the pairs of a group are neither formed nor returned.
 
 With 32 bands of four registers, a pair at the threshold of 85 % misses all bands with a
 probability below 1e-9.
@@ -36,16 +43,20 @@ from pyspark.sql import functions as F
 from reelhouse.llm.blobs import changes
 from reelhouse.llm.components import components, stored
 from reelhouse.llm.rows import chosen, over_batches
+from reelhouse.operators.joins import join_unique
 from reelhouse.session import scratch_dir
 
 WORDS = 5
 PERCENT = 85
 REGISTERS = 128
-MANTISSA = 10
+MANTISSA = 26
 PER_BAND = 4
 SIGMAS = 5.0
+SKETCHES = 1024
 MEMBERS = 256
-EMPTY = 0xFFFF
+#: Shingles for which a block of a family is counted as full, whatever its number of nodes.
+BLOCK_SHINGLES = 1 << 19
+EMPTY = 0xFFFFFFFF
 #: Chance that two unrelated registers agree: in the octave, and then in all mantissa bits.
 CHANCE = 0.34 / (1 << MANTISSA)
 #: Texts that are hashed at a time, and words whose hashes are kept.
@@ -118,7 +129,7 @@ def _multiplier(k: int) -> np.uint64:
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
     """One row of `REGISTERS` compressed registers per sorted set."""
     bits = REGISTERS.bit_length() - 1
-    out = np.full((len(sets), REGISTERS), EMPTY, np.uint16)
+    out = np.full((len(sets), REGISTERS), EMPTY, np.uint32)
     if not any(map(len, sets)):
         return out
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -127,7 +138,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     first = changes(row, bucket)
     least = (values[first] << np.uint64(bits)) >> np.uint64(12)  # 52 bits, exact as doubles
     fraction, exponent = np.frexp(least.astype(np.float64))
-    zeros = np.minimum(52 - exponent, 62)
+    zeros = np.minimum(52 - exponent, 62).astype(np.int64)
     after = ((fraction * 2 - 1) * (1 << MANTISSA)).astype(np.int64)
     out[row[first], bucket[first]] = (zeros << MANTISSA) | np.where(least > 0, after, 0)
     return out
@@ -135,11 +146,13 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 def band_values(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, band value) for all bands that hold a register."""
-    rows, bands = len(sketch), REGISTERS // PER_BAND
-    packed = np.ascontiguousarray(sketch).view(np.uint64).reshape(rows, bands)
-    salt = np.arange(1, bands + 1, dtype=np.uint64) * _ODD[0]
-    row, band = np.nonzero(packed != np.uint64(0xFFFFFFFFFFFFFFFF))
-    return row, _mixed(packed[row, band] + salt[band]).view(np.int64)
+    bands = REGISTERS // PER_BAND
+    grouped = np.ascontiguousarray(sketch).reshape(len(sketch), bands, PER_BAND)
+    row, band = np.nonzero((grouped != EMPTY).any(axis=2))
+    value = (band.astype(np.uint64) + np.uint64(1)) * _ODD[0]
+    for k in range(PER_BAND):
+        value = _mixed(value + grouped[row, band, k]) * _ODD[1]
+    return row, value.view(np.int64)
 
 
 def estimates(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +198,7 @@ def _bands(nodes: DataFrame) -> DataFrame:
 
     def make():
         def run(keys, n, packed):
-            sketch = np.frombuffer(b"".join(packed.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            sketch = np.frombuffer(b"".join(packed.to_pylist()), np.uint32).reshape(-1, REGISTERS)
             row, band = band_values(sketch)
             row = pa.array(row)
             return pa.array(band), keys.take(row), n.take(row)
@@ -226,23 +239,22 @@ def _with_ends(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFr
     return pairs
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, percent: int, estimate: bool = True) -> DataFrame:
+def confirmed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; sketches are asked first."""
-    if estimate:
 
-        def by_sketch():
-            def run(a, b, left, right):
-                left, right = (
-                    np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                    for c in (left, right)
-                )
-                keep = pa.array(may_link(left, right, percent))
-                return a.filter(keep), b.filter(keep)
+    def by_sketch():
+        def run(a, b, left, right):
+            left, right = (
+                np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, REGISTERS)
+                for c in (left, right)
+            )
+            keep = pa.array(may_link(left, right, percent))
+            return a.filter(keep), b.filter(keep)
 
-            return run
+        return run
 
-        both = _with_ends(pairs, nodes, ["sketch"]).select("a", "b", "a_sketch", "b_sketch")
-        pairs = over_batches(both, by_sketch, "a binary, b binary")
+    both = _with_ends(pairs, nodes, ["sketch"]).select("a", "b", "a_sketch", "b_sketch")
+    pairs = over_batches(both, by_sketch, "a binary, b binary")
 
     def by_sets():
         def run(a, b, left, right):
@@ -265,52 +277,145 @@ def _comparable(percent: int, x: str, y: str):
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def _across(rest: DataFrame, percent: int, groups: int) -> DataFrame:
-    """Candidate pairs between components in buckets that hold several.
+def _met(rest: DataFrame, group: str, blocks, stray_blocks, columns: list[str], parts: int) -> DataFrame:
+    """Every meeting of a block of a group's nodes with a block of its strays.
 
-    `rest`: band, key, n, sketch, component, main (component of the least node), size, strays.
+    Strays are the nodes outside the component `main`. `part` gathers meetings for one call.
     """
-    blocks = F.greatest(F.ceil(F.col("size") / MEMBERS), F.lit(1))
-    stray_blocks = F.greatest(F.ceil(F.col("strays") / MEMBERS), F.lit(1))
-    own = F.pmod(F.xxhash64("key"), blocks)
-    own_stray = F.pmod(F.xxhash64("key"), stray_blocks)
-    columns = ["band", "key", "n", "sketch", "component"]
+    own, own_stray = F.pmod(F.xxhash64("key"), blocks), F.pmod(F.xxhash64("key"), stray_blocks)
+    wanted = [group, "key", "n", "component", *columns]
     members = rest.select(
-        *columns, F.lit(False).alias("stray"), own.alias("m"), F.explode(F.sequence(F.lit(0), stray_blocks - 1)).alias("s")
+        *wanted,
+        F.lit(False).alias("stray"),
+        own.alias("m"),
+        F.explode(F.sequence(F.lit(0).cast("long"), stray_blocks - 1)).alias("s"),
     )
-    strays = rest.filter(F.col("component") != F.col("main")).select(
-        *columns, F.lit(True).alias("stray"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("m"), own_stray.alias("s")
+    strays = rest.filter("component != main").select(
+        *wanted,
+        F.lit(True).alias("stray"),
+        F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("m"),
+        own_stray.alias("s"),
     )
-    met = members.union(strays).withColumn("part", F.pmod(F.xxhash64("band", "m", "s"), F.lit(groups)))
+    return members.union(strays).withColumn("part", F.pmod(F.xxhash64(group, "m", "s"), F.lit(parts)))
+
+
+class _Meetings:
+    """The rows of one call in the order of their meetings."""
+
+    def __init__(self, table: pa.Table, group: str):
+        names = table[group].to_pylist()
+        number = {n: i for i, n in enumerate(sorted(set(names)))}
+        where = [np.array([number[n] for n in names])] + [table[c].to_numpy() for c in ("m", "s")]
+        order = np.lexsort(where)
+        table = table.take(pa.array(order))
+        self.n = table["n"].to_numpy()
+        self.stray = np.array(table["stray"].to_pylist(), bool)
+        self.keys, self.components = table["key"].to_pylist(), table["component"].to_pylist()
+        of: dict = {}
+        self.label = np.array([of.setdefault(c, len(of)) for c in self.components])
+        blobs = b"".join(table["sketch"].to_pylist())
+        self.sketch = np.frombuffer(blobs, np.uint32).reshape(-1, REGISTERS)
+        self.table = table
+        self.starts = np.flatnonzero(changes(*(w[order] for w in where)))
+
+    def links(self, percent: int, similar=None):
+        """(stray, other) places that join two components, in the order they are found.
+
+        `similar(stray, others)` says which of some others are linked; without it, estimates that
+        pass are enough.
+        """
+        n = self.n
+        for a, b in zip(self.starts, np.append(self.starts[1:], len(n)), strict=True):
+            label = self.label[a:b].copy()
+            right = np.flatnonzero(~self.stray[a:b])
+            for x in np.flatnonzero(self.stray[a:b]):
+                others = right[label[right] != label[x]]
+                small, large = np.minimum(n[a + x], n[a + others]), np.maximum(n[a + x], n[a + others])
+                others = others[small * 100 >= large * percent]
+                if len(others):
+                    others = others[may_link(self.sketch[a + x][None, :], self.sketch[a + others], percent)]
+                if len(others) and similar is not None:
+                    others = others[similar(a + x, a + others)]
+                if len(others):
+                    joined, first = np.unique(label[others], return_index=True)
+                    for y in others[first]:
+                        yield a + x, a + y
+                    label[np.isin(label, joined)] = label[x]
+
+
+_PAIRS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+
+def _pairs(pairs) -> pa.Table:
+    pairs = sorted({tuple(sorted(p)) for p in pairs})
+    return pa.table([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], schema=_PAIRS)
+
+
+def _families(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs of components (a, b) that connect those with estimates that pass."""
 
     def run(table: pa.Table) -> pa.Table:
-        group = np.stack([table[c].to_numpy() for c in ("band", "m", "s")])
-        order = np.lexsort(group)
-        table, group = table.take(pa.array(order)), group[:, order]
-        n = table["n"].to_numpy()
-        stray = np.array(table["stray"].to_pylist(), bool)
-        keys, names = table["key"].to_pylist(), table["component"].to_pylist()
-        number: dict = {}
-        component = np.array([number.setdefault(c, len(number)) for c in names])
-        packed = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        starts = np.flatnonzero(changes(*group))
-        found = set()
-        for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
-            left, right = a + np.flatnonzero(stray[a:b]), a + np.flatnonzero(~stray[a:b])
-            for x in left:
-                small = np.minimum(n[x], n[right]) * 100 >= np.maximum(n[x], n[right]) * percent
-                others = right[(component[right] != component[x]) & small]
-                if len(others):
-                    others = others[may_link(packed[x][None, :], packed[others], percent)]
-                    found.update(tuple(sorted((keys[x], keys[y]))) for y in others)
-        pairs = sorted(found)
-        return pa.table(
-            {"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())}
-        )
+        m = _Meetings(table, "band")
+        return _pairs((m.components[x], m.components[y]) for x, y in m.links(percent))
+
+    return met.groupBy("part").applyInArrow(run, "a binary, b binary").distinct()
+
+
+def _joining_links(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes (a, b), confirmed on their full sets, that join components of a family."""
+
+    def run(table: pa.Table) -> pa.Table:
+        m = _Meetings(table, "family")
+        sets = [np.frombuffer(s, np.uint64) for s in m.table["shingles"].to_pylist()]
+
+        def similar(x: int, others: np.ndarray) -> np.ndarray:
+            own = sets[x]
+            values = np.concatenate([sets[y] for y in others])
+            at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            sizes = m.n[others]
+            both = np.add.reduceat((own[at] == values).astype(np.int64), np.cumsum(sizes) - sizes)
+            return 100 * both >= percent * (len(own) + sizes - both)
+
+        return _pairs((m.keys[x], m.keys[y]) for x, y in m.links(percent, similar))
 
     return met.groupBy("part").applyInArrow(run, "a binary, b binary").distinct()
 
 
+def _links_between(shared: DataFrame, sets: DataFrame, links: DataFrame, percent: int, folder: str) -> DataFrame:
+    """The links that join components which the stars have left apart."""
+    parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = components(links).withColumnsRenamed({"node": "key"})
+    named = (
+        shared.filter("size > 2")
+        .join(found, "key", "left")
+        .select("band", "key", "n", "size", F.coalesce("component", "key").alias("component"))
+    )
+    named = stored(named, f"{folder}/named")
+    mains = named.groupBy("band").agg(
+        F.min_by("component", "key").alias("main"),
+        (F.min("component") != F.max("component")).alias("several"),
+    )
+    mains = mains.filter("several").select("band", "main")
+    rest = join_unique(named, mains, "band").join(sets.select("key", "sketch"), "key")
+    blocks = F.ceil(F.col("size") / SKETCHES)
+    near = stored(_families(_met(rest, "band", blocks, blocks, ["sketch"], parts), percent), f"{folder}/near")
+    families = components(near).select(F.col("node").alias("component"), F.col("component").alias("family"))
+
+    nodes = sets.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    members = stored(nodes.join(families, "component"), f"{folder}/members")
+    sizes = members.groupBy("family", "component").agg(F.count("key").alias("nodes"), F.sum("n").alias("shingles"))
+    sizes = sizes.groupBy("family").agg(
+        F.max_by("component", F.struct("nodes", "component")).alias("main"),
+        F.sum("nodes").alias("all_nodes"),
+        F.sum("shingles").alias("all_shingles"),
+        (F.sum("nodes") - F.max("nodes")).alias("strays"),
+    )
+    rest = join_unique(members, sizes, "family")
+    blocks = F.greatest(F.ceil(F.col("all_nodes") / MEMBERS), F.ceil(F.col("all_shingles") / BLOCK_SHINGLES))
+    stray_blocks = F.greatest(F.ceil(blocks * F.col("strays") / F.col("all_nodes")), F.lit(1).cast("long"))
+    return _joining_links(_met(rest, "family", blocks, stray_blocks, ["sketch", "shingles"], parts), percent)
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = PERCENT,
@@ -325,7 +430,6 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     folder = scratch_dir(spark)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = stored(signatures(docs, words, id_col, text_col), f"{folder}/signatures")
     linkable = signed.filter("n > 0 AND doc_id IS NOT NULL")
     nodes = stored(
@@ -336,7 +440,7 @@ def near_duplicates(
     )
     bands = _bands(nodes)
     buckets = bands.groupBy("band").agg(F.min("key").alias("least"), F.min_by("n", "key").alias("least_n"), F.count("key").alias("size"))
-    shared = stored(bands.join(buckets.filter("size > 1"), "band"), f"{folder}/shared")
+    shared = stored(join_unique(bands, buckets.filter("size > 1"), "band"), f"{folder}/shared")
     star = (
         shared.filter((F.col("key") != F.col("least")) & _comparable(percent, "n", "least_n"))
         .select(F.col("least").alias("a"), F.col("key").alias("b"))
@@ -345,32 +449,17 @@ def near_duplicates(
     members = nodes.join(shared.select("key").distinct(), "key", "left_semi").select("key", "rep", "n", "sketch")
     sets = stored(_sets(members, docs, words, id_col, text_col), f"{folder}/sets")
     links = stored(confirmed(star, sets, percent), f"{folder}/star")
-    found = components(links)
-
-    wide = shared.filter("size > 2")
-    named = wide.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
-    named = stored(named, f"{folder}/named")
-    mains = named.groupBy("band").agg(
-        F.min_by("component", "key").alias("main"),
-        (F.min("component") != F.max("component")).alias("several"),
-    )
-    open_buckets = mains.filter("several").select("band", "main")
-    counted = named.join(open_buckets, "band")
-    strays = counted.filter("component != main").groupBy("band").agg(F.count("key").alias("strays"))
-    rest = counted.join(strays, "band").join(sets.select("key", "sketch"), "key")
-    across = confirmed(_across(rest, percent, partitions), sets, percent, estimate=False)
-    all_links = stored(links.union(across), f"{folder}/links")
+    between = _links_between(shared, sets, links, percent, folder)
+    all_links = stored(links.union(between), f"{folder}/links")
     found = components(all_links)
 
     named = nodes.select("key", "rep").join(found.withColumnRenamed("node", "key"), "key")
     least = named.groupBy("component").agg(F.min("rep").alias("least_rep"))
-    labelled = named.join(least, "component").select("key", "least_rep")
+    labelled = join_unique(named, least, "component").select("key", "least_rep")
     labels = nodes.select("key", "rep").join(labelled, "key", "left").select(
         "key", F.coalesce("least_rep", "rep").alias("component_id")
     )
-    linked = linkable.join(labels, "key").select("doc_id", "n", "component_id", "text_hash")
+    linked = join_unique(linkable, labels, "key").select("doc_id", "n", "component_id", "text_hash")
     alone = signed.filter("n = 0 OR doc_id IS NULL").select(
         "doc_id", "n", F.col("doc_id").alias("component_id"), "text_hash"
     )

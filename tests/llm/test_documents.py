@@ -73,6 +73,7 @@ def test_groups_of_the_table(spark):
 def test_links_between_copies_of_copies_are_not_lost(spark, monkeypatch, members):
     """Families around the threshold, so that stars alone leave their groups in parts."""
     monkeypatch.setattr(near_duplicates, "MEMBERS", members)
+    monkeypatch.setattr(near_duplicates, "SKETCHES", 2 * members)
     rows = [row for seed in range(1, 4) for row in family(seed, 60, 4)]
     want = groups(rows)
     assert 3 < len({c for _, _, c, _ in want}) < len(rows)
@@ -98,10 +99,11 @@ def test_estimates_are_near_the_similarity():
 
 
 def test_registers_keep_zeros_and_mantissa():
-    value = (5 << 57) | (1 << 40) | (0b1100000000 << 30)
+    value = (5 << 57) | (1 << 50) | (0b1100000001 << 40)
     sketch = near_duplicates.sketches([np.array([value], np.uint64)])
-    assert sketch[0, 2] == near_duplicates.EMPTY or (value >> 57) != 2
-    assert sketch[0, value >> 57] == ((57 - 41) << near_duplicates.MANTISSA | 0b1100000000)
+    mantissa = 0b1100000001 << (near_duplicates.MANTISSA - 10)
+    assert sketch[0, 5] == ((57 - 51) << near_duplicates.MANTISSA | mantissa)
+    assert (np.delete(sketch[0], 5) == near_duplicates.EMPTY).all()
 
 
 def test_components_of_a_long_path_and_a_star(spark):
