@@ -488,6 +488,8 @@ def remove_repeats(
     The digest is of the bytes that are left; the text keeps characters of which some byte is
     left. With `carry`, all other columns are kept; measures that clash with one replace it.
     """
+    if length < GRAM:
+        raise ValueError(f"strings must have at least {GRAM} bytes, not {length}")
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     others = [c for c in docs.columns if carry and c not in (id_col, text_col)]
