@@ -39,6 +39,8 @@ K = 20
 BLOCK = 8192
 QUERIES = 4096
 CONFIDENCE = 2.5
+#: What single precision may take from a product, as a share of the lengths' product.
+SLACK = np.float32(1e-4)
 #: Queries that are estimated at a time, so that a matrix of estimates stays small.
 AT_ONCE = 128
 
@@ -116,6 +118,7 @@ class BlockIndex:
         self.ids = np.frombuffer(row["ids"], np.int64)
         n = len(self.ids)
         self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(n, dim)
+        self.single = self.vectors.astype(np.float32)
         bits = np.frombuffer(row["codes"], np.uint8).reshape(n, -1)
         signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
         self.signs = np.ascontiguousarray(signs.T) / np.float32(math.sqrt(dim))
@@ -125,6 +128,7 @@ class BlockIndex:
         self.scale = (sizes / agreement).astype(np.float32)
         spread = np.sqrt(np.maximum(1 / agreement**2 - 1, 0)) / math.sqrt(max(dim - 1, 1))
         self.bound = (sizes * spread).astype(np.float32)
+        self.longest = np.float32(np.linalg.norm(self.vectors, axis=1).max())
 
     def exact(self, queries: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Inner products of pairs, summed in the order of the components."""
@@ -152,13 +156,15 @@ class BlockIndex:
         worst = np.sort(score.reshape(m, first), axis=1)[:, max(0, first - k)]
         if n <= first:
             worst = np.full(m, -np.inf)
-        width = np.linalg.norm(queries, axis=1).astype(np.float32)[:, None] * self.bound
-        maybe = estimate + np.float32(confidence) * width >= (worst - 1e-5)[:, None]
+        lengths = np.linalg.norm(queries, axis=1).astype(np.float32)
+        worst = worst - SLACK * lengths * self.longest
+        # written so that what overflows single precision is looked at
+        maybe = ~(estimate + np.float32(confidence) * lengths[:, None] * self.bound < worst[:, None])
         np.put_along_axis(maybe, best, True, axis=1)
         q, c = np.nonzero(maybe)
         other = self.ids[c] != query_ids[q]
         q, c = q[other], c[other]
-        near = self._approximate(queries, q, c) >= worst[q] - 1e-5
+        near = ~(self._approximate(queries, q, c) < worst[q] - SLACK * lengths[q] * self.longest)
         q, c = q[near], c[near]
         score = self.exact(queries, q, c)
         order = np.lexsort((self.ids[c], -score, q))
@@ -169,11 +175,11 @@ class BlockIndex:
         return query_ids[q[top]], self.ids[c[top]], score[top]
 
     def _approximate(self, queries, q, c) -> np.ndarray:
-        """Inner products of pairs in any order of summation."""
-        out = np.empty(len(q))
+        """Inner products of pairs in single precision, within `SLACK` of the lengths' product."""
+        out, queries = np.empty(len(q), np.float32), queries.astype(np.float32)
         for i in range(0, len(q), 65_536):
             part = slice(i, i + 65_536)
-            out[part] = np.einsum("ij,ij->i", queries[q[part]], self.vectors[c[part]])
+            out[part] = np.einsum("ij,ij->i", queries[q[part]], self.single[c[part]])
         return out
 
 
