@@ -72,6 +72,7 @@ def test_search_of_odd_vectors(spark):
     rows += [(1003, rows[-1][1]), (1001, rows[-2][1]), (1001, rows[-2][1])]  # shared ids, repeated rows
     rows += [(2000, None), (2020, []), (2040, [0.0] * 8), (2060, [1.0, None] + [0.0] * 6)]
     rows += [(2080, [float("nan")] * 8), (2100, [float("inf")] + [0.0] * 7), (None, same)]
+    rows += [(1100 + i, [3e38 - i * 1e36] * 8) for i in range(8)]  # too large for single precision
     rows += [(3000, [1.0, 2.0]), (3001, [2.0, 1.0]), (3020, [-1.0])]  # other dimensions
     df = spark.createDataFrame([(i, v, None) for i, v in rows], VECTOR_DDL).withColumn("block", F.lit(1))
     # components that are not exact in single precision make scores differ in the last place
