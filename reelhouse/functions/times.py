@@ -9,9 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-_BEGIN = "1970-01-01"
-
-
 def wall_clock(text: Column | str, on_error: str = "fail") -> Column:
     """Date and time of an ISO string as TIMESTAMP_NTZ; fraction and offset are ignored.
 
@@ -40,25 +37,40 @@ def ntz(moment: str | datetime) -> Column:
     return F.lit(str(moment)).cast("timestamp_ntz")
 
 
+def _seconds(moment: Column) -> Column:
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), moment)
+
+
 def stored_moment(text: Column | str) -> Column:
     """The wall clock of an ISO string in seconds since 1970 began; NULL if malformed.
 
     A BIGINT, because Parquet files and row groups are skipped by its statistics. They are not
     by TIMESTAMP_NTZ columns, nor by TIMESTAMP ones as Spark writes them by default.
     """
-    begin = F.lit(_BEGIN).cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", begin, wall_clock(text, on_error="null"))
+    return _seconds(wall_clock(text, on_error="null"))
+
+
+def moment_of(stored: str, text: str) -> Column:
+    """A stored moment. Where it is NULL the text is parsed, so that a malformed string fails the
+    query."""
+    return F.coalesce(F.col(stored), _seconds(wall_clock(text)))
+
+
+def moment_from(moment: str | datetime) -> Column:
+    """The first stored moment at or after a moment."""
+    return F.lit(math.ceil(_since_1970(moment))).cast("bigint")
 
 
-def stored_literal(moment: str | datetime, up: bool = False) -> Column:
-    """A moment as `stored_moment` stores it, rounded down, or `up`, to a whole second."""
+def moment_until(moment: str | datetime) -> Column:
+    """The last stored moment at or before a moment."""
+    return F.lit(math.floor(_since_1970(moment))).cast("bigint")
+
+
+def _since_1970(moment: str | datetime) -> float:
     when = datetime.fromisoformat(moment) if isinstance(moment, str) else moment
-    seconds = (when - datetime.fromisoformat(_BEGIN)).total_seconds()
-    return F.lit(math.ceil(seconds) if up else math.floor(seconds)).cast("bigint")
+    return (when - datetime(1970, 1, 1)).total_seconds()
 
 
-def moment_of(stored: str, text: str) -> Column:
-    """A stored moment as wall clock. Where it is NULL the text is parsed, so that a malformed
-    string fails the query."""
-    wall = F.timestamp_add("SECOND", F.col(stored), F.lit(_BEGIN).cast("timestamp_ntz"))
-    return F.coalesce(wall, wall_clock(text))
+def whole_units(begun: Column, ended: Column, seconds: int) -> Column:
+    """Complete units of some seconds between two stored moments, truncated toward zero."""
+    return F.call_function("div", ended - begun, F.lit(seconds))

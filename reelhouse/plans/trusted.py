@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelhouse.functions.times import (
+    moment_from,
     moment_of,
-    ntz,
-    stored_literal,
+    moment_until,
     stored_moment,
-    whole_hours,
-    whole_minutes,
+    whole_units,
 )
 from reelhouse.operators.joins import join_dimension
 
@@ -73,8 +72,7 @@ def _readable(sessions: DataFrame, near: Column) -> DataFrame:
     second parses the text where no moment is stored; it holds for all moments.
     """
     unread = F.col("start_ts").isNull() | F.col("end_ts").isNull()
-    earliest = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
-    parsed = F.coalesce(F.greatest(_begun(), _ended()) >= earliest, F.lit(True))
+    parsed = F.coalesce(F.greatest(_begun(), _ended()) > F.lit(-(2**62)), F.lit(True))
     return sessions.filter(near | unread).filter(parsed)
 
 
@@ -99,13 +97,12 @@ def users_in_window(
     included; one that spans the whole window is not counted. `mode="overlap"` counts
     every session that was in progress at some point of the window.
     """
-    begin, close = stored_literal(start), stored_literal(end, up=True)
-    first, last, begun, ended = ntz(start), ntz(end), _begun(), _ended()
+    first, last, begun, ended = moment_from(start), moment_until(end), _begun(), _ended()
     if mode == "endpoint":
-        near = F.col("start_ts").between(begin, close) | F.col("end_ts").between(begin, close)
+        near = F.col("start_ts").between(first, last) | F.col("end_ts").between(first, last)
         inside = begun.between(first, last) | ended.between(first, last)
     elif mode == "overlap":
-        near = (F.col("start_ts") <= close) & (F.col("end_ts") >= begin)
+        near = (F.col("start_ts") <= last) & (F.col("end_ts") >= first)
         inside = (begun <= last) & (ended >= first)
     else:
         raise ValueError(f"mode must be 'endpoint' or 'overlap', not {mode!r}")
@@ -172,7 +169,7 @@ def adaptations_by_author_origin(
 
 def mean_session_hours(streams: DataFrame) -> DataFrame:
     """Mean of the sessions' complete hours; each session is truncated before averaging."""
-    hours = whole_hours(_begun(), _ended())
+    hours = whole_units(_begun(), _ended(), 3600)
     return _with_moments(streams).agg(F.avg(hours.cast("double")).alias("mean_hours"))
 
 
@@ -235,9 +232,9 @@ def sessions_past_half(
     begun, ended = _begun(), _ended()
     named = _with_moments(streams).filter(F.col("movie_title").isNotNull())
     recent = (
-        _readable(named, F.col("start_ts") >= stored_literal(since))
-        .filter(begun >= ntz(since))
-        .select("movie_title", "user_email", whole_minutes(begun, ended).alias("minutes"))
+        _readable(named, F.col("start_ts") >= moment_from(since))
+        .filter(begun >= moment_from(since))
+        .select("movie_title", "user_email", whole_units(begun, ended, 60).alias("minutes"))
     )
     # Coalesced, so that no separate null test parses the times a second time.
     long_enough = F.coalesce(F.col("minutes") >= F.col("half_minutes"), F.lit(False))
