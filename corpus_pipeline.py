@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next stage's docs. All but the last return the columns of `documents`, with
 n_chars counted again where the text changed. Every stage works on all rows it is given, whatever
-their number, and reads its settings from the operators' defaults.
+their number, and reads its settings from the operators' defaults; near duplicates are linked from
+a similarity of `near_duplicates.CORPUS_PERCENT` on.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat it exactly go too.
     """
-    groups = near_duplicates.near_duplicates(docs)
+    groups = near_duplicates.near_duplicates(docs, percent=near_duplicates.CORPUS_PERCENT)
     kept = groups.filter("kept").select("doc_id", "text_hash").distinct()
     docs = docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text"))
     same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (docs["text_hash"] == kept["text_hash"])

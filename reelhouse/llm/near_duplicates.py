@@ -23,7 +23,7 @@ So no link that would join groups is lost to the stars, nothing is collected, no
 than two blocks of a group, and the pairs of a group are neither formed nor returned.
 
 With 32 bands of four registers, a pair at the threshold of 85 % misses all bands with a
-probability below 1e-9.
+probability below 1e-9, and one at 80 % with a probability below 5e-8.
 
 Cases: a null or empty text, or one without words, has an empty set and is linked with nothing.
 A text of fewer than five words has one shingle, the whole sequence. Rows with a null id are
@@ -47,7 +47,9 @@ from reelhouse.operators.joins import join_unique
 from reelhouse.session import scratch_dir
 
 WORDS = 5
+#: The threshold of `op1_hyperminhash_dedup`, and that of stages and queries without one of their own.
 PERCENT = 85
+CORPUS_PERCENT = 80
 REGISTERS = 128
 MANTISSA = 26
 PER_BAND = 4

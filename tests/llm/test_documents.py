@@ -339,6 +339,23 @@ def test_stages_against_plain_versions(spark, source):
     assert packed.agg(F.sum("length")).first()[0] == sum(len(t.encode()) for _, t in want[2])
 
 
+def test_the_stage_links_from_80_percent_on(spark):
+    """Pairs with two of 90 to 128 words changed, whose similarities are 0.79 to 0.85."""
+    rows = []
+    for i in range(20):
+        base = [f"s{i}w{k}" for k in range(90 + 2 * i)]
+        copy = [f"x{k}" if k in (30, 70) else w for k, w in enumerate(base)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    kept = {p: [d for d, *_, k in groups(rows, p) if k] for p in (80, 85)}
+    assert len(kept[80]) < len(kept[85]) - 10
+    df = odd(spark, [(d, t, "en", "a", len(t)) for d, t in rows])
+    got = dict(corpus_pipeline.STAGES)["minhash_near_dedup"](spark, df, SMALL).collect()
+    assert sorted(r.doc_id for r in got) == kept[80]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = dict(corpus_pipeline.STAGES)["minhash_near_dedup"](spark, docs, SMALL).collect()
+    assert sorted(r.doc_id for r in got) == sorted(d for d, *_, k in groups(texts_of(docs), 80) if k)
+
+
 def test_pipeline_of_nothing(spark):
     docs = odd(spark, [])
     for _, stage in corpus_pipeline.STAGES:
