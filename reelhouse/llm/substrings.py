@@ -22,8 +22,8 @@ shards are counted by `spark.sql.shuffle.partitions`. Nothing is collected or br
 
 Cases: a null text has no bytes and stays null in the output text. Texts shorter than `length`
 are left alone. A null id sorts last. Identical rows are one document, so neither removes the
-other's bytes; rows that share an id but not their text are ordered by a hash of the text. An
-empty table gives an empty result. Other columns are carried along, whatever their names.
+other's bytes; rows that share an id, or have none, but not their text are told apart and ordered by a
+64-bit hash of the text. An empty table gives an empty result. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -53,14 +53,14 @@ GROUP = SEGMENT = 1 << 17
 PARTS = 16
 
 PLACES = Layout(
-    key_hi="u2", key_lo="u4", same="u8", doc="i8", text="u2", start="u4", more="u1", left="u1"
+    key_hi="u2", key_lo="u4", same="u8", doc="i8", text="i8", start="u4", more="u1", left="u1"
 )
-SPANS = Layout(doc="i8", text="u2", start="u4", size="u4")
+SPANS = Layout(doc="i8", text="i8", start="u4", size="u4")
 WANTED = Layout(
-    key_hi="u2", key_lo="u4", doc="i8", text="u2", start="u4", more="u1", left="u1", hot="u1"
+    key_hi="u2", key_lo="u4", doc="i8", text="i8", start="u4", more="u1", left="u1", hot="u1"
 )
-CONTEXTS = Layout(doc="i8", text="u2", start="u4", more="u1", part="u1")
-WINDOWS = Layout(key="u8", same="u8", doc="i8", text="u2", start="u4")
+CONTEXTS = Layout(doc="i8", text="i8", start="u4", more="u1", part="u1")
+WINDOWS = Layout(key="u8", same="u8", doc="i8", text="i8", start="u4")
 
 _ODD = [
     np.uint64(c)
@@ -194,7 +194,7 @@ def merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple:
 
 def _identity(ids: pa.Array, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     doc = ids.cast(pa.int64()).fill_null(_LAST).to_numpy(zero_copy_only=False)
-    return doc, np.array([xxhash.xxh3_64_intdigest(t) & 0xFFFF for t in texts], np.uint16)
+    return doc, np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
 
 
 def _place_rows(length: int, buckets: int):
@@ -378,7 +378,7 @@ def _settle_shard(length: int, buckets: int):
 def _packed(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows with their bucket, identity and compressed text; null texts stay null."""
     fields = [f for f in docs.schema.fields if f.name != "_text"]
-    struct = T.StructType.fromDDL("bucket long, _doc long, _hash int, _packed binary")
+    struct = T.StructType.fromDDL("bucket long, _doc long, _hash long, _packed binary")
     struct = T.StructType([*struct.fields, *fields])
 
     def run(batches):
@@ -390,7 +390,7 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
             made = [
                 pa.array(home(doc, text, buckets)),
                 pa.array(doc),
-                pa.array(text.astype(np.int32)),
+                pa.array(text),
                 pa.array([None if t is None else squeeze.compress(t) for t in texts], pa.binary()),
             ]
             rest = [batch.column(f.name) for f in fields]
@@ -413,7 +413,7 @@ def _texts(docs: pa.Table) -> dict[tuple[int, int], bytes]:
 def _spans_of(table: pa.Table) -> dict[tuple[int, int], list[tuple[int, int]]]:
     """Maximal removed runs of each document."""
     s = SPANS.unpack(table["blob"].to_pylist())
-    pairs = np.empty(len(s["doc"]), [("doc", "i8"), ("text", "u2")])
+    pairs = np.empty(len(s["doc"]), [("doc", "i8"), ("text", "i8")])
     pairs["doc"], pairs["text"] = s["doc"], s["text"]
     names, owner = np.unique(pairs, return_inverse=True)
     owner, start, end = merged(owner, s["start"], s["start"].astype(np.int64) + s["size"])

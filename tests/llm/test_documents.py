@@ -151,6 +151,25 @@ def test_rows_with_one_id_and_different_texts(spark):
     assert found_digests(df) == ordered(repeats_digest(as_bytes(rows)))
 
 
+def test_many_texts_without_an_id(spark):
+    """A third of 6000 texts repeat a passage of another one; the others lose nothing."""
+    rnd = random.Random(8)
+    texts = [" ".join(f"{rnd.randrange(10**9)}" for _ in range(30)) for _ in range(6000)]
+    passages = {i: f"<{rnd.random()}{texts[i][:120]}>" for i in range(2000)}
+    for i, passage in passages.items():
+        texts[i] = f"{texts[i][120:]}a{passage}b"
+        texts[2000 + i] = f"{texts[2000 + i]}c{passage}d"
+    rows = [(None, t, "en", str(i), 0) for i, t in enumerate(texts)]
+    left = substrings.remove_repeats(spark.createDataFrame(rows, DOCUMENT_DDL)).collect()
+    got = {int(r.source): r.text for r in left}
+    assert len(left) == len(got) == len(texts)
+    for i, passage in passages.items():
+        pair = (texts[i], texts[2000 + i])
+        cut = tuple(t.replace(passage, "") for t in pair)
+        assert (got[i], got[2000 + i]) in ((cut[0], pair[1]), (pair[0], cut[1]))
+    assert all(got[i] == texts[i] for i in range(4000, 6000))
+
+
 def test_segments_of_a_long_text_do_not_matter(spark, monkeypatch):
     monkeypatch.setattr(substrings, "SEGMENT", 300)
     monkeypatch.setattr(substrings, "GROUP", 700)
