@@ -11,8 +11,14 @@ are dealt to shards of about `SHARD` by a hash of their id, so a hot source or c
 over all shards, and a shard's search is bounded by its size. Bitmaps number the sources and
 clusters of their shard.
 
-Scale: one count of the pieces, then one shuffle of (id, source, cluster, length); texts are
-never shuffled. The result is the same for any number of partitions.
+With `percent`, the clusters are the groups of near duplicates of that similarity, found on the
+lower-cased texts; texts without words, and all texts without `percent`, have the digest of the
+lower-cased text as theirs. Rows with a null id take part under a hash of their text, and rows that
+share an id are told apart by theirs, so a copy conflicts whatever its id is.
+
+Scale: one count of the pieces, then one shuffle of (id, source, cluster, length), and with
+`percent` a join of these to the groups; packing itself shuffles no texts. The result is the same
+for any number of partitions.
 
 Cases: a null or empty text is one piece of length 0, which takes a place in a bin like any
 other. Null sources conflict with each other, and so do null clusters. Null ids come first in
@@ -28,6 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelhouse.llm.components import stored
+from reelhouse.llm.near_duplicates import near_duplicates
+from reelhouse.operators.joins import join_unique
+from reelhouse.session import scratch_dir
+
 #: Room of a bin, in bytes of text, and pieces for each shard.
 CAPACITY = 8192
 SHARD = 1024
@@ -99,15 +110,29 @@ def _pack_shard(capacity: int):
 
 
 def pieces_of(
-    docs: DataFrame, capacity: int, id_col: str, length, source_col: str, cluster
+    docs: DataFrame,
+    capacity: int,
+    id_col: str,
+    length,
+    source_col: str,
+    cluster,
+    copy=None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per piece, with its place in the document."""
+    """One row per piece, with its place in the document.
+
+    `groups`: (copy, group), which replaces the cluster of documents whose `copy` it holds.
+    """
     measured = docs.select(
         docs[f"`{id_col}`"].cast("long").alias("doc_id"),
         F.coalesce(length, F.lit(0)).cast("long").alias("size"),
         docs[f"`{source_col}`"].cast("string").alias("source"),
         cluster.alias("cluster"),
+        *([] if copy is None else [copy.alias("copy")]),
     )
+    if copy is not None:
+        measured = join_unique(measured, groups, "copy", "left").drop("copy")
+        measured = measured.withColumn("cluster", F.coalesce("group", "cluster")).drop("group")
     last = F.greatest(F.ceil(F.col("size") / capacity) - 1, F.lit(0))
     return (
         measured.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
@@ -117,6 +142,15 @@ def pieces_of(
     )
 
 
+def _near_groups(docs: DataFrame, percent: int) -> DataFrame:
+    """(copy, group) of every document with words, each once."""
+    found = near_duplicates(docs, percent).filter("n_shingles > 0").select(
+        F.struct("doc_id", "text_hash").alias("copy"), F.col("component_id").cast("string").alias("group")
+    )
+    folder = f"{scratch_dir(docs.sparkSession)}/groups"
+    return stored(found.groupBy("copy").agg(F.min("group").alias("group")), folder)
+
+
 def pack(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -125,16 +159,23 @@ def pack(
     text_col: str = "text",
     source_col: str = "source",
     cluster=None,
+    percent: int | None = None,
 ) -> DataFrame:
     """One row of `RESULT` per piece; pieces with one bin_id form a sequence, in order of place.
 
     Lengths are bytes of text. `cluster`: a string column that is equal for duplicates; by
-    default a digest of the lower-cased text.
+    default a digest of the lower-cased text. `percent`: near duplicates of that similarity are
+    duplicates too.
     """
     text = docs[f"`{text_col}`"]
     if cluster is None:
         cluster = F.md5(F.lower(text))
-    pieces = pieces_of(docs, capacity, id_col, F.octet_length(text), source_col, cluster)
+    copy = groups = None
+    if percent is not None:
+        own_id = F.coalesce(docs[f"`{id_col}`"].cast("long"), F.xxhash64(F.lower(text)))
+        copy = F.struct(own_id.alias("doc_id"), F.xxhash64(F.lower(text)).alias("text_hash"))
+        groups = _near_groups(docs.select(own_id.alias("doc_id"), F.lower(text).alias("text")), percent)
+    pieces = pieces_of(docs, capacity, id_col, F.octet_length(text), source_col, cluster, copy, groups)
     sizes = docs.agg(
         F.sum(F.greatest(F.ceil(F.octet_length(text) / capacity), F.lit(1))), F.count(F.lit(1))
     ).first()

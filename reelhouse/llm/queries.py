@@ -52,8 +52,8 @@ def op7_crf_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequences of 8192 bytes from all documents; no two of a source or copies in one."""
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """Sequences of 8192 bytes from all documents; no two of a source or near copies in one."""
+    return packing.pack(table(spark, sf_dir, "documents"), percent=near_duplicates.CORPUS_PERCENT)
 
 
 def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -323,6 +323,27 @@ def test_shards_are_packed_as_the_plain_version_does(spark):
         assert [r.bin_id & 0xFFFFF for r in members] == plain
 
 
+def test_near_copies_never_share_a_bin(spark, tmp_path):
+    """Near copies, copies in capitals and copies without an id, all from different sources."""
+    rows = []
+    for i in range(30):
+        base = [f"s{i}w{k}é" for k in range(91 + i)]
+        copy = [f"x{k}" if k in (30, 70) else w for k, w in enumerate(base)]
+        third = [f"y{k}" if k == 50 else w for k, w in enumerate(base)]
+        rows += [(3 * i, " ".join(base)), (3 * i + 1, " ".join(copy))]
+        rows += [(3 * i + 2, " ".join(base).upper()), (None, " ".join(third))]
+    near = {d: c for d, _, c, _ in groups([(i, (t or "").lower()) for i, (_, t) in enumerate(rows)], 80)}
+    assert len(set(near.values())) < 45
+    full = [(d, t, "en", str(i), len(t)) for i, (d, t) in enumerate(rows)]
+    spark.createDataFrame(full, DOCUMENT_DDL).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op8_conflict_packing"](spark, str(tmp_path)).collect()
+    number = {(d, len(t.encode())): i for i, (d, t) in enumerate(rows)}
+    assert len(got) == len(rows) == len(number)
+    placed = [(r.bin_id, near[number[r.doc_id, r.length]]) for r in got]
+    assert len({b for b, _ in placed}) < len(rows) / 4
+    assert len(set(placed)) == len(placed)
+
+
 # pipeline
 
 
