@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from html import unescape
 
 #: Fixed values of HTML: elements by how they are read.
-RAW = frozenset("script style textarea title noscript template iframe svg canvas object".split())
+RAW = frozenset("script style textarea title noscript iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q ruby rp "
-    "rt s samp small span strike strong sub sup time tt u var wbr img input br button select".split()
+    "rt s samp small span strike strong sub sup svg time tt u var wbr img input br button select".split()
 )
 #: An opening tag of the key closes an open element of the value inside the same parent.
 CLOSES = {
@@ -29,11 +29,19 @@ CLOSES |= {
     for t in "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr "
     "main nav ol pre section table ul figure".split()
 }
-_STOPS = frozenset("ul ol table dl div article section body td select".split())
+_STOPS = frozenset("ul ol table dl div article section body td select object template".split())
+#: Opening tags that end an open drawing (svg), and elements of a drawing that are not drawn.
+_LEAVES = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var "
+    "article aside footer form header main nav section".split()
+)
+_UNDRAWN = frozenset("title desc metadata style script".split())
 #: Elements whose presence among the ancestors is a feature.
 MARKED = frozenset(
     "nav header footer aside form article main section table ul ol li td th dl figure figcaption "
-    "blockquote pre button label select option fieldset address details dialog menu body".split()
+    "blockquote pre button label select option fieldset address details dialog menu body "
+    "svg canvas object template".split()
 )
 #: Word parts of class, id and role values, and the group that each stands for.
 NAMES = {
@@ -89,6 +97,7 @@ def leaf_blocks(page: str) -> list[Block]:
     stack: list[tuple[str, frozenset[str], int, int]] = [("", frozenset(), 0, 0)]
     parts: list[str] = []
     linked, links, number, at, size = 0, 0, 0, 0, len(page)
+    unclosed: set[str] = set()  # undrawn elements that no later tag closes
 
     def finish() -> None:
         nonlocal linked
@@ -115,6 +124,34 @@ def leaf_blocks(page: str) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if stack[-1][0] == "svg":
+            # shapes and their text are part of the block around the drawing
+            if tag == "text":
+                parts.append(" ")
+            if m[1]:
+                if all(e[0] != tag for e in stack):
+                    if tag == "a":
+                        links = 0
+                    continue
+            elif tag in _LEAVES:
+                while stack[-1][0] == "svg":
+                    stack.pop()
+            elif m[3].endswith("/>"):
+                continue
+            elif tag in _UNDRAWN:
+                if tag not in unclosed:
+                    end = re.compile(f"</{tag}[^>]*>|(?=</svg)", re.I).search(page, at)
+                    if end:
+                        at = end.end()
+                    else:
+                        unclosed.add(tag)
+                continue
+            elif tag not in ("svg", "foreignobject"):
+                if tag == "a":
+                    links = 1
+                continue
+        elif tag == "svg" and not m[1] and m[3].endswith("/>"):
+            continue
         if tag == "br":
             parts.append(" ")
             continue

@@ -9,7 +9,8 @@ have the same parent, and Viterbi gives the best labels. It is fitted once on th
 One narrow pass over the pages, without a shuffle.
 
 Cases: a null or empty page, and one without main text, gives an empty text. Unclosed tags,
-comments and quotes are read as browsers roughly do; what cannot be a tag is text. Rows with null
+comments and quotes are read as browsers roughly do; what cannot be a tag is text. A drawing (svg)
+is part of its line, and what is inside a canvas, object or template is read like the rest. Rows with null
 ids or urls and repeated rows are handled one by one. Other columns are ignored.
 """
 

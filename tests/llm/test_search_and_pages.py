@@ -156,6 +156,47 @@ def test_odd_pages(spark):
     assert extract.extract_text(empty).collect() == []
 
 
+ICONS = [
+    '<svg class="icon" viewBox="0 0 9 9"/>',
+    "<SVG width=9 height=9 />",
+    '<svg viewBox="0 0 9 9"><title>Icon</title><desc/><g><path d="M0 0h9"/><use href="#a"></use></g></svg>',
+    "<svg><style>path{fill:red}</style><metadata>made by hand</metadata><circle r=4></circle></svg>",
+]
+
+
+@pytest.mark.parametrize("icon", ICONS)
+def test_icons_do_not_change_a_page(icon):
+    """In front of the page's parts, at the beginning of its blocks and inside their lines."""
+    field = extract.model()
+    for page, labels in labelled_pages.pages(25, seed=11):
+        marked = re.sub(r"<(p|h1|h2|article|main|li|body)([^>]*)>", lambda m: f"{m[0]}{icon}", page)
+        marked = re.sub(r"<(article|main|section|div)", lambda m: icon + m[0], marked)
+        marked = marked.replace(". ", f".{icon} ")
+        assert marked.count(icon) > len(labels) / 4
+        assert [b.text for b in leaf_blocks(marked)] == [b.text for b in leaf_blocks(page)]
+        assert extract.main_blocks(marked, field) == extract.main_blocks(page, field)
+
+
+@pytest.mark.parametrize(
+    "opening", ["<object data=x>", "<canvas id=c>", "<template>", "<svg class=x>", "<svg><title>", "<object data=x />"]
+)
+def test_unclosed_elements_keep_the_rest_of_the_page(opening):
+    field, sentence = extract.model(), "A plain sentence, with some more words in it. "
+    article = "<article><h1>A heading of some words</h1>" + f"<p>{sentence * 3}</p>" * 4 + "</article>"
+    want = extract.main_blocks(f"<body>{article}</body>", field)
+    assert len(want) == 5
+    assert extract.main_blocks(f"<body>{opening}{article}</body>", field) == want
+    assert extract.main_blocks(f"<body>{article.replace('<p>', opening + '<p>', 1)}</body>", field) == want
+    inside = leaf_blocks("<p>One</p><object><p>Two</p></object><canvas>Three</canvas><template><p>Four</template>")
+    assert [b.text for b in inside] == ["One", "Two", "Three", "Four"]
+    assert ["in:object" in b.marks for b in inside] == [False, True, False, False]
+
+
+def test_text_of_a_drawing_is_kept():
+    drawn = "<div>See <svg><a href=x><text>one</text><text>two</text></a></svg>.</div><svg><foreignObject><p>three</p></foreignObject></svg>"
+    assert [b.text for b in leaf_blocks(drawn)] == ["See one two .", "three"]
+
+
 def test_viterbi_and_gradients():
     rnd = random.Random(7)
     sequences = [[[rnd.choice("abc")] for _ in range(rnd.randint(1, 6))] for _ in range(40)]
