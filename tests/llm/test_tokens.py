@@ -247,30 +247,6 @@ def test_exchange_raises_the_likelihood():
         assert len(set(kind[of == c])) <= 1
 
 
-def test_best_classes_are_those_of_the_greatest_likelihood():
-    rnd = np.random.default_rng(1)
-    pairs = rnd.poisson(rnd.gamma(0.05, 1.0, size=(121, 121))).astype(float)
-    of = np.array([0, *rnd.integers(1, 5, 120)])
-    member = np.eye(5)[of]
-    votes = np.concatenate([pairs.T @ member, pairs @ member, np.diag(pairs)[:, None]], axis=1)
-    best = class_lm.best_exact(votes[1:], of[1:], class_lm.class_table(pairs, of, 4))
-    for w in range(1, 121):
-        moved = [np.where(np.arange(121) == w, c, of) for c in range(1, 5)]
-        values = [likelihood(pairs, m, 4) for m in moved]
-        assert values[best[w - 1] - 1] >= max(values) - 1e-5
-
-
-def test_words_without_a_frequent_neighbour_are_exchanged(spark):
-    """Words of two kinds take turns; the head holds two words that stand in texts of their own."""
-    rnd = random.Random(3)
-    rows = [(i, " ".join(f"{'ab'[k % 2]}{rnd.randrange(30)}" for k in range(40))) for i in range(150)]
-    rows += [(1000 + i, "most often " * 60) for i in range(20)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [r for r in class_lm.text_scores(df, head_words=2, classes=4).collect() if r.doc_id < 1000]
-    # knowing the kind of the next word halves what it can be, which is 0.3 decades a word
-    assert sum(r.score - r.base_score for r in got) > 0.25 * sum(r.n_tokens for r in got)
-
-
 def test_long_texts_fill_chunks(spark):
     rows = [(i, LONG) for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
