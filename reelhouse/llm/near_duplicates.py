@@ -47,8 +47,7 @@ from reelhouse.operators.joins import join_unique
 from reelhouse.session import scratch_dir
 
 WORDS = 5
-#: The threshold of `op1_hyperminhash_dedup`, and that of stages and queries without one of their own.
-PERCENT = 85
+#: The threshold unless a caller states another one.
 CORPUS_PERCENT = 80
 REGISTERS = 128
 MANTISSA = 26
@@ -420,7 +419,7 @@ def _links_between(shared: DataFrame, sets: DataFrame, links: DataFrame, percent
 
 def near_duplicates(
     docs: DataFrame,
-    percent: int = PERCENT,
+    percent: int = CORPUS_PERCENT,
     words: int = WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",

@@ -14,8 +14,8 @@ from reelhouse.session import scratch_dir
 
 
 def op1_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The group of near duplicates of every document."""
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+    """The group of near duplicates of every document, linked from a similarity of 85 % on."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,7 +61,7 @@ def shingles(text, size=5):
     return frozenset(tuple(w[i : i + size]) for i in range(len(w) - size + 1))
 
 
-def groups(rows, percent=85):
+def groups(rows, percent=80):
     """(id, set size, component, kept) of each row, by comparing all sets."""
     sets = [(d, shingles(t)) for d, t in rows]
     parent = {d: d for d, _ in sets if d is not None}
