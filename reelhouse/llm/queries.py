@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import class_lm, counts, extract, near_duplicates, nearest, packing, prefix_bpe, quality, repair, substrings
+from reelhouse.llm import (
+    class_lm,
+    conversations,
+    counts,
+    extract,
+    near_duplicates,
+    nearest,
+    packing,
+    prefix_bpe,
+    quality,
+    repair,
+    resampling,
+    simhash,
+    substrings,
+)
 from reelhouse.llm.rows import table
 from reelhouse.session import scratch_dir
 
@@ -70,6 +84,21 @@ def op10_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and the group that it is linked with."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and place of every document in a draw towards the benchmark's words."""
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and the cheapest edits that repair it."""
+    return conversations.repair_digests(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hyperminhash_dedup": op1_hyperminhash_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -81,9 +110,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_conflict_packing": op8_conflict_packing,
     "op9_prefix_bpe": op9_prefix_bpe,
     "op10_resync_counts": op10_resync_counts,
+    "op11_simhash_dedup": op11_simhash_dedup,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
     "op3_line_quality": quality.SQL,
     "op4_rabitq_search": nearest.SQL,
+    "op12_importance_resampling": resampling.SQL,
 }
