@@ -27,7 +27,7 @@ def create_landing_table(spark: SparkSession, namespace: str, root: str, name: s
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({entity.schema.toDDL()}) USING PARQUET "
-        f"LOCATION {_text(landing_path(root, entity))}"
+        f"OPTIONS ('recursiveFileLookup' 'true') LOCATION {_text(landing_path(root, entity))}"
     )
     return table
 
