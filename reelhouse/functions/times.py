@@ -56,14 +56,22 @@ def moment_of(stored: str, text: str) -> Column:
     return F.coalesce(F.col(stored), _seconds(wall_clock(text)))
 
 
+def second_from(moment: str | datetime) -> int:
+    """The first stored second at or after a moment."""
+    return math.ceil(_since_1970(moment))
+
+
+def second_until(moment: str | datetime) -> int:
+    """The last stored second at or before a moment."""
+    return math.floor(_since_1970(moment))
+
+
 def moment_from(moment: str | datetime) -> Column:
-    """The first stored moment at or after a moment."""
-    return F.lit(math.ceil(_since_1970(moment))).cast("bigint")
+    return F.lit(second_from(moment)).cast("bigint")
 
 
 def moment_until(moment: str | datetime) -> Column:
-    """The last stored moment at or before a moment."""
-    return F.lit(math.floor(_since_1970(moment))).cast("bigint")
+    return F.lit(second_until(moment)).cast("bigint")
 
 
 def _since_1970(moment: str | datetime) -> float:

@@ -117,7 +117,7 @@ def upsert(
             key, (F.col("__target_rows") - 1).alias("__extra")
         )
         merged = merged.unionByName(_copies(join_unique(source, repeated, key), key, "__extra"))
-    return merged
+    return merged.select(target.columns)
 
 
 def _copies(df: DataFrame, key: str, times: str) -> DataFrame:
@@ -153,16 +153,50 @@ def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFram
     return latest.unionByName(df.filter(F.col(key).isNull()))
 
 
-def merge_into_table(source: DataFrame, table: str, key: str) -> None:
+def upsert_newest(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    newest: Sequence[str],
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """The target after merging a stored `source` into it, where the last row of a key by the
+    columns `newest` stays, whether it was in the target or comes with the source.
+
+    Rows that tie are told apart by their values, so any order of several merges gives the same
+    table. A key is kept once; rows without a key all stay. Only target rows whose key the source
+    has are compared; the others pass by without a shuffle if the source's keys are few.
+    """
+    source = source.select(target.columns)
+    keys = _source_keys(source, key).select(key)
+    size = keys.agg(F.sum(row_bytes(keys))).first()[0] or 0
+    bound = broadcast_bound(target) if broadcast_bytes is None else broadcast_bytes
+    keyed, keyless = _with_key(target, key), target.filter(F.col(key).isNull())
+    if size <= bound:
+        kept, met = (keyed.join(F.broadcast(keys), key, how) for how in ("left_anti", "left_semi"))
+    else:
+        kept, met = (join_unique(keyed, keys, key, how) for how in ("left_anti", "left_semi"))
+    last = latest_per_key(met.unionByName(source), key, newest)
+    return kept.unionByName(keyless).unionByName(last).select(target.columns)
+
+
+def merge_into_table(
+    source: DataFrame, table: str, key: str, newest: Sequence[str] = ()
+) -> None:
     """Upsert into a catalog table whose format supports row-level changes.
 
     The table format rewrites only the files it must, which suits large targets with
-    small changes. Plain Parquet tables do not support it.
+    small changes. Plain Parquet tables do not support it. With `newest`, a matched row changes
+    only if the source's comes after it by these columns.
     """
+    later = None
+    if newest:
+        theirs, ours = (F.struct(*(F.col(f"{side}.{c}") for c in newest)) for side in ("source", table))
+        later = theirs > ours
     (
         source.alias("source")
         .mergeInto(table, F.col(f"{table}.{key}") == F.col(f"source.{key}"))
-        .whenMatched()
+        .whenMatched(later)
         .updateAll()
         .whenNotMatched()
         .insertAll()

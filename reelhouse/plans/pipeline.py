@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.operators.joins import settled
-from reelhouse.operators.load import incremental_gate, latest_per_key, upsert
+from reelhouse.operators.load import incremental_gate, latest_per_key, upsert, upsert_newest
 from reelhouse.plans import trusted
+from reelhouse.plans.lineage import run_in_order
 from reelhouse.plans.stage import STAGE_MODELS, RunTime, StageModel
-from reelhouse.session import estimated_bytes, size_shuffles
-from reelhouse.sources.snapshots import SnapshotTable, State
+from reelhouse.session import estimated_bytes, sized_shuffles
+from reelhouse.sources.landing import landing_files, scan
+from reelhouse.sources.snapshots import Facts, SnapshotTable, State
 
 FILE_COLUMNS = ("landed_at", "landed_in")
 SELECTIONS = ("internal", "vendor", "stage", "trusted")
@@ -33,16 +35,38 @@ class Questions:
 
 @dataclass(frozen=True)
 class TrustedModel:
-    """A question and the stage tables it reads, in argument order."""
+    """A question and the stage tables it reads, in argument order.
+
+    `near` tells from the facts of a part of the sessions whether the question needs it.
+    """
 
     name: str
     reads: tuple[str, ...]
     build: Callable[..., DataFrame]
     answer: str
     options: Callable[[Questions], tuple] = field(default=lambda q: ())
+    near: Callable[[Questions], Callable[[Facts], bool]] | None = None
+
+    def run(self, stage: Callable[[str], StoredTable], questions: Questions) -> DataFrame:
+        tables = []
+        for name in self.reads:
+            stored = stage(name)
+            parts = None
+            if name == "streams" and self.near is not None:
+                parts = stored.state.parts_where(self.near(questions))
+            tables.append(stored.table.read(stored.state, parts))
+        return self.build(*tables, *self.options(questions))
+
 
-    def run(self, stage: Mapping[str, DataFrame], questions: Questions) -> DataFrame:
-        return self.build(*[stage[name] for name in self.reads], *self.options(questions))
+@dataclass(frozen=True)
+class StoredTable:
+    """A table in one of its versions."""
+
+    table: SnapshotTable
+    state: State
+
+    def read(self) -> DataFrame:
+        return self.table.read(self.state)
 
 
 TRUSTED_MODELS = {
@@ -57,6 +81,7 @@ TRUSTED_MODELS = {
             trusted.users_in_window,
             "users_affected",
             lambda q: (q.outage_title, q.outage_start, q.outage_end),
+            lambda q: trusted.near_window(q.outage_start, q.outage_end),
         ),
         TrustedModel(
             "adaptations_by_author_origin",
@@ -73,15 +98,18 @@ TRUSTED_MODELS = {
             trusted.users_past_half,
             "users_past_half",
             lambda q: (q.half_since,),
+            lambda q: trusted.near_start(q.half_since),
         ),
     )
 }
 
 
 def snapshot_of(spark: SparkSession, path: str, name: str) -> SnapshotTable:
-    """The stored table of a stage model, in parts if the model has them."""
-    part = STAGE_MODELS[name].part
-    return SnapshotTable(spark, path, part and part())
+    """The stored table of a stage model: in parts of its own, or by its key."""
+    model = STAGE_MODELS[name]
+    if model.part is None:
+        return SnapshotTable(spark, path, key=model.key, facts=model.facts())
+    return SnapshotTable(spark, path, model.part(), facts=model.facts())
 
 
 def stage_table(spark: SparkSession, warehouse: str, name: str) -> SnapshotTable:
@@ -107,6 +135,12 @@ def staged_rows(
     return latest_per_key(staged, model.key, FILE_COLUMNS).drop(*FILE_COLUMNS)
 
 
+def _gate_shut(table: SnapshotTable, state: State, run_ts: RunTime, strict: bool) -> bool:
+    # The gate compares no source row, so one row stands for all of them.
+    one_row = table.spark.range(1)
+    return incremental_gate(one_row, table.read(state), run_ts, strict=strict).isEmpty()
+
+
 def load_stage(
     table: SnapshotTable,
     model: StageModel,
@@ -123,11 +157,44 @@ def load_stage(
     state = table.state()
     if state is None or full_refresh:
         return table.write(staged, model.sort_by, state=state)
-    # The gate compares no source row, so one row stands for all of them.
-    one_row = table.spark.range(1)
-    if incremental_gate(one_row, table.read(state), run_ts, strict=strict).isEmpty():
+    if _gate_shut(table, state, run_ts, strict):
         return state.version
-    return merge_rows(table, model, staged, state=state)
+    return merge_rows(table, model, staged, state=state, taken=state.taken)
+
+
+def load_arrivals(
+    table: SnapshotTable,
+    model: StageModel,
+    root: str,
+    full_refresh: bool = False,
+    run_ts: RunTime = None,
+    strict: bool = False,
+    dedupe: str | None = None,
+) -> int:
+    """Bring a stage table up to date with the landing files below `root`; returns its version.
+
+    The table's commit lists the files that it has taken. Without a table, or on a full refresh,
+    all files make the table. Otherwise, if the gate is open, only files that no commit lists are
+    opened and merged; if there are none, nothing is written. Files that arrive during the run are
+    the next run's. The driver gets the names of the files to read, as Spark's own scan does.
+    """
+    spark, state = table.spark, table.state()
+    whole = state is None or full_refresh
+    if not whole and _gate_shut(table, state, run_ts, strict):
+        return state.version
+    files = landing_files(spark, root, model.name)
+    seen = None if whole else table.ledger(state)
+    if seen is not None:
+        files = files.join(seen, ["landed_in", "landed_at"], "left_anti")
+    files = settled(files)
+    names = [row["landed_in"] for row in files.select("landed_in").collect()]
+    if not names and not whole:
+        return state.version
+    rows = scan(spark, root, model.name, file_times=True, files=names)
+    staged = staged_rows(model, rows, run_ts, dedupe)
+    if whole:
+        return table.write(staged, model.sort_by, state=state, taken=table.take(files))
+    return merge_rows(table, model, staged, state=state, taken=table.take(files, state))
 
 
 def merge_rows(
@@ -137,22 +204,42 @@ def merge_rows(
     stream: str | None = None,
     batch: int | None = None,
     state: State | None = None,
+    taken: tuple[str, ...] = (),
+    newest: tuple[str, ...] = (),
 ) -> int:
     """Merge staged rows into the table, or start it with them; returns the new version.
 
-    Of a table in parts, only the parts that the staged rows belong to are read and written.
+    Of a table in parts, only the parts that the staged rows belong to are read and written; a
+    table whose parts by key have grown too large is written anew, in more of them. With `newest`,
+    columns of both, a key keeps the row that comes last by them, whichever was there first.
     """
     state = state or table.state()
     if state is None:
-        return table.write(staged, model.sort_by, stream, batch)
+        if newest:
+            staged = latest_per_key(staged, model.key, newest)
+        return table.write(staged, model.sort_by, stream, batch, taken=taken)
     staged = settled(staged)
-    parts = None if table.part is None else table.parts_in(staged)
-    merged = upsert(table.read(state, parts), staged, model.key, stored=True)
-    return table.write(merged, model.sort_by, stream, batch, state, parts)
+    parts = None
+    if table.in_parts and not table.crowded(state):
+        parts = table.parts_in(staged, state)
+    target = table.read(state, parts)
+    if newest:
+        merged = upsert_newest(target, staged, model.key, newest)
+    else:
+        merged = upsert(target, staged, model.key, stored=True)
+    return table.write(merged, model.sort_by, stream, batch, state, parts, taken)
+
+
+def edges() -> dict[str, set[str]]:
+    """What each model needs, from what the models themselves read."""
+    stage = {f"stage.{name}": set() for name in STAGE_MODELS}
+    return stage | {
+        f"trusted.{m.name}": {f"stage.{name}" for name in m.reads} for m in TRUSTED_MODELS.values()
+    }
 
 
 def run_pipeline(
-    landing: Mapping[str, DataFrame],
+    landing: Mapping[str, DataFrame] | str,
     warehouse: str,
     full_refresh: bool = True,
     select: str | None = None,
@@ -162,9 +249,14 @@ def run_pipeline(
     strict: bool = False,
     input_bytes: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Run stage models, then trusted models, and return the tables written.
+    """Run stage models and trusted models and return the tables written.
+
+    `landing` is the landing zone's root, or a DataFrame for each entity. From a root, a run with
+    `full_refresh=False` opens only the files that have landed since (`load_arrivals`); DataFrames
+    are merged whole.
 
-    Shuffles are sized for `input_bytes`, by default the size of the landing files.
+    A model starts as soon as those that it reads are done (`lineage.run_in_order`). Shuffles are
+    sized for `input_bytes`, by default the size of the landing files.
 
     `select` limits the run: an origin tag ("internal", "vendor") or a layer ("stage",
     "trusted"). Trusted models read the stage tables as stored, never the landing rows,
@@ -175,26 +267,38 @@ def run_pipeline(
     if select in (None, "trusted") and questions is None:
         raise ValueError("trusted models need their questions")
     spark = SparkSession.active()
+    staged = [m for m in STAGE_MODELS.values() if select in (None, "stage", m.tag)]
     if input_bytes is None:
-        input_bytes = sum(estimated_bytes(df) for df in landing.values())
-    size_shuffles(spark, input_bytes)
-    written: dict[str, DataFrame] = {}
-    for model in STAGE_MODELS.values():
-        if select in (None, "stage", model.tag):
-            table = stage_table(spark, warehouse, model.name)
-            staged = staged_rows(model, landing[model.name], run_ts, dedupe)
-            version = load_stage(table, model, staged, full_refresh, run_ts, strict)
-            written[f"stage.{model.name}"] = table.read(version)
+        frames = (scan(spark, landing, m.name) for m in staged) if isinstance(landing, str) else landing.values()
+        input_bytes = sum(estimated_bytes(df) for df in frames)
+    done: dict[str, StoredTable] = {}
+
+    def stored(name: str, table: SnapshotTable, version: int | None = None) -> StoredTable:
+        done[name] = StoredTable(table, table.state(version))
+        return done[name]
+
+    def stage(name: str) -> StoredTable:
+        return done.get(f"stage.{name}") or stored(f"stage.{name}", stage_table(spark, warehouse, name))
+
+    def load(model: StageModel) -> StoredTable:
+        table = stage_table(spark, warehouse, model.name)
+        if isinstance(landing, str):
+            version = load_arrivals(table, model, landing, full_refresh, run_ts, strict, dedupe)
+        else:
+            rows = staged_rows(model, landing[model.name], run_ts, dedupe)
+            version = load_stage(table, model, rows, full_refresh, run_ts, strict)
+        return stored(f"stage.{model.name}", table, version)
+
+    def answer(model: TrustedModel) -> StoredTable:
+        table = trusted_table(spark, warehouse, model.name)
+        return stored(f"trusted.{model.name}", table, table.write(model.run(stage, questions)))
+
+    models = {f"stage.{m.name}": partial(load, m) for m in staged}
     if select in (None, "trusted"):
-        needed = {name for model in TRUSTED_MODELS.values() for name in model.reads}
-        stage = {name: written.get(f"stage.{name}") for name in needed}
-        for name in (name for name, df in stage.items() if df is None):
-            stage[name] = stage_table(spark, warehouse, name).read()
-        for model in TRUSTED_MODELS.values():
-            table = trusted_table(spark, warehouse, model.name)
-            version = table.write(model.run(stage, questions))
-            written[f"trusted.{model.name}"] = table.read(version)
-    return written
+        models |= {f"trusted.{m.name}": partial(answer, m) for m in TRUSTED_MODELS.values()}
+    with sized_shuffles(spark, input_bytes):
+        written = run_in_order(spark, models, edges())
+    return {name: made.read() for name, made in written.items()}
 
 
 def summary(written: Mapping[str, DataFrame]) -> DataFrame:

@@ -145,10 +145,27 @@ def start_day() -> Column:
     return F.coalesce(day, F.lit("unknown"))
 
 
+def session_bounds() -> dict[str, Column]:
+    """What a part of sessions is known by: the bounds of its moments, and how many rows have a
+    time that cannot be read, which a question about times must find."""
+    unread = [F.col(ts).isNull() & F.col(text).isNotNull() for ts, text in _MOMENTS]
+    return {
+        "start_low": F.min("start_ts"),
+        "start_high": F.max("start_ts"),
+        "end_low": F.min("end_ts"),
+        "end_high": F.max("end_ts"),
+        "unread": F.count_if(unread[0] | unread[1]),
+    }
+
+
+_MOMENTS = (("start_ts", "start_at"), ("end_ts", "end_at"))
+
+
 @dataclass(frozen=True)
 class StageModel:
-    """How an entity is staged: projection, merge key, origin tag, file order, and the part of
-    the stored table that a row belongs to. Rows with one key must belong to one part."""
+    """How an entity is staged: projection, merge key, origin tag, file order, the part of the
+    stored table that a row belongs to (by default a hash of the key), and what is kept of each
+    part. Rows with one key must belong to one part."""
 
     name: str
     build: Callable[..., DataFrame]
@@ -156,13 +173,16 @@ class StageModel:
     tag: str
     sort_by: tuple[str, ...] = ()
     part: Callable[[], Column] | None = None
+    facts: Callable[[], dict[str, Column]] = dict
 
 
 STAGE_MODELS = {
     model.name: model
     for model in (
         StageModel("movies", stage_movies, "title", "internal"),
-        StageModel("streams", stage_streams, "stream_id", "internal", ("start_ts",), start_day),
+        StageModel(
+            "streams", stage_streams, "stream_id", "internal", ("start_ts",), start_day, session_bounds
+        ),
         StageModel("users", stage_users, "user_id", "internal"),
         StageModel("authors", stage_authors, "author_id", "vendor"),
         StageModel("books", stage_books, "book_id", "vendor"),

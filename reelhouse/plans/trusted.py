@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,10 +12,13 @@ from reelhouse.functions.times import (
     moment_from,
     moment_of,
     moment_until,
+    second_from,
+    second_until,
     stored_moment,
     whole_units,
 )
 from reelhouse.operators.joins import join_dimension
+from reelhouse.sources.snapshots import Facts
 
 #: Slices of the bucket that holds the median.
 FINE = 4_096
@@ -76,6 +80,34 @@ def _readable(sessions: DataFrame, near: Column) -> DataFrame:
     return sessions.filter(near | unread).filter(parsed)
 
 
+def near_window(
+    start: str | datetime, end: str | datetime, mode: str = "endpoint"
+) -> Callable[[Facts], bool]:
+    """Whether a part of stored sessions, by its bounds, can hold one that a window is about, or one
+    whose time cannot be read. A part may hold sessions that start before the window."""
+    first, last = second_from(start), second_until(end)
+
+    def near(part: Facts) -> bool:
+        if mode == "overlap":
+            inside = _meets(part, "start", None, last) and _meets(part, "end", first, None)
+        else:
+            inside = _meets(part, "start", first, last) or _meets(part, "end", first, last)
+        return bool(part["unread"]) or inside
+
+    return near
+
+
+def near_start(since: str | datetime) -> Callable[[Facts], bool]:
+    """As `near_window`, for sessions that start at a moment or later."""
+    first = second_from(since)
+    return lambda part: bool(part["unread"]) or _meets(part, "start", first, None)
+
+
+def _meets(part: Facts, end: str, first: int | None, last: int | None) -> bool:
+    low, high = part[f"{end}_low"], part[f"{end}_high"]
+    return low is not None and (last is None or low <= last) and (first is None or high >= first)
+
+
 def _titles(df: DataFrame, streamed: int, reviewed: int) -> DataFrame:
     return df.select(
         F.lower("movie_title").alias("title"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -49,18 +50,34 @@ def estimated_bytes(df: DataFrame) -> int:
     return sum(size for size in sizes if size < UNKNOWN_SIZE)
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Start shuffles with enough partitions for `input_bytes`.
+def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
+    """How many partitions leave at most `TARGET_SHUFFLE_BYTES` of the input in each; the session's
+    own number is the least."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_PARTITIONS, max(least, -(-input_bytes // TARGET_SHUFFLE_BYTES)))
+
+
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """Start shuffles with enough partitions for `input_bytes`; the session's settings come back
+    at the end.
 
     Adaptive execution merges partitions that turn out small, but it never adds any:
-    with the default of 200, a 100 TB shuffle would make 500 GB partitions. The session's own
-    number of partitions is the least.
+    with the default of 200, a 100 TB shuffle would make 500 GB partitions.
     """
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(MAX_PARTITIONS, max(least, -(-input_bytes // TARGET_SHUFFLE_BYTES)))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", TARGET_SHUFFLE_BYTES)
-    return partitions
+    partitions = shuffle_partitions(spark, input_bytes)
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": TARGET_SHUFFLE_BYTES,
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield partitions
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def scratch_dir(spark: SparkSession) -> str:

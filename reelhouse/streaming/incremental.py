@@ -9,7 +9,7 @@ from reelhouse.operators.load import latest_per_key, merge_into_table
 from reelhouse.plans.pipeline import FILE_COLUMNS, merge_rows
 from reelhouse.plans.stage import STAGE_MODELS, RunTime
 from reelhouse.schemas import ENTITIES
-from reelhouse.session import estimated_bytes, size_shuffles
+from reelhouse.session import estimated_bytes, sized_shuffles
 from reelhouse.sources.landing import landing_path, scan
 from reelhouse.sources.snapshots import SnapshotTable
 
@@ -26,6 +26,7 @@ def stream_stage(
     run_ts: RunTime = None,
     dedupe: str | None = None,
     input_bytes: int | None = None,
+    newest: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Start merging an entity's new landing files into its stage table.
 
@@ -36,13 +37,19 @@ def stream_stage(
     changed in place, at a cost that follows the new rows and not the table.
     With `dedupe="latest"` the last landed row of a key wins within a micro-batch;
     otherwise a key that comes twice and is already in the table is an error.
+
+    `newest` names columns of the landing rows, or of their files (`landed_at`, `landed_in`), that
+    are stored with each row. A key then keeps the row that comes last by them over all batches,
+    so an old file that arrives late does not undo a newer one.
     """
     if dedupe not in (None, "latest"):
         raise ValueError(f"dedupe must be None or 'latest', not {dedupe!r}")
     entity, model = ENTITIES[name], STAGE_MODELS[name]
-    size_shuffles(spark, estimated_bytes(scan(spark, root, name)) if input_bytes is None else input_bytes)
+    if input_bytes is None:
+        input_bytes = estimated_bytes(scan(spark, root, name))
     arrivals = (
         spark.readStream.schema(entity.schema)
+        .option("recursiveFileLookup", True)
         .parquet(landing_path(root, entity))
         .select("*", "_metadata.file_modification_time", "_metadata.file_path")
         .withColumnsRenamed(dict(zip(("file_modification_time", "file_path"), FILE_COLUMNS)))
@@ -54,15 +61,18 @@ def stream_stage(
             last = table.last_batch(stream)
             if last is not None and last >= batch_id:
                 return
-        staged = model.build(batch, run_ts, carry=FILE_COLUMNS)
-        if dedupe == "latest":
-            staged = latest_per_key(staged, model.key, FILE_COLUMNS)
-        staged = staged.drop(*FILE_COLUMNS)
+        carried = tuple(dict.fromkeys((*newest, *FILE_COLUMNS)))
+        staged = model.build(batch, run_ts, carry=carried)
+        if newest or dedupe == "latest":
+            staged = latest_per_key(staged, model.key, newest or FILE_COLUMNS)
+        staged = staged.drop(*(c for c in FILE_COLUMNS if c not in newest))
         if isinstance(table, SnapshotTable):
-            merge_rows(table, model, staged, stream, batch_id)
+            merge_rows(table, model, staged, stream, batch_id, newest=newest)
         else:
-            merge_into_table(staged, table, model.key)
+            merge_into_table(staged, table, model.key, newest)
 
     writer = arrivals.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return writer.trigger(**trigger).start()
+    # a stream keeps the settings of the session that it is started in
+    with sized_shuffles(spark, input_bytes):
+        return writer.trigger(**trigger).start()

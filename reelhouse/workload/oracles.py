@@ -312,8 +312,38 @@ FROM (SELECT c_custkey, substring(digits, 1, 3) || '-' || substring(digits, 4, 2
                         || substring(digits, 6, 4) AS number
       FROM (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS digits FROM customer))"""
 
+CSV_REJECTS = f"""
+WITH rows AS (SELECT *, CAST(regexp_extract(title, '#([0-9]+)$', 1) AS INTEGER) % 10 AS bad FROM ({landing("movies")})),
+told AS (
+  SELECT CASE bad WHEN 0 THEN title || ',long,' || original_language || ',' || size_mb
+                  WHEN 1 THEN title || ',' || duration_mins ELSE title END AS record,
+         CASE bad WHEN 0 THEN 'duration_mins is no int' WHEN 1 THEN 'number of fields'
+                  ELSE 'landed' END AS reason
+  FROM rows)
+SELECT * FROM told
+UNION ALL SELECT 'landed', CAST(count(*) FILTER (reason = 'landed') AS VARCHAR) FROM told
+UNION ALL SELECT 'rejected', CAST(count(*) FILTER (reason <> 'landed') AS VARCHAR) FROM told"""
+
+JSON_REJECTS = f"""
+WITH rows AS (SELECT *, CAST(regexp_extract(name, '#([0-9]+)$', 1) AS INTEGER) % 10 AS bad FROM ({landing("books")})),
+told AS (
+  SELECT CASE bad WHEN 0 THEN '{{"name":"' || name || '","pages":"many"}}' WHEN 1 THEN '{{' || name ELSE name END AS record,
+         CASE WHEN bad < 2 THEN 'no record of the declared schema' ELSE 'landed' END AS reason
+  FROM rows)
+SELECT * FROM told
+UNION ALL SELECT 'landed', CAST(count(*) FILTER (reason = 'landed') AS VARCHAR) FROM told
+UNION ALL SELECT 'rejected', CAST(count(*) FILTER (reason <> 'landed') AS VARCHAR) FROM told"""
+
 ENTITIES = ("movies", "streams", "users", "authors", "books", "reviews")
 
+EVENT_ORDER = f"""
+WITH arrived AS (
+  SELECT *, '2024-01-01' AS updated FROM ({stage("reviews", HALVES["reviews"][0])})
+  UNION ALL SELECT * REPLACE (rate + 1 AS rate), '2024-01-02'
+  FROM ({stage("reviews", HALVES["reviews"][1])}))
+SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY updated DESC,
+  {", ".join(f"{column} DESC NULLS LAST" for column in COLUMNS["reviews"].split())}) = 1"""
+
 ORACLES: dict[str, str] = {
     "users_past_half": _with("streams", "movies") + PAST_HALF,
     "adaptation_share": _with("streams", "reviews") + ADAPTATION_SHARE,
@@ -360,11 +390,24 @@ ORACLES: dict[str, str] = {
         f"SELECT * FROM ({landing('users')}) UNION ALL SELECT * FROM ({landing('users')})"
     ),
     "land_json_records": _scan("reviews"),
+    "land_once": (
+        f"SELECT * FROM ({landing('users')}) UNION ALL SELECT * FROM ({landing('users')})"
+    ),
+    "csv_rejects": CSV_REJECTS,
+    "json_rejects": JSON_REJECTS,
     "table_refresh": f"SELECT * REPLACE (pages + 1 AS pages) FROM ({stage('books', 'p_size >= 25')})",
     "incremental_gate": GATE,
     "pipeline_summary": _with(*SUMMARIZED) + ANSWERS,
     "pipeline_reload": _with(*SUMMARIZED, reloaded=True) + ANSWERS,
+    "pipeline_increment": (
+        _with(*SUMMARIZED, reloaded=True) + ANSWERS
+        + "".join(f"\nUNION ALL SELECT 'version of {name}', 2.0::DOUBLE" for name in ENTITIES)
+    ),
     "stream_upserts": _upsert("books", unique=True),
+    "stream_event_order": EVENT_ORDER,
+    "merge_by_parts": _upsert("movies"),
+    "users_in_window_by_parts": _with("streams") + _in_window("endpoint"),
+    "users_past_half_by_parts": _with("streams", "movies") + PAST_HALF,
     **{f"csv_{name}": _scan(name) for name in ("movies", "streams", "users")},
     **{f"json_{name}": _scan(name) for name in ("authors", "books", "reviews")},
     "ingest_internal": f"""

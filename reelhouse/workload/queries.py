@@ -17,8 +17,10 @@ from reelhouse.plans.pipeline import (
     FILE_COLUMNS,
     Questions,
     load_stage,
+    merge_rows,
     run_pipeline,
     snapshot_of,
+    stage_table,
     summary,
 )
 from reelhouse.plans.stage import STAGE_MODELS
@@ -27,7 +29,8 @@ from reelhouse.session import scratch_dir
 from reelhouse.sources.catalog import create_landing_table, create_namespace
 from reelhouse.sources.files import conform
 from reelhouse.sources.landing import ingest, land, read_source, register_sources, scan
-from reelhouse.sources.snapshots import SnapshotTable
+from reelhouse.sources.rejects import ingest_checked, read_rejects
+from reelhouse.sources.snapshots import SnapshotTable, State
 from reelhouse.streaming.incremental import stream_stage
 from reelhouse.workload import views
 
@@ -334,6 +337,32 @@ def _pipeline_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(written)
 
 
+def _pipeline_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answers after two increments over the landing zone, and the version of each stage table:
+    the first run opens all files, the second those that came since, the third finds none."""
+    questions, root = Questions(None, *OUTAGE, SLUG, HALF_SINCE), scratch_dir(spark)
+    landing, warehouse, t = f"{root}/landing", f"{root}/warehouse", views.tables(spark, sf_dir)
+    # One row a key in each arrival; of several files' rows the path would decide.
+    runs = zip(*(_arrivals(name, t) for name in ENTITIES), strict=True)
+    for hour, arrivals in enumerate(runs):
+        for name, df in zip(ENTITIES, arrivals, strict=True):
+            land(_last_of_each(name, df), landing, name)
+        run_pipeline(landing, warehouse, hour == 0, select="stage", run_ts=f"2024-02-23 0{hour}:00:00")
+    written = run_pipeline(landing, warehouse, False, questions=questions, run_ts="2024-02-23 09:00:00")
+    versions = [
+        (f"version of {name}", float(stage_table(spark, warehouse, name).version())) for name in STAGE_MODELS
+    ]
+    return summary(written).unionByName(spark.createDataFrame(versions, "metric string, answer double"))
+
+
+def _last_of_each(name: str, landing: DataFrame) -> DataFrame:
+    """Landing rows whose staged row is the greatest of its key."""
+    model, landed = STAGE_MODELS[name], F.struct(*landing.columns).alias("landed")
+    staged = model.build(landing.select("*", landed), RUN_TS, carry=("landed",)).drop("reference_date")
+    values = F.struct(*(c for c in staged.columns if c != "landed"))
+    return staged.groupBy(model.key).agg(F.max_by("landed", values).alias("landed")).select("landed.*")
+
+
 def _stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals of book files, each merged by a streaming run that then stops. The second one
     replaces rows of the first and brings new ones."""
@@ -347,6 +376,48 @@ def _stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().drop("reference_date")
 
 
+def _stream_event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals of reviews, the later one first. The row that was updated last stays."""
+    root = scratch_dir(spark)
+    table = snapshot_of(spark, f"{root}/warehouse/reviews", "reviews")
+    earlier, later = _arrivals("reviews", views.tables(spark, sf_dir))
+    for arrival, updated in ((later, "2024-01-02"), (earlier, "2024-01-01")):
+        land(arrival.withColumn("updated", F.lit(updated)), root, "reviews")
+        stream_stage(
+            spark, root, "reviews", table, f"{root}/checkpoint", newest=("updated",)
+        ).awaitTermination()
+    return table.read().drop("reference_date")
+
+
+def _merge_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into a stored table that reads and writes only the parts of the new rows' keys."""
+    table, model = snapshot_of(spark, f"{scratch_dir(spark)}/movies", "movies"), STAGE_MODELS["movies"]
+    earlier, later = halves("movies", spark, sf_dir)
+    table.write(earlier)
+    merge_rows(table, model, latest_per_key(later, model.key, []))
+    return table.read().drop("reference_date")
+
+
+def _stored_sessions(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, State]:
+    table, model = snapshot_of(spark, f"{scratch_dir(spark)}/streams", "streams"), STAGE_MODELS["streams"]
+    table.write(_stage("streams", spark, sf_dir), model.sort_by)
+    return table, table.state()
+
+
+def _window_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outage question over a stored table, of which only the parts near the window are opened."""
+    table, state = _stored_sessions(spark, sf_dir)
+    near = table.read(state, state.parts_where(T.near_window(*OUTAGE)))
+    return T.users_in_window(near, None, *OUTAGE)
+
+
+def _past_half_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movies watched to the half, from the parts since a moment."""
+    table, state = _stored_sessions(spark, sf_dir)
+    near = table.read(state, state.parts_where(T.near_start(HALF_SINCE)))
+    return T.users_past_half(near, _stage("movies", spark, sf_dir), HALF_SINCE, with_sessions=True)
+
+
 def _source_files(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> dict[str, str]:
     """Landing views written as files of the kind that their entity arrives in."""
     root, files = scratch_dir(spark), {}
@@ -368,6 +439,50 @@ def _read_source(name: str) -> Query:
     return query
 
 
+def _planted(name: str, spark: SparkSession, sf_dir: str) -> str:
+    """A source file of an entity in which rows of every tenth number do not fit, in two ways."""
+    t, path = views.tables(spark, sf_dir), f"{scratch_dir(spark)}/{name}"
+    number = F.regexp_extract("title" if name == "movies" else "name", "#([0-9]+)$", 1).cast("int")
+    rows = views.landing_view(name, t).withColumn("bad", number % 10)
+    if name == "movies":
+        good = F.to_csv(F.struct(*ENTITIES[name].schema.names))
+        wrong = F.concat_ws(",", "title", F.lit("long"), "original_language", "size_mb")
+        short = F.concat_ws(",", "title", "duration_mins")
+    else:
+        good = F.to_json(F.struct(*ENTITIES[name].schema.names), {"ignoreNullFields": "false"})
+        wrong = F.to_json(F.struct("name", F.lit("many").alias("pages")))
+        short = F.concat(F.lit("{"), "name")
+    line = F.when(F.col("bad") == 0, wrong).when(F.col("bad") == 1, short).otherwise(good)
+    if name == "movies":  # the first row of a partition brings the header of its file
+        header = F.lit(",".join(ENTITIES[name].schema.names) + "\n")
+        first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+        line = F.concat(F.when(first, header).otherwise(""), line)
+    rows.select(line.alias("line")).write.text(path)
+    return path
+
+
+def _rejects(name: str) -> Query:
+    """What was landed of a file with rows that do not fit, and what was rejected, and why."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, title = scratch_dir(spark), "title" if name == "movies" else "name"
+        counts = ingest_checked(spark, {name: _planted(name, spark, sf_dir)}, root)
+        landed = scan(spark, root, name).select(F.col(title).alias("record"), F.lit("landed").alias("reason"))
+        rejected = read_rejects(spark, root, name).select("record", "reason")
+        totals = [("landed", str(counts[name][0])), ("rejected", str(counts[name][1]))]
+        return landed.unionByName(rejected).unionByName(spark.createDataFrame(totals, "record string, reason string"))
+
+    return query
+
+
+def _land_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load that is repeated and another one: two copies, not three."""
+    root = scratch_dir(spark)
+    for load_id in ("2024-02-23", "2024-02-24", "2024-02-23"):
+        land(_view("users", spark, sf_dir), root, "users", load_id=load_id)
+    return scan(spark, root, "users")
+
+
 def _ingest_internal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One column of each entity of a group that was ingested from its source files."""
     shown = {"movies": "title", "streams": "start_at", "users": "last_name"}
@@ -438,11 +553,19 @@ QUERIES: dict[str, Query] = {
     **{f"scan_{name}": _scan(name) for name in ENTITIES},
     "land_append_rows": _land_append_rows,
     "land_json_records": _land_json,
+    "land_once": _land_once,
+    "csv_rejects": _rejects("movies"),
+    "json_rejects": _rejects("books"),
     "table_refresh": _table_refresh,
     "incremental_gate": _incremental_gate,
     "pipeline_summary": _pipeline_summary,
     "pipeline_reload": _pipeline_reload,
+    "pipeline_increment": _pipeline_increment,
     "stream_upserts": _stream_upserts,
+    "stream_event_order": _stream_event_order,
+    "merge_by_parts": _merge_by_parts,
+    "users_in_window_by_parts": _window_by_parts,
+    "users_past_half_by_parts": _past_half_by_parts,
     **{f"csv_{name}": _read_source(name) for name in ("movies", "streams", "users")},
     **{f"json_{name}": _read_source(name) for name in ("authors", "books", "reviews")},
     "ingest_internal": _ingest_internal,

@@ -1,19 +1,25 @@
 """The pipeline end to end, in batches and as a stream."""
 
+import itertools
+import threading
 import time
 from collections import Counter
 from dataclasses import replace
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from reelhouse import schemas
-from reelhouse.operators.load import AmbiguousUpsert
+from reelhouse.operators.load import AmbiguousUpsert, upsert_newest
+from reelhouse.plans import trusted
+from reelhouse.plans.lineage import run_in_order
 from reelhouse.plans.pipeline import (
     STAGE_MODELS,
     TRUSTED_MODELS,
     Questions,
+    StoredTable,
+    edges,
     merge_rows,
     run_pipeline,
     stage_table,
@@ -22,6 +28,7 @@ from reelhouse.plans.pipeline import (
 )
 from reelhouse.schemas import ENTITIES
 from reelhouse.sources.landing import land, scan
+from reelhouse.sources import snapshots
 from reelhouse.sources.snapshots import SnapshotTable
 from reelhouse.streaming.incremental import stream_stage
 
@@ -156,17 +163,233 @@ def test_landing_twice_duplicates_unless_the_latest_row_is_asked_for(spark, tmp_
         run_pipeline(twice, warehouse, questions=ASKED, dedupe="first")
 
 
-def test_shuffles_are_sized_for_the_input(spark, tmp_path, conf):
+def test_shuffles_are_sized_for_the_input(spark, tmp_path, conf, monkeypatch):
     conf(
         shuffle__partitions="8",
         adaptive__coalescePartitions__initialPartitionNum="8",
         adaptive__advisoryPartitionSizeInBytes="64MB",
     )
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    initial, seen = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", []
+    write = SnapshotTable.write
+
+    def spy(*args, **options):
+        seen.append(spark.conf.get(initial))
+        return write(*args, **options)
+
+    monkeypatch.setattr(SnapshotTable, "write", spy)
     run_pipeline(landing(spark), str(tmp_path), select="vendor")
-    assert spark.conf.get(initial) == "8"
+    assert set(seen) == {"8"}
+    seen.clear()
     run_pipeline(landing(spark), str(tmp_path), select="vendor", input_bytes=2**31)
-    assert spark.conf.get(initial) == "16"
+    assert set(seen) == {"16"} and spark.conf.get(initial) == "8"
+
+
+def land_all(spark, root, **rows):
+    for name, df in landing(spark, **rows).items():
+        land(df, root, name)
+
+
+def part_loads(spark, warehouse):
+    return {name: stage_table(spark, warehouse, name).state().loads for name in STAGE_MODELS}
+
+
+def test_a_run_takes_each_landing_file_once(spark, tmp_path):
+    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    land_all(spark, root)
+    first = run_pipeline(root, warehouse, questions=ASKED, run_ts=FIRST)
+    assert answers(first) == EXPECTED
+    loads = part_loads(spark, warehouse)
+    again = run_pipeline(root, warehouse, False, questions=ASKED, run_ts=SECOND)
+    assert answers(again) == EXPECTED and part_loads(spark, warehouse) == loads
+    assert all(stage_table(spark, warehouse, n).version() == 1 for n in STAGE_MODELS)
+    # what was taken is gone, and one day has a new session and a changed one
+    for old in (tmp_path / "landing").rglob("*.parquet"):
+        old.unlink()
+    changed = [
+        ("Heat", "a", 900.0, "2021-12-25T08:00:00Z", "2021-12-25T09:00:00Z"),
+        ("Heat", "d", 100.0, "2021-12-25T08:00:00Z", "2021-12-25T08:40:00Z"),
+    ]
+    land(landing(spark, streams=changed)["streams"], root, "streams")
+    merged = run_pipeline(root, warehouse, False, questions=ASKED, run_ts=SECOND)
+    sizes = {(r.user_email, r.size_mb) for r in merged["stage.streams"].collect()}
+    assert sizes == {("a", 900.0), ("b", 200.0), ("c", 300.0), ("d", 100.0)}
+    assert answers(merged)["users_past_half"] == 3.0
+    after = part_loads(spark, warehouse)
+    moved = {(name, part) for name in loads for part in after[name] if after[name][part] != loads[name].get(part)}
+    assert moved == {("streams", "2021-12-25")}
+    ledger = stage_table(spark, warehouse, "streams")
+    assert ledger.ledger(ledger.state()).count() > 1
+
+
+def test_a_full_refresh_takes_all_files_again(spark, tmp_path):
+    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    land_all(spark, root)
+    run_pipeline(root, warehouse, select="stage")
+    land(landing(spark)["users"], root, "users")
+    written = run_pipeline(root, warehouse, select="stage")
+    assert written["stage.users"].count() == 2
+    table = stage_table(spark, warehouse, "users")
+    files = list((tmp_path / "landing/internal/users").rglob("*.parquet"))
+    assert table.ledger(table.state()).count() == len(files)
+    assert run_pipeline(root, warehouse, False, select="stage")["stage.users"].count() == 2
+    assert table.version() == 2
+
+
+def test_a_failed_run_leaves_its_files_for_the_next(spark, tmp_path, monkeypatch):
+    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    land_all(spark, root)
+    run_pipeline(root, warehouse, select="stage", run_ts=FIRST)
+    land(landing(spark, users=[("C", "D", "cyd@x.org")])["users"], root, "users")
+    with monkeypatch.context() as broken:
+        broken.setattr(SnapshotTable, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_pipeline(root, warehouse, False, select="stage", run_ts=SECOND)
+    written = run_pipeline(root, warehouse, False, select="stage", run_ts=SECOND)
+    assert {r.full_name for r in written["stage.users"].collect()} == {"A B", "C D"}
+
+
+def test_files_that_were_landed_twice_in_one_increment(spark, tmp_path):
+    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    land_all(spark, root)
+    run_pipeline(root, warehouse, select="stage", run_ts=FIRST)
+    for email in ("bob@x.org", "cyd@x.org"):
+        land(landing(spark, users=[("A", "B", email)])["users"], root, "users")
+        time.sleep(0.05)
+    with pytest.raises(AmbiguousUpsert):
+        run_pipeline(root, warehouse, False, select="stage", run_ts=SECOND)
+    written = run_pipeline(root, warehouse, False, select="stage", run_ts=SECOND, dedupe="latest")
+    assert [r.email for r in written["stage.users"].collect()] == ["c*****@x.org"]
+
+
+# reading by time
+
+
+def sessions(spark, *times):
+    rows = [(t, f"u{i}", 1.0, a, b) for i, (t, a, b) in enumerate(times)]
+    return STAGE_MODELS["streams"].build(spark.createDataFrame(rows, schemas.STREAMS))
+
+
+TIMES = (
+    ("Heat", "2024-01-01T10:00:00Z", "2024-01-01T11:00:00Z"),
+    ("Heat", "2024-01-02T23:00:00Z", "2024-01-03T08:30:00Z"),
+    ("Heat", "2024-01-03T09:00:00Z", "2024-01-03T10:00:00Z"),
+    ("Heat", "2024-01-04T10:00:00Z", "2024-01-04T11:00:00Z"),
+    ("Heat", "2024-01-05T10:00:00Z", None),
+)
+WINDOW = ("2024-01-03 08:00:00", "2024-01-03 12:00:00")
+
+
+def ask(table, near, question):
+    state = table.state()
+    parts = state.parts_where(near)
+    return parts, question(table.read(state, parts)).first()[0]
+
+
+def test_questions_about_times_open_only_the_parts_they_need(spark, tmp_path):
+    table, model = stage_table(spark, str(tmp_path), "streams"), STAGE_MODELS["streams"]
+    table.write(sessions(spark, *TIMES), model.sort_by)
+    for folder in list((tmp_path / "stage/streams/data").glob("*/__part=2024-01-0[145]")):
+        folder.rename(tmp_path / folder.name)
+    parts, users = ask(table, trusted.near_window(*WINDOW), lambda s: trusted.users_in_window(s, "Heat", *WINDOW))
+    # the session that starts the day before ends inside
+    assert parts == ["2024-01-02", "2024-01-03"] and users == 2
+    night = ("2024-01-03 00:00:00", "2024-01-03 01:00:00")
+    assert ask(table, trusted.near_window(*night), lambda s: trusted.users_in_window(s, None, *night)) == ([], 0)
+    parts, users = ask(
+        table,
+        trusted.near_window(*night, mode="overlap"),
+        lambda s: trusted.users_in_window(s, None, *night, mode="overlap"),
+    )
+    assert parts == ["2024-01-02"] and users == 1
+
+
+def test_a_time_that_cannot_be_read_is_still_found(spark, tmp_path):
+    table, model = stage_table(spark, str(tmp_path), "streams"), STAGE_MODELS["streams"]
+    table.write(sessions(spark, *TIMES, ("Heat", "2024-01-04T10:00:00Z", "soon")), model.sort_by)
+    state = table.state()
+    assert state.parts_where(trusted.near_window(*WINDOW)) == ["2024-01-02", "2024-01-03", "2024-01-04"]
+    with pytest.raises(PySparkException):
+        ask(table, trusted.near_window(*WINDOW), lambda s: trusted.users_in_window(s, "Heat", *WINDOW))
+
+
+def test_past_half_opens_the_parts_since_its_moment(spark, tmp_path):
+    table, model = stage_table(spark, str(tmp_path), "streams"), STAGE_MODELS["streams"]
+    table.write(sessions(spark, *TIMES), model.sort_by)
+    since = "2024-01-03 09:00:00"
+    movies = spark.createDataFrame([("Heat", 60)], "title string, duration_mins int")
+    parts, users = ask(table, trusted.near_start(since), lambda s: trusted.users_past_half(s, movies, since))
+    assert parts == ["2024-01-03", "2024-01-04", "2024-01-05"] and users == 2
+    assert ask(table, trusted.near_start("2025-01-01 00:00:00"), lambda s: s.selectExpr("count(*)")) == ([], 0)
+
+
+def test_the_pipeline_opens_only_the_parts_it_needs(spark, tmp_path):
+    run_pipeline(landing(spark), str(tmp_path), select="stage")
+    streams, movies = (stage_table(spark, str(tmp_path), n) for n in ("streams", "movies"))
+    opened = []
+
+    class Spy(SnapshotTable):
+        def read(self, version=None, parts=None):
+            opened.append(parts)
+            return super().read(version, parts)
+
+    def stage(name):
+        table = {"streams": streams, "movies": movies}[name]
+        return StoredTable(Spy(spark, table.path, table.part, table.key), table.state())
+
+    asked = replace(ASKED, half_since="2021-12-26 00:00:00")
+    for name, parts in (("users_in_window", ["2021-12-25"]), ("users_past_half", ["2021-12-26"])):
+        assert TRUSTED_MODELS[name].run(stage, asked).first()[0] == 1
+        assert opened[0] == parts
+        opened.clear()
+
+
+# lineage
+
+
+def test_edges_are_those_of_the_models():
+    needs = edges()
+    assert set(needs) == {f"stage.{n}" for n in STAGE_MODELS} | {f"trusted.{n}" for n in TRUSTED_MODELS}
+    assert needs["trusted.users_past_half"] == {"stage.streams", "stage.movies"}
+    assert not any(needs[f"stage.{n}"] for n in STAGE_MODELS)
+
+
+def test_a_model_that_fails_stops_only_what_needs_it(spark, tmp_path):
+    tables = landing(spark)
+    tables["reviews"] = tables["reviews"].withColumn("updated", F.raise_error("lost")).withColumn(
+        "content", F.struct(F.raise_error("lost").cast("string").alias("text"))
+    )
+    with pytest.raises(PySparkException) as caught:
+        run_pipeline(tables, str(tmp_path), questions=ASKED)
+    notes = " ".join(caught.value.__notes__)
+    assert "in stage.reviews" in notes
+    assert "trusted.adaptation_share" in notes and "trusted.adaptations_by_author_origin" in notes
+    for name in TRUSTED_MODELS:
+        stopped = name in ("adaptation_share", "adaptations_by_author_origin")
+        assert (trusted_table(spark, str(tmp_path), name).version() is None) == stopped
+    assert stage_table(spark, str(tmp_path), "authors").read().count() == 1
+
+
+def test_models_run_in_order_and_side_by_side(spark):
+    done, together = [], threading.Barrier(2)
+
+    def model(name, wait=False):
+        def run():
+            if wait:
+                together.wait(30)
+            assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == name
+            done.append(name)
+            return name.upper()
+
+        return run
+
+    models = {"c": model("c"), "a": model("a", True), "b": model("b", True), "d": model("d")}
+    made = run_in_order(spark, models, {"c": {"a", "b"}, "d": {"c", "elsewhere"}})
+    assert made == {n: n.upper() for n in models} and list(made) == list(models)
+    assert set(done[:2]) == {"a", "b"} and done[2:] == ["c", "d"]
+    assert run_in_order(spark, {}, {}) == {}
+
+
+# merges
 
 
 def streams(spark, *rows):
@@ -180,7 +403,7 @@ def test_a_merge_touches_only_its_days(spark, tmp_path):
     merge_rows(table, model, first)
     before = table.state().loads
     days = {"2024-01-01", "2024-01-02", "2024-01-03", "unknown"}
-    assert set(before) - {None} == days
+    assert set(before) == days
     changed = streams(spark, ("b", "2024-01-02"), ("e", "2024-01-02")).withColumn("size_mb", F.lit(9.0))
     assert table.parts_in(changed) == ["2024-01-02"]
     merge_rows(table, model, changed)
@@ -205,6 +428,59 @@ def test_a_merge_of_an_untouched_day_that_cannot_be_read(spark, tmp_path):
     assert sorted(r.movie_title for r in table.read(parts=["2024-01-02"]).collect()) == ["b", "c"]
 
 
+@pytest.mark.parametrize("name", ["movies", "users"])
+def test_a_merge_reads_only_the_parts_of_its_keys(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(snapshots, "PART_BYTES", 20_000)
+    table, model = stage_table(spark, str(tmp_path), name), STAGE_MODELS[name]
+
+    def staged(low, high, value):
+        title = F.concat(F.lit("t"), F.col("id").cast("string"))
+        made = {
+            "movies": [title.alias("title"), F.lit(value).alias("duration_mins"), F.lit("x").alias("original_language"), F.lit(1).alias("size_mb")],
+            "users": [title.alias("first_name"), F.lit("n").alias("last_name"), F.lit(f"{value}@x").alias("email")],
+        }[name]
+        return model.build(spark.range(low, high).select(*made), FIRST)
+
+    staged(0, 4000, 1).write.parquet(str(tmp_path / "rows"))
+    table.write(spark.read.parquet(str(tmp_path / "rows")))
+    before = table.state()
+    assert before.buckets > 3
+    change = staged(17, 18, 2)
+    (part,) = table.parts_in(change, before)
+    folders = {p: tmp_path / f"stage/{name}/data/__load={at}/__part={p}" for p, at in before.loads.items()}
+    for p, folder in folders.items():
+        if p != part:
+            folder.rename(tmp_path / f"away-{p}")
+    merge_rows(table, model, change)
+    after = table.state()
+    assert [p for p in after.loads if after.loads[p] != before.loads[p]] == [part]
+    for p, folder in folders.items():
+        if p != part:
+            (tmp_path / f"away-{p}").rename(folder)
+    assert table.read().count() == 4000 == sum(f["rows"] for f in after.facts.values())
+    assert table.read().columns == table.read(1).columns
+    assert table.read().exceptAll(table.read(1)).count() == 1
+
+
+def test_parts_by_key_are_cut_when_they_have_grown(spark, tmp_path, monkeypatch):
+    table, model = stage_table(spark, str(tmp_path), "users"), STAGE_MODELS["users"]
+
+    def staged(low, high):
+        rows = spark.range(low, high).selectExpr("concat('f', id) AS first_name", "'n' AS last_name", "'a@b' AS email")
+        return model.build(rows, FIRST)
+
+    merge_rows(table, model, staged(0, 3000))
+    assert table.state().buckets == 1
+    monkeypatch.setattr(snapshots, "PART_BYTES", 20_000)
+    assert table.crowded(table.state())
+    merge_rows(table, model, staged(2999, 3001))
+    state = table.state()
+    assert state.buckets > 2 and not table.crowded(state)
+    assert table.read().count() == 3001 == table.read().select("user_id").distinct().count()
+    merge_rows(table, model, staged(3001, 3002))
+    assert len(set(table.state().loads.values())) == 2
+
+
 def test_a_full_refresh_forgets_old_days(spark, tmp_path):
     table, model = stage_table(spark, str(tmp_path), "streams"), STAGE_MODELS["streams"]
     table.write(streams(spark, ("a", "2024-01-01"), ("b", "2024-01-02")), model.sort_by)
@@ -270,6 +546,57 @@ def test_stream_rejects_a_key_that_comes_twice(spark, stream):
     assert stream.table.version() == 1
 
 
+def test_the_newest_row_of_a_key_stays_in_any_order_of_arrival(spark, tmp_path):
+    """Over several runs, with ties and rows without a time."""
+    def review(text, rate, updated):
+        return ((text,), (rate, "l"), [], [], updated, None)
+
+    arrivals = [
+        [review("a", 1, "2024-01-01"), review("b", 1, "2024-01-05"), review("c", 1, None)],
+        [review("a", 2, "2024-01-03"), review("b", 2, "2024-01-02"), review("d", 2, "2024-01-01")],
+        [review("a", 3, "2024-01-02"), review("d", 5, "2024-01-01"), review("d", 4, "2024-01-01"), review("c", 3, "2023-01-01")],
+    ]
+    found = set()
+    for order in itertools.permutations(range(3)):
+        at = tmp_path / "".join(map(str, order))
+        table = stage_table(spark, str(at), "reviews")
+        for i in order:
+            land(spark.createDataFrame(arrivals[i], schemas.REVIEWS), str(at / "landing"), "reviews")
+            stream_stage(
+                spark, str(at / "landing"), "reviews", table, str(at / "checkpoint"), run_ts=FIRST, newest=("updated",)
+            ).awaitTermination()
+        found.add(tuple(sorted((r.text, r.rate, r.updated) for r in table.read().collect())))
+    assert found == {(("a", 2, "2024-01-03"), ("b", 1, "2024-01-05"), ("c", 3, "2023-01-01"), ("d", 5, "2024-01-01"))}
+
+
+def test_an_old_file_that_arrives_late_does_not_undo_a_newer_one(spark, tmp_path, stream):
+    land(users(spark, ("A", "B", "old@x.org")), stream.root, "users")
+    late = next((tmp_path / "landing/internal/users/parquet").glob("*.parquet"))
+    late.rename(tmp_path / late.name)
+    time.sleep(0.05)
+    land(users(spark, ("A", "B", "new@x.org")), stream.root, "users")
+
+    def run():
+        stream_stage(
+            spark, stream.root, "users", stream.table, str(tmp_path / "checkpoint"), newest=("landed_at", "landed_in")
+        ).awaitTermination()
+        return [r.email for r in stream.table.read().collect()]
+
+    assert run() == ["n*****@x.org"]
+    (tmp_path / late.name).rename(late)  # which keeps its time
+    assert run() == ["n*****@x.org"] and stream.table.version() == 2
+
+
+@pytest.mark.parametrize("bound", [-1, 10**6])
+def test_both_ways_of_a_newest_upsert_agree(spark, bound):
+    ddl = "k string, at int, v int"
+    target = spark.createDataFrame([("a", 1, 1), ("b", 5, 1), (None, 1, 1), ("c", None, 1), ("z", 1, 1)], ddl)
+    source = spark.createDataFrame([("a", 2, 2), ("b", 4, 2), (None, 2, 2), ("c", 1, 2), ("n", 1, 2), ("n", 0, 3)], ddl)
+    got = upsert_newest(target, source, "k", ["at"], broadcast_bytes=bound)
+    want = [("a", 2, 2), ("b", 5, 1), (None, 1, 1), (None, 2, 2), ("c", 1, 2), ("z", 1, 1), ("n", 1, 2)]
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+
+
 def test_stream_into_a_table_by_name_needs_merge_support(spark, tmp_path):
     root = str(tmp_path / "landing")
     land(users(spark, ("A", "B", "ann@x.org")), root, "users")

@@ -10,7 +10,7 @@ from reelhouse.operators.joins import join_unique
 from reelhouse.operators.load import AmbiguousUpsert, upsert
 from reelhouse.plans import trusted as T
 from reelhouse.plans.stage import STAGE_MODELS
-from reelhouse.session import estimated_bytes, scratch_dir, size_shuffles
+from reelhouse.session import estimated_bytes, scratch_dir, sized_shuffles
 from reelhouse.workload import views
 
 WINDOW = ("2024-01-15 07:00:00", "2024-01-15 12:00:00")
@@ -236,15 +236,24 @@ def test_broadcast_bounds_are_the_sessions(spark, conf):
         assert joins.broadcast_bound(df) == bound
 
 
-def test_size_shuffles(spark, conf):
+def test_sized_shuffles(spark, conf):
     conf(
         shuffle__partitions="300",
         adaptive__coalescePartitions__initialPartitionNum="8",
         adaptive__advisoryPartitionSizeInBytes="64MB",
     )
-    assert size_shuffles(spark, 10 * 2**40) == 81920
-    assert size_shuffles(spark, 1) == 300
-    assert size_shuffles(spark, 2**60) == 1_000_000
+    names = ["coalescePartitions.initialPartitionNum", "advisoryPartitionSizeInBytes"]
+
+    def now():
+        return [spark.conf.get(f"spark.sql.adaptive.{n}") for n in names]
+
+    for size, partitions in ((10 * 2**40, 81920), (1, 300), (2**60, 1_000_000)):
+        with sized_shuffles(spark, size) as got:
+            assert got == partitions and now() == [str(partitions), str(128 * 2**20)]
+        assert now() == ["8", "64MB"]
+    with pytest.raises(ZeroDivisionError), sized_shuffles(spark, 1):
+        raise ZeroDivisionError
+    assert now() == ["8", "64MB"]
 
 
 def test_input_sizes_are_those_of_the_files(spark, tmp_path):

@@ -1,18 +1,22 @@
 """Files, landing zone, catalog and snapshots."""
 
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from reelhouse import schemas
 from reelhouse.schemas import ENTITIES, entities_in
-from reelhouse.sources import catalog
+from reelhouse.sources import catalog, rejects, snapshots, store
 from reelhouse.sources.files import conform, read_csv, read_json_records, write_records
 from reelhouse.sources.landing import (
     ingest,
     land,
+    landing_files,
     landing_path,
     register_sources,
     scan,
@@ -176,6 +180,113 @@ def test_ingest_as_json(spark, tmp_path, source_files):
     assert rows(read_json_records(spark, paths["books"], schemas.BOOKS)) == BOOK_ROWS
 
 
+BAD_CSV = {
+    "title,duration_mins,original_language,size_mb": None,
+    "a,1,b,2": "landed",
+    "b,long,b,2": "duration_mins is no int",
+    "c,1,b": "number of fields",
+    "d,1,b,2,extra": "number of fields",
+    "e,NA,null,": "landed",
+    "f,1,b,99999999999": "size_mb is no int",
+    '"g ""x"", y",1,b,2': "landed",
+}
+BAD_JSON = {
+    '{"name": "a", "pages": 1, "author": "x", "publisher": null}': "landed",
+    '{"name": "b", "pages": "many"}': "no record of the declared schema",
+    '{"name": "c"': "no record of the declared schema",
+    "no json": "no record of the declared schema",
+    "{}": "landed",
+    '[{"name": "d"}, {"name": "e"}]': "landed",
+}
+
+
+def test_rows_that_do_not_fit_are_told_apart(spark, tmp_path):
+    path = write(tmp_path / "m.csv", "\n".join(BAD_CSV) + "\n")
+    checked = rejects.Checked(spark, path, "movies")
+    assert rows(checked.rows) == rows(
+        spark.createDataFrame([("a", 1, "b", 2), ("e", None, None, None), ('g "x", y', 1, "b", 2)], schemas.MOVIES)
+    )
+    got = checked.rejects.collect()
+    want = {r: why for r, why in BAD_CSV.items() if why not in (None, "landed")}
+    assert {r.record: r.reason for r in got} == want and len(got) == len(want)
+    assert all(r.source_file.endswith("/m.csv") for r in got)
+    assert checked.counts() == (3, 4)
+    with pytest.raises(FAILED):
+        read_csv(spark, path, schemas.MOVIES).collect()
+
+
+def test_json_records_that_do_not_fit_are_told_apart(spark, tmp_path):
+    path = write(tmp_path / "b.json", "\n".join(BAD_JSON) + "\n")
+    checked = rejects.Checked(spark, path, "books")
+    assert sorted(r.name or "" for r in checked.rows.collect()) == ["", "a", "d", "e"]
+    want = {r: why for r, why in BAD_JSON.items() if why != "landed"}
+    assert {r.record: r.reason for r in checked.rejects.collect()} == want
+    assert checked.counts() == (4, 3)
+
+
+def test_a_header_that_does_not_fit_fails(spark, tmp_path):
+    with pytest.raises(FAILED):
+        rejects.Checked(spark, write(tmp_path / "m.csv", "title,minutes\na,1\n"), "movies")
+
+
+def test_rejects_with_line_breaks_and_of_nothing(spark, tmp_path):
+    path = write(tmp_path / "u.csv", 'first_name,last_name,email\n"a\nb",c,d\n"x\ny",z\n')
+    checked = rejects.Checked(spark, path, "users", multiline=True)
+    assert rows(checked.rows) == [("a\nb", "c", "d")]
+    assert [r.record.rstrip("\n") for r in checked.rejects.collect()] == ['"x\ny",z']
+    empty = rejects.Checked(spark, write(tmp_path / "e.csv", "first_name,last_name,email\n"), "users")
+    assert empty.counts() == (0, 0) and empty.rows.count() == empty.rejects.count() == 0
+
+
+def test_checked_ingest_adds_up(spark, tmp_path, source_files):
+    root = str(tmp_path / "landing")
+    bad = write(tmp_path / "m.csv", "\n".join(BAD_CSV) + "\n")
+    files = {"movies": bad, "books": source_files["books"]}
+    assert rejects.ingest_checked(spark, files, root) == {"movies": (3, 4), "books": (2, 0)}
+    assert rejects.ingest_checked(spark, {"movies": bad}, root) == {"movies": (3, 4)}
+    assert scan(spark, root, "movies").count() == 6
+    told = rejects.read_rejects(spark, root, "movies", "books")
+    assert told.columns == ["entity", "source_file", "record", "reason"]
+    assert told.count() == 8 and told.filter("entity = 'books'").count() == 0
+    # as named loads, a repeated one is there once, on both sides
+    again = str(tmp_path / "again")
+    for load_id in ("one", "two", "one"):
+        rejects.ingest_checked(spark, {"movies": bad}, again, load_id=load_id)
+    assert scan(spark, again, "movies").count() == 6
+    assert rejects.read_rejects(spark, again, "movies").count() == 8
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_a_named_load_is_landed_once(spark, tmp_path, fmt):
+    df = spark.createDataFrame([("a", "b", "c")], schemas.USERS)
+    other = spark.createDataFrame([("d", "e", "f")], schemas.USERS)
+    root = str(tmp_path)
+    land(df, root, "users", fmt, load_id="1")
+    land(other, root, "users", fmt, load_id="1")
+    assert rows(scan(spark, root, "users", fmt)) == [("d", "e", "f")]
+    land(df, root, "users", fmt, load_id="2")
+    land(df, root, "users", fmt)
+    assert rows(scan(spark, root, "users", fmt)) == [("a", "b", "c")] * 2 + [("d", "e", "f")]
+    assert landing_files(spark, root, "users", fmt).count() == sum(
+        f.stat().st_size > 0 for f in tmp_path.rglob(f"*.{fmt}")
+    )
+    for bad in ("", "a/b", "..", "a b", "é"):
+        with pytest.raises(ValueError):
+            land(df, root, "users", fmt, load_id=bad)
+
+
+def test_named_loads_are_in_the_catalog_too(spark, tmp_path):
+    df = spark.createDataFrame([("a", "b", "c")], schemas.USERS)
+    for load_id in ("1", "2"):
+        land(df, str(tmp_path / "landing"), "users", load_id=load_id)
+    catalog.create_namespace(spark, "loads_test", str(tmp_path / "space"))
+    try:
+        table = catalog.create_landing_table(spark, "loads_test", str(tmp_path / "landing"), "users")
+        assert rows(spark.table(table)) == [("a", "b", "c")] * 2
+    finally:
+        spark.sql("DROP DATABASE loads_test CASCADE")
+
+
 def test_scan_with_file_times(spark, tmp_path):
     land(spark.createDataFrame([("a", "b", "c")], schemas.USERS), str(tmp_path), "users")
     row = scan(spark, str(tmp_path), "users", file_times=True).first()
@@ -211,7 +322,7 @@ def test_catalog(spark, tmp_path):
 
 def test_snapshots(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
-    assert table.version() is None and table.commits() is None
+    assert table.version() is None and table.state() is None
     with pytest.raises(ValueError):
         table.read()
     assert table.write(spark.range(3)) == 1
@@ -242,6 +353,110 @@ def test_a_second_writer_of_a_version_fails(spark, tmp_path):
     assert table.version() == 2 and table.read().count() == 4
 
 
+def test_of_two_writers_held_at_their_commit_one_fails(spark, tmp_path, monkeypatch):
+    """Both have written their rows and found the version free before either commits."""
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(3))
+    held, publish = threading.Barrier(2), store.publish
+
+    def publish_together(*args):
+        held.wait(60)
+        return publish(*args)
+
+    monkeypatch.setattr(store, "publish", publish_together)
+
+    def write(rows):
+        try:
+            return table.write(spark.range(rows))
+        except ConcurrentWrite:
+            return None
+
+    with ThreadPoolExecutor(2) as threads:
+        done = list(threads.map(write, (4, 5)))
+    assert sorted(done, key=repr) == [2, None]
+    assert table.version() == 2 and table.read().count() == (4, 5)[done.index(2)]
+
+
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_publish_never_replaces(spark, tmp_path, scheme):
+    path = f"{scheme}{tmp_path}/a folder/1.json"
+    assert store.publish(spark, path, "é") and not store.publish(spark, path, "b")
+    assert store.read_text(spark, path) == "é"
+    assert store.names(spark, path.rsplit("/", 1)[0]) == ["1.json"]
+    assert store.names(spark, f"{tmp_path}/none") == []
+
+
+def test_publish_by_rename(spark, tmp_path):
+    """As in a store that is no local folder."""
+    spark.sparkContext._jsc.hadoopConfiguration().set(
+        "fs.viewfs.mounttable.shelf.link./t", f"file://{tmp_path}"
+    )
+    path = "viewfs://shelf/t/commits/1.json"
+    assert store.publish(spark, path, "a")
+    assert store.read_text(spark, path) == "a" and store.names(spark, "viewfs://shelf/t/commits") == ["1.json"]
+
+
+def test_expire_leaves_a_running_write_alone(spark, tmp_path, monkeypatch):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    for n in (3, 4):
+        table.write(spark.range(n))
+    publish = store.publish
+
+    def expire_first(*args):
+        assert table.expire(1) == 1
+        return publish(*args)
+
+    monkeypatch.setattr(store, "publish", expire_first)
+    assert table.write(spark.range(5)) == 3
+    assert table.read().count() == 5 and table.read(2).count() == 4
+
+
+def test_a_ledger_is_part_of_the_commit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "LEDGER_LISTS", 2)
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    files = spark.sql("SELECT 'a' AS landed_in, timestamp'2024-01-01' AS landed_at")
+    table.write(spark.range(1))
+    assert table.ledger(table.state()) is None
+    table.take(files)  # never committed
+    assert table.ledger(table.state()) is None
+    for i in range(4):
+        state = table.state()
+        taken = table.take(files.withColumn("landed_in", F.lit(f"f{i}")), state)
+        table.write(spark.range(1), state=state, taken=taken)
+    assert len(table.state().taken) <= 2
+    assert sorted(r.landed_in for r in table.ledger(table.state()).collect()) == ["f0", "f1", "f2", "f3"]
+    assert table.expire(1) == 4
+    assert table.ledger(table.state()).count() == 4
+
+
+def numbers(spark, low, high):
+    return spark.range(low, high).selectExpr("concat('k', id) AS k", "id AS v")
+
+
+def test_parts_by_key_follow_the_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "PART_BYTES", 4096)
+    table = SnapshotTable(spark, str(tmp_path / "t"), key="k")
+    numbers(spark, 0, 5000).write.parquet(str(tmp_path / "rows"))
+    table.write(spark.read.parquet(str(tmp_path / "rows")))
+    state = table.state()
+    assert state.buckets >= 8 and len(state.loads) == state.buckets
+    assert sum(f["rows"] for f in state.facts.values()) == 5000
+    assert all(0 < f["bytes"] < 4 * 4096 for f in state.facts.values())
+    assert rows(table.read()) == rows(numbers(spark, 0, 5000))
+    one = numbers(spark, 7, 8)
+    (part,) = table.parts_in(one, state)
+    assert [r.k for r in table.read(parts=[part]).filter("k = 'k7'").collect()] == ["k7"]
+    assert all(f"={part}/" in f for f in table.read(parts=[part]).inputFiles())
+
+
+def test_an_empty_table_in_parts(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), key="k")
+    table.write(numbers(spark, 0, 0))
+    assert table.read().columns == ["k", "v"] and table.read().count() == 0
+    table.write(numbers(spark, 0, 2))
+    assert table.read().count() == 2
+
+
 def test_expire_deletes_only_what_no_kept_version_uses(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     assert table.expire(1) == 0
