@@ -50,10 +50,15 @@ def stored_moment(text: Column | str) -> Column:
     return _seconds(wall_clock(text, on_error="null"))
 
 
+def parsed_moment(text: Column | str) -> Column:
+    """As `stored_moment`, but a malformed string fails the query."""
+    return _seconds(wall_clock(text))
+
+
 def moment_of(stored: str, text: str) -> Column:
     """A stored moment. Where it is NULL the text is parsed, so that a malformed string fails the
     query."""
-    return F.coalesce(F.col(stored), _seconds(wall_clock(text)))
+    return F.coalesce(F.col(stored), parsed_moment(text))
 
 
 def second_from(moment: str | datetime) -> int:

@@ -12,16 +12,19 @@ from reelhouse.functions.times import (
     moment_from,
     moment_of,
     moment_until,
+    parsed_moment,
     second_from,
     second_until,
     stored_moment,
     whole_units,
 )
 from reelhouse.operators.joins import join_dimension
+from reelhouse.session import comes_from_input
 from reelhouse.sources.snapshots import Facts
 
-#: Slices of the bucket that holds the median.
+#: Slices that a crowded bucket is cut into, and rows whose values are counted one by one.
 FINE = 4_096
+VALUES = 1 << 20
 
 
 def _lower(df: DataFrame, **columns: str) -> DataFrame:
@@ -69,15 +72,20 @@ def _with_moments(streams: DataFrame) -> DataFrame:
     return streams.withColumns(missing)
 
 
-def _readable(sessions: DataFrame, near: Column) -> DataFrame:
-    """Sessions near a window. One whose time cannot be read is always near, and fails the query.
+def _about(streams: DataFrame, near: Column, inside: Callable[[Column, Column], Column]) -> DataFrame:
+    """Sessions whose moments are `inside`. One whose time cannot be read fails the query.
 
-    The first condition uses stored moments only, so files and row groups are skipped by it. The
-    second parses the text where no moment is stored; it holds for all moments.
+    Where moments are stored, the first condition uses them only, so files and row groups are
+    skipped by it; `near` must let pass what is inside. Rows without a moment pass it too, and
+    their text is parsed in the second. Where moments would be calculated here, each text is parsed
+    once instead: a filter on calculated columns would calculate them anew for each comparison.
     """
+    if not comes_from_input(streams, "start_ts", "end_ts"):
+        times = F.array(F.struct(parsed_moment("start_at").alias("begun"), parsed_moment("end_at").alias("ended")))
+        return streams.filter(F.exists(times, lambda t: inside(t["begun"], t["ended"])))
     unread = F.col("start_ts").isNull() | F.col("end_ts").isNull()
     parsed = F.coalesce(F.greatest(_begun(), _ended()) > F.lit(-(2**62)), F.lit(True))
-    return sessions.filter(near | unread).filter(parsed)
+    return streams.filter(near | unread).filter(parsed).filter(inside(_begun(), _ended()))
 
 
 def near_window(
@@ -129,21 +137,22 @@ def users_in_window(
     included; one that spans the whole window is not counted. `mode="overlap"` counts
     every session that was in progress at some point of the window.
     """
-    first, last, begun, ended = moment_from(start), moment_until(end), _begun(), _ended()
+    first, last = moment_from(start), moment_until(end)
+    start_ts, end_ts = F.col("start_ts"), F.col("end_ts")
     if mode == "endpoint":
-        near = F.col("start_ts").between(first, last) | F.col("end_ts").between(first, last)
-        inside = begun.between(first, last) | ended.between(first, last)
+        near = start_ts.between(first, last) | end_ts.between(first, last)
+
+        def inside(begun: Column, ended: Column) -> Column:
+            return begun.between(first, last) | ended.between(first, last)
     elif mode == "overlap":
-        near = (F.col("start_ts") <= last) & (F.col("end_ts") >= first)
-        inside = (begun <= last) & (ended >= first)
+        near = (start_ts <= last) & (end_ts >= first)
+
+        def inside(begun: Column, ended: Column) -> Column:
+            return (begun <= last) & (ended >= first)
     else:
         raise ValueError(f"mode must be 'endpoint' or 'overlap', not {mode!r}")
     sessions = streams if title is None else streams.filter(F.col("movie_title") == title)
-    return (
-        _readable(_with_moments(sessions), near)
-        .filter(inside)
-        .agg(F.count_distinct("user_email").alias("users_affected"))
-    )
+    return _about(sessions, near, inside).agg(F.count_distinct("user_email").alias("users_affected"))
 
 
 def adaptations_by_author_origin(
@@ -226,26 +235,28 @@ def _holding(counts: DataFrame, by: str, rank: Column) -> DataFrame:
 def median_size_gb(streams: DataFrame) -> DataFrame:
     """Median stream size in decimal gigabytes, rounded to two places; the lower of two middles.
 
-    Exact, and counted instead of sorted: rows per bucket of sizes, then per `FINE` slices of the
-    bucket that holds the middle, then per value in that slice. Every count is combined in the
-    tasks, so one value on most rows is no burden. What is put in order is the table of buckets
-    (a few hundred thousand at most for all sizes there are), the slices, and one slice's values.
+    Exact, and counted instead of sorted: rows per bucket of sizes, and then rows per value in the
+    bucket that holds the middle. A bucket of more than `VALUES` rows is cut into `FINE` slices
+    before, and the slice that holds the middle again, until few rows or a single value are left.
+    Every count is combined in the tasks, so one value on most rows is no burden. What is put in
+    order are the buckets (a few hundred thousand at most for all sizes there are), the slices,
+    and the last `VALUES` values. Each step is one job, of which the driver gets one row.
     """
     sizes = streams.select(F.col("size_mb").cast("double").alias("size")).filter("size IS NOT NULL")
-    rows = F.count(F.lit(1)).alias("n")
-    buckets = sizes.groupBy(_bucket(F.col("size")).alias("bucket")).agg(
-        rows, F.min("size").alias("low"), F.max("size").alias("high")
-    )
-    middle = F.floor((F.col("__total") + 1) / 2)
-    bucket = _holding(buckets, "bucket", middle).select(F.struct("bucket", "low", "high", "rank")).scalar()
-    share = F.try_divide(F.col("size") - bucket["low"], bucket["high"] - bucket["low"])
-    slice_ = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * FINE), F.lit(FINE - 1))
-    inside = sizes.filter(_bucket(F.col("size")) == bucket["bucket"]).withColumn("slice", slice_)
-    slices = inside.groupBy("slice").agg(rows)
-    chosen = _holding(slices, "slice", bucket["rank"]).select(F.struct("slice", "rank")).scalar()
-    values = inside.filter(F.col("slice") == chosen["slice"]).groupBy("size").agg(rows)
-    median = _holding(values, "size", chosen["rank"])
-    return median.agg(F.round(F.max("size") / 1000, 2).alias("median_size_gb"))
+    rows, low, high = F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("size").alias("high")
+    buckets = sizes.groupBy(_bucket(F.col("size")).alias("bucket")).agg(rows, low, high)
+    held = _holding(buckets, "bucket", F.floor((F.col("__total") + 1) / 2)).first()
+    while held is not None and held["n"] > VALUES and held["low"] < held["high"]:
+        share = (F.col("size") - held["low"]) / (held["high"] - held["low"])
+        slice_ = F.least(F.floor(share * FINE), F.lit(FINE - 1)).alias("slice")
+        slices = sizes.filter(F.col("size").between(held["low"], held["high"])).groupBy(slice_).agg(rows, low, high)
+        held = _holding(slices, "slice", F.lit(held["rank"])).first()
+    if held is None:
+        values = sizes.groupBy("size").agg(rows).withColumn("rank", F.lit(1))
+    else:
+        inside = sizes.filter(F.col("size").between(held["low"], held["high"]))
+        values = _holding(inside.groupBy("size").agg(rows), "size", F.lit(held["rank"]))
+    return values.agg(F.round(F.max("size") / 1000, 2).alias("median_size_gb"))
 
 
 def sessions_past_half(
@@ -261,12 +272,10 @@ def sessions_past_half(
         .groupBy(F.col("title").alias("movie_title"))
         .agg(F.min(F.expr("duration_mins div 2")).alias("half_minutes"))
     )
-    begun, ended = _begun(), _ended()
-    named = _with_moments(streams).filter(F.col("movie_title").isNotNull())
-    recent = (
-        _readable(named, F.col("start_ts") >= moment_from(since))
-        .filter(begun >= moment_from(since))
-        .select("movie_title", "user_email", whole_units(begun, ended, 60).alias("minutes"))
+    first = moment_from(since)
+    named = streams.filter(F.col("movie_title").isNotNull())
+    recent = _with_moments(_about(named, F.col("start_ts") >= first, lambda begun, _: begun >= first)).select(
+        "movie_title", "user_email", whole_units(_begun(), _ended(), 60).alias("minutes")
     )
     # Coalesced, so that no separate null test parses the times a second time.
     long_enough = F.coalesce(F.col("minutes") >= F.col("half_minutes"), F.lit(False))

@@ -50,6 +50,16 @@ def estimated_bytes(df: DataFrame) -> int:
     return sum(size for size in sizes if size < UNKNOWN_SIZE)
 
 
+def comes_from_input(df: DataFrame, *columns: str) -> bool:
+    """Whether columns are read as they are, and not calculated by the query."""
+    if not set(columns) <= set(df.columns):
+        return False
+    plan = df.select(*columns)._jdf.queryExecution().analyzed()
+    leaves, asked = plan.collectLeaves(), plan.output()
+    read = [leaves.apply(i).outputSet() for i in range(leaves.size())]
+    return all(any(r.contains(asked.apply(i)) for r in read) for i in range(asked.size()))
+
+
 def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
     """How many partitions leave at most `TARGET_SHUFFLE_BYTES` of the input in each; the session's
     own number is the least."""

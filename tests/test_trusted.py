@@ -1,13 +1,17 @@
 """The six questions: hand-written rows, and documented answers on the test tables."""
 
+import random
 from itertools import product
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from reelhouse.plans import trusted as T
 from reelhouse.plans.stage import STAGE_MODELS
+from reelhouse.session import comes_from_input
 from reelhouse.workload import queries, views
 
 STREAM = "movie_title string, user_email string, size_mb double, start_at string, end_at string"
@@ -231,6 +235,49 @@ def test_median_of_one_value_on_most_rows_and_of_odd_sizes(spark):
     assert median([1000.0 + i / 1000 for i in range(1001)]) == round((1000.0 + 0.5) / 1000, 2)
 
 
+@pytest.mark.parametrize("values", [1, 5, 1 << 20])
+def test_median_of_crowded_sizes(spark, monkeypatch, values):
+    """Cut into slices again and again, down to neighbouring values and to one value."""
+    monkeypatch.setattr(T, "VALUES", values)
+    monkeypatch.setattr(T, "FINE", 4)
+    rnd = random.Random(values)
+    for sizes in (
+        [1e6 + rnd.randrange(50) * 2e-10 for _ in range(301)],
+        [1e6] * 200 + [1e6 + i for i in range(150)],
+        [-(2.0**-i) for i in range(40)] + [2.0**i for i in range(41)],
+    ):
+        streams = spark.createDataFrame([(x,) for x in sizes], "size_mb double")
+        want = sorted(sizes)[(len(sizes) + 1) // 2 - 1]
+        assert T.median_size_gb(streams).first()[0] == round(want / 1000, 2)
+
+
+def test_times_that_cannot_be_read_fail_where_they_are_not_stored(spark):
+    good, bad = session("m", "u", "01:00:00", "02:00:00"), ("m", "u", 1.0, "2021-12-25T01:00:00Z", "soon")
+    movies = frame(spark, "title string, duration_mins int", [("m", 10)])
+    for rows, fails in (([good], False), ([good, bad], True), ([good, (*bad[:4], None)], False)):
+        raw = frame(spark, STREAM, rows)
+        staged = STAGE_MODELS["streams"].build(raw)
+        for streams in (raw, staged):
+            for question in (
+                T.users_in_window(streams, None, "2020-01-01 00:00:00", "2020-01-02 00:00:00"),
+                T.users_in_window(streams, "m", "2020-01-01 00:00:00", "2020-01-02 00:00:00", mode="overlap"),
+                T.users_past_half(streams, movies, "2022-01-01 00:00:00"),
+            ):
+                if fails:
+                    with pytest.raises(PySparkException):
+                        question.collect()
+                else:
+                    assert question.first()[0] == 0
+
+
+def test_what_comes_from_the_input(spark, tmp_path):
+    spark.range(3).selectExpr("id", "id + 1 AS next").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert comes_from_input(df, "id", "next") and comes_from_input(df.filter("id > 1").select("next", "id"), "next")
+    assert not comes_from_input(df.withColumn("next", F.col("id") + 1), "id", "next")
+    assert not comes_from_input(df, "id", "other")
+
+
 # Answers of FIXTURES.md: Q1, any-title window, origin, mean, median, past half twice.
 DOCUMENTED = {
     "sf0.001": ("nation_19", (151, 129, 0.8543046357615894), 2, 17, 0.426, 0.36, (11, 19), (15, 109)),
