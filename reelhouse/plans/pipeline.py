@@ -13,6 +13,7 @@ from reelhouse.operators.joins import settled
 from reelhouse.operators.load import incremental_gate, latest_per_key, upsert, upsert_newest
 from reelhouse.plans import trusted
 from reelhouse.plans.lineage import run_in_order
+from reelhouse.plans.measures import MEASURES, Measure, measure_table, refresh
 from reelhouse.plans.stage import STAGE_MODELS, RunTime, StageModel
 from reelhouse.session import estimated_bytes, sized_shuffles
 from reelhouse.sources.landing import landing_files, scan
@@ -35,7 +36,7 @@ class Questions:
 
 @dataclass(frozen=True)
 class TrustedModel:
-    """A question and the stage tables it reads, in argument order.
+    """A question and the stage tables and measures it reads, in argument order.
 
     `near` tells from the facts of a part of the sessions whether the question needs it.
     """
@@ -73,7 +74,7 @@ TRUSTED_MODELS = {
     model.name: model
     for model in (
         TrustedModel(
-            "adaptation_share", ("streams", "reviews"), trusted.adaptation_share, "adapted_share"
+            "adaptation_share", ("title_days", "reviews"), trusted.adaptation_share, "adapted_share"
         ),
         TrustedModel(
             "users_in_window",
@@ -85,12 +86,12 @@ TRUSTED_MODELS = {
         ),
         TrustedModel(
             "adaptations_by_author_origin",
-            ("streams", "reviews", "books", "authors"),
+            ("title_days", "reviews", "books", "authors"),
             trusted.adaptations_by_author_origin,
             "adaptations",
             lambda q: (q.author_slug,),
         ),
-        TrustedModel("mean_session_hours", ("streams",), trusted.mean_session_hours, "mean_hours"),
+        TrustedModel("mean_session_hours", ("title_days",), trusted.mean_of_title_days, "mean_hours"),
         TrustedModel("median_size_gb", ("streams",), trusted.median_size_gb, "median_size_gb"),
         TrustedModel(
             "users_past_half",
@@ -233,11 +234,16 @@ def merge_rows(
 def edges() -> dict[str, set[str]]:
     """What each model needs, from what the models themselves read."""
     stage = {f"stage.{name}": set() for name in STAGE_MODELS}
-    return stage | {
-        f"trusted.{m.name}": {f"stage.{name}" for name in m.reads} for m in TRUSTED_MODELS.values()
+    measures = {f"measure.{m.name}": {f"stage.{m.of}"} for m in MEASURES.values()}
+    return stage | measures | {
+        f"trusted.{m.name}": {_node(name) for name in m.reads} for m in TRUSTED_MODELS.values()
     }
 
 
+def _node(name: str) -> str:
+    return f"measure.{name}" if name in MEASURES else f"stage.{name}"
+
+
 def run_pipeline(
     landing: Mapping[str, DataFrame] | str,
     warehouse: str,
@@ -255,6 +261,9 @@ def run_pipeline(
     `full_refresh=False` opens only the files that have landed since (`load_arrivals`); DataFrames
     are merged whole.
 
+    Questions about titles and hours read one grouped pass over the sessions, which is kept for
+    each part of them and made again only for parts that have changed (`plans.measures`).
+
     A model starts as soon as those that it reads are done (`lineage.run_in_order`). Shuffles are
     sized for `input_bytes`, by default the size of the landing files.
 
@@ -277,8 +286,13 @@ def run_pipeline(
         done[name] = StoredTable(table, table.state(version))
         return done[name]
 
-    def stage(name: str) -> StoredTable:
-        return done.get(f"stage.{name}") or stored(f"stage.{name}", stage_table(spark, warehouse, name))
+    def found(name: str) -> StoredTable:
+        return done.get(_node(name)) or stored(_node(name), stage_table(spark, warehouse, name))
+
+    def measure(asked: Measure) -> StoredTable:
+        table, source = measure_table(spark, warehouse, asked.name), found(asked.of)
+        version = refresh(asked, table, source.table, source.state)
+        return stored(f"measure.{asked.name}", table, version)
 
     def load(model: StageModel) -> StoredTable:
         table = stage_table(spark, warehouse, model.name)
@@ -291,14 +305,16 @@ def run_pipeline(
 
     def answer(model: TrustedModel) -> StoredTable:
         table = trusted_table(spark, warehouse, model.name)
-        return stored(f"trusted.{model.name}", table, table.write(model.run(stage, questions)))
+        return stored(f"trusted.{model.name}", table, table.write(model.run(found, questions)))
 
     models = {f"stage.{m.name}": partial(load, m) for m in staged}
     if select in (None, "trusted"):
+        read = {name for model in TRUSTED_MODELS.values() for name in model.reads}
+        models |= {f"measure.{m.name}": partial(measure, m) for m in MEASURES.values() if m.name in read}
         models |= {f"trusted.{m.name}": partial(answer, m) for m in TRUSTED_MODELS.values()}
     with sized_shuffles(spark, input_bytes):
         written = run_in_order(spark, models, edges())
-    return {name: made.read() for name, made in written.items()}
+    return {name: made.read() for name, made in written.items() if not name.startswith("measure.")}
 
 
 def summary(written: Mapping[str, DataFrame]) -> DataFrame:

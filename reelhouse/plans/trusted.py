@@ -208,10 +208,20 @@ def adaptations_by_author_origin(
     )
 
 
+def session_hours(streams: DataFrame) -> DataFrame:
+    """Sessions with their complete hours, NULL without both times."""
+    return _with_moments(streams).withColumn("hours", whole_units(_begun(), _ended(), 3600))
+
+
 def mean_session_hours(streams: DataFrame) -> DataFrame:
     """Mean of the sessions' complete hours; each session is truncated before averaging."""
-    hours = whole_units(_begun(), _ended(), 3600)
-    return _with_moments(streams).agg(F.avg(hours.cast("double")).alias("mean_hours"))
+    return session_hours(streams).agg(F.avg(F.col("hours").cast("double")).alias("mean_hours"))
+
+
+def mean_of_title_days(title_days: DataFrame) -> DataFrame:
+    """As `mean_session_hours`, from the sums that are kept for titles and days."""
+    mean = F.try_divide(F.sum("hours").cast("double"), F.sum("timed"))
+    return title_days.agg(mean.alias("mean_hours"))
 
 
 def _bucket(size: Column) -> Column:
@@ -259,6 +269,17 @@ def median_size_gb(streams: DataFrame) -> DataFrame:
     return values.agg(F.round(F.max("size") / 1000, 2).alias("median_size_gb"))
 
 
+def median_of_sketches(size_sketches: DataFrame) -> DataFrame:
+    """About the median of `median_size_gb`, and the rows it is of, from one sketch a part.
+
+    A value of some row, whose rank is off by the sketches' error. No session is read.
+    """
+    merged = size_sketches.agg(F.kll_merge_agg_double("sizes").alias("sizes"))
+    rows = F.kll_sketch_get_n_double("sizes")
+    middle = F.when(rows > 0, F.kll_sketch_get_quantile_double("sizes", F.lit(0.5)))
+    return merged.select(F.round(middle / 1000, 2).alias("median_size_gb"), F.coalesce(rows, F.lit(0)).alias("sized_rows"))
+
+
 def sessions_past_half(
     streams: DataFrame, movies: DataFrame, since: str | datetime
 ) -> DataFrame:

@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from reelhouse.session import estimated_bytes
 from reelhouse.sources import store
 
-_PART, _LOAD, _WHOLE = "__part", "__load", ""
+#: Names of the columns that hold a row's part and load.
+PART, LOAD = "__part", "__load"
+_WHOLE = ""
 #: Parts by key are cut so that one holds about as much, and at most so many.
 PART_BYTES = 128 * 1024 * 1024
 MOST_BUCKETS = 1 << 17
@@ -105,27 +107,34 @@ class SnapshotTable:
         return None if state is None else state.batches.get(stream)
 
     def read(
-        self, version: int | State | None = None, parts: Iterable[str] | None = None
+        self,
+        version: int | State | None = None,
+        parts: Iterable[str] | None = None,
+        with_loads: bool = False,
     ) -> DataFrame:
-        """A version's rows; with `parts`, only those parts are opened."""
+        """A version's rows; with `parts`, only those parts are opened.
+
+        `with_loads` adds the part and the load of each row, of a table in parts.
+        """
         state = version if isinstance(version, State) else self.state(version)
         if state is None:
             raise ValueError(f"no committed version in {self.path}")
         schema = state.schema
-        reader = self.spark.read.schema(schema)
         if not self.in_parts:
-            return reader.parquet(self._folder(state.loads[_WHOLE]))
+            return self.spark.read.schema(schema).parquet(self._folder(state.loads[_WHOLE]))
+        if with_loads:
+            schema = T.StructType([*schema, *(T.StructField(c, T.StringType()) for c in (PART, LOAD))])
         wanted = state.loads if parts is None else set(parts)
-        folders = [f"{self._folder(at)}/{_PART}={p}" for p, at in state.loads.items() if p in wanted]
+        folders = [f"{self._folder(at)}/{PART}={p}" for p, at in state.loads.items() if p in wanted]
         if not folders:
             return self.spark.createDataFrame([], schema)
-        reader = reader.option("basePath", f"{self.path}/data")
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
         return reader.parquet(*folders).select(*schema.names)
 
     def parts_in(self, df: DataFrame, state: State | None = None) -> list[str]:
         """The names of the parts that rows belong to."""
         part = self._part(state.buckets if state else 1)
-        return sorted(r[0] for r in df.select(part.alias(_PART)).distinct().collect())
+        return sorted(r[0] for r in df.select(part.alias(PART)).distinct().collect())
 
     def crowded(self, state: State) -> bool:
         """Whether parts by key hold more than twice what they should."""
@@ -181,21 +190,21 @@ class SnapshotTable:
         if not self.in_parts:
             (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(folder)
             return {_WHOLE: {}}
-        rows = df.withColumn(_PART, self._part(buckets))
+        rows = df.withColumn(PART, self._part(buckets))
         if self.part is not None or buckets > 1:
             # adaptive execution cuts large parts into several tasks and joins small ones
-            rows = rows.hint("rebalance", _PART)
-        rows.sortWithinPartitions(_PART, *sort_by).write.partitionBy(_PART).parquet(folder)
-        schema = T.StructType([*df.schema, T.StructField(_PART, T.StringType())])
+            rows = rows.hint("rebalance", PART)
+        rows.sortWithinPartitions(PART, *sort_by).write.partitionBy(PART).parquet(folder)
+        schema = T.StructType([*df.schema, T.StructField(PART, T.StringType())])
         asked = {"rows": F.count(F.lit(1)), **self.facts}
         told = (
             self.spark.read.schema(schema)
             .parquet(folder)
-            .groupBy(_PART)
+            .groupBy(PART)
             .agg(*(c.alias(name) for name, c in asked.items()))
             .collect()
         )
-        found = {r[_PART]: {name: r[name] for name in asked} for r in told}
+        found = {r[PART]: {name: r[name] for name in asked} for r in told}
         if self.key is not None:
             size, total = store.total_bytes(self.spark, folder), sum(f["rows"] for f in found.values())
             for f in found.values():
@@ -233,7 +242,7 @@ class SnapshotTable:
         used = {load for s in kept for load in s.loads.values()}
         lists = {name for s in kept for name in s.taken}
         first_running = f"{versions[-1] + 1:06d}"
-        loads = (name.removeprefix(f"{_LOAD}=") for name in store.names(self.spark, f"{self.path}/data"))
+        loads = (name.removeprefix(f"{LOAD}=") for name in store.names(self.spark, f"{self.path}/data"))
         gone = [load for load in loads if load not in used and load < first_running]
         for load in gone:
             store.delete(self.spark, self._folder(load))
@@ -257,7 +266,7 @@ class SnapshotTable:
         return f"{self.path}/commits/{version:012d}.json"
 
     def _folder(self, load: str) -> str:
-        return f"{self.path}/data/{_LOAD}={load}"
+        return f"{self.path}/data/{LOAD}={load}"
 
     def _list(self, name: str) -> str:
         return f"{self.path}/ledger/{name}"

@@ -408,6 +408,13 @@ ORACLES: dict[str, str] = {
     "merge_by_parts": _upsert("movies"),
     "users_in_window_by_parts": _with("streams") + _in_window("endpoint"),
     "users_past_half_by_parts": _with("streams", "movies") + PAST_HALF,
+    "mean_hours_by_measure": f"WITH streams AS ({_upsert('streams')}) {MEAN_HOURS}",
+    "adaptation_share_by_measure": (
+        f"WITH streams AS ({_upsert('streams')}), reviews AS ({stage('reviews')}) {ADAPTATION_SHARE}"
+    ),
+    "median_by_sketches": (
+        f"SELECT count(size_mb) AS sized_rows, TRUE AS in_the_middle FROM ({_upsert('streams')})"
+    ),
     **{f"csv_{name}": _scan(name) for name in ("movies", "streams", "users")},
     **{f"json_{name}": _scan(name) for name in ("authors", "books", "reviews")},
     "ingest_internal": f"""

@@ -13,6 +13,7 @@ from reelhouse.functions import columns as C
 from reelhouse.functions.times import ntz, wall_clock, whole_hours, whole_minutes
 from reelhouse.operators.load import ambiguous_keys, incremental_gate, latest_per_key, upsert
 from reelhouse.plans import trusted as T
+from reelhouse.plans.measures import MEASURES, SKETCH, measure_table, refresh
 from reelhouse.plans.pipeline import (
     FILE_COLUMNS,
     Questions,
@@ -411,6 +412,41 @@ def _window_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.users_in_window(near, None, *OUTAGE)
 
 
+def _measured(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A measure of the sessions, made from one half of the days and then from what has changed."""
+    root, model = scratch_dir(spark), STAGE_MODELS["streams"]
+    table, kept = stage_table(spark, root, "streams"), measure_table(spark, root, name)
+    earlier, later = halves("streams", spark, sf_dir)
+    table.write(earlier, model.sort_by)
+    refresh(MEASURES[name], kept, table, table.state())
+    merge_rows(table, model, latest_per_key(later, model.key, []))
+    refresh(MEASURES[name], kept, table, table.state())
+    return kept.read()
+
+
+def _mean_by_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.mean_of_title_days(_measured("title_days", spark, sf_dir))
+
+
+def _share_by_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.adaptation_share(_measured("title_days", spark, sf_dir), _stage("reviews", spark, sf_dir))
+
+
+def _median_by_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that merged sketches stand for, and whether their median has about the middle rank."""
+    answer = T.median_of_sketches(_measured("size_sketches", spark, sf_dir)).first()
+    earlier, later = halves("streams", spark, sf_dir)
+    sizes = upsert(earlier, latest_per_key(later, "stream_id", []), "stream_id")
+    below = F.count_if(F.col("size_mb") / 1000 < answer["median_size_gb"] - 0.005)
+    upto = F.count_if(F.col("size_mb") / 1000 <= answer["median_size_gb"] + 0.005)
+    n = F.count("size_mb")
+    error = 2 * 2.296 / SKETCH**0.9723
+    return sizes.agg(
+        F.lit(answer["sized_rows"]).alias("sized_rows"),
+        ((below <= n * (0.5 + error)) & (upto >= n * (0.5 - error))).alias("in_the_middle"),
+    )
+
+
 def _past_half_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movies watched to the half, from the parts since a moment."""
     table, state = _stored_sessions(spark, sf_dir)
@@ -566,6 +602,9 @@ QUERIES: dict[str, Query] = {
     "merge_by_parts": _merge_by_parts,
     "users_in_window_by_parts": _window_by_parts,
     "users_past_half_by_parts": _past_half_by_parts,
+    "mean_hours_by_measure": _mean_by_measure,
+    "adaptation_share_by_measure": _share_by_measure,
+    "median_by_sketches": _median_by_sketches,
     **{f"csv_{name}": _read_source(name) for name in ("movies", "streams", "users")},
     **{f"json_{name}": _read_source(name) for name in ("authors", "books", "reviews")},
     "ingest_internal": _ingest_internal,

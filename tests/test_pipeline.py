@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from reelhouse import schemas
 from reelhouse.operators.load import AmbiguousUpsert, upsert_newest
-from reelhouse.plans import trusted
+from reelhouse.plans import measures, trusted
 from reelhouse.plans.lineage import run_in_order
+from reelhouse.plans.measures import MEASURES, measure_table, refresh
 from reelhouse.plans.pipeline import (
     STAGE_MODELS,
     TRUSTED_MODELS,
@@ -31,6 +32,7 @@ from reelhouse.sources.landing import land, scan
 from reelhouse.sources import snapshots
 from reelhouse.sources.snapshots import SnapshotTable
 from reelhouse.streaming.incremental import stream_stage
+from reelhouse.workload import views
 
 ASKED = Questions(
     "Heat", "2021-12-25 07:00:00", "2021-12-25 12:00:00", "sg", "2021-12-24 23:59:59"
@@ -328,9 +330,9 @@ def test_the_pipeline_opens_only_the_parts_it_needs(spark, tmp_path):
     opened = []
 
     class Spy(SnapshotTable):
-        def read(self, version=None, parts=None):
+        def read(self, version=None, parts=None, with_loads=False):
             opened.append(parts)
-            return super().read(version, parts)
+            return super().read(version, parts, with_loads)
 
     def stage(name):
         table = {"streams": streams, "movies": movies}[name]
@@ -343,12 +345,96 @@ def test_the_pipeline_opens_only_the_parts_it_needs(spark, tmp_path):
         opened.clear()
 
 
+# measures
+
+
+def sessions_of(measure, table, source):
+    refresh(measure, table, source, source.state())
+    return table.read()
+
+
+def test_a_measure_reads_only_parts_that_have_changed(spark, tmp_path):
+    source, model = stage_table(spark, str(tmp_path), "streams"), STAGE_MODELS["streams"]
+    days = [("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-03"), ("a", "2024-01-03"), ("A", "2024-01-03")]
+    source.write(streams(spark, *days), model.sort_by)
+    measure, table = MEASURES["title_days"], measure_table(spark, str(tmp_path), "title_days")
+    rows = sessions_of(measure, table, source).collect()
+    assert sorted((r.part, r.movie_title, r.sessions, r.hours) for r in rows) == sorted(
+        (day, title, 1, 1) for title, day in days
+    )
+    before = table.state()
+    assert refresh(measure, table, source, source.state()) == before.version
+    merge_rows(source, model, streams(spark, ("d", "2024-01-02")))
+    for folder in (tmp_path / "stage/streams/data").glob("*/__part=2024-01-0[13]"):
+        folder.rename(tmp_path / folder.name)
+    rows = sessions_of(measure, table, source).collect()
+    assert {(r.part, r.movie_title) for r in rows} == {(day, title) for title, day in days} | {("2024-01-02", "d")}
+    after = table.state()
+    assert [p for p in after.loads if after.loads[p] != before.loads[p]] == ["2024-01-02"]
+    # a refresh of the source that has fewer days
+    source.write(streams(spark, ("z", "2024-01-05")), model.sort_by)
+    assert [(r.part, r.movie_title) for r in sessions_of(measure, table, source).collect()] == [("2024-01-05", "z")]
+
+
+def test_a_measure_of_nothing(spark, tmp_path):
+    source = stage_table(spark, str(tmp_path), "streams")
+    source.write(streams(spark))
+    for name in MEASURES:
+        assert sessions_of(MEASURES[name], measure_table(spark, str(tmp_path), name), source).count() == 0
+    sketches = measure_table(spark, str(tmp_path), "size_sketches").read()
+    assert tuple(trusted.median_of_sketches(sketches).first()) == (None, 0)
+    titles = measure_table(spark, str(tmp_path), "title_days").read()
+    assert trusted.mean_of_title_days(titles).first()[0] is None
+
+
+def test_answers_from_measures_are_those_from_the_sessions(spark, tmp_path):
+    views_of = views.landing_views(spark, "/root/testdata/sf0.001")
+    staged = {n: STAGE_MODELS[n].build(views_of[n]) for n in ("streams", "reviews", "books", "authors")}
+    source = stage_table(spark, str(tmp_path), "streams")
+    source.write(staged["streams"], ("start_ts",))
+    days = sessions_of(MEASURES["title_days"], measure_table(spark, str(tmp_path), "title_days"), source)
+    sessions = source.read()
+    assert trusted.mean_of_title_days(days).first() == trusted.mean_session_hours(sessions).first()
+    share = [trusted.adaptation_share(s, staged["reviews"]).first() for s in (days, sessions)]
+    assert share[0] == share[1]
+    rest = [staged[n] for n in ("reviews", "books", "authors")]
+    assert len({trusted.adaptations_by_author_origin(s, *rest, None).first() for s in (days, sessions)}) == 1
+
+
+def test_a_time_that_cannot_be_read_fails_the_measure(spark, tmp_path):
+    source = stage_table(spark, str(tmp_path), "streams")
+    source.write(sessions(spark, *TIMES, ("Heat", "2024-01-04T10:00:00Z", "soon")))
+    with pytest.raises(PySparkException):
+        refresh(MEASURES["title_days"], measure_table(spark, str(tmp_path), "title_days"), source, source.state())
+
+
+def test_the_median_of_sketches_is_near(spark, tmp_path, monkeypatch):
+    """Merged from many parts; the rank is within the stated error."""
+    monkeypatch.setattr(measures, "SKETCH", 256)
+    sizes = [(i * 7919) % 20_011 / 3 for i in range(20_000)]
+    rows = [("t", "u", s, f"2024-01-{i % 28 + 1:02}T10:00:00Z", f"2024-01-{i % 28 + 1:02}T11:00:00Z") for i, s in enumerate(sizes)]
+    rows += [("t", "u", None, "2024-01-01T10:00:00Z", "2024-01-01T11:00:00Z")]
+    source = stage_table(spark, str(tmp_path), "streams")
+    source.write(STAGE_MODELS["streams"].build(spark.createDataFrame(rows, schemas.STREAMS)))
+    sketches = sessions_of(MEASURES["size_sketches"], measure_table(spark, str(tmp_path), "size_sketches"), source)
+    assert sketches.count() == 28
+    for folder in (tmp_path / "stage/streams/data").glob("*"):
+        folder.rename(tmp_path / folder.name)
+    median, n = trusted.median_of_sketches(sketches).first()
+    rank = sum(s <= median * 1000 for s in sizes) / len(sizes)
+    assert n == len(sizes) and abs(rank - 0.5) < 2.296 / 256**0.9723
+
+
 # lineage
 
 
 def test_edges_are_those_of_the_models():
     needs = edges()
-    assert set(needs) == {f"stage.{n}" for n in STAGE_MODELS} | {f"trusted.{n}" for n in TRUSTED_MODELS}
+    assert set(needs) == {f"stage.{n}" for n in STAGE_MODELS} | {f"trusted.{n}" for n in TRUSTED_MODELS} | {
+        "measure.title_days", "measure.size_sketches"
+    }
+    assert needs["measure.title_days"] == {"stage.streams"}
+    assert needs["trusted.adaptation_share"] == {"measure.title_days", "stage.reviews"}
     assert needs["trusted.users_past_half"] == {"stage.streams", "stage.movies"}
     assert not any(needs[f"stage.{n}"] for n in STAGE_MODELS)
 
