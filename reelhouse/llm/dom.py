@@ -65,6 +65,8 @@ _TAG = re.compile(
     r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)",
     re.S,
 )
+#: As in `_TAG`, with groups that are never set.
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|(?!)(.)(.)", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=>]|$)|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
 _PARTS = re.compile(r"[a-z]+")
@@ -90,13 +92,80 @@ def _marks(tag: str, attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
+class _Open:
+    """The open elements, innermost last, and where the kinds that are asked for stand.
+
+    Every question is answered without a walk over the elements, so a page of a million open or
+    unmatched tags takes time in proportion to its length.
+    """
+
+    def __init__(self):
+        # (tag, marks of it and its ancestors, number, number of the parent)
+        self.elements: list[tuple[str, frozenset[str], int, int]] = [("", frozenset(), 0, 0)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks, self.stops = [0], [0]
+
+    def push(self, element: tuple[str, frozenset[str], int, int]) -> None:
+        tag, place = element[0], len(self.elements)
+        self.elements.append(element)
+        self.places.setdefault(tag, []).append(place)
+        if tag not in INLINE:
+            self.blocks.append(place)
+        if tag in _STOPS:
+            self.stops.append(place)
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all inside it."""
+        while len(self.elements) > place:
+            tag = self.elements.pop()[0]
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+            if tag in _STOPS:
+                self.stops.pop()
+
+    def last(self, tag: str) -> int:
+        """Where the innermost element of a tag is, 0 if there is none."""
+        return (self.places.get(tag) or (0,))[-1]
+
+    def close(self, tag: str) -> None:
+        """What a closing tag does; one of an inline element reaches no further than its block."""
+        place = self.last(tag)
+        if place and (tag not in INLINE or place > self.blocks[-1]):
+            self.cut(place)
+
+    def make_room(self, tags: set[str]) -> None:
+        """What an opening tag does that closes others, inside the nearest element that stops it."""
+        place = max(map(self.last, tags))
+        if place and place >= self.stops[-1]:
+            self.cut(place)
+
+    def top(self) -> tuple[str, frozenset[str], int, int]:
+        return self.elements[-1]
+
+    def holder(self) -> tuple[str, frozenset[str], int, int]:
+        """The innermost element that is no inline one."""
+        return self.elements[self.blocks[-1]]
+
+
+def _past(page: str, tag: str, at: int) -> int:
+    """Behind the next closing tag; the end of the page if there is none."""
+    begun = re.compile(f"</{re.escape(tag)}", re.I).search(page, at)
+    ended = page.find(">", begun.end()) if begun else -1
+    return ended + 1 if ended >= 0 else len(page)
+
+
+def _next_tag(page: str, at: int, last: int) -> re.Match | None:
+    """The next tag or comment; behind the last ">" there are unclosed comments only."""
+    return _TAG.search(page, at) if at <= last else _COMMENT.search(page, at)
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The blocks of a page in page order; white space inside a block is one space."""
     blocks: list[Block] = []
-    # (tag, marks of it and its ancestors, number, number of the parent)
-    stack: list[tuple[str, frozenset[str], int, int]] = [("", frozenset(), 0, 0)]
+    stack = _Open()
     parts: list[str] = []
-    linked, links, number, at, size = 0, 0, 0, 0, len(page)
+    linked, links, number, at, size, last = 0, 0, 0, 0, len(page), page.rfind(">")
     unclosed: set[str] = set()  # undrawn elements that no later tag closes
 
     def finish() -> None:
@@ -105,12 +174,12 @@ def leaf_blocks(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                holder = next((e for e in reversed(stack) if e[0] not in INLINE), stack[0])
-                blocks.append(Block(text, min(linked, len(text)), holder[0], stack[-1][1], holder[3]))
+                holder = stack.holder()
+                blocks.append(Block(text, min(linked, len(text)), holder[0], stack.top()[1], holder[3]))
         linked = 0
 
     while at < size:
-        m = _TAG.search(page, at)
+        m = _next_tag(page, at, last)
         piece = page[at : m.start() if m else size]
         if piece:
             if "&" in piece:
@@ -124,18 +193,18 @@ def leaf_blocks(page: str) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
-        if stack[-1][0] == "svg":
+        if stack.top()[0] == "svg":
             # shapes and their text are part of the block around the drawing
             if tag == "text":
                 parts.append(" ")
             if m[1]:
-                if all(e[0] != tag for e in stack):
+                if not stack.last(tag):
                     if tag == "a":
                         links = 0
                     continue
             elif tag in _LEAVES:
-                while stack[-1][0] == "svg":
-                    stack.pop()
+                while stack.top()[0] == "svg":
+                    stack.cut(len(stack.elements) - 1)
             elif m[3].endswith("/>"):
                 continue
             elif tag in _UNDRAWN:
@@ -155,38 +224,26 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        inline = tag in INLINE
-        if not inline:
+        if tag not in INLINE:
             finish()
         if m[1]:
             if tag == "a":
                 links = 0
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if inline and stack[i][0] not in INLINE:
-                    break
+            stack.close(tag)
             continue
         if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            at = _past(page, tag, at)
             continue
         if tag in VOID:
             continue
         closes = CLOSES.get(tag)
         if closes:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in closes:
-                    del stack[i:]
-                    break
-                if stack[i][0] in _STOPS:
-                    break
+            stack.make_room(closes)
         if tag == "a":
             links = 1
         number += 1
-        above = stack[-1]
+        above = stack.top()
         own = _marks(tag, m[3])
-        stack.append((tag, above[1] | own if own else above[1], number, above[2]))
+        stack.push((tag, above[1] | own if own else above[1], number, above[2]))
     finish()
     return blocks

@@ -10,13 +10,16 @@ One narrow pass over the pages, without a shuffle.
 
 Cases: a null or empty page, and one without main text, gives an empty text. Unclosed tags,
 comments and quotes are read as browsers roughly do; what cannot be a tag is text. A drawing (svg)
-is part of its line, and what is inside a canvas, object or template is read like the rest. Rows with null
-ids or urls and repeated rows are handled one by one. Other columns are ignored.
+is part of its line, and what is inside a canvas, object or template is read like the rest. Blocks
+are looked at whole, however long, and pages of any depth are read in time that grows with their
+length. Rows with null ids or urls and repeated rows are handled one by one. An empty table gives no
+rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 
 from pyspark.sql import DataFrame
 
@@ -26,6 +29,7 @@ from reelhouse.llm.rows import chosen, over_batches
 
 #: What notices, adverts and footers say of themselves, in lower case.
 PHRASES = ("©", "cookie", "subscribe", "newsletter", "advertisement", "sponsored", "comments", "reply")
+_SAID = re.compile("|".join(map(re.escape, PHRASES)))
 _ENDS = (".", "!", "?", "…", '."', ".”", ":", "。")
 SAME, OTHER_PARENT = 0, 1
 
@@ -42,8 +46,7 @@ def features(block: Block, first: bool, last: bool) -> list[str]:
     out.append(f"links:{_step(100 * block.linked // n, (0, 25, 60, 90))}")
     out.append("ends" if text.endswith(_ENDS) else "open")
     out.append(f"commas:{_step(text.count(','), (0, 2, 5))}")
-    low = text.lower() if n < 400 else text[:400].lower()
-    out += [f"says:{p}" for p in PHRASES if p in low]
+    out += [f"says:{p}" for p in sorted(set(_SAID.findall(text.lower())))]
     if not any("name:" in m or m in _SECTIONS for m in block.marks):
         out.append("unmarked")
     if first:

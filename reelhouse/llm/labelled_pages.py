@@ -11,6 +11,8 @@ import random
 
 MAIN, OTHER = 1, 0
 _SYLLABLES = "ba co de fi go hu la me ni or pa que ri so tu un ver wel xi yo zen thr st é ö".split()
+#: What articles speak of as well.
+_MENTIONED = ("cookies", "subscribe", "newsletter", "advertisement", "sponsored", "comments", "reply")
 #: How many pages are made to train on.
 PAGES = 500
 
@@ -93,8 +95,15 @@ def _advert(w: _Writer) -> None:
 
 def _notice(w: _Writer) -> None:
     name = w.rnd.choice(("cookie-notice", "consent", "notice", "popup", "alert-bar", "newsletter", "gdpr"))
-    w.raw(f'<div {w.rnd.choice(("class", "id"))}="{name}">')
-    w.block("p", w.rnd.choice((w.prose(3), f"We use cookies. {w.sentence()}", f"Subscribe {w.sentence()}")), OTHER)
+    late = w.rnd.random() < 0.35  # a long one that says what it is at its end
+    says = w.rnd.choice(("We use cookies", "Subscribe", "We use cookies, subscribe to our newsletter"))
+    bare = late and w.rnd.random() < 0.5
+    w.raw("<div>" if bare else f'<div {w.rnd.choice(("class", "id"))}="{name}">')
+    if late:
+        text = f"{w.prose(7)} {w.prose(9)} {says} {w.sentence()}"
+    else:
+        text = w.rnd.choice((w.prose(3), f"{says}. {w.sentence()}"))
+    w.block("p", text, OTHER)
     if w.rnd.random() < 0.5:
         w.block("div", f"<button>{w.words(1, 2)}</button>", OTHER)
     w.raw("</div>")
@@ -181,6 +190,8 @@ def _article(w: _Writer) -> None:
         kind = w.rnd.random()
         if kind < 0.62:
             text = w.prose(7)
+            if w.rnd.random() < 0.06:
+                text = f"{text} {w.words(1, 6)} {w.rnd.choice(_MENTIONED)} {w.sentence()}"
             if w.rnd.random() < 0.25:
                 text = text.replace(" ", f' <a href="/{w.word()}">{w.word()}</a> ', 1)
             if w.rnd.random() < 0.2:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from brute import SMALL, ordered
 from pyspark.sql import functions as F
 
 import oracle
-from reelhouse.llm import crf, extract, labelled_pages, nearest
+from reelhouse.llm import crf, dom, extract, labelled_pages, nearest
 from reelhouse.llm.dom import leaf_blocks
 from reelhouse.llm.queries import ORACLES, QUERIES
 
@@ -156,6 +157,95 @@ def test_odd_pages(spark):
     assert extract.extract_text(empty).collect() == []
 
 
+SENTENCE = "A plain sentence, with some more words in it, that goes on for a while. "
+ARTICLE = "<article><h1>A heading</h1>" + f"<p>{SENTENCE * 3}</p>" * 5 + "</article>"
+
+
+@pytest.mark.parametrize("sentences", [6, 10, 15, 60])
+@pytest.mark.parametrize("opening", ["<div><p>", "<p>", '<div class="notice"><p>', "<section>"])
+def test_notices_that_name_themselves_late(sentences, opening):
+    """After 430 characters and more, in front of the article and behind it."""
+    field = extract.model()
+    want = extract.main_blocks(f"<body>{ARTICLE}</body>", field)
+    assert len(want) == 6
+    notice = f"{opening}{SENTENCE * sentences}We use cookies, subscribe to our newsletter."
+    notice += "".join(f"</{t}>" for t in reversed(re.findall(r"<(\w+)", opening)))
+    assert extract.main_blocks(f"<body>{notice}{ARTICLE}</body>", field) == want
+    assert extract.main_blocks(f"<body>{ARTICLE}{notice}</body>", field) == want
+
+
+def test_articles_may_speak_of_cookies_and_comments():
+    article = ARTICLE.replace(SENTENCE * 3, SENTENCE * 9 + "She left comments and a reply about the cookie.")
+    assert len(extract.main_blocks(f"<body>{article}</body>", extract.model())) == 6
+
+
+N = 60_000
+DEEP_PAGES = [
+    "<b>" * N + "</i>" * N,
+    "<div>" * N + "</section>" * N,
+    "<svg>" * N + "</g>" * N,
+    "<i><div>" + "<b>" * N + "</i>" * N,
+    "<b>" * N + "x</section>" * N,
+    "<li>" * N + "<p>" * N,
+    "<td><b>" * N + "<td>" * N,
+    "<p><b>" * N + "</p>" * N,
+    "<!" * 2 * N,
+    "<a " * 2 * N,
+    "<script>" + "</script" * N,
+    "<!--" * N,
+]
+
+
+@pytest.mark.parametrize("page", DEEP_PAGES, ids=[p[:12] for p in DEEP_PAGES])
+def test_deep_pages_are_read_in_linear_time(page):
+    """Pages of 300 KB; each took minutes or more where tags walked over all open elements."""
+    begun = time.process_time()
+    leaf_blocks("<p>One</p>" + page)
+    assert time.process_time() - begun < 2
+
+
+def plain_end_tags(tags):
+    """Open elements after each tag, by walking over all of them."""
+    stack, out = [], []
+    for tag in tags:
+        if tag[0] != "/":
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i] in dom.CLOSES.get(tag, ()):
+                    del stack[i:]
+                    break
+                if stack[i] in dom._STOPS:
+                    break
+            stack.append(tag)
+        else:
+            tag = tag[1:]
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i] == tag:
+                    del stack[i:]
+                    break
+                if tag in dom.INLINE and stack[i] not in dom.INLINE:
+                    break
+        out.append(list(stack))
+    return out
+
+
+def test_open_elements_are_those_of_a_walk():
+    rnd = random.Random(3)
+    names = ["p", "li", "ul", "td", "tr", "table", "b", "i", "a", "div", "dd", "dt", "section"]
+    for _ in range(200):
+        tags = [rnd.choice(["", "/"]) + rnd.choice(names) for _ in range(60)]
+        opened, got = dom._Open(), []
+        for tag in tags:
+            if tag[0] == "/":
+                opened.close(tag[1:])
+            else:
+                if tag in dom.CLOSES:
+                    opened.make_room(dom.CLOSES[tag])
+                opened.push((tag, frozenset(), 0, 0))
+            got.append([e[0] for e in opened.elements[1:]])
+            assert opened.holder()[0] == next((t for t in reversed(got[-1]) if t not in dom.INLINE), "")
+        assert got == plain_end_tags(tags)
+
+
 ICONS = [
     '<svg class="icon" viewBox="0 0 9 9"/>',
     "<SVG width=9 height=9 />",
@@ -221,6 +311,6 @@ def test_the_registry():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(names)
     assert set(ORACLES) <= set(QUERIES)
