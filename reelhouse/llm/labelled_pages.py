@@ -183,6 +183,7 @@ def _article(w: _Writer) -> None:
     names = ("content", "post", "entry-content", "article-body", "story", "main-text")
     name = f' class="{w.rnd.choice(names)}"' if tag in ("div", "section") and w.rnd.random() < 0.8 else ""
     w.raw(f"<{tag}{name}>")
+    spoken_of = 0.7 if w.rnd.random() < 0.12 else 0.02
     if w.rnd.random() < 0.8:
         head = w.words(2, 12)
         w.block(w.rnd.choice(("h1", "h1", "h2")), head, MAIN)
@@ -190,8 +191,9 @@ def _article(w: _Writer) -> None:
         kind = w.rnd.random()
         if kind < 0.62:
             text = w.prose(7)
-            if w.rnd.random() < 0.06:
-                text = f"{text} {w.words(1, 6)} {w.rnd.choice(_MENTIONED)} {w.sentence()}"
+            if w.rnd.random() < spoken_of:
+                said = (f"{w.words(1, 4)} {x}" for x in w.rnd.sample(_MENTIONED, w.rnd.randint(1, 3)))
+                text = f"{text} {' '.join(said)} {w.sentence()}"
             if w.rnd.random() < 0.25:
                 text = text.replace(" ", f' <a href="/{w.word()}">{w.word()}</a> ', 1)
             if w.rnd.random() < 0.2:
@@ -228,6 +230,12 @@ def _article(w: _Writer) -> None:
 def page(rnd: random.Random) -> tuple[str, list[int]]:
     """One page and the label of each of its blocks."""
     w = _Writer(rnd)
+    if rnd.random() < 0.06:  # a bare page: one text, with or without a wrapper
+        tag = rnd.choice(("article", "article", "main", "body"))
+        w.raw(f"<{tag}>")
+        for _ in range(rnd.randint(1, 2)):
+            w.block("p", w.prose(9), MAIN)
+        return "".join(w.html), w.labels
     title = w.words(1, 8)
     w.raw(f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{margin:0}}</style></head><body>")
     before = [_header, _menu, _advert, _notice, _sidebar, _form]
