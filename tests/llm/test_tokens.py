@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 import random
 import zlib
 from array import array
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import xxhash
 from brute import LONG, ODD_DOCUMENTS, SMALL, base_scores, odd, ordered
 
 from reelhouse.llm import chunks, class_lm, counts, prefix_bpe, repair
@@ -189,6 +193,108 @@ def test_scores_of_the_table_beat_the_base(spark):
         assert sum(r.score for r in part) > sum(r.base_score for r in part)
 
 
+def bucket_rows(lists, contexts):
+    """The rows of one bucket: (chunk, hashes, counts), and (chunk, neighbours of each, classes)."""
+    rows = []
+    for chunk, hashes, n in lists:
+        columns = {"hash": np.array(hashes, np.uint64), "count": np.array(n, np.uint32)}
+        rows.append((chunk, 0, class_lm._WORDS, class_lm.WORDS.pack(columns), None))
+    for chunk, n, cells in contexts:
+        rows.append((chunk, 0, class_lm._CONTEXTS, class_lm.squeezed(np.array(n)), cells.tobytes()))
+    names = ["chunk", "bucket", "kind", "words", "ids"]
+    kinds = [pa.int64(), pa.int32(), pa.int8(), pa.binary(), pa.binary()]
+    return pa.table({c: pa.array(v, k) for c, v, k in zip(names, zip(*rows, strict=True), kinds, strict=True)})
+
+
+def test_counts_beyond_32_bits():
+    most = 2**32 - 1
+    table = bucket_rows([(c, [5, 9], [most, 1]) for c in range(3)], [])
+    head, of = np.array([5], np.uint64), np.array([0, 2])
+    made = class_lm._answer(head, of, np.zeros((6, 3)))(table).to_pylist()
+    for row in made:
+        assert class_lm.expanded(row["counts"], "<i8").tolist() == [3 * most, 3]
+    assert np.frombuffer(made[0]["totals"], np.int64).tolist()[2] == 3 * most
+    counted = class_lm._count_words(2)(table).to_pylist()
+    assert [(r["hash"], r["count"]) for r in counted[1:]] == [(5, 3 * most), (9, 3)]
+    assert counted[0]["n"] == 3 * most + 3
+
+
+def test_votes_beyond_24_bits():
+    """One neighbour more decides, where single precision stops adding ones."""
+    n = 2**24
+    cells = np.concatenate([np.full(n, 1, np.uint8), np.full(n + 2, 2, np.uint8)])
+    table = bucket_rows([(0, [9], [2 * n + 2])], [(0, [2 * n + 2], cells)])
+    weights = np.zeros((6, 3))
+    weights[1, 1] = weights[2, 2] = 1.0
+    made = class_lm._answer(np.zeros(0, np.uint64), np.zeros(1, np.int64), weights)(table).to_pylist()
+    assert made[0]["classes"] == bytes([2])
+
+
+def plain_scores(rows, classes=class_lm.CLASSES):
+    """The score of each row, with words and classes in dictionaries."""
+    tokens = [[*(t or "").encode().lower().split(), None] for _, t in rows]
+    train = [ts for ts, (d, _) in zip(tokens, rows, strict=True) if not class_lm.held_out(d)]
+    count = Counter(w for ts in train for w in ts)
+    hashed = {w: xxhash.xxh3_64_intdigest(w) or 1 for w in count if w is not None}
+    by_count = sorted(hashed, key=lambda w: (-count[w], np.uint64(hashed[w]).view(np.int64)))[: class_lm.HEAD]
+    place = {None: 0} | {w: i + 1 for i, w in enumerate(by_count)}
+    pairs = np.zeros((len(place), len(place)))
+    for ts in train:
+        for a, b in zip([None, *ts], ts, strict=False):
+            if a in place and b in place:
+                pairs[place[a], place[b]] += 1
+    of = class_lm.exchange(pairs, classes)
+    weights = class_lm.joining_weights(class_lm.class_table(pairs, of, classes))
+    votes = {w: np.zeros(len(weights)) for w in hashed if w not in place}
+    for ts in train:
+        for a, b in zip([None, *ts], ts, strict=False):
+            if b in votes and a in place:
+                votes[b][of[place[a]]] += 1
+            if a in votes and b in place:
+                votes[a][classes + 1 + of[place[b]]] += 1
+    cls = {w: int(of[i]) for w, i in place.items()}
+    cls |= {w: 1 + int(np.argmax((v @ weights)[1:])) for w, v in votes.items()}
+    size = Counter()
+    for w, n in count.items():
+        size[cls[w]] += n
+    unknown = classes + 1
+    table = np.zeros((classes + 2, classes + 2))
+    for ts in train:
+        before, rare = None, False
+        for w in ts:
+            once = count[w] == 1 and w is not None
+            table[cls[before], cls[w]] += 1
+            if once:
+                table[cls[before], unknown] += 1
+            if rare:
+                table[unknown, cls[w]] += 1
+            if once and rare:
+                table[unknown, unknown] += 1
+            before, rare = w, once
+    logs = class_lm.transitions(table)
+    out = []
+    for ts in tokens:
+        total, before = 0.0, 0
+        for w in ts:
+            c = cls[w] if count[w] else unknown
+            total += logs[before, c]
+            if 0 < c < unknown:
+                total += math.log10(count[w] / size[c])
+            before = c
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("source", ["odd", "table"])
+def test_scores_are_those_of_plain_classes(spark, source):
+    docs = odd(spark) if source == "odd" else spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    want = sorted((repr(d), round(s, 6)) for (d, _), s in zip(rows, plain_scores(rows), strict=True))
+    got = sorted((repr(r.doc_id), round(r.score, 6)) for r in class_lm.text_scores(docs).collect())
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=1e-5)
+
+
 def test_scores_of_odd_documents(spark):
     got = class_lm.text_scores(odd(spark)).collect()
     check_scores([(d, t) for d, t, *_ in ODD_DOCUMENTS], got)
