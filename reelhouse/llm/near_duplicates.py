@@ -34,6 +34,9 @@ ignored.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -57,6 +60,9 @@ SKETCHES = 1024
 MEMBERS = 256
 #: Shingles for which a block of a family is counted as full, whatever its number of nodes.
 BLOCK_SHINGLES = 1 << 19
+#: Rows with sketches, and shingles, of the meetings that one call is given.
+MET_ROWS = 1 << 16
+MET_SHINGLES = 1 << 23
 EMPTY = 0xFFFFFFFF
 #: Chance that two unrelated registers agree: in the octave, and then in all mantissa bits.
 CHANCE = 0.34 / (1 << MANTISSA)
@@ -171,27 +177,32 @@ def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return estimate >= t - SIGMAS * np.sqrt(t * (1 - t) / np.maximum(used, 1))
 
 
-def signatures(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, a hash of the text, size of the set, its 128-bit name and its sketch."""
+def signatures(
+    docs: DataFrame, words: int, id_col: str, text_col: str, carry: Sequence[str] = ()
+) -> DataFrame:
+    """doc_id, a hash of the text, size of the set, its 128-bit name, its sketch, and the columns
+    to carry as `_c0`, `_c1` and so on."""
 
     def make():
         known = WordHashes()
 
-        def run(ids, hashes, texts):
+        def run(ids, hashes, texts, *carried):
             n, keys, packed = [], [], []
             for i in range(0, len(texts), AT_ONCE):
                 sets = shingle_sets(texts[i : i + AT_ONCE].to_pylist(), known, words)
                 n += [len(s) for s in sets]
                 keys += [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 packed += [s.tobytes() for s in sketches(sets)]
-            return ids, hashes, n, keys, packed
+            return ids, hashes, n, keys, packed, *carried
 
         return run
 
-    source = chosen(docs, doc_id=id_col, text=text_col).select(
-        F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text"
+    names = [f"_c{i}" for i in range(len(carry))]
+    source = chosen(docs, doc_id=id_col, text=text_col, **dict(zip(names, carry, strict=True))).select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text", *names
     )
-    return over_batches(source, make, SIGNATURE_DDL)
+    types = [f"{n} {source.schema[n].dataType.simpleString()}" for n in names]
+    return over_batches(source, make, ", ".join([SIGNATURE_DDL, *types]))
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -300,6 +311,13 @@ def _met(rest: DataFrame, group: str, blocks, stray_blocks, columns: list[str],
     return members.union(strays).withColumn("part", F.pmod(F.xxhash64(group, "m", "s"), F.lit(parts)))
 
 
+def _calls(groups: DataFrame, sizes, each: int) -> int:
+    """How many calls the meetings of all groups are dealt to, so that one holds about `each`."""
+    least = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = groups.agg(F.sum(sizes).cast("double")).first()[0] or 0
+    return max(least, math.ceil(total / each))
+
+
 class _Meetings:
     """The rows of one call in the order of their meetings."""
 
@@ -384,7 +402,6 @@ def _joining_links(met: DataFrame, percent: int) -> DataFrame:
 
 def _links_between(shared: DataFrame, sets: DataFrame, links: DataFrame, percent: int, folder: str) -> DataFrame:
     """The links that join components which the stars have left apart."""
-    parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = components(links).withColumnsRenamed({"node": "key"})
     named = (
         shared.filter("size > 2")
@@ -392,14 +409,17 @@ def _links_between(shared: DataFrame, sets: DataFrame, links: DataFrame, percent
         .select("band", "key", "n", "size", F.coalesce("component", "key").alias("component"))
     )
     named = stored(named, f"{folder}/named")
-    mains = named.groupBy("band").agg(
-        F.min_by("component", "key").alias("main"),
-        (F.min("component") != F.max("component")).alias("several"),
+    mains = named.groupBy("band", "component").agg(F.count("key").alias("nodes")).groupBy("band").agg(
+        F.max_by("component", F.struct("nodes", "component")).alias("main"),
+        (F.sum("nodes") - F.max("nodes")).alias("strays"),
+        F.sum("nodes").alias("all_nodes"),
     )
-    mains = mains.filter("several").select("band", "main")
+    mains = stored(mains.filter("strays > 0"), f"{folder}/mains")
     rest = join_unique(named, mains, "band").join(sets.select("key", "sketch"), "key")
-    blocks = F.ceil(F.col("size") / SKETCHES)
-    near = stored(_families(_met(rest, "band", blocks, blocks, ["sketch"], parts), percent), f"{folder}/near")
+    # a bucket of many nodes is met by its strays only, however few blocks those fill
+    blocks, stray_blocks = (F.ceil(F.col(c) / SKETCHES) for c in ("all_nodes", "strays"))
+    parts = _calls(mains, F.col("all_nodes") * stray_blocks + F.col("strays") * blocks, MET_ROWS)
+    near = stored(_families(_met(rest, "band", blocks, stray_blocks, ["sketch"], parts), percent), f"{folder}/near")
     families = components(near).select(F.col("node").alias("component"), F.col("component").alias("family"))
 
     nodes = sets.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -411,9 +431,12 @@ def _links_between(shared: DataFrame, sets: DataFrame, links: DataFrame, percent
         F.sum("shingles").alias("all_shingles"),
         (F.sum("nodes") - F.max("nodes")).alias("strays"),
     )
+    sizes = stored(sizes, f"{folder}/sizes")
     rest = join_unique(members, sizes, "family")
     blocks = F.greatest(F.ceil(F.col("all_nodes") / MEMBERS), F.ceil(F.col("all_shingles") / BLOCK_SHINGLES))
     stray_blocks = F.greatest(F.ceil(blocks * F.col("strays") / F.col("all_nodes")), F.lit(1).cast("long"))
+    both_ways = F.col("all_shingles") * stray_blocks * (1 + F.col("strays") / F.col("all_nodes") * blocks / stray_blocks)
+    parts = _calls(sizes, both_ways, MET_SHINGLES)
     return _joining_links(_met(rest, "family", blocks, stray_blocks, ["sketch", "shingles"], parts), percent)
 
 
@@ -423,15 +446,18 @@ def near_duplicates(
     words: int = WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and text_hash (xxhash64 of the text) of every row.
 
     Sets are linked if 100 * intersection >= `percent` * union; component_id is the smallest id
-    reachable over links, and a row is kept if that is its own.
+    reachable over links, and a row is kept if that is its own. Columns to `carry` follow; none of
+    them may have one of these names.
     """
     spark = docs.sparkSession
     folder = scratch_dir(spark)
-    signed = stored(signatures(docs, words, id_col, text_col), f"{folder}/signatures")
+    signed = stored(signatures(docs, words, id_col, text_col, carry), f"{folder}/signatures")
+    carried = [F.col(f"_c{i}") for i in range(len(carry))]
     linkable = signed.filter("n > 0 AND doc_id IS NOT NULL")
     nodes = stored(
         linkable.groupBy("key").agg(
@@ -460,9 +486,9 @@ def near_duplicates(
     labels = nodes.select("key", "rep").join(labelled, "key", "left").select(
         "key", F.coalesce("least_rep", "rep").alias("component_id")
     )
-    linked = join_unique(linkable, labels, "key").select("doc_id", "n", "component_id", "text_hash")
+    linked = join_unique(linkable, labels, "key").select("doc_id", "n", "component_id", "text_hash", *carried)
     alone = signed.filter("n = 0 OR doc_id IS NULL").select(
-        "doc_id", "n", F.col("doc_id").alias("component_id"), "text_hash"
+        "doc_id", "n", F.col("doc_id").alias("component_id"), "text_hash", *carried
     )
     return linked.union(alone).select(
         "doc_id",
@@ -470,4 +496,5 @@ def near_duplicates(
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
         "text_hash",
+        *(c.alias(name) for c, name in zip(carried, carry, strict=True)),
     )

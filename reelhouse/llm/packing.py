@@ -16,9 +16,9 @@ lower-cased texts; texts without words, and all texts without `percent`, have th
 lower-cased text as theirs. Rows with a null id take part under a hash of their text, and rows that
 share an id are told apart by theirs, so a copy conflicts whatever its id is.
 
-Scale: one count of the pieces, then one shuffle of (id, source, cluster, length), and with
-`percent` a join of these to the groups; packing itself shuffles no texts. The result is the same
-for any number of partitions.
+Scale: one pass over the texts stores (id, length, source, cluster), and one shuffle deals these to
+shards; with `percent` they travel with the signatures of the search for near duplicates. Packing
+itself shuffles no texts. The result is the same for any number of partitions.
 
 Cases: a null or empty text is one piece of length 0, which takes a place in a bin like any
 other. Null sources conflict with each other, and so do null clusters. Null ids come first in
@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.components import stored
 from reelhouse.llm.near_duplicates import near_duplicates
-from reelhouse.operators.joins import join_unique
 from reelhouse.session import scratch_dir
 
 #: Room of a bin, in bytes of text, and pieces for each shard.
@@ -109,48 +108,37 @@ def _pack_shard(capacity: int):
     return run
 
 
-def pieces_of(
-    docs: DataFrame,
-    capacity: int,
-    id_col: str,
-    length,
-    source_col: str,
-    cluster,
-    copy=None,
-    groups: DataFrame | None = None,
+def measured(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, cluster=None, percent: int | None = None
 ) -> DataFrame:
-    """One row per piece, with its place in the document.
-
-    `groups`: (copy, group), which replaces the cluster of documents whose `copy` it holds.
-    """
-    measured = docs.select(
-        docs[f"`{id_col}`"].cast("long").alias("doc_id"),
-        F.coalesce(length, F.lit(0)).cast("long").alias("size"),
+    """(doc_id, size, source, cluster) of every row; texts are read and lower-cased once."""
+    text = docs[f"`{text_col}`"]
+    rows = docs.select(
+        docs[f"`{id_col}`"].cast("long").alias("own"),
+        F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size"),
         docs[f"`{source_col}`"].cast("string").alias("source"),
-        cluster.alias("cluster"),
-        *([] if copy is None else [copy.alias("copy")]),
+        (F.md5(F.lower(text)) if cluster is None else cluster).alias("cluster"),
+        *([] if percent is None else [F.lower(text).alias("text")]),
     )
-    if copy is not None:
-        measured = join_unique(measured, groups, "copy", "left").drop("copy")
-        measured = measured.withColumn("cluster", F.coalesce("group", "cluster")).drop("group")
+    if percent is not None:
+        rows = rows.withColumn("doc_id", F.coalesce("own", F.xxhash64("text")))
+        near = near_duplicates(rows, percent, carry=["own", "size", "source", "cluster"])
+        group = F.when(F.col("n_shingles") > 0, F.col("component_id").cast("string"))
+        rows = near.withColumn("cluster", F.coalesce(group, "cluster"))
+    return rows.select(F.col("own").alias("doc_id"), "size", "source", "cluster")
+
+
+def pieces_of(rows: DataFrame, capacity: int) -> DataFrame:
+    """One row per piece of measured rows, with its place in the document."""
     last = F.greatest(F.ceil(F.col("size") / capacity) - 1, F.lit(0))
     return (
-        measured.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
+        rows.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
         .withColumn("start", F.col("piece") * capacity)
         .withColumn("length", F.least(F.col("size") - F.col("start"), F.lit(capacity)))
         .drop("size")
     )
 
 
-def _near_groups(docs: DataFrame, percent: int) -> DataFrame:
-    """(copy, group) of every document with words, each once."""
-    found = near_duplicates(docs, percent).filter("n_shingles > 0").select(
-        F.struct("doc_id", "text_hash").alias("copy"), F.col("component_id").cast("string").alias("group")
-    )
-    folder = f"{scratch_dir(docs.sparkSession)}/groups"
-    return stored(found.groupBy("copy").agg(F.min("group").alias("group")), folder)
-
-
 def pack(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -167,19 +155,10 @@ def pack(
     default a digest of the lower-cased text. `percent`: near duplicates of that similarity are
     duplicates too.
     """
-    text = docs[f"`{text_col}`"]
-    if cluster is None:
-        cluster = F.md5(F.lower(text))
-    copy = groups = None
-    if percent is not None:
-        own_id = F.coalesce(docs[f"`{id_col}`"].cast("long"), F.xxhash64(F.lower(text)))
-        copy = F.struct(own_id.alias("doc_id"), F.xxhash64(F.lower(text)).alias("text_hash"))
-        groups = _near_groups(docs.select(own_id.alias("doc_id"), F.lower(text).alias("text")), percent)
-    pieces = pieces_of(docs, capacity, id_col, F.octet_length(text), source_col, cluster, copy, groups)
-    sizes = docs.agg(
-        F.sum(F.greatest(F.ceil(F.octet_length(text) / capacity), F.lit(1))), F.count(F.lit(1))
-    ).first()
-    n = int(max(sizes[0] or 0, sizes[1] or 0))
-    shards = max(1, -(-n // shard_pieces))
+    rows = measured(docs, id_col, text_col, source_col, cluster, percent)
+    rows = stored(rows, f"{scratch_dir(docs.sparkSession)}/measured")
+    pieces = pieces_of(rows, capacity)
+    n = rows.agg(F.sum(F.greatest(F.ceil(F.col("size") / capacity), F.lit(1)))).first()[0] or 0
+    shards = max(1, -(-int(n) // shard_pieces))
     spread = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards))
     return pieces.withColumn("shard", spread).groupBy("shard").applyInArrow(_pack_shard(capacity), RESULT)
