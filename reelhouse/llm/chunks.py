@@ -34,6 +34,24 @@ def library(path: str):
     return made
 
 
+@functools.lru_cache(maxsize=2)
+def library_offsets(path: str):
+    """A function that gives the offset of each token of a text without special strings.
+
+    Offsets are those of the whole token, white space included.
+    """
+    from tokenizers import processors
+
+    made = type(library(path)).from_str(library(path).to_str())
+    made.post_processor = processors.ByteLevel(trim_offsets=False)
+
+    def offsets(text: str) -> np.ndarray:
+        found = made.encode(text, add_special_tokens=False).offsets
+        return np.fromiter((a for a, _ in found), np.int64, len(found))
+
+    return offsets
+
+
 def special_ids(tokenizer) -> dict[str, int]:
     return {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
 

@@ -72,7 +72,8 @@ def test_every_way_to_encode_agrees_with_the_library(library):
         assert ids == chunks.little(want)
         assert decoded == library.decode(want, skip_special_tokens=False)
         window, overlap = rnd.choice([1, 2, 5, 17, 40]), rnd.choice([1, 2, 7])
-        assert counts.count(text, chunks.library_counts(PATH), window, overlap) == len(want)
+        known, encode = chunks.library_counts(PATH), chunks.library_offsets(PATH)
+        assert counts.count(text, known, encode, window, overlap) == len(want)
 
 
 def test_every_token_is_its_own_encoding():
@@ -88,11 +89,39 @@ def test_known_chunks_stay_bounded():
     assert " the" in known.made
 
 
-def test_splices_meet_at_true_boundaries():
-    text = "one  two\n\n three" * 30 + "y" * 500 + " end"
-    whole = counts.scan(text, 0, len(text))
-    runs = list(counts.splice(text, window=37, overlap=2))
-    assert [b for run in runs for b in run[:-1]] + [runs[-1][-1]] == whole
+SPLICED = {
+    "words": ("one  two\n\n three" * 300, False),
+    "no white space": ("y" * 700 + "é1-" * 300, True),
+    "white space alone": (" \n" * 900, True),
+    "a long word": ("one two " * 40 + "y" * 500 + " end" * 40, True),
+    "one window": ("one two", False),
+    "nothing": ("", False),
+}
+
+
+@pytest.mark.parametrize("name", SPLICED)
+def test_windows_are_spliced_and_widened(library, name):
+    text, widens = SPLICED[name]
+    encode, made, widened = chunks.library_offsets(PATH), [], []
+
+    def spy(part):
+        made.append(len(part))
+        return encode(part)
+
+    got = counts.spliced_count(text, spy, window=128, overlap=16, widened=lambda: widened.append(1))
+    assert got == len(ids_of(library, text))
+    assert bool(widened) == widens
+    if not widens and len(text) > 128:  # only the overlaps are encoded twice
+        assert len(made) > 10 and len(text) < sum(made) < 1.3 * len(text)
+    if name == "no white space":  # in the end one window, by doubling
+        assert max(made) == len(text) and sum(made) < 40 * len(text)
+
+
+def test_offsets_are_those_of_whole_tokens(library):
+    text = "one  two\n\n thrée🙂 \t end "
+    offsets = chunks.library_offsets(PATH)(text)
+    assert len(offsets) == len(ids_of(library, text)) and offsets[0] == 0
+    assert (np.diff(offsets) >= 0).all() and text[offsets[-1] :].strip() == ""
 
 
 @pytest.mark.parametrize("name", ["odd", "table"])
