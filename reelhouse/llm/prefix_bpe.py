@@ -16,8 +16,10 @@ is asked from the library, since its Unicode tables may be older than Python's.
 
 One narrow pass, without a shuffle; per task an automaton of the vocabulary and a bounded number
 of known chunks. Cases: a null or empty text has no ids and decodes to an empty text. Special
-strings in a text become their ids, and are decoded to the strings. Rows with a null id and
-repeated rows are encoded like any other. Extra columns are ignored.
+strings in a text become their ids, and are decoded to the strings. Texts are taken whole, however
+long; a long word takes one step a byte. Rows with a null id and repeated rows are encoded like any
+other. An empty table gives no rows. Extra columns are ignored. A vocabulary with a token that no
+merge forms is refused.
 """
 
 from __future__ import annotations
@@ -75,6 +77,11 @@ class PrefixEncoder:
             if self.formed[made] < 0:
                 self.formed[made] = when
                 self.left_part[made], self.right_part[made] = vocab[left], vocab[right]
+        # a token is taken for its own encoding, which holds only for what merges form
+        specials = set(special_ids(library(path)).values())
+        odd = [t for t, i in self.ids.items() if len(t) > 1 and self.formed[i] < 0 and i not in specials]
+        if odd:
+            raise ValueError(f"{path}: no merge forms the token {odd[0]!r}")
         self.automaton = ahocorasick.Automaton()
         for token, i in self.ids.items():
             self.automaton.add_word(token.decode("latin-1"), (len(token), i))

@@ -7,7 +7,8 @@ mostly repeated three-word windows). One narrow pass over the texts, without a s
 
 Cases: a null or empty text has no words, fails the base rules and keeps no line. Repeated rows
 are judged one by one. Lines without a word are neither judged nor counted. Rows with a null id
-are judged like any other. Extra columns are ignored, whatever their names.
+are judged like any other. Texts and lines of any length are judged whole. An empty table gives no
+rows. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import os
 import random
@@ -76,9 +77,29 @@ def test_every_way_to_encode_agrees_with_the_library(library):
         assert counts.count(text, known, encode, window, overlap) == len(want)
 
 
-def test_every_token_is_its_own_encoding():
-    made = prefix_bpe.PrefixEncoder(PATH)
-    assert all(made.encode_word(token) == [i] for token, i in made.ids.items() if len(token) > 1)
+def test_every_token_is_its_own_encoding(library):
+    """By the library, for every token that is a text and one word of the pattern."""
+    made, compared = prefix_bpe.PrefixEncoder(PATH), 0
+    cut = library.pre_tokenizer.pre_tokenize_str
+    for token, i in made.ids.items():
+        try:
+            text = token.decode()
+        except UnicodeDecodeError:
+            continue
+        if len(cut(text)) == 1:
+            assert library.encode(text, add_special_tokens=False).ids == [i] == made.encode_word(token)
+            compared += 1
+    assert compared > 49_000
+
+
+def test_a_vocabulary_with_tokens_that_no_merge_forms_is_refused(tmp_path):
+    with open(PATH, encoding="utf-8") as file:
+        told = json.load(file)
+    told["model"]["merges"] = told["model"]["merges"][:-1]
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps(told), encoding="utf-8")
+    with pytest.raises(ValueError, match="no merge forms"):
+        prefix_bpe.PrefixEncoder(str(path))
 
 
 def test_known_chunks_stay_bounded():
