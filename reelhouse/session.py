@@ -90,17 +90,35 @@ def sized_shuffles(spark: SparkSession, input_bytes: int):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def scratch_root(spark: SparkSession) -> str | None:
+    """The folder below the shared `spark.checkpoint.dir` that holds all scratch folders of this
+    application; None if no such folder is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return shared and f"{shared.rstrip('/')}/reelhouse-{spark.sparkContext.applicationId}"
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the shared `spark.checkpoint.dir`.
+    """A new folder in the application's scratch root.
 
     Only a local master may fall back to the machine's temporary folder; such a folder is removed
-    when the program ends.
+    when the program ends. On a cluster folders stay, because results are read from them lazily,
+    until `clear_scratch` is called or the root is deleted.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/reelhouse-{uuid.uuid4().hex}"
+    root = scratch_root(spark)
+    if root:
+        return f"{root}/{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="reelhouse-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return f"{folder}/run"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete all scratch folders of this application, once its results have been stored elsewhere;
+    whether there were any. DataFrames that still read from them fail afterwards."""
+    root = scratch_root(spark)
+    if not root:
+        return False
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -5,12 +5,19 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from reelhouse import session
 from reelhouse.operators import joins
 from reelhouse.operators.joins import join_unique
 from reelhouse.operators.load import AmbiguousUpsert, upsert
 from reelhouse.plans import trusted as T
 from reelhouse.plans.stage import STAGE_MODELS
-from reelhouse.session import estimated_bytes, scratch_dir, sized_shuffles
+from reelhouse.session import (
+    clear_scratch,
+    estimated_bytes,
+    scratch_dir,
+    scratch_root,
+    sized_shuffles,
+)
 from reelhouse.workload import views
 
 WINDOW = ("2024-01-15 07:00:00", "2024-01-15 12:00:00")
@@ -266,3 +273,14 @@ def test_scratch_folders_are_new_and_shared(spark):
     first, second = scratch_dir(spark), scratch_dir(spark)
     shared = spark.conf.get("spark.checkpoint.dir")
     assert first != second and first.startswith(shared) and second.startswith(shared)
+
+
+def test_scratch_folders_can_be_cleared(spark, tmp_path, monkeypatch):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_dir(spark).startswith(f"{scratch_root(spark)}/") and scratch_root(spark).startswith(f"{shared}/")
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path / "own"))
+    assert not clear_scratch(spark)
+    spark.range(3).write.parquet(scratch_dir(spark))
+    (tmp_path / "other").mkdir()
+    assert clear_scratch(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
