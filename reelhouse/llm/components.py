@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.session import scratch_dir
+from reelhouse.sources.store import delete
 
 
 def stored(df: DataFrame, folder: str) -> DataFrame:
@@ -48,5 +49,7 @@ def components(links: DataFrame) -> DataFrame:
         )
         moved = stored(moved, f"{folder}/labels-{step}")
         labels = moved.select("node", "component")
+        for old in (f"{folder}/labels-{step - 1}", f"{folder}/lower-{step}"):
+            delete(links.sparkSession, old)  # nothing reads them any more
         if moved.filter("moved").isEmpty():
             return labels

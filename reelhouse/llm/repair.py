@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.blobs import changes
 from reelhouse.llm.chunks import library, library_ids
-from reelhouse.llm.rows import chosen, over_batches
+from reelhouse.llm.rows import bucket_count, chosen, over_batches
 
 BLOCK = 1 << 18
 MIN_GAIN = 0.02
@@ -159,7 +159,7 @@ def write_token_files(
     """Write the ids of every row, with `end_id` behind each text, as files in id order."""
     source = chosen(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = bucket_count(docs)
     ordered = source.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     end = int(end_id).to_bytes(4, "little")
 

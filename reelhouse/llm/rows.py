@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from reelhouse.session import estimated_bytes
+
 #: A word: a run of characters that are not ASCII white space.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Lower-casing of A-Z alone.
@@ -47,6 +49,13 @@ def over_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> Da
     return df.mapInArrow(run, struct)
 
 
+def bucket_count(df: DataFrame, each: int = 1 << 25) -> int:
+    """How many buckets leave about `each` bytes of the files that `df` reads in one, so that a
+    bucket fits in a task's memory whatever the input; at least the session's shuffle partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-estimated_bytes(df) // each))
+
+
 def text_bytes(column: str = "text"):
     """UTF-8 bytes of a text column; null gives no bytes."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

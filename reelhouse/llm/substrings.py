@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from reelhouse.llm.blobs import Columns, Layout, changes, joined, take
-from reelhouse.llm.rows import chosen, over_batches
+from reelhouse.llm.rows import bucket_count, chosen, over_batches
 from reelhouse.llm.suffixes import permuted_common_prefixes, suffix_array
 from reelhouse.session import scratch_dir
 
@@ -491,7 +491,7 @@ def remove_repeats(
     if length < GRAM:
         raise ValueError(f"strings must have at least {GRAM} bytes, not {length}")
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(docs)
     others = [c for c in docs.columns if carry and c not in (id_col, text_col)]
     source = chosen(docs, _id=id_col, _text=text_col, **{f"_c{i}": c for i, c in enumerate(others)})
     source = source.withColumn("_id", F.col("_id").cast("long")).withColumn(
