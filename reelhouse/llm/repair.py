@@ -46,6 +46,8 @@ BLOCK = 1 << 18
 MIN_GAIN = 0.02
 #: A pair must occur so often in a block to be worth a rule.
 MIN_PAIRS = 8
+#: Stretches of one block that are decoded together.
+AT_ONCE = 1024
 FILE_DDL = (
     "part int, block int, offset long, n_ids long, doc_ids array<long>, sizes binary, "
     "terminals long, symbols binary, rules binary, lengths binary"
@@ -243,3 +245,62 @@ def _read(spark: SparkSession, folder: str, schema: str, finish) -> DataFrame:
 
     wanted = placed.select("start", "offset", "doc_ids", "sizes", "terminals", "symbols", "rules")
     return over_batches(wanted, make, f"doc_id long, start long, {schema}")
+
+
+def read_stretches(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """doc_id, start, n and ids (little-endian unsigned 32-bit) of stretches of documents.
+
+    `wanted`: rows (doc_id, start, n), `start` counted in the ids of the document. A stretch that
+    goes on behind the document ends with it. The place of a document comes from the files' index
+    columns, and of a block only the symbols that cover a stretch are expanded, which their
+    expansion lengths tell. Every row of the files with that id answers; null ids have no answer.
+
+    Up to `AT_ONCE` stretches of a block are decoded together, so that its symbols travel once for
+    these and no list grows with the number of stretches.
+    """
+    files = spark.read.schema(FILE_DDL).parquet(folder)
+
+    def places():
+        def run(parts, blocks, ids, sizes):
+            rows = []
+            for part, block, docs, packed in zip(*(c.to_pylist() for c in (parts, blocks, ids, sizes)), strict=True):
+                n = np.frombuffer(packed, "<u4").astype(np.int64)
+                before = (np.cumsum(n) - n).tolist()
+                rows += [(part, block, d, at, size) for d, at, size in zip(docs, before, n.tolist(), strict=True)]
+            return list(zip(*rows, strict=True)) if rows else [[] for _ in range(5)]
+
+        return run
+
+    index = over_batches(
+        files.select("part", "block", "doc_ids", "sizes"), places, "part int, block int, doc_id long, at long, size long"
+    )
+    asked = wanted.select(F.col("doc_id").cast("long"), F.col("start").cast("long"), F.col("n").cast("long"))
+    found = asked.join(index, "doc_id").withColumn(
+        "n", F.least("n", F.greatest(F.col("size") - F.col("start"), F.lit(0).cast("long")))
+    )
+    order = Window.partitionBy("part", "block").orderBy("doc_id", "at", "start", "n")
+    asked_of = (
+        found.withColumn("group", F.floor((F.row_number().over(order) - 1) / AT_ONCE))
+        .groupBy("part", "block", "group")
+        .agg(F.collect_list(F.struct("doc_id", "start", "n", "at")).alias("asked"))
+    )
+    blocks = files.select("part", "block", "terminals", "symbols", "rules", "lengths")
+
+    def decode():
+        def run(*columns):
+            rows = []
+            for asked, terminals, symbols, rules, lengths in zip(*(c.to_pylist() for c in columns), strict=True):
+                symbols, lengths = np.frombuffer(symbols, "<u4"), np.frombuffer(lengths, "<u4")
+                rules = np.frombuffer(rules, "<u4").reshape(-1, 2)
+                for a in asked:
+                    ids = b""
+                    if a["n"] > 0:
+                        made = stretch(symbols, rules, lengths, terminals, a["at"] + a["start"], a["n"])
+                        ids = made.astype("<u4").tobytes()
+                    rows.append((a["doc_id"], a["start"], a["n"], ids))
+            return list(zip(*rows, strict=True)) if rows else [[] for _ in range(4)]
+
+        return run
+
+    joined = blocks.join(asked_of, ["part", "block"]).select("asked", "terminals", "symbols", "rules", "lengths")
+    return over_batches(joined, decode, "doc_id long, start long, n long, ids binary")

@@ -220,6 +220,21 @@ def test_files_of_odd_documents(spark, library, tmp_path):
     assert [r.start for r in got] == [0, *ends[:-1]]
 
 
+def test_stretches_of_files(spark, library, tmp_path, monkeypatch):
+    monkeypatch.setattr(repair, "AT_ONCE", 3)
+    df, folder, rnd = spark.read.parquet(f"{SMALL}/documents.parquet"), str(tmp_path / "t"), random.Random(8)
+    repair.write_token_files(df, PATH, folder, end_id=2, block=5000)
+    ids = {r.doc_id: [*ids_of(library, r.text), 2] for r in df.collect()}
+    wanted = [(d, rnd.randrange(len(x)), rnd.randint(1, 60)) for d, x in ids.items() for _ in range(2)]
+    wanted += [(0, 0, 10**6), (0, 10**6, 5), (1, 2, 0), (None, 0, 1), (-7, 0, 1), (1, 0, 3), (1, 0, 3)]
+    asked = spark.createDataFrame(wanted, "doc_id long, start long, n long")
+    got = repair.read_stretches(spark, folder, asked).collect()
+    want = [(d, a, ids[d][a : a + n]) for d, a, n in wanted if d in ids]
+    assert ordered((r.doc_id, r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in got) == ordered(want)
+    assert all(r.n == len(r.ids) // 4 for r in got)
+    assert repair.read_stretches(spark, folder, asked.limit(0)).collect() == []
+
+
 def test_files_of_nothing(spark, tmp_path):
     repair.write_token_files(odd(spark, []), PATH, str(tmp_path / "t"), end_id=2)
     assert repair.read_digests(spark, str(tmp_path / "t")).collect() == []
