@@ -97,9 +97,15 @@ class WordHashes(dict):
         return found
 
 
-def shingle_sets(texts: list[str | None], known: WordHashes, words: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    split = [(t or "").encode().lower().split() for t in texts]
+def shingle_sets(
+    texts: list[str | None], known: WordHashes, words: int = WORDS, any_case: bool = False
+) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text; A-Z count as a-z, and with `any_case` all
+    letters as their lower-case ones."""
+    if any_case:
+        split = [(t or "").lower().encode().split() for t in texts]
+    else:
+        split = [(t or "").encode().lower().split() for t in texts]
     sizes = np.array([len(s) for s in split], np.int64)
     total = int(sizes.sum())
     get = known.__getitem__
@@ -178,7 +184,7 @@ def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signatures(
-    docs: DataFrame, words: int, id_col: str, text_col: str, carry: Sequence[str] = ()
+    docs: DataFrame, words: int, id_col: str, text_col: str, carry: Sequence[str] = (), any_case: bool = False
 ) -> DataFrame:
     """doc_id, a hash of the text, size of the set, its 128-bit name, its sketch, and the columns
     to carry as `_c0`, `_c1` and so on."""
@@ -189,7 +195,7 @@ def signatures(
         def run(ids, hashes, texts, *carried):
             n, keys, packed = [], [], []
             for i in range(0, len(texts), AT_ONCE):
-                sets = shingle_sets(texts[i : i + AT_ONCE].to_pylist(), known, words)
+                sets = shingle_sets(texts[i : i + AT_ONCE].to_pylist(), known, words, any_case)
                 n += [len(s) for s in sets]
                 keys += [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 packed += [s.tobytes() for s in sketches(sets)]
@@ -220,7 +226,9 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return over_batches(nodes.select("key", "n", "sketch"), make, "band long, key binary, n long")
 
 
-def _sets(members: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+def _sets(
+    members: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str, any_case: bool
+) -> DataFrame:
     """(key, n, sketch, shingles) of nodes, from the text of the document that stands for each."""
     texts = chosen(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     wanted = texts.join(members, texts["doc_id"] == members["rep"]).select("key", "n", "sketch", "text")
@@ -231,7 +239,7 @@ def _sets(members: DataFrame, docs: DataFrame, words: int, id_col: str, text_col
         def run(keys, n, packed, texts):
             sets = []
             for i in range(0, len(texts), AT_ONCE):
-                sets += shingle_sets(texts[i : i + AT_ONCE].to_pylist(), known, words)
+                sets += shingle_sets(texts[i : i + AT_ONCE].to_pylist(), known, words, any_case)
             # rows that share the id but not the text have another key
             own = [xxhash.xxh3_128_digest(s.tobytes()) == k for s, k in zip(sets, keys.to_pylist(), strict=True)]
             own = pa.array(own, pa.bool_())
@@ -447,16 +455,17 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: Sequence[str] = (),
+    any_case: bool = False,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and text_hash (xxhash64 of the text) of every row.
 
     Sets are linked if 100 * intersection >= `percent` * union; component_id is the smallest id
     reachable over links, and a row is kept if that is its own. Columns to `carry` follow; none of
-    them may have one of these names.
+    them may have one of these names. `any_case` compares all letters without case, not A-Z only.
     """
     spark = docs.sparkSession
     folder = scratch_dir(spark)
-    signed = stored(signatures(docs, words, id_col, text_col, carry), f"{folder}/signatures")
+    signed = stored(signatures(docs, words, id_col, text_col, carry, any_case), f"{folder}/signatures")
     carried = [F.col(f"_c{i}") for i in range(len(carry))]
     linkable = signed.filter("n > 0 AND doc_id IS NOT NULL")
     nodes = stored(
@@ -474,7 +483,7 @@ def near_duplicates(
         .distinct()
     )
     members = nodes.join(shared.select("key").distinct(), "key", "left_semi").select("key", "rep", "n", "sketch")
-    sets = stored(_sets(members, docs, words, id_col, text_col), f"{folder}/sets")
+    sets = stored(_sets(members, docs, words, id_col, text_col, any_case), f"{folder}/sets")
     links = stored(confirmed(star, sets, percent), f"{folder}/star")
     between = _links_between(shared, sets, links, percent, folder)
     all_links = stored(links.union(between), f"{folder}/links")

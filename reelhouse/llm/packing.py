@@ -111,18 +111,21 @@ def _pack_shard(capacity: int):
 def measured(
     docs: DataFrame, id_col: str, text_col: str, source_col: str, cluster=None, percent: int | None = None
 ) -> DataFrame:
-    """(doc_id, size, source, cluster) of every row; texts are read and lower-cased once."""
-    text = docs[f"`{text_col}`"]
+    """(doc_id, size, source, cluster) of every row."""
+    text, own = docs[f"`{text_col}`"], docs[f"`{id_col}`"].cast("long")
+    if cluster is None and percent is None:
+        cluster = F.md5(F.lower(text))
+    elif cluster is None:  # of texts without a word; all others get that of their group
+        cluster = F.when(~text.rlike(r"[^\x20\x09-\x0D]"), F.md5(text))
     rows = docs.select(
-        docs[f"`{id_col}`"].cast("long").alias("own"),
+        own.alias("own"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size"),
         docs[f"`{source_col}`"].cast("string").alias("source"),
-        (F.md5(F.lower(text)) if cluster is None else cluster).alias("cluster"),
-        *([] if percent is None else [F.lower(text).alias("text")]),
+        cluster.alias("cluster"),
+        *([] if percent is None else [F.coalesce(own, F.xxhash64(F.lower(text))).alias("doc_id"), text.alias("text")]),
     )
     if percent is not None:
-        rows = rows.withColumn("doc_id", F.coalesce("own", F.xxhash64("text")))
-        near = near_duplicates(rows, percent, carry=["own", "size", "source", "cluster"])
+        near = near_duplicates(rows, percent, carry=["own", "size", "source", "cluster"], any_case=True)
         group = F.when(F.col("n_shingles") > 0, F.col("component_id").cast("string"))
         rows = near.withColumn("cluster", F.coalesce(group, "cluster"))
     return rows.select(F.col("own").alias("doc_id"), "size", "source", "cluster")
