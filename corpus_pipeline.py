@@ -5,6 +5,11 @@ read again as the next stage's docs. All but the last return the columns of `doc
 n_chars counted again where the text changed. Every stage works on all rows it is given, whatever
 their number, and reads its settings from the operators' defaults; near duplicates are linked from
 a similarity of `near_duplicates.CORPUS_PERCENT` on.
+
+Cases: the first stage rejects null and empty texts, the others keep what they are given (a null
+text stays null). Null ids pass all stages; repeated rows are one row from the second stage on. Very
+long texts are worked on whole. Columns other than those of `documents` are dropped, and an empty
+table gives empty tables.
 """
 
 from __future__ import annotations
@@ -28,14 +33,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Rows that repeat it exactly go too.
+    Of rows that share its id and text, the one stays whose language, source and length come first
+    (nulls before all), whatever the order of the rows. Rows with a null id are linked with nothing,
+    and of those with one text one stays.
     """
     groups = near_duplicates.near_duplicates(docs, percent=near_duplicates.CORPUS_PERCENT)
     kept = groups.filter("kept").select("doc_id", "text_hash").distinct()
     docs = docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text"))
     same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (docs["text_hash"] == kept["text_hash"])
     stay = docs.join(kept, same, "left_semi")
-    return stay.dropDuplicates(["doc_id", "text_hash"]).select(*COLUMNS)
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    one = stay.groupBy("doc_id", "text_hash").agg(
+        F.min(F.struct(*rest)).alias("rest"), F.first("text").alias("text")
+    )
+    return one.select("doc_id", "text", "rest.*").select(*COLUMNS)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
