@@ -396,6 +396,17 @@ def test_the_stage_links_from_80_percent_on(spark):
     assert sorted(r.doc_id for r in got) == sorted(d for d, *_, k in groups(texts_of(docs), 80) if k)
 
 
+def test_of_rows_with_one_id_and_text_the_least_stays(spark):
+    """In whatever order they come."""
+    text = "A text that is there in four rows, with some more words."
+    rows = [(1, text, "en", "b", 9), (1, text, "en", "a", 9), (1, text, None, "z", 9), (1, text, "de", "a", 9), (2, "other", "en", "a", 5)]
+    stage = dict(corpus_pipeline.STAGES)["minhash_near_dedup"]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        df = spark.createDataFrame(order, DOCUMENT_DDL).repartition(3)
+        got = sorted(map(tuple, stage(spark, df, SMALL).collect()))
+        assert got == [(1, text, None, "z", 9), (2, "other", "en", "a", 5)]
+
+
 def test_pipeline_of_nothing(spark):
     docs = odd(spark, [])
     for _, stage in corpus_pipeline.STAGES:
