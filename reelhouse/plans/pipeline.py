@@ -48,6 +48,11 @@ class TrustedModel:
     options: Callable[[Questions], tuple] = field(default=lambda q: ())
     near: Callable[[Questions], Callable[[Facts], bool]] | None = None
 
+    def made_of(self, stage: Callable[[str], StoredTable], questions: Questions) -> dict[str, str]:
+        """What the answer depends on: the tables' contents and the options."""
+        contents = {name: stage(name).state.contents for name in self.reads}
+        return contents | {"options": repr(self.options(questions))}
+
     def run(self, stage: Callable[[str], StoredTable], questions: Questions) -> DataFrame:
         tables = []
         for name in self.reads:
@@ -261,7 +266,8 @@ def run_pipeline(
     `full_refresh=False` opens only the files that have landed since (`load_arrivals`); DataFrames
     are merged whole.
 
-    Questions about titles and hours read one grouped pass over the sessions, which is kept for
+    An answer is calculated again only if a table that it reads has other contents, or its options
+    have changed. Questions about titles and hours read one grouped pass over the sessions, which is kept for
     each part of them and made again only for parts that have changed (`plans.measures`).
 
     A model starts as soon as those that it reads are done (`lineage.run_in_order`). Shuffles are
@@ -305,7 +311,11 @@ def run_pipeline(
 
     def answer(model: TrustedModel) -> StoredTable:
         table = trusted_table(spark, warehouse, model.name)
-        return stored(f"trusted.{model.name}", table, table.write(model.run(found, questions)))
+        state, made_of = table.state(), model.made_of(found, questions)
+        if state is None or state.made_of != made_of:
+            version = table.write(model.run(found, questions), state=state, made_of=made_of)
+            return stored(f"trusted.{model.name}", table, version)
+        return stored(f"trusted.{model.name}", table, state.version)
 
     models = {f"stage.{m.name}": partial(load, m) for m in staged}
     if select in (None, "trusted"):
@@ -317,6 +327,14 @@ def run_pipeline(
     return {name: made.read() for name, made in written.items() if not name.startswith("measure.")}
 
 
+def expire_warehouse(spark: SparkSession, warehouse: str, keep: int) -> dict[str, int]:
+    """Delete the loads that none of the last `keep` versions of any table uses; how many of each."""
+    tables = {f"stage.{name}": stage_table(spark, warehouse, name) for name in STAGE_MODELS}
+    tables |= {f"measure.{name}": measure_table(spark, warehouse, name) for name in MEASURES}
+    tables |= {f"trusted.{name}": trusted_table(spark, warehouse, name) for name in TRUSTED_MODELS}
+    return {name: table.expire(keep) for name, table in tables.items()}
+
+
 def summary(written: Mapping[str, DataFrame]) -> DataFrame:
     """One row per trusted model: its name and its answer as a double."""
     rows = [

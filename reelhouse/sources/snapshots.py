@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -34,7 +35,8 @@ class ConcurrentWrite(RuntimeError):
 class State:
     """What one version consists of: the load that holds each part (one without a name, if the
     table is not kept in parts), what is known of each part, the number of buckets that keys are
-    dealt to, the last micro-batch of each stream, and the lists of the landing files taken."""
+    dealt to, the last micro-batch of each stream, the lists of the landing files taken, and what
+    the rows were calculated from."""
 
     version: int
     columns: str
@@ -43,11 +45,17 @@ class State:
     buckets: int = 1
     batches: dict[str, int] = field(default_factory=dict)
     taken: tuple[str, ...] = ()
+    made_of: dict[str, str] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.columns))
 
+    @property
+    def contents(self) -> str:
+        """A digest of the loads, which no other contents of any table have."""
+        return hashlib.md5(json.dumps(sorted(self.loads.items())).encode()).hexdigest()
+
     def parts_where(self, wanted: Callable[[Facts], bool]) -> list[str]:
         """The parts whose facts do not rule out what is wanted; one without facts is wanted."""
         return sorted(p for p in self.loads if p not in self.facts or wanted(self.facts[p]))
@@ -149,6 +157,7 @@ class SnapshotTable:
         state: State | None = None,
         parts: Iterable[str] | None = None,
         taken: Iterable[str] = (),
+        made_of: Mapping[str, str] | None = None,
     ) -> int:
         """Write `df` as the next version and commit it.
 
@@ -156,7 +165,7 @@ class SnapshotTable:
         statistics on those columns become selective. A streaming writer also records its stream
         and micro-batch, a batch writer the lists of the landing files it has `taken`. `state` is
         the state that the rows were made from, if it is known; with `parts`, only these parts are
-        replaced, by rows of no other.
+        replaced, by rows of no other. `made_of` names what the rows were calculated from.
         """
         state = state or self.state()
         version = 1 if state is None else state.version + 1
@@ -180,6 +189,7 @@ class SnapshotTable:
                 buckets,
                 batches,
                 tuple(taken),
+                dict(made_of or {}),
             )
         )
         return version

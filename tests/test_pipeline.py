@@ -21,6 +21,7 @@ from reelhouse.plans.pipeline import (
     Questions,
     StoredTable,
     edges,
+    expire_warehouse,
     merge_rows,
     run_pipeline,
     stage_table,
@@ -425,6 +426,41 @@ def test_the_median_of_sketches_is_near(spark, tmp_path, monkeypatch):
     assert n == len(sizes) and abs(rank - 0.5) < 2.296 / 256**0.9723
 
 
+def test_an_answer_is_kept_until_what_it_reads_has_changed(spark, tmp_path):
+    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    land_all(spark, root)
+
+    def run(questions=ASKED):
+        written = run_pipeline(root, warehouse, False, questions=questions, run_ts=SECOND)
+        return answers(written), {n: trusted_table(spark, warehouse, n).version() for n in TRUSTED_MODELS}
+
+    run_pipeline(root, warehouse, questions=ASKED, run_ts=FIRST)
+    assert run() == (EXPECTED, dict.fromkeys(TRUSTED_MODELS, 1))
+    # a user changes none, a movie only the question that reads movies
+    land(landing(spark, users=[("C", "D", None)])["users"], root, "users")
+    land(landing(spark, movies=[("Solo", 1, "x", 2)])["movies"], root, "movies")
+    assert run() == (EXPECTED, dict.fromkeys(TRUSTED_MODELS, 1) | {"users_past_half": 2})
+    later = replace(ASKED, half_since="2030-01-01 00:00:00")
+    found, versions = run(later)
+    assert found["users_past_half"] == 0 and versions["users_past_half"] == 3
+    session = [("Heat", "z", 1.0, "2021-12-25T08:00:00Z", "2021-12-25T08:10:00Z")]
+    land(landing(spark, streams=session)["streams"], root, "streams")
+    found, versions = run(later)
+    assert found["users_in_window"] == 2 and versions == {
+        "adaptation_share": 2, "users_in_window": 2, "adaptations_by_author_origin": 2,
+        "mean_session_hours": 2, "median_size_gb": 2, "users_past_half": 4,
+    }
+
+
+def test_a_warehouse_keeps_its_last_versions(spark, tmp_path):
+    for run_ts in (FIRST, SECOND):
+        written = run_pipeline(landing(spark), str(tmp_path), questions=ASKED, run_ts=run_ts)
+    gone = expire_warehouse(spark, str(tmp_path), 1)
+    assert gone["stage.movies"] == 1 and gone["measure.title_days"] == 1 and gone["measure.size_sketches"] == 0
+    assert answers(written) == EXPECTED
+    assert set(expire_warehouse(spark, str(tmp_path), 1).values()) == {0}
+
+
 # lineage
 
 
