@@ -4,7 +4,7 @@ Method. A document's set holds its distinct five-word shingles (64-bit hashes).
 the set into `REGISTERS` buckets and keeps of each bucket's least value the number of leading
 zeros and `MANTISSA` bits after the leading one. Bands of compressed registers give candidates.
 For a candidate pair the Jaccard similarity is estimated from equal registers, corrected for
-registers that agree by chance; pairs that stay below the threshold by more than `SIGMAS`
+those that agree by chance in unrelated sets of these sizes; pairs that stay below the threshold by more than `SIGMAS`
 standard deviations are dropped, and all others are confirmed on their full sets.
 
 Equal sets are one node from the start. In each band bucket every node is compared with the
@@ -64,8 +64,6 @@ BLOCK_SHINGLES = 1 << 19
 MET_ROWS = 1 << 16
 MET_SHINGLES = 1 << 23
 EMPTY = 0xFFFFFFFF
-#: Chance that two unrelated registers agree: in the octave, and then in all mantissa bits.
-CHANCE = 0.34 / (1 << MANTISSA)
 #: Texts that are hashed at a time, and words whose hashes are kept.
 AT_ONCE = 500
 KNOWN_WORDS = 400_000
@@ -168,17 +166,39 @@ def band_values(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, value.view(np.int64)
 
 
-def estimates(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Corrected Jaccard estimates of rows of registers, and the registers they rest on."""
+def _level(n: np.ndarray) -> np.ndarray:
+    """Set sizes by steps of the square root of two."""
+    return np.rint(2 * np.log2(np.maximum(n, 1))).astype(np.int64)
+
+
+def _chances(levels: int = 128) -> np.ndarray:
+    """(level, level): how often registers of unrelated sets agree that hold a value each.
+
+    A register holds the least of about n / `REGISTERS` even values, so it has i leading zeros with
+    a probability that follows from n; two that have the same agree in `MANTISSA` more bits.
+    """
+    per_register = 2.0 ** (np.arange(levels) / 2) / REGISTERS
+    edges = np.exp(-per_register[:, None] * 2.0 ** -np.arange(65))  # no value below 2 ** -i
+    octaves = np.diff(edges, axis=1) / -np.expm1(-per_register)[:, None]
+    return octaves @ octaves.T / (1 << MANTISSA)
+
+
+CHANCES = _chances()
+
+
+def estimates(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Jaccard estimates of rows of registers, corrected for registers that agree by chance in sets
+    of these sizes, and the registers that the estimates rest on."""
     used = ((a != EMPTY) | (b != EMPTY)).sum(axis=-1)
     equal = ((a == b) & (a != EMPTY)).sum(axis=-1)
     some = np.maximum(used, 1)
-    return (equal / some - CHANCE) / (1 - CHANCE), used
+    chance = CHANCES[_level(a_size), _level(b_size)]
+    return (equal / some - chance) / (1 - chance), used
 
 
-def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+def may_link(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray, percent: int) -> np.ndarray:
     """Whether the estimate leaves room for the threshold."""
-    estimate, used = estimates(a, b)
+    estimate, used = estimates(a, b, a_size, b_size)
     t = percent / 100
     return estimate >= t - SIGMAS * np.sqrt(t * (1 - t) / np.maximum(used, 1))
 
@@ -263,17 +283,17 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; sketches are asked first."""
 
     def by_sketch():
-        def run(a, b, left, right):
+        def run(a, b, left, right, a_size, b_size):
             left, right = (
                 np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, REGISTERS)
                 for c in (left, right)
             )
-            keep = pa.array(may_link(left, right, percent))
+            keep = pa.array(may_link(left, right, a_size.to_numpy(), b_size.to_numpy(), percent))
             return a.filter(keep), b.filter(keep)
 
         return run
 
-    both = _with_ends(pairs, nodes, ["sketch"]).select("a", "b", "a_sketch", "b_sketch")
+    both = _with_ends(pairs, nodes, ["sketch", "n"]).select("a", "b", "a_sketch", "b_sketch", "a_n", "b_n")
     pairs = over_batches(both, by_sketch, "a binary, b binary")
 
     def by_sets():
@@ -360,7 +380,8 @@ class _Meetings:
                 small, large = np.minimum(n[a + x], n[a + others]), np.maximum(n[a + x], n[a + others])
                 others = others[small * 100 >= large * percent]
                 if len(others):
-                    others = others[may_link(self.sketch[a + x][None, :], self.sketch[a + others], percent)]
+                    own, theirs = self.sketch[a + x][None, :], self.sketch[a + others]
+                    others = others[may_link(own, theirs, n[a + x], n[a + others], percent)]
                 if len(others) and similar is not None:
                     others = others[similar(a + x, a + others)]
                 if len(others):

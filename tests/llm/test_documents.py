@@ -92,12 +92,30 @@ def test_estimates_are_near_the_similarity():
         both = int(10_000 * share)
         a, b = np.sort(pool[:10_000]), np.sort(pool[10_000 - both : 20_000 - both])
         sketch = near_duplicates.sketches([a, b])
-        estimate, used = near_duplicates.estimates(sketch[0], sketch[1])
+        estimate, used = near_duplicates.estimates(sketch[0], sketch[1], len(a), len(b))
         true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         assert used == near_duplicates.REGISTERS
         assert abs(estimate - true) < 4 * (true * (1 - true) / used) ** 0.5
 
 
+def test_estimates_of_unrelated_sets_are_corrected(monkeypatch):
+    """With two bits of mantissa many registers agree by chance; the correction takes them out."""
+    monkeypatch.setattr(near_duplicates, "MANTISSA", 2)
+    monkeypatch.setattr(near_duplicates, "CHANCES", near_duplicates._chances())
+    rnd = np.random.default_rng(3)
+    for small, large in ((2000, 2000), (300, 3000), (20_000, 40_000)):
+        raw, corrected = [], []
+        for _ in range(60):
+            a, b = (np.sort(np.unique(rnd.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))) for n in (small, large))
+            sketch = near_duplicates.sketches([a, b])
+            used = ((sketch != near_duplicates.EMPTY).any(axis=0)).sum()
+            raw.append((sketch[0] == sketch[1]).sum() / used)
+            corrected.append(near_duplicates.estimates(sketch[0], sketch[1], len(a), len(b))[0])
+        spread = 4 * np.sqrt(np.mean(raw) / near_duplicates.REGISTERS / 60)
+        assert np.mean(raw) > (0.04 if large < 3 * small else 0.005)
+        assert abs(np.mean(corrected)) < spread + 0.005 < max(np.mean(raw), 0.02)
+
+
 def test_registers_keep_zeros_and_mantissa():
     value = (5 << 57) | (1 << 50) | (0b1100000001 << 40)
     sketch = near_duplicates.sketches([np.array([value], np.uint64)])
