@@ -165,7 +165,7 @@ def load_stage(
         return table.write(staged, model.sort_by, state=state)
     if _gate_shut(table, state, run_ts, strict):
         return state.version
-    return merge_rows(table, model, staged, state=state, taken=state.taken)
+    return merge_rows(table, model, staged, state=state)
 
 
 def load_arrivals(
@@ -210,7 +210,7 @@ def merge_rows(
     stream: str | None = None,
     batch: int | None = None,
     state: State | None = None,
-    taken: tuple[str, ...] = (),
+    taken: tuple[str, ...] | None = None,
     newest: tuple[str, ...] = (),
 ) -> int:
     """Merge staged rows into the table, or start it with them; returns the new version.
@@ -218,12 +218,16 @@ def merge_rows(
     Of a table in parts, only the parts that the staged rows belong to are read and written; a
     table whose parts by key have grown too large is written anew, in more of them. With `newest`,
     columns of both, a key keeps the row that comes last by them, whichever was there first.
+    The landing files that the table has taken stay as they are unless `taken` names others; a
+    stream has its own account of its files, so a table is kept either by streams or by runs.
     """
     state = state or table.state()
     if state is None:
         if newest:
             staged = latest_per_key(staged, model.key, newest)
-        return table.write(staged, model.sort_by, stream, batch, taken=taken)
+        return table.write(staged, model.sort_by, stream, batch, taken=taken or ())
+    if taken is None:
+        taken = state.taken
     staged = settled(staged)
     parts = None
     if table.in_parts and not table.crowded(state):
