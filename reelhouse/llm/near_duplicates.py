@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -107,7 +108,7 @@ def shingle_sets(
     sizes = np.array([len(s) for s in split], np.int64)
     total = int(sizes.sum())
     get = known.__getitem__
-    hashes = np.fromiter((get(w) for s in split for w in s), np.uint64, total)
+    hashes = np.fromiter(map(get, chain.from_iterable(split)), np.uint64, total)
     if len(known) > KNOWN_WORDS:
         known.clear()
     mixed = np.zeros(0, np.uint64)
