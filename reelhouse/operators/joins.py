@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from reelhouse.session import scratch_dir
+from reelhouse.session import CODEC, scratch_dir
 
 ROW_OVERHEAD_BYTES = 64
 _HASH = "__key_hash"
@@ -31,7 +31,7 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
 def settled(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder once, so that they are not computed again."""
     folder = scratch_dir(df.sparkSession)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from reelhouse.session import CODEC
+
 # Texts that stand for a missing value in the source files.
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -74,4 +76,6 @@ def write_records(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "a
     writer = df.write.mode(mode).format(fmt)
     if fmt == "json":
         writer = writer.option("ignoreNullFields", False)
+    else:
+        writer = writer.option("compression", CODEC)
     writer.save(path)

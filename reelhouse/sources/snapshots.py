@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelhouse.session import estimated_bytes
+from reelhouse.session import CODEC, estimated_bytes
 from reelhouse.sources import store
 
 #: Names of the columns that hold a row's part and load.
@@ -198,13 +198,13 @@ class SnapshotTable:
         """The parts written, and what is known of them."""
         folder = self._folder(load)
         if not self.in_parts:
-            (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(folder)
+            (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(folder, compression=CODEC)
             return {_WHOLE: {}}
         rows = df.withColumn(PART, self._part(buckets))
         if self.part is not None or buckets > 1:
             # adaptive execution cuts large parts into several tasks and joins small ones
             rows = rows.hint("rebalance", PART)
-        rows.sortWithinPartitions(PART, *sort_by).write.partitionBy(PART).parquet(folder)
+        rows.sortWithinPartitions(PART, *sort_by).write.partitionBy(PART).parquet(folder, compression=CODEC)
         schema = T.StructType([*df.schema, T.StructField(PART, T.StringType())])
         asked = {"rows": F.count(F.lit(1)), **self.facts}
         told = (

@@ -63,7 +63,9 @@ def stream_stage(
                 return
         carried = tuple(dict.fromkeys((*newest, *FILE_COLUMNS)))
         staged = model.build(batch, run_ts, carry=carried)
-        if newest or dedupe == "latest":
+        # a snapshot table compares by `newest` itself, with what it holds, in one shuffle
+        compared = newest and isinstance(table, SnapshotTable)
+        if not compared and (newest or dedupe == "latest"):
             staged = latest_per_key(staged, model.key, newest or FILE_COLUMNS)
         staged = staged.drop(*(c for c in FILE_COLUMNS if c not in newest))
         if isinstance(table, SnapshotTable):

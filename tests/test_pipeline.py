@@ -32,8 +32,9 @@ from reelhouse.schemas import ENTITIES
 from reelhouse.sources.landing import land, scan
 from reelhouse.sources import snapshots
 from reelhouse.sources.snapshots import SnapshotTable
+from reelhouse.streaming import incremental
 from reelhouse.streaming.incremental import stream_stage
-from reelhouse.workload import views
+from reelhouse.workload import queries, views
 
 ASKED = Questions(
     "Heat", "2021-12-25 07:00:00", "2021-12-25 12:00:00", "sg", "2021-12-24 23:59:59"
@@ -694,6 +695,22 @@ def test_the_newest_row_of_a_key_stays_in_any_order_of_arrival(spark, tmp_path):
     assert found == {(("a", 2, "2024-01-03"), ("b", 1, "2024-01-05"), ("c", 3, "2023-01-01"), ("d", 5, "2024-01-01"))}
 
 
+def test_a_stream_by_newest_compares_rows_once(spark, tmp_path, monkeypatch):
+    """The table compares them with its own rows; the stream does not do so before."""
+    def again(*_):
+        raise AssertionError("compared before the merge")
+
+    monkeypatch.setattr(incremental, "latest_per_key", again)
+    table = stage_table(spark, str(tmp_path), "reviews")
+    for rates in ((1, 3, 2), (5, 4)):
+        rows = [(("a",), (rate, "l"), [], [], f"2024-01-0{rate}", None) for rate in rates]
+        land(spark.createDataFrame(rows, schemas.REVIEWS), f"{tmp_path}/landing", "reviews")
+        stream_stage(
+            spark, f"{tmp_path}/landing", "reviews", table, f"{tmp_path}/checkpoint", newest=("updated",)
+        ).awaitTermination()
+        assert [r.rate for r in table.read().collect()] == [max(rates)]
+
+
 def test_an_old_file_that_arrives_late_does_not_undo_a_newer_one(spark, tmp_path, stream):
     land(users(spark, ("A", "B", "old@x.org")), stream.root, "users")
     late = next((tmp_path / "landing/internal/users/parquet").glob("*.parquet"))
