@@ -153,6 +153,32 @@ def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFram
     return latest.unionByName(df.filter(F.col(key).isNull()))
 
 
+def by_repeats(df: DataFrame, key: str) -> tuple[DataFrame | None, DataFrame]:
+    """The rows whose key no other row has, and the rest, rows without a key included.
+
+    Only keys are shuffled to tell them apart, and `df` is computed twice. If the keys that repeat
+    are too many to be broadcast, all rows are the rest.
+    """
+    again = settled(_source_keys(df, key).filter("__source_rows > 1").select(key))
+    size = again.agg(F.sum(row_bytes(again))).first()[0] or 0
+    if size > broadcast_bound(df):
+        return None, df
+    once = _with_key(df, key).join(F.broadcast(again), key, "left_anti")
+    met = _with_key(df, key).join(F.broadcast(again), key, "left_semi")
+    rest = met.select(df.columns).unionByName(df.filter(F.col(key).isNull()))
+    return once.select(df.columns), rest
+
+
+def latest_of_repeated(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """As `latest_per_key`, where rows whose key comes once pass by without a sort or a shuffle.
+
+    The keys are counted when this is called.
+    """
+    once, rest = by_repeats(df, key)
+    latest = latest_per_key(rest, key, order_by)
+    return latest if once is None else once.unionByName(latest)
+
+
 def upsert_newest(
     target: DataFrame,
     source: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.operators.joins import settled
-from reelhouse.operators.load import incremental_gate, latest_per_key, upsert, upsert_newest
+from reelhouse.operators.load import incremental_gate, latest_of_repeated, latest_per_key, upsert, upsert_newest
 from reelhouse.plans import trusted
 from reelhouse.plans.lineage import run_in_order
 from reelhouse.plans.measures import MEASURES, Measure, measure_table, refresh
@@ -138,7 +138,7 @@ def staged_rows(
     if dedupe != "latest":
         raise ValueError(f"dedupe must be None or 'latest', not {dedupe!r}")
     staged = model.build(landing, run_ts, carry=FILE_COLUMNS)
-    return latest_per_key(staged, model.key, FILE_COLUMNS).drop(*FILE_COLUMNS)
+    return latest_of_repeated(staged, model.key, FILE_COLUMNS).drop(*FILE_COLUMNS)
 
 
 def _gate_shut(table: SnapshotTable, state: State, run_ts: RunTime, strict: bool) -> bool:

@@ -12,7 +12,9 @@ from reelhouse.functions.times import ntz
 from reelhouse.operators import load
 from reelhouse.operators.load import (
     AmbiguousUpsert,
+    by_repeats,
     incremental_gate,
+    latest_of_repeated,
     latest_per_key,
     merge_into_table,
     upsert,
@@ -133,3 +135,19 @@ def test_merge_into_needs_a_table_format_with_row_level_changes(spark):
             merge_into_table(table(spark, [("a", 1)]), "plain_parquet", "k")
     finally:
         spark.sql("DROP TABLE plain_parquet")
+
+
+@pytest.mark.parametrize("bound", ["-1", "10mb"])
+def test_rows_with_a_key_of_their_own_pass_by(spark, conf, bound):
+    conf(autoBroadcastJoinThreshold=bound)
+    rows = [("a", 1), ("b", 2), ("b", 3), ("b", 3), (None, 4), (None, 4), ("c", None)]
+    df = table(spark, rows)
+    want = [("a", 1), ("b", 3), (None, 4), (None, 4), ("c", None)]
+    assert bag(latest_of_repeated(df, "k", ["v"])) == bag(latest_per_key(df, "k", ["v"])) == Counter(want)
+    once, rest = by_repeats(df, "k")
+    if bound == "-1":
+        assert once is None and bag(rest) == Counter(rows)
+    else:
+        assert bag(once) == Counter([("a", 1), ("c", None)])
+        assert "hashpartitioning" not in once._jdf.queryExecution().executedPlan().toString()
+    assert bag(latest_of_repeated(table(spark, []), "k", [])) == Counter()
