@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.functions import columns as C
 from reelhouse.functions.times import ntz, wall_clock, whole_hours, whole_minutes
-from reelhouse.operators.load import ambiguous_keys, incremental_gate, latest_per_key, upsert
+from reelhouse.operators.load import ambiguous_keys, by_repeats, incremental_gate, latest_per_key, upsert
 from reelhouse.plans import trusted as T
+from reelhouse.plans.lineage import run_in_order
 from reelhouse.plans.measures import MEASURES, SKETCH, measure_table, refresh
 from reelhouse.plans.pipeline import (
     FILE_COLUMNS,
@@ -346,8 +347,11 @@ def _pipeline_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One row a key in each arrival; of several files' rows the path would decide.
     runs = zip(*(_arrivals(name, t) for name in ENTITIES), strict=True)
     for hour, arrivals in enumerate(runs):
-        for name, df in zip(ENTITIES, arrivals, strict=True):
-            land(_last_of_each(name, df), landing, name)
+        landed = {
+            name: partial(_land_last, name, df, landing)
+            for name, df in zip(ENTITIES, arrivals, strict=True)
+        }
+        run_in_order(spark, landed, {})
         run_pipeline(landing, warehouse, hour == 0, select="stage", run_ts=f"2024-02-23 0{hour}:00:00")
     written = run_pipeline(landing, warehouse, False, questions=questions, run_ts="2024-02-23 09:00:00")
     versions = [
@@ -356,12 +360,18 @@ def _pipeline_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(written).unionByName(spark.createDataFrame(versions, "metric string, answer double"))
 
 
+def _land_last(name: str, df: DataFrame, landing: str) -> str:
+    return land(_last_of_each(name, df), landing, name)
+
+
 def _last_of_each(name: str, landing: DataFrame) -> DataFrame:
     """Landing rows whose staged row is the greatest of its key."""
     model, landed = STAGE_MODELS[name], F.struct(*landing.columns).alias("landed")
     staged = model.build(landing.select("*", landed), RUN_TS, carry=("landed",)).drop("reference_date")
     values = F.struct(*(c for c in staged.columns if c != "landed"))
-    return staged.groupBy(model.key).agg(F.max_by("landed", values).alias("landed")).select("landed.*")
+    once, rest = by_repeats(staged, model.key)
+    last = rest.groupBy(model.key).agg(F.max_by("landed", values).alias("landed")).select("landed.*")
+    return last if once is None else once.select("landed.*").unionByName(last)
 
 
 def _stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:

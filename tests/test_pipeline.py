@@ -739,6 +739,16 @@ def test_both_ways_of_a_newest_upsert_agree(spark, bound):
     assert Counter(map(tuple, got.collect())) == Counter(want)
 
 
+def test_arrivals_with_a_key_of_their_own_are_landed_as_they_are(spark):
+    book = ("dune", 412, "frank", "p")
+    rows = [book, (*book[:3], "q"), ("emma", 9, "jane", None), ("emma", 8, "jane", "z"), ("ada", 1, "v", "p")]
+    df = spark.createDataFrame(rows, schemas.BOOKS)
+    last = queries._last_of_each("books", df)
+    assert sorted(map(tuple, last.collect())) == [rows[4], rows[1], rows[2]]
+    alone = queries._last_of_each("books", df.filter("name = 'ada'"))
+    assert "BroadcastHashJoin" in alone._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stream_into_a_table_by_name_needs_merge_support(spark, tmp_path):
     root = str(tmp_path / "landing")
     land(users(spark, ("A", "B", "ann@x.org")), root, "users")
