@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable
 
@@ -28,6 +29,14 @@ def chosen(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(df[f"`{source}`"].alias(name) for name, source in columns.items()))
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that a worker between tasks holds little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def over_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     """Map Arrow batches: `make()` runs once per task and returns a function that takes the
     batch's columns and returns the columns of `schema`."""
@@ -38,6 +47,7 @@ def over_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> Da
         fn = make()
         for batch in batches:
             made = fn(*batch.columns)
+            del batch
             yield pa.RecordBatch.from_arrays(
                 [
                     c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type)
@@ -45,6 +55,9 @@ def over_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> Da
                 ],
                 schema=target,
             )
+            del made
+        del fn
+        release()
 
     return df.mapInArrow(run, struct)
 

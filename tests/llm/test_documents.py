@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import (
     DOCUMENT_DDL,
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import oracle
-from reelhouse.llm import near_duplicates, packing, quality, substrings, suffixes
+from reelhouse.llm import near_duplicates, packing, quality, rows, substrings, suffixes
 from reelhouse.llm.components import components
 from reelhouse.llm.queries import QUERIES
 
@@ -435,3 +436,32 @@ def test_pipeline_of_nothing(spark):
 def test_run_gives_the_last_stage(spark):
     got = corpus_pipeline.run(spark, SMALL)
     assert got.count() > 0 and "bin_id" in got.columns
+
+
+def resident_mb():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * 4096 / 1e6
+
+
+def test_workers_give_memory_back_when_a_task_ends(spark):
+    """Freed arrays below one that stays would be kept by the process."""
+
+    class Frame:
+        def mapInArrow(self, run, _):
+            return run
+
+    kept = []
+
+    def make():
+        def run(ids):
+            arrays = [np.ones(12_000) for _ in range(3000)]
+            kept.append(np.ones(12_000))
+            return [[sum(a[0] for a in arrays)] * len(ids)]
+
+        return run
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2])], ["id"])
+    before = resident_mb()
+    made = list(rows.over_batches(Frame(), make, "n double")([batch]))
+    assert [b.num_rows for b in made] == [2] and kept
+    assert resident_mb() - before < 150
