@@ -4,7 +4,12 @@ Method. P(word | previous) = P(class | class of the previous) * P(word | class).
 frequent words are put into `CLASSES` classes by exchange: every word moves to the class in which
 the likelihood of the class bigrams is greatest, until a pass moves none. Each other word then
 joins the class that its neighbours among the head words make most likely, the same exchange step
-with the classes held still. The start and the end of a text are a class of their own, and all
+with the classes held still. With `every_word` that is the start only: rounds over the whole
+vocabulary and all bigrams follow, in which every word moves to the class that the classes of all
+its neighbours make most likely. Words take turns by a bit of their hash, half of them in a round,
+as neighbours that move together mislead each other. The rounds end when two of them, one of each
+half, raise the log-likelihood of the class bigrams by `TOLERANCE` a token or less.
+The start and the end of a text are a class of their own, and all
 unknown words are one type in one class. Words seen once stand in for unknown ones: what follows
 them and what they follow gives the transitions from and to the class of unknown words.
 Transitions are smoothed with the overall frequency of the next class, so for every previous word
@@ -15,6 +20,9 @@ Parquet. A chunk sends each of its words once to the word's bucket and gets its
 back in the same order; contexts of rare words travel as one byte each. So the shuffles carry
 distinct words of chunks instead of tokens. The driver gets the head (`HEAD` words), their bigram
 table (at most (`HEAD` + 1) squared cells), class totals and transitions, all of fixed size.
+For the rounds the chunks are stored once more, as a table bucketed by chunk, so that a round
+shuffles no texts: the words in turn go to their buckets with the counted classes of their
+neighbours, as numbers that buckets have given them, and their classes come back.
 
 Cases: a null or empty text has the end token alone. Texts are held out if crc32 of the id as
 text is divisible by 10, so rows with a null id (as an empty text, crc32 0) are. Repeated rows
@@ -24,6 +32,7 @@ An empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -39,10 +48,17 @@ from reelhouse.llm.blobs import Layout, changes
 from reelhouse.llm.components import stored
 from reelhouse.llm.rows import bucket_count, chosen, over_batches
 from reelhouse.session import scratch_dir
+from reelhouse.sources.store import delete
 
 HEAD = 512
 CLASSES = 32
 PASSES = 20
+#: Log-likelihood a token that two rounds over all words must gain for more to follow.
+TOLERANCE = 0.02
+#: Of the words without a neighbour in the head, one in so many begins in any class.
+DEALT = 2
+#: Words of a bucket that are moved together.
+MOVED_AT_ONCE = 1 << 16
 #: Weight of the overall class frequencies in a row of transitions.
 SMOOTHING = 20.0
 #: Bytes of text and documents in a chunk, at which the next one begins.
@@ -57,6 +73,11 @@ SCORED_DDL = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
     "emission double, classes binary, pairs binary"
 )
+NUMBERED_DDL = (
+    "chunk long, docs binary, ids binary, sizes binary, places binary, turns binary, counts binary, classes binary"
+)
+MET_DDL = "chunk long, bucket int, cells binary, pairs binary"
+MOVED_DDL = "chunk long, bucket int, half int, classes binary"
 DOCS = Layout(doc="i8", known="u1", held="u1", n="u4")
 WORDS = Layout(hash="u8", count="u4")
 _WORDS, _CONTEXTS = 1, 2
@@ -355,8 +376,9 @@ def _count_words(head: int):
     return run
 
 
-def _answer(head: np.ndarray, of: np.ndarray, weights: np.ndarray):
-    """Per bucket: count and class of each chunk's words, in the chunk's order."""
+def _answer(head: np.ndarray, of: np.ndarray, weights: np.ndarray, numbered: bool = False):
+    """Per bucket: count and class of each chunk's words, in the chunk's order, and if `numbered`
+    the steps from one word's number in the bucket to the next one's."""
 
     def run(table: pa.Table) -> pa.Table:
         chunks, sizes, distinct, word, total = _tallied(table)
@@ -371,39 +393,224 @@ def _answer(head: np.ndarray, of: np.ndarray, weights: np.ndarray):
             cell, n = np.unique(owner * len(weights) + np.frombuffer(row["ids"], np.uint8), return_counts=True)
             votes[cell] += n
         votes = votes.reshape(len(distinct), len(weights))
-        joined = 1 + np.argmax((votes @ weights)[:, 1:], axis=1) if classes else 1
+        if numbered:
+            joined = _dealt(distinct, classes)
+            for a in range(0, len(joined), MOVED_AT_ONCE):
+                part = votes[a : a + MOVED_AT_ONCE]
+                some = part.any(axis=1)
+                joined[a : a + MOVED_AT_ONCE][some] = _likeliest(part[some], weights)
+        else:
+            joined = 1 + np.argmax((votes @ weights)[:, 1:], axis=1) if classes else 1
         cls = np.where(place >= 0, of[np.maximum(place, 0)], joined).astype(np.uint8)
         counts = total[word]
         spans = [at[c] for c in chunks]
+        made = {
+            "chunk": pa.array(chunks, pa.int64()),
+            "bucket": pa.array([table["bucket"][0].as_py()] * len(chunks), pa.int32()),
+            "counts": pa.array([squeezed(counts[a:b], "<i8") for a, b in spans], pa.binary()),
+            "classes": pa.array([cls[word[a:b]].tobytes() for a, b in spans], pa.binary()),
+            "totals": pa.array(
+                [_sums(cls, total, classes + 1).tobytes()]
+                + [b""] * (len(chunks) - 1),
+                pa.binary(),
+            ),
+        }
+        if numbered:
+            made["places"] = pa.array([squeezed(_steps(word[a:b])) for a, b in spans], pa.binary())
+        return pa.table(made)
+
+    return run
+
+
+def _likeliest(votes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The class that the neighbours of each word make most likely, the first of equal ones."""
+    return 1 + np.argmax(np.round(votes @ weights, 6)[:, 1:], axis=1)
+
+
+def _dealt(hashes: np.ndarray, classes: int) -> np.ndarray:
+    """Where words without a neighbour in the head begin: in the first class, but one in `DEALT` in
+    any, without which rounds could not tell words apart that only meet each other."""
+    any_class = 1 + (hashes >> np.uint64(44)) % np.uint64(classes)
+    return np.where((hashes >> np.uint64(41)) % np.uint64(DEALT) == 0, any_class, 1).astype(np.int64)
+
+
+def _steps(numbers: np.ndarray) -> np.ndarray:
+    """Unsigned steps from each number to the next one, the first from 0; `np.cumsum` goes back."""
+    return np.diff(numbers.astype(np.uint32), prepend=np.uint32(0))
+
+
+def _number(buckets: int):
+    """Per chunk: the row of `NUMBERED_DDL`, from its row of the corpus and its answers."""
+
+    def run(corpus: pa.Table, answers: pa.Table) -> pa.Table:
+        row = corpus.to_pylist()[0]
+        hashes = np.frombuffer(row["words"], np.uint64)
+        parts = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
+        places = [np.cumsum(expanded(p["places"]), dtype=np.uint32) for p in parts]
+        counts = [expanded(p["counts"], "<i8") for p in parts]
+        sizes = np.bincount((hashes % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+        made = (
+            row["chunk"],
+            row["docs"],
+            row["ids"],
+            squeezed(sizes),
+            squeezed(_steps(np.concatenate(places))),
+            np.packbits((hashes >> np.uint64(40)).astype(np.uint8) & 1).tobytes(),
+            squeezed(np.concatenate(counts), "<i8"),
+            b"".join(p["classes"] for p in parts),
+        )
+        return pa.table([[v] for v in made], schema=_NUMBERED)
+
+    return run
+
+
+_NUMBERED = pa.schema(
+    [(name, pa.int64() if kind == "long" else pa.binary()) for name, kind in map(str.split, NUMBERED_DDL.split(", "))]
+)
+
+
+class _Numbered(Corpus):
+    """One chunk with the numbers, turns and present classes of its words, the first of which is
+    the end; `moved` are its rows of `MOVED_DDL`, at most one for a bucket and half."""
+
+    def __init__(self, row: dict, moved: list[dict]):
+        super().__init__(row["docs"], row["ids"])
+        self.classes = np.frombuffer(row["classes"], np.uint8).copy()
+        self.turns = np.unpackbits(np.frombuffer(row["turns"], np.uint8), count=len(self.classes))
+        self.counts = expanded(row["counts"], "<i8")
+        self.bucket_ends = np.cumsum(expanded(row["sizes"]), dtype=np.int64)
+        self.places = np.cumsum(expanded(row["places"]), dtype=np.uint32)
+        for half in {r["half"] for r in moved}:
+            rows = sorted((r["bucket"], r["classes"]) for r in moved if r["half"] == half)
+            self.classes[self.in_turn(half)] = np.frombuffer(b"".join(c for _, c in rows), np.uint8)
+
+    def in_turn(self, half: int) -> np.ndarray:
+        """Places of the words that move in rounds of a half: all with training tokens in any chunk
+        but the end."""
+        return 1 + np.flatnonzero((self.counts[1:] > 0) & (self.turns[1:] == half))
+
+
+def _meet(half: int, side: int):
+    """Per chunk: a row with its class bigrams, and per bucket the words in turn with how often
+    each has a neighbour of a class: cell k for class k before it, `side` + k for class k after it."""
+    width = 2 * side
+
+    def run(chunk: pa.Table, moved: pa.Table) -> pa.Table:
+        row = chunk.to_pylist()[0]
+        c = _Numbered(row, moved.to_pylist())
+        tokens = c.classes.astype(np.int64)[c.ids]
+        before, t = c.neighbours(tokens, 0), c.trained
+        pairs = np.bincount(before[t] * side + tokens[t], minlength=side * side)
+        words = c.in_turn(half)
+        mine = np.zeros(len(c.classes), bool)
+        mine[words] = True
+        at = np.flatnonzero(t & mine[c.ids])
+        base = c.ids[at].astype(np.int64) * width
+        keys = np.concatenate([base + before[at], base + side + tokens[at + 1]])  # the end follows the last word
+        keys = np.sort(keys.astype(np.uint32) if len(c.classes) * width < 1 << 32 else keys)
+        first = np.flatnonzero(changes(keys))
+        ns, keys = np.diff(np.append(first, len(keys))), keys[first]
+        owner = keys // width
+        cells = keys - owner * width
+        each = np.bincount(owner, minlength=len(c.classes))[words]
+        made = [(row["chunk"], -1, b"", pairs.astype(np.int64).tobytes())]
+        cut = np.searchsorted(words, np.append(0, c.bucket_ends)).tolist()
+        ends = np.append(0, np.cumsum(each)).tolist()
+        places = c.places[words]
+        for bucket, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+            if a < b:
+                x, y = ends[a], ends[b]
+                parts = [b - a], _steps(places[a:b]), each[a:b], cells[x:y], ns[x:y]
+                made.append((row["chunk"], bucket, squeezed(np.concatenate(parts)), None))
+        columns = zip(zip(*made, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)
+        return pa.table([pa.array(v, k) for v, k in columns], names=["chunk", "bucket", "cells", "pairs"])
+
+    return run
+
+
+def _move(half: int, weights: np.ndarray):
+    """Per bucket: the words in turn in the classes that their neighbours make most likely."""
+    width = len(weights)
+
+    def run(met: pa.Table) -> pa.Table:
+        parts = [expanded(b) for b in met["cells"].to_pylist()]
+        sizes = [int(p[0]) for p in parts]
+        words = np.concatenate(
+            [np.cumsum(p[1 : n + 1], dtype=np.uint32) for p, n in zip(parts, sizes, strict=True)]
+        ).astype(np.int64)
+        each = np.concatenate([p[n + 1 : 2 * n + 1] for p, n in zip(parts, sizes, strict=True)])
+        found = [p[2 * n + 1 :].reshape(2, -1) for p, n in zip(parts, sizes, strict=True)]
+        keys = np.repeat(words * width, each) + np.concatenate([f[0] for f in found])
+        ns = np.concatenate([f[1] for f in found])
+        best = np.zeros(int(words.max()) + 1, np.uint8)
+        for a in range(0, len(best), MOVED_AT_ONCE):
+            b = min(a + MOVED_AT_ONCE, len(best))
+            inside = (keys >= a * width) & (keys < b * width)
+            votes = np.bincount(keys[inside] - a * width, ns[inside], (b - a) * width).reshape(-1, width)
+            best[a:b] = _likeliest(votes, weights)
+        ends = np.cumsum(sizes).tolist()
+        spans = zip([0, *ends[:-1]], ends, strict=True)
         return pa.table(
             {
-                "chunk": pa.array(chunks, pa.int64()),
-                "bucket": pa.array([table["bucket"][0].as_py()] * len(chunks), pa.int32()),
-                "counts": pa.array([squeezed(counts[a:b], "<i8") for a, b in spans], pa.binary()),
-                "classes": pa.array([cls[word[a:b]].tobytes() for a, b in spans], pa.binary()),
-                "totals": pa.array(
-                    [_sums(cls, total, classes + 1).tobytes()]
-                    + [b""] * (len(chunks) - 1),
-                    pa.binary(),
-                ),
+                "chunk": met["chunk"],
+                "bucket": met["bucket"],
+                "half": pa.array([half] * len(sizes), pa.int32()),
+                "classes": pa.array([best[words[a:b]].tobytes() for a, b in spans], pa.binary()),
             }
         )
 
     return run
 
 
-def _tag(n: int, v: int, class_totals: np.ndarray):
+def likelihood(table: np.ndarray) -> float:
+    """What the classes add to the log-likelihood of the bigrams, from the class bigrams."""
+    return float(_flog(table).sum() - _flog(table.sum(axis=0)).sum() - _flog(table.sum(axis=1)).sum())
+
+
+def _exchanged(chunks: DataFrame, classes: int, folder: str) -> tuple[DataFrame, np.ndarray]:
+    """Rows of `MOVED_DDL` with the classes of all words after the rounds, and the class bigrams."""
+    spark, side, turn = chunks.sparkSession, classes + 1, 0
+    moved = [spark.createDataFrame([], MOVED_DDL)] * 2
+    kept, kept_table, best = moved, None, -np.inf
+    while True:
+        now, half = f"{folder}/met-{turn}", turn % 2
+        by_chunk = moved[0].union(moved[1]).groupBy("chunk")
+        met = stored(chunks.groupBy("chunk").cogroup(by_chunk).applyInArrow(_meet(half, side), MET_DDL), now)
+        table = _class_pairs(met, side)
+        if half == 0:
+            value = likelihood(table)
+            if value > best:
+                kept, kept_table = list(moved), table
+            if value <= best + TOLERANCE * table.sum():
+                delete(spark, now)
+                return kept[0].union(kept[1]), kept_table
+            best = value
+        weights = joining_weights(table)
+        chosen_classes = met.filter("bucket >= 0").groupBy("bucket").applyInArrow(_move(half, weights), MOVED_DDL)
+        moved[half] = stored(chosen_classes, f"{folder}/moved-{turn}")
+        delete(spark, now)
+        turn += 1
+
+
+def _tag(n: int, v: int, class_totals: np.ndarray, numbered: bool = False):
     """Per chunk: its texts as classes with what does not depend on transitions, and in the first
-    row the bigrams of classes in training texts, with words seen once as unknown words too."""
+    row the bigrams of classes in training texts, with words seen once as unknown words too.
+
+    The answers are those of the start, or if `numbered` rows of `MOVED_DDL` for numbered chunks.
+    """
     classes = len(class_totals) - 1
     unknown, side = classes + 1, classes + 2
 
     def run(corpus: pa.Table, answers: pa.Table) -> pa.Table:
         row = corpus.to_pylist()[0]
-        c = Corpus(row["docs"], row["ids"])
-        parts = sorted(answers.select(["bucket", "counts", "classes"]).to_pylist(), key=lambda r: r["bucket"])
-        count = np.concatenate([expanded(p["counts"], "<i8") for p in parts])
-        cls = np.frombuffer(b"".join(p["classes"] for p in parts), np.uint8).astype(np.int64)
+        if numbered:
+            c = _Numbered(row, answers.to_pylist())
+            count, cls = c.counts, c.classes.astype(np.int64)
+        else:
+            c = Corpus(row["docs"], row["ids"])
+            parts = sorted(answers.select(["bucket", "counts", "classes"]).to_pylist(), key=lambda r: r["bucket"])
+            count = np.concatenate([expanded(p["counts"], "<i8") for p in parts])
+            cls = np.frombuffer(b"".join(p["classes"] for p in parts), np.uint8).astype(np.int64)
         cls = np.where(count > 0, cls, unknown)
         base = np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
         emission = np.zeros(len(count))
@@ -486,8 +693,12 @@ def text_scores(
     classes: int = CLASSES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    every_word: bool = False,
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+
+    `every_word`: all words and bigrams take part in the exchange, after that of the head words.
+    """
     spark = docs.sparkSession
     folder = scratch_dir(spark)
     buckets = bucket_count(docs)
@@ -514,18 +725,32 @@ def text_scores(
     weights = joining_weights(class_table(pairs, of, classes))
 
     contexts = _contexts(corpus, head, of, classes + 1, buckets)
+    answer_ddl = f"{ANSWER_DDL}, totals binary" + ", places binary" * every_word
     answers = stored(
-        words.union(contexts).groupBy("bucket").applyInArrow(_answer(head, of, weights), f"{ANSWER_DDL}, totals binary"),
+        words.union(contexts).groupBy("bucket").applyInArrow(_answer(head, of, weights, every_word), answer_ddl),
         f"{folder}/answers",
     )
-    totals = _class_totals(answers, classes + 1)
+    if every_word:
+        by_chunk = answers.select("chunk", "bucket", "counts", "classes", "places").groupBy("chunk")
+        chunks = corpus.select("chunk", "docs", "ids", "words").groupBy("chunk").cogroup(by_chunk)
+        name = f"chunks_{uuid.uuid4().hex}"
+        chunks = _by_chunk(chunks.applyInArrow(_number(buckets), NUMBERED_DDL), buckets, name, f"{folder}/chunks")
+        for old in ("corpus", "answers"):
+            delete(spark, f"{folder}/{old}")
+        answers, table = _exchanged(chunks, classes, folder)
+        totals = table.sum(axis=0)
+    else:
+        chunks, totals = corpus.select("chunk", "docs", "ids"), _class_totals(answers, classes + 1)
+        answers = answers.select("chunk", "bucket", "counts", "classes")
     tagged = stored(
-        corpus.select("chunk", "docs", "ids")
-        .groupBy("chunk")
-        .cogroup(answers.select("chunk", "bucket", "counts", "classes").groupBy("chunk"))
-        .applyInArrow(_tag(n, v, totals), SCORED_DDL),
+        chunks.groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
+        .applyInArrow(_tag(n, v, totals, every_word), SCORED_DDL),
         f"{folder}/tagged",
     )
+    if every_word:
+        spark.sql(f"DROP TABLE {name}")
+        delete(spark, f"{folder}/chunks")
     logs = transitions(_class_pairs(tagged, classes + 2))
 
     def make():
@@ -546,6 +771,12 @@ def text_scores(
     return over_batches(tagged.select(*columns), make, schema)
 
 
+def _by_chunk(chunks: DataFrame, buckets: int, name: str, folder: str) -> DataFrame:
+    """Stored as a table that is bucketed by chunk, so that later groups of chunks need no shuffle."""
+    chunks.write.format("parquet").option("path", folder).bucketBy(buckets, "chunk").saveAsTable(name)
+    return chunks.sparkSession.table(name)
+
+
 def _class_totals(answers: DataFrame, classes: int) -> np.ndarray:
     """Training tokens in each class, summed in the tasks and then class by class."""
 

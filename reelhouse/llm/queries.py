@@ -57,7 +57,7 @@ def op5_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class-model and base scores of every document, learned from nine in ten of them."""
-    return class_lm.text_scores(table(spark, sf_dir, "documents"))
+    return class_lm.text_scores(table(spark, sf_dir, "documents"), every_word=True)
 
 
 def op7_crf_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -360,6 +360,123 @@ def test_scores_are_those_of_plain_classes(spark, source):
     assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=1e-5)
 
 
+def plain_rounds(rows, head=class_lm.HEAD, classes=class_lm.CLASSES):
+    """The score of each row after rounds over all words, the rounds, and each word's class."""
+    texts = [[*(t or "").encode().lower().split(), None] for _, t in rows]
+    held = [class_lm.held_out(d) for d, _ in rows]
+    number = {w: i for i, w in enumerate(dict.fromkeys([None, *(w for ts in texts for w in ts)]))}
+    hashes = np.array([0 if w is None else xxhash.xxh3_64_intdigest(w) or 1 for w in number], np.uint64)
+    now = np.array([number[w] for ts in texts for w in ts])
+    before = np.array([number[w] for ts in texts for w in [None, *ts[:-1]]])
+    train = np.repeat(~np.array(held), [len(ts) for ts in texts])
+    left, right = before[train], now[train]
+    count, side = np.bincount(right, minlength=len(number)), classes + 1
+    order = np.lexsort((hashes.view(np.int64), -count))
+    order = order[(count[order] > 0) & (order > 0)][:head]
+    place = np.full(len(number), -1)
+    place[[0, *order]] = np.arange(len(order) + 1)
+    pairs = np.zeros((len(order) + 1, len(order) + 1))
+    both = (place[left] >= 0) & (place[right] >= 0)
+    np.add.at(pairs, (place[left[both]], place[right[both]]), 1)
+    of = class_lm.exchange(pairs, classes)
+    cls = np.where(place >= 0, of[place], -1)
+
+    def moved(cls, weights):
+        votes = np.zeros((len(number), 2 * side))
+        known = cls[left] >= 0
+        np.add.at(votes, (right[known], cls[left[known]]), 1)
+        known = cls[right] >= 0
+        np.add.at(votes, (left[known], side + cls[right[known]]), 1)
+        likeliest = 1 + np.argmax(np.round(votes @ weights, 6)[:, 1:], axis=1)
+        return np.where(votes.any(axis=1), likeliest, class_lm._dealt(hashes, classes))
+
+    def bigrams(cls):
+        table = np.zeros((side, side))
+        np.add.at(table, (cls[left], cls[right]), 1)
+        return table
+
+    start = moved(cls, class_lm.joining_weights(class_lm.class_table(pairs, of, classes)))
+    cls, kept, best, rounds = np.where(place >= 0, cls, start), None, -np.inf, 0
+    while True:
+        value = class_lm.likelihood(bigrams(cls))
+        kept = cls if value > best else kept
+        if value <= best + class_lm.TOLERANCE * train.sum():
+            break
+        best = value
+        for half in (0, 1):
+            turn = (hashes >> np.uint64(40)) % np.uint64(2) == half
+            turn[0] = False
+            cls = np.where(turn, moved(cls, class_lm.joining_weights(bigrams(cls))), cls)
+        rounds += 2
+    cls = np.where(count > 0, kept, classes + 1)
+    table = np.zeros((classes + 2, classes + 2))
+    once = (count == 1) & (np.arange(len(count)) > 0)
+    for a, b in zip(left, right, strict=True):
+        table[cls[a], cls[b]] += 1
+        table[cls[a], -1] += once[b]
+        table[-1, cls[b]] += once[a]
+        table[-1, -1] += once[a] and once[b]
+    logs = class_lm.transitions(table)
+    size = np.bincount(cls, count, classes + 2)
+    emission = np.zeros(len(count))
+    inside = (count > 0) & (cls > 0)
+    emission[inside] = np.log10(count[inside] / size[cls[inside]])
+    each = logs[cls[before], cls[now]] + emission[now]
+    ends = np.cumsum([len(ts) for ts in texts])
+    totals = [part.sum() for part in np.split(each, ends[:-1])]
+    return totals, rounds, dict(zip(number, cls.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("source", ["odd", "table"])
+def test_scores_after_rounds_over_all_words(spark, conf, monkeypatch, source):
+    """In several chunks and buckets; rounds shuffle no chunks, and leave no table behind."""
+    conf(shuffle__partitions=3)
+    docs = odd(spark) if source == "odd" else spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    totals, rounds, _ = plain_rounds(rows)
+    assert rounds >= 2
+    plans, exchanged = [], class_lm._exchanged
+
+    def spy(chunks, classes, folder):
+        moved = spark.createDataFrame([], class_lm.MOVED_DDL).groupBy("chunk")
+        met = chunks.groupBy("chunk").cogroup(moved).applyInArrow(class_lm._meet(0, classes + 1), class_lm.MET_DDL)
+        plans.append(met._jdf.queryExecution().executedPlan().toString())
+        return exchanged(chunks, classes, folder)
+
+    monkeypatch.setattr(class_lm, "_exchanged", spy)
+    tables = spark.catalog.listTables()
+    got = class_lm.text_scores(docs.repartition(4), every_word=True).collect()
+    assert plans[0].count("Exchange") <= 1 and "Bucketed: true" in plans[0]
+    assert spark.catalog.listTables() == tables
+    check_scores(rows, got)
+    want = sorted((repr(d), round(s, 6)) for (d, _), s in zip(rows, totals, strict=True))
+    got = sorted((repr(r.doc_id), round(r.score, 6)) for r in got)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=1e-5)
+
+
+def test_bigrams_of_rare_words_take_part_in_the_classes(spark, conf):
+    """Rare words of two kinds that stand in turn, with one frequent word at the ends."""
+    conf(shuffle__partitions=2)
+    rnd, rows = random.Random(5), []
+    for d in range(300):
+        kinds = [f"{'xy'[i % 2]}{rnd.randrange(300)}" for i in range(rnd.randrange(20, 40))]
+        rows.append((d, " ".join(["the the", *kinds, "the the"])))
+    totals, _, cls = plain_rounds(rows, head=1, classes=4)
+    kinds = [{c for w, c in cls.items() if w and w.startswith(k)} for k in (b"x", b"y")]
+    assert not kinds[0] & kinds[1]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = class_lm.text_scores(df, 1, 4, every_word=True).collect()
+    assert sum(r.score for r in got) == pytest.approx(sum(totals))
+
+
+def test_rounds_without_training_texts(spark, conf):
+    conf(shuffle__partitions=2)
+    held = [d for d in range(500) if class_lm.held_out(d)][:5]
+    df = spark.createDataFrame([(d, "a b") for d in held], "doc_id long, text string")
+    assert {round(r.score, 9) for r in class_lm.text_scores(df, every_word=True).collect()} == {0}
+
+
 def test_scores_of_odd_documents(spark):
     got = class_lm.text_scores(odd(spark)).collect()
     check_scores([(d, t) for d, t, *_ in ODD_DOCUMENTS], got)
