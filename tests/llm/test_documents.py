@@ -86,6 +86,37 @@ def test_groups_of_nothing(spark):
     assert found_groups(odd(spark, [])) == []
 
 
+def test_words_have_one_hash_wherever_they_stand(monkeypatch):
+    """Across the pieces of the running sums, and apart from all other words."""
+    rnd, seen = random.Random(1), {}
+    words = ["".join(rnd.choice("ab\0Zé中") for _ in range(rnd.randint(1, 9))) for _ in range(500)]
+    words += ["x" * near_duplicates.PIECE, "y" * (3 * near_duplicates.PIECE + 7), "x" * (near_duplicates.PIECE - 1)]
+    for _ in range(20):
+        text = "".join(rnd.choice(words) + rnd.choice([" ", "\n", "\t \x0b", "\x1c ", "\x85 "]) for _ in range(900))
+        text = text.encode()
+        hashes, starts = near_duplicates.word_hashes(text)
+        split = text.split()
+        assert len(split) == len(hashes) == len(starts)
+        for w, h in zip(split, hashes.tolist(), strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen) > 500
+    assert len(near_duplicates.word_hashes(b" ")[0]) == 0
+
+
+def test_sets_are_made_before_any_shuffle(spark):
+    """Texts stay where they are; only documents that stand for a node are read again."""
+    rows = [(d, f"one two three four five w{d}") for d in [-5, 0, 7, 2**62, *range(100, 160)]]
+    docs = spark.createDataFrame([*rows, (None, "one two three four five w7")], "doc_id long, text string")
+    signed = near_duplicates.signatures(docs, 5, "doc_id", "text").filter("doc_id IN (-5, 0, 7)")
+    members = signed.withColumnRenamed("doc_id", "rep")
+    assert int(np.unpackbits(near_duplicates._flags(members)).sum()) == 3
+    sets = near_duplicates._sets(members, docs, 5, "doc_id", "text", False)
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    join, below = plan.split("Join Inner", 1)
+    assert "MapInArrow" in below and "text#" not in join and "rep#" not in below.split("\n")[0]
+    assert {bytes(r.key) for r in sets.collect()} == {bytes(r.key) for r in members.collect()}
+
+
 def test_estimates_are_near_the_similarity():
     rnd = np.random.default_rng(1)
     pool = rnd.permutation(np.unique(rnd.integers(0, 2**63, 30_000).astype(np.uint64) * np.uint64(3)))
