@@ -225,7 +225,7 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
 
 def _read(spark: SparkSession, folder: str, schema: str, finish) -> DataFrame:
     files = spark.read.schema(FILE_DDL).parquet(folder)
-    placed = files.join(part_starts(files), "part")
+    placed = files.join(F.broadcast(part_starts(files)), "part")  # the blocks stay where they are
 
     def make():
         def run(*columns):

@@ -235,6 +235,13 @@ def test_stretches_of_files(spark, library, tmp_path, monkeypatch):
     assert repair.read_stretches(spark, folder, asked.limit(0)).collect() == []
 
 
+def test_blocks_are_read_without_a_shuffle(spark, tmp_path, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    repair.write_token_files(odd(spark), PATH, str(tmp_path / "t"), end_id=2, block=500)
+    plan = repair.read_digests(spark, str(tmp_path / "t"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_files_of_nothing(spark, tmp_path):
     repair.write_token_files(odd(spark, []), PATH, str(tmp_path / "t"), end_id=2)
     assert repair.read_digests(spark, str(tmp_path / "t")).collect() == []
