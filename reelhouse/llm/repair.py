@@ -1,12 +1,12 @@
 """Token ids in binary files, compressed by pair grammars that can be read at any place.
 
 Method: documents are put in ascending id order by a range shuffle, encoded with the tokenizers
-library, and cut into blocks of about `BLOCK` ids. In each block the frequent pairs of
-neighbouring ids are replaced by new symbols, again and again (Re-Pair): a round takes all pairs
-that occur often enough, gives overlapping places to the more frequent pair, and stops mattering
-when it shortens the block by less than `MIN_GAIN`. A block is stored as its symbols, its rules
-and the expansion length of each rule, so that any stretch of ids is decoded from the symbols
-that cover it alone.
+library, every distinct piece of text once (`pieces`), and cut into blocks of about `BLOCK` ids. In
+each block the frequent pairs of neighbouring ids are replaced by new symbols, again and again
+(Re-Pair): a round takes all pairs that occur often enough, gives overlapping places to the more
+frequent pair, and stops mattering when it shortens the block by less than `MIN_GAIN`. A block is
+stored as its symbols, its rules and the expansion length of each rule, so that any stretch of ids
+is decoded from the symbols that cover it alone.
 
 File format: a Parquet folder with one row per block.
 
@@ -34,18 +34,22 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelhouse.llm.blobs import changes
-from reelhouse.llm.chunks import library, library_ids
+from reelhouse.llm.chunks import library
+from reelhouse.llm.pieces import runs, text_ids
 from reelhouse.llm.rows import bucket_count, chosen, over_batches
 
 BLOCK = 1 << 18
 MIN_GAIN = 0.02
 #: A pair must occur so often in a block to be worth a rule.
 MIN_PAIRS = 8
+#: Pairs are counted by so many bits of a hash first.
+BIN_BITS = 18
 #: Stretches of one block that are decoded together.
 AT_ONCE = 1024
 FILE_DDL = (
@@ -54,13 +58,24 @@ FILE_DDL = (
 )
 
 
+def in_order(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of so many bits in ascending order, and the place of each; the left of equal ones first.
+    Key and place are sorted as one number if they fit into it."""
+    place_bits = len(keys).bit_length()
+    if bits + place_bits > 64:
+        places = np.argsort(keys, kind="stable")
+        return keys[places], places
+    both = np.sort(keys << np.uint64(place_bits) | np.arange(len(keys), dtype=np.uint64))
+    return both >> np.uint64(place_bits), (both & np.uint64((1 << place_bits) - 1)).astype(np.int64)
+
+
 def replace_pairs(s: np.ndarray, first: int, min_pairs: int) -> tuple[np.ndarray, np.ndarray]:
     """One round: the shorter sequence, and the replaced pairs in the order of their symbols."""
-    key = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-    bins = 1 << 20
-    bin_of = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-    often = np.flatnonzero(np.bincount(bin_of, minlength=bins)[bin_of] >= min_pairs)
-    ordered = np.sort(key[often])
+    bits = int(s.max()).bit_length()
+    key = s[:-1].astype(np.uint64) << np.uint64(bits) | s[1:]
+    bin_of = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
+    often = np.flatnonzero((np.bincount(bin_of, minlength=1 << BIN_BITS) >= min_pairs)[bin_of])
+    ordered, places = in_order(key[often], 2 * bits)
     starts = np.flatnonzero(changes(ordered))
     counts = np.diff(np.append(starts, len(ordered)))
     good = counts >= min_pairs
@@ -69,11 +84,11 @@ def replace_pairs(s: np.ndarray, first: int, min_pairs: int) -> tuple[np.ndarray
         return s, np.zeros((0, 2), np.uint32)
     rank_of = np.empty(len(pairs), np.int64)
     rank_of[np.argsort(-counts[good], kind="stable")] = np.arange(len(pairs))
-    found = np.minimum(np.searchsorted(pairs, key[often]), len(pairs) - 1)
-    hit = pairs[found] == key[often]
     worst = np.int64(len(pairs))
     rank = np.full(len(s) + 1, worst)  # place i + 1 holds the pair at i
-    rank[often[hit] + 1] = rank_of[found[hit]]
+    rank_of_run = np.full(len(starts), worst)
+    rank_of_run[good] = rank_of
+    rank[often[places] + 1] = np.repeat(rank_of_run, counts)
     here = rank[1:-1]
     # a place yields to a better neighbour, and of equal ones the left wins
     at = np.flatnonzero((here < worst) & (here < rank[:-2]) & (here <= rank[2:]))
@@ -91,7 +106,7 @@ def replace_pairs(s: np.ndarray, first: int, min_pairs: int) -> tuple[np.ndarray
     stay = np.ones(len(s), bool)
     stay[at + 1] = False
     made = by_rank[kept]
-    pair_rows = np.stack([made >> np.uint64(32), made & np.uint64(0xFFFFFFFF)], axis=1)
+    pair_rows = np.stack([made >> np.uint64(bits), made & np.uint64((1 << bits) - 1)], axis=1)
     return out[stay], pair_rows.astype(np.uint32)
 
 
@@ -137,6 +152,18 @@ def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray
         s = out
 
 
+def expand_block(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
+    """The ids of a whole block: every rule is expanded once, and taken wherever it stands."""
+    s = symbols.astype(np.int64)
+    rule = np.flatnonzero(s >= terminals)
+    number = s[rule] - terminals
+    sizes = rule_lengths(rules, terminals).astype(np.int64)
+    ids = expand(np.arange(terminals, terminals + len(rules)), rules, terminals)
+    start, taken = len(ids) + np.arange(len(s)), np.ones(len(s), np.int64)
+    start[rule], taken[rule] = (np.cumsum(sizes) - sizes)[number], sizes[number]
+    return runs(np.concatenate([ids, symbols]), start, taken)[0]
+
+
 def stretch(symbols, rules, lengths, terminals: int, start: int, n: int) -> np.ndarray:
     """Ids start to start + n of a block, expanding only the symbols that cover them."""
     s = symbols.astype(np.int64)
@@ -163,37 +190,35 @@ def write_token_files(
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     partitions = bucket_count(docs)
     ordered = source.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    end = int(end_id).to_bytes(4, "little")
 
     def make():
-        known, part = library_ids(path), TaskContext.get().partitionId()
+        encode, part = text_ids(path), TaskContext.get().partitionId()
         terminals = max(library(path).get_vocab_size(), end_id + 1)
         state = {"offset": 0, "block": 0}
 
-        def record(ids: list, encoded: list[bytes]) -> tuple:
-            joined = np.frombuffer(b"".join(encoded), "<u4")
-            symbols, rules, lengths = compress(joined, terminals)
-            sizes = np.array([len(e) // 4 for e in encoded], "<u4")
-            packed = [a.astype("<u4").tobytes() for a in (symbols, rules, lengths)]
-            row = part, state["block"], state["offset"], len(joined), ids, sizes.tobytes(), terminals, *packed
-            state["offset"] += len(joined)
+        def record(docs: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> tuple:
+            packed = [a.astype("<u4").tobytes() for a in compress(ids, terminals)]
+            sizes = sizes.astype("<u4").tobytes()
+            row = part, state["block"], state["offset"], len(ids), docs.to_pylist(), sizes, terminals, *packed
+            state["offset"] += len(ids)
             state["block"] += 1
             return row
 
-        def run(ids, texts):
-            rows, held, encoded, size = [], [], [], 0
-            for i in range(0, len(ids), 500):
-                part_ids = ids[i : i + 500].to_pylist()
-                part_texts = [t or "" for t in texts[i : i + 500].to_pylist()]
-                for doc, e in zip(part_ids, known.joined(part_texts), strict=True):
-                    held.append(doc)
-                    encoded.append(e + end)
-                    size += len(e) // 4 + 1
-                    if size >= block:
-                        rows.append(record(held, encoded))
-                        held, encoded, size = [], [], 0
-            if held:
-                rows.append(record(held, encoded))
+        def run(docs, texts):
+            rows, at = [], 0  # `at`: documents in blocks
+            held, held_sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+            for ids, sizes in encode(texts):
+                held = np.concatenate([held, np.insert(ids, np.cumsum(sizes), end_id)])
+                held_sizes = np.concatenate([held_sizes, sizes + 1])
+                ends = np.cumsum(held_sizes)
+                done = taken = 0
+                while (n := int(np.searchsorted(ends, taken + block)) + 1) <= len(ends):
+                    to = int(ends[n - 1])
+                    rows.append(record(docs[at : at + n - done], held[taken:to], held_sizes[done:n]))
+                    at, done, taken = at + n - done, n, to
+                held, held_sizes = held[taken:], held_sizes[done:]
+            if len(held_sizes):
+                rows.append(record(docs[at:], held, held_sizes))
             return list(zip(*rows, strict=True)) if rows else [[] for _ in range(10)]
 
         return run
@@ -234,7 +259,7 @@ def _read(spark: SparkSession, folder: str, schema: str, finish) -> DataFrame:
                 base, offset, ids, sizes, terminals, symbols, rules = record
                 sizes = np.frombuffer(sizes, "<u4").astype(np.int64)
                 rules = np.frombuffer(rules, "<u4").reshape(-1, 2)
-                whole = expand(np.frombuffer(symbols, "<u4"), rules, terminals).astype("<u4")
+                whole = expand_block(np.frombuffer(symbols, "<u4"), rules, terminals).astype("<u4", copy=False)
                 ends = np.cumsum(sizes)
                 for doc, a, b in zip(ids, (ends - sizes).tolist(), ends.tolist(), strict=True):
                     rows.append((doc, base + offset + a, *finish(whole[a:b])))

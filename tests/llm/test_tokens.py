@@ -18,7 +18,7 @@ import pytest
 import xxhash
 from brute import LONG, ODD_DOCUMENTS, SMALL, base_scores, odd, ordered
 
-from reelhouse.llm import chunks, class_lm, counts, prefix_bpe, repair
+from reelhouse.llm import chunks, class_lm, counts, pieces, prefix_bpe, repair
 from reelhouse.llm.queries import QUERIES
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -190,6 +190,52 @@ def test_grammars_give_the_ids_back():
             assert (repair.stretch(symbols, rules, lengths, 10, start, n) == ids[start : start + n]).all()
 
 
+@pytest.mark.parametrize("least", [0, 2**31 - 60, 2**32 - 60])
+def test_rounds_and_blocks_give_the_ids_back(least):
+    rnd = np.random.default_rng(5)
+    for i in range(60):
+        ids = (least + rnd.integers(0, 2 + i % 4, 300)).astype(np.uint32)
+        shorter, made = repair.replace_pairs(ids, least + 5, 8)
+        assert len(shorter) < len(ids) and (made >= least).all()
+        for expand in (repair.expand, repair.expand_block):
+            assert (expand(shorter, made, least + 5) == ids).all()
+        symbols, rules, _ = repair.compress(ids, least + 5, min_gain=0)
+        assert (repair.expand_block(symbols, rules, least + 5) == ids).all()
+    none = np.zeros(0, np.uint32)
+    assert repair.expand_block(ids, none.reshape(0, 2), least + 5).tolist() == ids.tolist()
+
+
+def all_ids(encode, texts, *sizes):
+    made = []
+    for ids, n in encode(texts, *sizes):
+        made += [part.tolist() for part in np.split(ids, np.cumsum(n)[:-1])]
+    return made
+
+
+def test_ids_of_cut_texts_are_those_of_the_library(library):
+    rnd, encode = random.Random(12), pieces.TextIds(PATH, limit=100_000)
+    more = ["a\n\n b", "\n", " ", "\n\nb", "x \u00a0\n b", "\u00a0 b", "a,b 'll9 ''s,1'", "\u3000", "e\u0301 ", "\r\n\r\nA"]
+    for k in range(150):
+        texts = [random_text(rnd) for _ in range(rnd.choice([1, 20, 60]))] + more + [None, ""]
+        if k % 2:
+            texts = [t and t.replace("<|endoftext|>", "") for t in texts]
+        rnd.shuffle(texts)
+        rows = pa.array(texts, rnd.choice([pa.string(), pa.large_string()]))[1:]
+        got = all_ids(encode, rows, rnd.choice([1, 50, 1 << 21]), rnd.choice([1, 300, 1 << 24]))
+        assert got == [ids_of(library, t) for t in texts[1:]]
+    assert len(encode.known) < 2000  # what was not met for long has gone
+    assert all_ids(encode, pa.array([], pa.string())) == []
+
+
+def test_a_word_is_encoded_once_whatever_sign_follows(library):
+    encode, made = pieces.TextIds(PATH), []
+    make = encode.make
+    encode.make = lambda new: (made.extend(new.to_pylist()), make(new))[1]
+    texts = [f"qwrtz{a} plmok{b}\nvbnxy{a}9{b}" for a in ".,;!?" for b in ",)]|"]
+    assert all_ids(encode, pa.array(texts), 40, 40) == [ids_of(library, t) for t in texts]
+    assert sorted(made) == sorted({"qwrtz", " plmok", "vbnxy", "\n", "9", *".,;!?)]|"})
+
+
 def test_repetition_is_compressed():
     ids = np.tile(np.arange(50, dtype=np.uint32), 200)
     symbols, rules, _ = repair.compress(ids, 100)
